@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import curate as cur
+from ..session import materialize
 from ..sources import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,8 +97,18 @@ def with_ctes(*ctes: str) -> str:
 CURATED_WITH = with_ctes(RAW_CTE, BASE_CTE, STATS_CTE, CURATED_CTE)
 
 
+def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows, written once to the checkpoint folder (read by several passes)."""
+    return materialize(fx.transactions(spark, sf_dir))
+
+
+def curated_lazy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cur.curate(raw(spark, sf_dir))
+
+
 def curated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cur.curate(fx.transactions(spark, sf_dir))
+    """The curated table, materialised for the multi-pass operators downstream."""
+    return materialize(curated_lazy(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- sources
@@ -113,12 +124,218 @@ def q_raw_transactions(spark, sf_dir):
 @register("curate", CURATED_WITH + "SELECT * FROM curated")
 def q_curate(spark, sf_dir):
     """Flagship: P1-P11, A1, J1 -> the 29-column curated table."""
-    return curated(spark, sf_dir)
+    return curated_lazy(spark, sf_dir)
 
 
 @register("curate_stats", with_ctes(RAW_CTE, BASE_CTE, STATS_CTE)
           + "SELECT amount_p90, amount_p95, ratio_p95, CAST(logins_p95 AS BIGINT) AS logins_p95 FROM stats")
 def q_curate_stats(spark, sf_dir):
     """A1: the exact p90/p95 cut-offs of amount, ratio and logins."""
-    base = cur.typed(fx.transactions(spark, sf_dir))
+    base = cur.typed(raw(spark, sf_dir))
     return cur.stats_frame(spark, cur.curation_stats(base))
+
+
+# ---------------------------------------------------------------- profiling
+
+from ..operators import profile as prof  # noqa: E402
+from ..schema import CURATED_COLUMNS  # noqa: E402
+
+CURATED_NUMERIC = ["TransactionAmount", "CustomerAge", "TransactionDuration", "LoginAttempts", "AccountBalance",
+                   "amt_to_bal", "txn_hour", "is_weekend", "minutes_since_prev", "flag_high_amount",
+                   "flag_high_ratio", "flag_many_logins", "flag_night", "flag_rapid_repeat_high",
+                   "flag_weekend_high", "risk_score", "is_fraud"]
+CURATED_STRING = ["TransactionID", "AccountID", "TransactionType", "Location", "DeviceID", "IP_Address",
+                  "MerchantID", "Channel", "CustomerOccupation", "nlp_text", "label_source"]
+CURATED_DATETIME = ["TransactionDate", "PreviousTransactionDate"]
+
+
+def _describe_numeric_sql(cols, src="curated"):
+    parts = []
+    for c in cols:
+        x = f"CAST({c} AS DOUBLE)"
+        parts.append(
+            f"SELECT '{c}' AS column_name, count({x}) AS count, round(avg({x}), 6) AS mean, "
+            f"round(stddev_samp({x}), 6) AS std, round(min({x}), 6) AS min, "
+            f"round(quantile_cont({x}, 0.25), 6) AS p25, round(quantile_cont({x}, 0.5), 6) AS p50, "
+            f"round(quantile_cont({x}, 0.75), 6) AS p75, round(max({x}), 6) AS max FROM {src}")
+    return "\nUNION ALL ".join(parts)
+
+
+def _round_cols(df, cols):
+    return df.select(*[r6(c).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+@register("profile_numeric", CURATED_WITH + _describe_numeric_sql(CURATED_NUMERIC))
+def q_profile_numeric(spark, sf_dir):
+    """A3: numeric describe of the curated table."""
+    d = prof.describe_numeric(curated(spark, sf_dir), CURATED_NUMERIC)
+    return _round_cols(d, ["mean", "std", "min", "p25", "p50", "p75", "max"])
+
+
+def _describe_categorical_sql(cols, src="curated"):
+    parts = []
+    for c in cols:
+        parts.append(
+            f"SELECT '{c}' AS column_name, sum(c) AS count, count(*) AS \"unique\", "
+            f"arg_min(v, (-c, v)) AS top, max(c) AS freq "
+            f"FROM (SELECT {c} AS v, count(*) AS c FROM {src} WHERE {c} IS NOT NULL GROUP BY {c})")
+    return "\nUNION ALL ".join(f"SELECT column_name, CAST(count AS BIGINT) AS count, CAST(\"unique\" AS BIGINT) "
+                               f"AS \"unique\", top, CAST(freq AS BIGINT) AS freq FROM ({p})" for p in parts)
+
+
+@register("profile_categorical", CURATED_WITH + _describe_categorical_sql(CURATED_STRING))
+def q_profile_categorical(spark, sf_dir):
+    """A4: categorical describe (count, unique, top, freq) of the curated table."""
+    return prof.describe_categorical(curated(spark, sf_dir), CURATED_STRING)
+
+
+def _describe_datetime_sql(cols, src="curated"):
+    parts = []
+    for c in cols:
+        us = f"epoch_us({c})"
+
+        def ts(e):
+            return f"make_timestamp(CAST(floor({e}) AS BIGINT))"
+        parts.append(
+            f"SELECT '{c}' AS column_name, count({c}) AS count, "
+            f"make_timestamp(CAST(sum(CAST({us} AS HUGEINT)) // count({c}) AS BIGINT)) AS mean, "
+            f"{ts(f'min({us})')} AS min, {ts(f'quantile_cont({us}, 0.25)')} AS p25, "
+            f"{ts(f'quantile_cont({us}, 0.5)')} AS p50, {ts(f'quantile_cont({us}, 0.75)')} AS p75, "
+            f"{ts(f'max({us})')} AS max FROM {src}")
+    return "\nUNION ALL ".join(parts)
+
+
+@register("profile_datetime", CURATED_WITH + _describe_datetime_sql(CURATED_DATETIME))
+def q_profile_datetime(spark, sf_dir):
+    """A5: datetime describe (count, mean, min, quartiles, max)."""
+    return prof.describe_datetime(curated(spark, sf_dir), CURATED_DATETIME)
+
+
+@register("head", CURATED_WITH + "SELECT * FROM curated ORDER BY TransactionID LIMIT 5")
+def q_head(spark, sf_dir):
+    """First five curated rows by TransactionID (the top-n is the feature)."""
+    return prof.head(curated(spark, sf_dir), 5)
+
+
+@register("class_balance", CURATED_WITH + "SELECT is_fraud, count(*) AS count FROM curated GROUP BY is_fraud")
+def q_class_balance(spark, sf_dir):
+    """Rows per class."""
+    return prof.class_balance(curated(spark, sf_dir))
+
+
+@register("shape", CURATED_WITH + f"SELECT count(*) AS n_rows, CAST({len(CURATED_COLUMNS)} AS BIGINT) AS n_cols, "
+          "CAST(coalesce(sum(is_fraud), 0) AS BIGINT) AS positives FROM curated")
+def q_shape(spark, sf_dir):
+    """Rows, columns, positives."""
+    return prof.shape(curated(spark, sf_dir))
+
+
+@register("distinct_counts", CURATED_WITH + "\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_distinct FROM curated" for c in CURATED_STRING))
+def q_distinct_counts(spark, sf_dir):
+    """Exact distinct values per string column."""
+    return prof.distinct_counts(curated(spark, sf_dir), CURATED_STRING)
+
+
+# ---------------------------------------------------------------- features and windows
+
+from ..operators import features as feat  # noqa: E402
+
+FEATURES_CTE = """
+feat0 AS (
+  SELECT * REPLACE (TransactionAmount / (abs(AccountBalance) + 1e-6) AS amt_to_bal),
+         (epoch_us(TransactionDate) - epoch_us(PreviousTransactionDate)) / 1e6 AS _d,
+         CAST(coalesce(LoginAttempts, 0) AS DOUBLE) AS logins_log1p
+  FROM curated),
+feat_med AS (SELECT quantile_cont(_d, 0.5) AS _m FROM feat0),
+features AS (SELECT feat0.* EXCLUDE (_d), coalesce(_d, _m) AS secs_since_prev FROM feat0, feat_med)"""
+
+FEATURES_WITH = with_ctes(RAW_CTE, BASE_CTE, STATS_CTE, CURATED_CTE, FEATURES_CTE)
+
+
+def features(spark, sf_dir):
+    return feat.add_simple_features(curated(spark, sf_dir))
+
+
+@register("features", FEATURES_WITH + "SELECT * REPLACE (round(secs_since_prev, 6) AS secs_since_prev) FROM features")
+def q_features(spark, sf_dir):
+    """P13-P16 + A2: amt_to_bal (abs form), secs_since_prev (median-filled), logins_log1p."""
+    return features(spark, sf_dir).withColumn("secs_since_prev", r6("secs_since_prev"))
+
+
+@register("secs_median", FEATURES_WITH + "SELECT round(_m, 6) AS secs_median FROM feat_med")
+def q_secs_median(spark, sf_dir):
+    """A2: exact global median of the previous-transaction delta (seconds)."""
+    m = feat.secs_since_prev_median(curated(spark, sf_dir))
+    return spark.createDataFrame([(m,)], "secs_median double").select(r6("secs_median").alias("secs_median"))
+
+
+CARD_CTE = f"""
+card_raw AS ({fx.CARD_RAW_SQL}),
+card_canon AS (
+  SELECT "Time", V1, V2, V3, V4, Amount AS TransactionAmount, "Class" AS is_fraud, row_id,
+         'ULB_' || CAST(row_id AS VARCHAR) AS TransactionID,
+         TIMESTAMP '2019-01-01 00:00:00' + to_microseconds(CAST(round("Time" * 1000000) AS BIGINT)) AS TransactionDate,
+         'ULB_ACC_' || CAST(row_id % 10000 AS VARCHAR) AS AccountID
+  FROM card_raw),
+card AS (
+  SELECT *, lag(TransactionDate) OVER (PARTITION BY AccountID ORDER BY TransactionDate, row_id)
+              AS PreviousTransactionDate,
+         '' AS nlp_text
+  FROM card_canon)"""
+
+
+def card(spark, sf_dir):
+    return feat.card_canonical(materialize(fx.card_transactions_raw(spark, sf_dir)))
+
+
+@register("card_transactions", with_ctes(CARD_CTE) + "SELECT * FROM card")
+def q_card_transactions(spark, sf_dir):
+    """S7 + P12 + W2: lineitem as the card data set, canonical columns, lag per account."""
+    return card(spark, sf_dir)
+
+
+SEQ_FEATURES = ["TransactionAmount", "AccountBalance", "TransactionDuration", "LoginAttempts"]
+
+
+@register("sequences", CURATED_WITH.rstrip() + """,
+seqs AS (
+  SELECT AccountID, TransactionID,
+         row_number() OVER (PARTITION BY AccountID ORDER BY TransactionDate, TransactionID) AS pos,
+         list([CAST(TransactionAmount AS DOUBLE), CAST(AccountBalance AS DOUBLE), CAST(TransactionDuration AS DOUBLE),
+               CAST(LoginAttempts AS DOUBLE)])
+           OVER (PARTITION BY AccountID ORDER BY TransactionDate, TransactionID
+                 ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS seq,
+         is_fraud AS label
+  FROM curated)
+SELECT * FROM seqs WHERE pos >= 10""")
+def q_sequences(spark, sf_dir):
+    """W4 (+W1 order): last 10 rows' features per account, label of the last row."""
+    return feat.build_sequences(curated(spark, sf_dir), SEQ_FEATURES, 10)
+
+
+MODEL_NUM = ["AccountBalance", "CustomerAge", "LoginAttempts", "TransactionAmount", "TransactionDuration",
+             "amt_to_bal", "is_weekend", "logins_log1p", "minutes_since_prev", "secs_since_prev", "txn_hour"]
+MODEL_CAT = ["AccountID", "Channel", "CustomerOccupation", "DeviceID", "IP_Address", "Location", "MerchantID",
+             "TransactionType", "label_source"]
+
+
+@register("model_frame", FEATURES_WITH + "SELECT " + ", ".join(
+    [f"round({c}, 6) AS {c}" if c in ("AccountBalance", "TransactionAmount", "amt_to_bal", "logins_log1p",
+                                       "secs_since_prev") else c for c in MODEL_NUM] + MODEL_CAT + ["is_fraud"])
+    + " FROM features")
+def q_model_frame(spark, sf_dir):
+    """P17 + P18: role/leaky columns dropped, numerics then categoricals, each name-sorted."""
+    f = features(spark, sf_dir)
+    num, cat = feat.model_frame_columns(f)
+    doubles = {x.name for x in f.schema.fields if x.dataType.typeName() == "double"}
+    return f.select(*[r6(c).alias(c) if c in doubles else F.col(c) for c in num], *cat, "is_fraud")
+
+
+@register("card_model_frame", with_ctes(CARD_CTE) + "SELECT \"Time\", TransactionAmount, V1, V2, V3, V4, "
+          "row_id, is_fraud FROM card")
+def q_card_model_frame(spark, sf_dir):
+    """On the card data set, string columns with > 100 distinct values are dropped."""
+    c = card(spark, sf_dir)
+    num, cat = feat.model_frame_columns(c, drop_leaky=False, drop_high_cardinality=True)
+    return c.select(*num, *cat, "is_fraud")

@@ -63,3 +63,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/ledgerlens/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, eager: bool = True):
+    """Cut lineage for a DataFrame that several passes will read.
+
+    A reliable checkpoint into ``spark.checkpoint.dir`` (a shared folder on a
+    cluster): later passes read the written files instead of recomputing
+    joins and windows, and a lost executor costs a re-read, not a replay.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=eager)

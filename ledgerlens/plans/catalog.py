@@ -339,3 +339,82 @@ def q_card_model_frame(spark, sf_dir):
     c = card(spark, sf_dir)
     num, cat = feat.model_frame_columns(c, drop_leaky=False, drop_high_cardinality=True)
     return c.select(*num, *cat, "is_fraud")
+
+
+# ---------------------------------------------------------------- splits
+
+from ..operators import split as sp  # noqa: E402
+
+VAL_RATIO = 0.15 / (1.0 - 0.15)
+
+
+def _strat_sql(test, val_ratio, src="curated", label="is_fraud", idc="TransactionID"):
+    n_test = f"ceil(CAST({test!r} AS DOUBLE) * _n)"
+    val = "" if val_ratio is None else (
+        f"WHEN _r <= {n_test} + ceil(CAST({val_ratio!r} AS DOUBLE) * (_n - {n_test})) THEN 'val' ")
+    return f"""
+, ranked AS (
+  SELECT {idc}, {label},
+         row_number() OVER (PARTITION BY {label} ORDER BY md5(CAST({idc} AS VARCHAR) || ':42'), {idc}) AS _r,
+         count(*) OVER (PARTITION BY {label}) AS _n
+  FROM {src})
+SELECT {idc}, {label}, CASE WHEN _r <= {n_test} THEN 'test' {val}ELSE 'train' END AS split FROM ranked"""
+
+
+@register("split_random", CURATED_WITH.rstrip() + _strat_sql(0.15, VAL_RATIO).replace("\n, ranked", ",\nranked", 1))
+def q_split_random(spark, sf_dir):
+    """SP1: stratified 70/15/15 by hash rank within each class."""
+    return sp.stratified_split(curated(spark, sf_dir)).select("TransactionID", "is_fraud", "split")
+
+
+@register("split_stratified_80_20", CURATED_WITH.rstrip() + _strat_sql(0.2, None).replace("\n, ranked", ",\nranked", 1))
+def q_split_80_20(spark, sf_dir):
+    """SP4: stratified 80/20 (cross-dataset training split)."""
+    return sp.stratified_split(curated(spark, sf_dir), test_size=0.2, val_size=None).select(
+        "TransactionID", "is_fraud", "split")
+
+
+@register("split_group", CURATED_WITH.rstrip() + f""",
+groups AS (SELECT DISTINCT CAST(AccountID AS VARCHAR) AS g FROM curated),
+granked AS (SELECT g, row_number() OVER (ORDER BY md5(g || ':42'), g) AS _r, count(*) OVER () AS _n FROM groups),
+gsplit AS (
+  SELECT g, CASE WHEN _r <= ceil(CAST(0.15 AS DOUBLE) * _n) THEN 'test'
+                 WHEN _r <= ceil(CAST(0.15 AS DOUBLE) * _n)
+                           + ceil(CAST({VAL_RATIO!r} AS DOUBLE) * (_n - ceil(CAST(0.15 AS DOUBLE) * _n))) THEN 'val'
+                 ELSE 'train' END AS split
+  FROM granked)
+SELECT c.TransactionID, c.AccountID, s.split FROM curated c LEFT JOIN gsplit s ON c.AccountID IS NOT DISTINCT FROM s.g""")
+def q_split_group(spark, sf_dir):
+    """SP2: no account in two splits; 70/15/15 of accounts."""
+    return sp.group_split(curated(spark, sf_dir)).select("TransactionID", "AccountID", "split")
+
+
+@register("split_time", CURATED_WITH.rstrip() + """,
+pos AS (
+  SELECT TransactionID, AccountID,
+         row_number() OVER (PARTITION BY AccountID ORDER BY TransactionDate, TransactionID) AS _r,
+         count(*) OVER (PARTITION BY AccountID) AS _n
+  FROM curated),
+sizes AS (
+  SELECT *, greatest(1, CAST(round_even(_n * CAST(0.15 AS DOUBLE), 0) AS BIGINT)) AS _t,
+            greatest(1, CAST(round_even(_n * CAST(0.15 AS DOUBLE), 0) AS BIGINT)) AS _v
+  FROM pos)
+SELECT TransactionID, AccountID,
+       CASE WHEN _r <= greatest(0, _n - _v - _t) THEN 'train'
+            WHEN _r <= greatest(0, _n - _v - _t) + _v THEN 'val' ELSE 'test' END AS split
+FROM sizes""")
+def q_split_time(spark, sf_dir):
+    """W3 / SP3: per-account chronological split (half-even rounding)."""
+    return sp.time_split(curated(spark, sf_dir)).select("TransactionID", "AccountID", "split")
+
+
+@register("split_sizes", CURATED_WITH.rstrip() + _strat_sql(0.15, VAL_RATIO).replace("\n, ranked", ",\nranked", 1)
+          .replace("SELECT TransactionID, is_fraud, CASE", "SELECT split, is_fraud, count(*) AS n FROM (SELECT "
+                   "TransactionID, is_fraud, CASE") + ") GROUP BY split, is_fraud")
+def q_split_sizes(spark, sf_dir):
+    """U1 + SP5: the split pieces (dispatch 'random') and their class counts."""
+    s = sp.split(curated(spark, sf_dir), "random")
+    tr, va, te = sp.pieces(s)
+    u = (tr.withColumn("split", F.lit("train")).unionByName(va.withColumn("split", F.lit("val")))
+         .unionByName(te.withColumn("split", F.lit("test"))))
+    return u.groupBy("split", "is_fraud").agg(F.count(F.lit(1)).alias("n"))

@@ -418,3 +418,248 @@ def q_split_sizes(spark, sf_dir):
     u = (tr.withColumn("split", F.lit("train")).unionByName(va.withColumn("split", F.lit("val")))
          .unionByName(te.withColumn("split", F.lit("test"))))
     return u.groupBy("split", "is_fraud").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------- metrics
+
+from ..operators import metrics as mt  # noqa: E402
+
+METRICS_CTE = f"""
+pred AS ({fx.predictions_sql()}),
+st AS (SELECT model, score, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label = 0) AS neg
+       FROM pred GROUP BY model, score),
+cum AS (
+  SELECT *, sum(pos) OVER w AS cpos, sum(neg) OVER w AS cneg,
+         sum(pos) OVER (PARTITION BY model) AS P, sum(neg) OVER (PARTITION BY model) AS N
+  FROM st WINDOW w AS (PARTITION BY model ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+ge AS (SELECT *, P - cpos + pos AS tp_ge, N - cneg + neg AS fp_ge FROM cum),
+pts AS (SELECT model, score AS threshold, tp_ge / (tp_ge + fp_ge) AS precision,
+               CASE WHEN P > 0 THEN tp_ge / P ELSE CAST(1 AS DOUBLE) END AS recall FROM ge),
+f1pts AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall)
+                         ELSE CAST(0 AS DOUBLE) END AS f1 FROM pts),
+best AS (SELECT model, arg_max(threshold, (f1, -threshold)) AS best, max(f1) AS best_f1 FROM f1pts GROUP BY model),
+cm AS (
+  SELECT model, count(*) FILTER (WHERE label = 0 AND score < 0.5) AS tn,
+         count(*) FILTER (WHERE label = 0 AND score >= 0.5) AS fp,
+         count(*) FILTER (WHERE label = 1 AND score < 0.5) AS fn,
+         count(*) FILTER (WHERE label = 1 AND score >= 0.5) AS tp,
+         count(*) FILTER (WHERE label = 1) AS support, count(*) AS n
+  FROM pred GROUP BY model),
+cls AS (
+  SELECT *, coalesce(CAST(tp + tn AS DOUBLE) / nullif(tn + fp + fn + tp, 0), 0) AS accuracy,
+         coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0) AS precision,
+         coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0) AS recall,
+         coalesce(CAST(2 * tp AS DOUBLE) / nullif(2 * tp + fp + fn, 0), 0) AS f1
+  FROM cm),
+rk AS (
+  SELECT model,
+         CASE WHEN max(P) > 0 AND max(N) > 0
+              THEN sum(pos * (cneg - neg * CAST(0.5 AS DOUBLE))) / (max(P) * max(N)) ELSE 0 END AS roc_auc,
+         CASE WHEN max(P) > 0 AND max(N) > 0
+              THEN sum(pos * (tp_ge / (tp_ge + fp_ge))) / max(P) ELSE 0 END AS pr_auc
+  FROM ge GROUP BY model),
+records AS (
+  SELECT c.model AS name, r.roc_auc, r.pr_auc, c.f1, c.precision, c.recall, c.accuracy,
+         CAST(0.5 AS DOUBLE) AS threshold, c.tn, c.fp, c.fn, c.tp, c.support, c.n
+  FROM cls c JOIN rk r ON c.model = r.model)"""
+
+METRICS_WITH = CURATED_WITH.rstrip() + ",\n" + METRICS_CTE.strip() + "\n"
+
+
+def predictions(spark, sf_dir):
+    return mt.clean(materialize(fx.predictions(curated(spark, sf_dir))))
+
+
+R6 = lambda *cs: ", ".join(f"round({c}, 6) AS {c}" for c in cs)
+
+
+def _r6(df, *cs):
+    return df.select(*[r6(c).alias(c) if c in cs else F.col(c) for c in df.columns])
+
+
+@register("metrics_confusion", METRICS_WITH + "SELECT model, CAST(tn AS BIGINT) AS tn, CAST(fp AS BIGINT) AS fp, "
+          "CAST(fn AS BIGINT) AS fn, CAST(tp AS BIGINT) AS tp, CAST(support AS BIGINT) AS support, "
+          "CAST(n AS BIGINT) AS n FROM cm")
+def q_metrics_confusion(spark, sf_dir):
+    """E1 + E15: confusion counts at 0.5, support and n, per model."""
+    return mt.confusion(predictions(spark, sf_dir), 0.5)
+
+
+@register("metrics_classification", METRICS_WITH + "SELECT model, " + R6("accuracy", "precision", "recall", "f1")
+          + " FROM cls")
+def q_metrics_classification(spark, sf_dir):
+    """Accuracy, precision, recall, f1 (zero division -> 0)."""
+    c = mt.classification_metrics(mt.confusion(predictions(spark, sf_dir), 0.5))
+    return _r6(c.select("model", "accuracy", "precision", "recall", "f1"), "accuracy", "precision", "recall", "f1")
+
+
+@register("metrics_ranking", METRICS_WITH + "SELECT model, " + R6("roc_auc", "pr_auc") + " FROM rk")
+def q_metrics_ranking(spark, sf_dir):
+    """E3 + E4: ROC AUC (ties = 1/2) and average precision (step sum)."""
+    return _r6(mt.ranking_metrics(predictions(spark, sf_dir)), "roc_auc", "pr_auc")
+
+
+@register("roc_curve", METRICS_WITH + "SELECT model, score AS threshold, "
+          "round(coalesce(fp_ge / nullif(N, 0), 0), 6) AS fpr, round(coalesce(tp_ge / nullif(P, 0), 0), 6) AS tpr FROM ge")
+def q_roc_curve(spark, sf_dir):
+    """E5: ROC points at every distinct score."""
+    return _r6(mt.roc_points(predictions(spark, sf_dir)), "fpr", "tpr")
+
+
+@register("pr_curve", METRICS_WITH + "SELECT model, threshold, " + R6("precision", "recall") + " FROM pts "
+          "UNION ALL SELECT DISTINCT model, CAST(NULL AS DOUBLE), CAST(1 AS DOUBLE), CAST(0 AS DOUBLE) FROM pts")
+def q_pr_curve(spark, sf_dir):
+    """PR points plus the closing (precision 1, recall 0) point."""
+    return _r6(mt.pr_points(predictions(spark, sf_dir)), "precision", "recall")
+
+
+@register("best_threshold", METRICS_WITH + "SELECT model, best AS threshold, round(best_f1, 6) AS best_f1 FROM best")
+def q_best_threshold(spark, sf_dir):
+    """F1-optimal threshold (aligned with its PR point)."""
+    return _r6(mt.best_f1_threshold(predictions(spark, sf_dir)), "best_f1")
+
+
+@register("best_threshold_compat", METRICS_WITH + """SELECT b.model,
+       coalesce((SELECT max(threshold) FROM f1pts p WHERE p.model = b.model AND p.threshold < b.best),
+                CAST(0.5 AS DOUBLE)) AS threshold, round(b.best_f1, 6) AS best_f1 FROM best b""")
+def q_best_threshold_compat(spark, sf_dir):
+    """E7 (compat): the source's one-step-lower threshold, 0.5 at the bottom."""
+    return _r6(mt.best_f1_threshold(predictions(spark, sf_dir), compat=True), "best_f1")
+
+
+@register("tuned_confusion", METRICS_WITH + """SELECT p.model,
+       CAST(count(*) FILTER (WHERE label = 0 AND score < best) AS BIGINT) AS tn,
+       CAST(count(*) FILTER (WHERE label = 0 AND score >= best) AS BIGINT) AS fp,
+       CAST(count(*) FILTER (WHERE label = 1 AND score < best) AS BIGINT) AS fn,
+       CAST(count(*) FILTER (WHERE label = 1 AND score >= best) AS BIGINT) AS tp,
+       max(best) AS threshold, round(max(best_f1), 6) AS best_f1
+FROM pred p JOIN best b ON p.model = b.model GROUP BY p.model""")
+def q_tuned_confusion(spark, sf_dir):
+    """Confusion at the F1-optimal threshold."""
+    t = mt.tuned_confusion(predictions(spark, sf_dir))
+    return _r6(t.select("model", "tn", "fp", "fn", "tp", "threshold", "best_f1"), "best_f1")
+
+
+@register("reliability_curve", METRICS_WITH.rstrip() + """,
+edges AS (
+  SELECT model, quantile_cont(score, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS e FROM pred GROUP BY model)
+SELECT p.model, CAST(len(list_filter(e, lambda x: x < p.score)) AS INTEGER) AS bin,
+       round(avg(score), 6) AS mean_score, round(avg(CAST(label AS DOUBLE)), 6) AS frac_pos, count(*) AS n
+FROM pred p JOIN edges USING (model) GROUP BY p.model, bin""")
+def q_reliability_curve(spark, sf_dir):
+    """10 quantile bins, mean score and observed rate, empty bins absent."""
+    return _r6(mt.reliability_curve(predictions(spark, sf_dir)), "mean_score", "frac_pos")
+
+
+@register("brier", METRICS_WITH + "SELECT model, round(avg((score - label) * (score - label)), 6) AS brier "
+          "FROM pred GROUP BY model")
+def q_brier(spark, sf_dir):
+    """E12 (raw): mean squared error of the score."""
+    return _r6(mt.brier(predictions(spark, sf_dir)), "brier")
+
+
+@register("metric_records", METRICS_WITH + "SELECT name, " + R6("roc_auc", "pr_auc", "f1", "precision", "recall",
+                                                                "accuracy") + ", threshold, CAST(tn AS BIGINT) AS tn, "
+          "CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, CAST(tp AS BIGINT) AS tp, "
+          "CAST(support AS BIGINT) AS support, CAST(n AS BIGINT) AS n FROM records")
+def q_metric_records(spark, sf_dir):
+    """E1-E4 + E15: the per-model metric record (cm flattened for comparison)."""
+    r = mt.evaluate(predictions(spark, sf_dir))
+    r = r.select("name", "roc_auc", "pr_auc", "f1", "precision", "recall", "accuracy", "threshold",
+                 "cm.tn", "cm.fp", "cm.fn", "cm.tp", "support", "n")
+    return _r6(r, "roc_auc", "pr_auc", "f1", "precision", "recall", "accuracy")
+
+
+@register("metrics_comparison", METRICS_WITH + "SELECT name AS model, " + R6("accuracy", "precision", "recall", "f1",
+                                                                            "roc_auc") + " FROM records")
+def q_metrics_comparison(spark, sf_dir):
+    """Wide comparison table (five metrics per model, missing = 0)."""
+    long = mt.to_long(mt.evaluate(predictions(spark, sf_dir)))
+    return _r6(mt.comparison_table(long), "accuracy", "precision", "recall", "f1", "roc_auc")
+
+
+@register("model_ranking", METRICS_WITH + """SELECT name,
+       CAST(row_number() OVER (ORDER BY coalesce(pr_auc, -1) DESC, coalesce(f1, -1) DESC,
+                                        coalesce(roc_auc, -1) DESC, name) AS INTEGER) AS rank,
+       round(pr_auc, 6) AS pr_auc, round(f1, 6) AS f1, round(roc_auc, 6) AS roc_auc,
+       CAST(floor(100 * pr_auc / max(pr_auc) OVER ()) AS INTEGER) AS pr_width,
+       CAST(floor(100 * f1 / max(f1) OVER ()) AS INTEGER) AS f1_width
+FROM records""")
+def q_model_ranking(spark, sf_dir):
+    """Models ranked by (pr_auc, f1, roc_auc); bar widths."""
+    r = mt.rank_models(mt.evaluate(predictions(spark, sf_dir)))
+    return _r6(r.withColumn("rank", F.col("rank").cast("int")), "pr_auc", "f1", "roc_auc")
+
+
+@register("best_model", METRICS_WITH + "SELECT 'pr_auc' AS by, arg_max(name, (pr_auc, f1, roc_auc, name)) AS name "
+          "FROM records")
+def q_best_model(spark, sf_dir):
+    """Best model by (pr_auc, f1, roc_auc) and the criterion used."""
+    return mt.best_model(mt.evaluate(predictions(spark, sf_dir)))
+
+
+@register("best_model_f1", METRICS_WITH + "SELECT arg_max(name, (f1, name)) AS name FROM records")
+def q_best_model_f1(spark, sf_dir):
+    """Best model by f1 alone."""
+    return mt.best_by_f1(mt.evaluate(predictions(spark, sf_dir)))
+
+
+THRESHOLD_GRID = [round(0.05 * i, 2) for i in range(1, 20)]
+
+
+@register("threshold_grid_best", METRICS_WITH.rstrip() + """,
+grid AS (
+  SELECT CAST(i AS INTEGER) AS trial, round(0.05 * i, 2) AS thr FROM range(1, 20) t(i)),
+trials AS (
+  SELECT g.trial, g.thr,
+         coalesce(CAST(2 * count(*) FILTER (WHERE label = 1 AND score >= g.thr) AS DOUBLE)
+                  / nullif(count(*) FILTER (WHERE label = 1) + count(*) FILTER (WHERE score >= g.thr), 0), 0) AS f1
+  FROM pred p, grid g WHERE p.model = 'm97' GROUP BY g.trial, g.thr)
+SELECT trial, thr, round(f1, 6) AS f1 FROM trials ORDER BY f1 DESC, trial LIMIT 1""")
+def q_threshold_grid_best(spark, sf_dir):
+    """Argmax of validation f1 over a grid of trials (first trial wins ties).
+
+    The trials are decision thresholds 0.05..0.95 for model m97; every trial is
+    one conditional count in a single aggregate over the predictions.
+    """
+    p = predictions(spark, sf_dir).filter(F.col("model") == "m97")
+    aggs = []
+    for i, t in enumerate(THRESHOLD_GRID, start=1):
+        tp = F.count(F.when((F.col("label") == 1) & (F.col("score") >= t), 1))
+        pp = F.count(F.when(F.col("score") >= t, 1))
+        pos = F.count(F.when(F.col("label") == 1, 1))
+        aggs.append(F.struct(F.lit(i).alias("trial"), F.lit(t).alias("thr"),
+                             mt._div0(2 * tp, pos + pp).alias("f1")))
+    trials = p.agg(F.array(*aggs).alias("t")).select(F.explode("t").alias("t")).select("t.*")
+    return _r6(mt.best_trial(trials, "f1", "trial"), "f1")
+
+
+@register("merged_metrics", METRICS_WITH.rstrip() + """,
+tuned AS (
+  SELECT p.model AS name, coalesce(CAST(2 * count(*) FILTER (WHERE label = 1 AND score >= best) AS DOUBLE)
+         / nullif(count(*) FILTER (WHERE label = 1) + count(*) FILTER (WHERE score >= best), 0), 0) AS f1,
+         max(best) AS threshold
+  FROM pred p JOIN best b ON p.model = b.model WHERE p.model = 'm97' GROUP BY p.model)
+SELECT coalesce(t.name, r.name) AS name,
+       CASE WHEN t.name IS NOT NULL THEN NULL ELSE round(r.roc_auc, 6) END AS roc_auc,
+       CASE WHEN t.name IS NOT NULL THEN NULL ELSE round(r.pr_auc, 6) END AS pr_auc,
+       round(CASE WHEN t.name IS NOT NULL THEN t.f1 ELSE r.f1 END, 6) AS f1,
+       CASE WHEN t.name IS NOT NULL THEN NULL ELSE round(r.precision, 6) END AS precision,
+       CASE WHEN t.name IS NOT NULL THEN NULL ELSE round(r.recall, 6) END AS recall,
+       CASE WHEN t.name IS NOT NULL THEN NULL ELSE round(r.accuracy, 6) END AS accuracy,
+       CASE WHEN t.name IS NOT NULL THEN t.threshold ELSE r.threshold END AS threshold,
+       coalesce(CASE WHEN t.name IS NOT NULL THEN t.threshold ELSE r.threshold END, 0.5) AS picked_threshold
+FROM records r FULL OUTER JOIN tuned t ON r.name = t.name""")
+def q_merged_metrics(spark, sf_dir):
+    """J2 / S13 + E14: combined records merged with a per-model record (per-model
+    wins), then the threshold fallback chain."""
+    p = predictions(spark, sf_dir)
+    legacy = mt.evaluate(p)
+    thr = mt.best_f1_threshold(p).filter(F.col("model") == "m97")
+    tuned = mt.classification_metrics(mt.confusion(
+        p.filter(F.col("model") == "m97").join(thr.select("model", F.col("threshold").alias("_t")), "model"),
+        F.col("_t"))).join(thr.select("model", "threshold"), "model")
+    per_model = tuned.select(F.col("model").alias("name"), "f1", "threshold")
+    m = mt.merge_metric_sources(legacy, per_model)
+    m = m.withColumn("picked_threshold", mt.pick_threshold(m))
+    return _r6(m, "roc_auc", "pr_auc", "f1", "precision", "recall", "accuracy")

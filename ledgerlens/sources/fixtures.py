@@ -112,3 +112,26 @@ SELECT CAST(l_orderkey AS DOUBLE) AS "Time", l_quantity AS V1, l_extendedprice A
                           l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) - 1 AS row_id
 FROM lineitem
 """
+
+
+def predictions(curated: DataFrame, moduli=(97, 53)) -> DataFrame:
+    """(id, model, label, score) for deterministic score models over curated rows.
+
+    score = floor(((amount % m) / m) * 100) / 100 for model ``m<m>``: two
+    decimals, many ties, label = is_fraud.
+    """
+    amt = F.col("TransactionAmount")
+    base = curated.select(F.col("TransactionID").alias("id"), F.col("is_fraud").alias("label"), amt)
+    out = None
+    for m in moduli:
+        score = F.floor(((amt % F.lit(m)) / F.lit(float(m))) * F.lit(100)) / F.lit(100.0)
+        part = base.select("id", F.lit(f"m{m}").alias("model"), "label", score.alias("score"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def predictions_sql(src: str = "curated", moduli=(97, 53)) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT TransactionID AS id, 'm{m}' AS model, is_fraud AS label, "
+        f"floor(((TransactionAmount % {m}) / CAST({m} AS DOUBLE)) * 100) / CAST(100 AS DOUBLE) AS score FROM {src}"
+        for m in moduli)

@@ -5,15 +5,20 @@ aggregation buffer, which for a global statistic is one task holding the whole
 column.  Here exact quantiles of any number of columns take three distributed
 passes:
 
-1. one aggregate: non-null counts and ``percentile_approx`` brackets at
-   p - 2/accuracy and p + 2/accuracy for every wanted p (the sketch's relative
-   rank error is 1/accuracy, so the exact answer lies between them);
-2. one aggregate: how many values fall below each lower bracket;
+1. one aggregate: non-null counts and, per column, one ``percentile_approx``
+   sketch evaluated at p - 2/accuracy and p + 2/accuracy for every wanted p
+   (the sketch's rank error is at most n/accuracy, so the exact answer lies
+   between the two);
+2. one aggregate: per statistic, how many values fall below the lower
+   bracket and how many inside the bracket;
 3. only values inside the brackets (about 4n/accuracy per statistic) are
    grouped by value and walked with a running count per statistic.
 
-A bracket that misses (the fallback for tiny inputs, where rank fractions
-move in steps of 1/n) is retried unbounded, so results are exact regardless.
+A bracket holding more than ``max_band`` values is narrowed first by the
+same sketch restricted to the bracket (each round divides it by about
+accuracy/4), so the walk in pass 3 stays bounded at any input size.  A
+bracket that misses (tiny inputs, where rank fractions move in steps of
+1/n) is retried unbounded, so results are exact regardless.
 """
 
 from __future__ import annotations
@@ -25,7 +30,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_ACCURACY = 100_000
+DEFAULT_ACCURACY = 10_000
+MAX_BAND = 5_000_000
 
 
 @dataclass(frozen=True)
@@ -50,74 +56,140 @@ def _ranks(s: Stat, n: int) -> list[int]:
     return [lo, min(n, lo + 1)]
 
 
-def quantiles(df: DataFrame, stats: Sequence[Stat], accuracy: int = DEFAULT_ACCURACY) -> list[float | None]:
+def _bracket_probs(p: float, eps: float) -> tuple[float | None, float | None]:
+    return (p - eps if p - eps > 0 else None, p + eps if p + eps < 1 else None)
+
+
+def quantiles(df: DataFrame, stats: Sequence[Stat], accuracy: int = DEFAULT_ACCURACY,
+              max_band: int = MAX_BAND) -> list[float | None]:
     """Exact quantiles for ``stats``; ``None`` where a column has no values."""
     stats = list(stats)
     cols = sorted({s.col for s in stats})
     idx = {c: i for i, c in enumerate(cols)}
     vals = df.select(*[F.col(c).cast("double").alias(f"_q{i}") for i, c in enumerate(cols)])
     eps = 2.0 / accuracy
+    probs: dict[int, list[float]] = {i: [] for i in range(len(cols))}
+    for s in stats:
+        for q in _bracket_probs(s.p, eps):
+            if q is not None and q not in probs[idx[s.col]]:
+                probs[idx[s.col]].append(q)
     aggs = [F.count(f"_q{i}").alias(f"n{i}") for i in range(len(cols))]
-    for j, s in enumerate(stats):
-        if s.p - eps > 0:
-            aggs.append(F.percentile_approx(f"_q{idx[s.col]}", s.p - eps, accuracy).alias(f"lo{j}"))
-        if s.p + eps < 1:
-            aggs.append(F.percentile_approx(f"_q{idx[s.col]}", s.p + eps, accuracy).alias(f"hi{j}"))
+    for i, ps in probs.items():
+        if ps:
+            aggs.append(F.percentile_approx(f"_q{i}", ps, accuracy).alias(f"a{i}"))
     row = vals.agg(*aggs).first().asDict()
-    items = []  # (column index, rank, lower bracket, upper bracket)
-    for j, s in enumerate(stats):
-        n = row[f"n{idx[s.col]}"]
+    items = {}  # (column index, rank) -> (lower, upper) bracket
+    for s in stats:
+        i = idx[s.col]
+        n = row[f"n{i}"]
         if n == 0:
             continue
+        lo_p, hi_p = _bracket_probs(s.p, eps)
+        approx = dict(zip(probs[i], row.get(f"a{i}") or []))
+        lo = approx.get(lo_p) if lo_p is not None else None
+        hi = approx.get(hi_p) if hi_p is not None else None
         for r in _ranks(s, n):
-            items.append((idx[s.col], r, row.get(f"lo{j}"), row.get(f"hi{j}")))
-    items = sorted(set(items), key=lambda t: (t[0], t[1], str(t[2]), str(t[3])))
-    got = _select(vals, items)
-    missed = [it for it in items if got[it] is None]
-    if missed:
-        retry = _select(vals, [(i, r, None, None) for (i, r, _, _) in missed])
-        for it in missed:
-            got[it] = retry[(it[0], it[1], None, None)]
-    by_rank = {(i, r): got[(i, r, lo, hi)] for (i, r, lo, hi) in items}
+            if (i, r) in items:  # keep the union of brackets asked for one rank
+                a, b = items[(i, r)]
+                lo = None if (a is None or lo is None) else min(a, lo)
+                hi = None if (b is None or hi is None) else max(b, hi)
+            items[(i, r)] = (lo, hi)
+    got = _select(vals, items, accuracy, max_band)
     out: list[float | None] = []
-    for j, s in enumerate(stats):
-        n = row[f"n{idx[s.col]}"]
+    for s in stats:
+        i = idx[s.col]
+        n = row[f"n{i}"]
         if n == 0:
             out.append(None)
             continue
         rs = _ranks(s, n)
         if s.kind == "disc":
-            out.append(by_rank[(idx[s.col], rs[0])])
+            out.append(got[(i, rs[0])])
         else:
             h = (n - 1) * s.p
-            lo, hi = by_rank[(idx[s.col], rs[0])], by_rank[(idx[s.col], rs[1])]
+            lo, hi = got[(i, rs[0])], got[(i, rs[1])]
             out.append(lo + (hi - lo) * (h - math.floor(h)))
     return out
 
 
-def _select(vals: DataFrame, items) -> dict:
-    """Exact value at each (column, rank) from its bracket; ``None`` on a miss."""
+def _counts(vals: DataFrame, keys: list, items: dict) -> tuple[list[int], list[int]]:
+    """Per item: values below the lower bracket and values inside the bracket."""
+    aggs = []
+    for j, k in enumerate(keys):
+        i = k[0]
+        lo, hi = items[k]
+        v = F.col(f"_q{i}")
+        aggs.append((F.count(F.when(v < F.lit(lo), 1)) if lo is not None else F.lit(0).cast("long")).alias(f"b{j}"))
+        inside = v.isNotNull()
+        if lo is not None:
+            inside = inside & (v >= F.lit(lo))
+        if hi is not None:
+            inside = inside & (v <= F.lit(hi))
+        aggs.append(F.count(F.when(inside, 1)).alias(f"w{j}"))
+    row = vals.agg(*aggs).first()
+    return [row[f"b{j}"] for j in range(len(keys))], [row[f"w{j}"] for j in range(len(keys))]
+
+
+def _narrow(vals: DataFrame, keys: list, items: dict, below: list, width: list, accuracy: int) -> None:
+    """One sketch pass restricted to each oversized bracket, re-centred on the rank."""
+    eps = 2.0 / accuracy
+    aggs, plan = [], []
+    for j, k in enumerate(keys):
+        i, r = k
+        lo, hi = items[k]
+        v = F.col(f"_q{i}")
+        inside = v.isNotNull()
+        if lo is not None:
+            inside = inside & (v >= F.lit(lo))
+        if hi is not None:
+            inside = inside & (v <= F.lit(hi))
+        p = (r - below[j]) / width[j]
+        lo_p, hi_p = _bracket_probs(p, eps)
+        ps = [q for q in (lo_p, hi_p) if q is not None]
+        if ps:
+            aggs.append(F.percentile_approx(F.when(inside, v), ps, accuracy).alias(f"a{j}"))
+        plan.append((k, lo_p, hi_p, ps))
+    row = vals.agg(*aggs).first().asDict() if aggs else {}
+    for j, (k, lo_p, hi_p, ps) in enumerate(plan):
+        approx = dict(zip(ps, row.get(f"a{j}") or []))
+        lo, hi = items[k]
+        items[k] = (approx.get(lo_p, lo) if lo_p is not None else lo,
+                    approx.get(hi_p, hi) if hi_p is not None else hi)
+
+
+def _select(vals: DataFrame, items: dict, accuracy: int, max_band: int) -> dict:
+    """Exact value at each (column, rank)."""
     if not items:
         return {}
-    below_aggs = []
-    for j, (i, r, lo, hi) in enumerate(items):
-        if lo is None:
-            below_aggs.append(F.lit(0).cast("long").alias(f"b{j}"))
-        else:
-            below_aggs.append(F.count(F.when(F.col(f"_q{i}") < F.lit(lo), 1)).alias(f"b{j}"))
-    brow = vals.agg(*below_aggs).first()
-    need = [items[j][1] - brow[f"b{j}"] for j in range(len(items))]
+    keys = sorted(items)
+    below, width = _counts(vals, keys, items)
+    for _ in range(4):
+        big = [j for j in range(len(keys)) if width[j] > max_band]
+        if not big:
+            break
+        sub = [keys[j] for j in big]
+        _narrow(vals, sub, items, [below[j] for j in big], [width[j] for j in big], accuracy)
+        below, width = _counts(vals, keys, items)
+    need = [keys[j][1] - below[j] for j in range(len(keys))]
+    ok = [1 <= need[j] <= width[j] for j in range(len(keys))]
+    for j, k in enumerate(keys):  # a missed bracket is widened to everything
+        if not ok[j]:
+            items[k] = (None, None)
+            need[j] = k[1]
     tags = []
-    for j, (i, r, lo, hi) in enumerate(items):
-        cond = F.col(f"_q{i}").isNotNull()
+    for j, k in enumerate(keys):
+        i = k[0]
+        lo, hi = items[k]
+        v = F.col(f"_q{i}")
+        cond = v.isNotNull()
         if lo is not None:
-            cond = cond & (F.col(f"_q{i}") >= F.lit(lo))
+            cond = cond & (v >= F.lit(lo))
         if hi is not None:
-            cond = cond & (F.col(f"_q{i}") <= F.lit(hi))
-        tags.append(F.when(cond, F.struct(F.lit(j).alias("j"), F.col(f"_q{i}").alias("v"))))
+            cond = cond & (v <= F.lit(hi))
+        tags.append(F.when(cond, F.struct(F.lit(j).alias("j"), v.alias("v"))))
     band = (vals.select(F.explode(F.filter(F.array(*tags), lambda x: x.isNotNull())).alias("t"))
             .select("t.j", "t.v").groupBy("j", "v").agg(F.count(F.lit(1)).alias("c")))
-    targets = vals.sparkSession.createDataFrame([(j, int(need[j])) for j in range(len(items))],
+    targets = vals.sparkSession.createDataFrame([(j, int(need[j])) for j in range(len(keys))],
                                                 "j int, need long")
     w = Window.partitionBy("j").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     picked = (band.withColumn("cum", F.sum("c").over(w))
@@ -125,7 +197,7 @@ def _select(vals: DataFrame, items) -> dict:
               .filter((F.col("cum") >= F.col("need")) & (F.col("cum") - F.col("c") < F.col("need")))
               .select("j", "v").collect())
     got = {row["j"]: row["v"] for row in picked}
-    return {items[j]: (got.get(j) if need[j] >= 1 else None) for j in range(len(items))}
+    return {k: got.get(j) for j, k in enumerate(keys)}
 
 
 def median(df: DataFrame, col: str) -> float | None:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators import curate as cur
 from ..session import materialize
+from .warehouse import shared
 from ..sources import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,8 +99,8 @@ CURATED_WITH = with_ctes(RAW_CTE, BASE_CTE, STATS_CTE, CURATED_CTE)
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw rows, written once to the checkpoint folder (read by several passes)."""
-    return materialize(fx.transactions(spark, sf_dir))
+    """Raw rows (the ingested table), written once per session."""
+    return shared(spark, sf_dir, "raw", lambda: fx.transactions(spark, sf_dir))
 
 
 def curated_lazy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,8 +108,9 @@ def curated_lazy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def curated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The curated table, materialised for the multi-pass operators downstream."""
-    return materialize(curated_lazy(spark, sf_dir))
+    """The curated table (the S8 sink), written once per session and read by
+    every downstream flow, as in the source system."""
+    return shared(spark, sf_dir, "curated", lambda: curated_lazy(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- sources
@@ -286,7 +288,7 @@ card AS (
 
 
 def card(spark, sf_dir):
-    return feat.card_canonical(materialize(fx.card_transactions_raw(spark, sf_dir)))
+    return feat.card_canonical(shared(spark, sf_dir, "card_raw", lambda: fx.card_transactions_raw(spark, sf_dir)))
 
 
 @register("card_transactions", with_ctes(CARD_CTE) + "SELECT * FROM card")
@@ -467,7 +469,7 @@ METRICS_WITH = CURATED_WITH.rstrip() + ",\n" + METRICS_CTE.strip() + "\n"
 
 
 def predictions(spark, sf_dir):
-    return mt.clean(materialize(fx.predictions(curated(spark, sf_dir))))
+    return shared(spark, sf_dir, "predictions", lambda: mt.clean(fx.predictions(curated(spark, sf_dir))))
 
 
 R6 = lambda *cs: ", ".join(f"round({c}, 6) AS {c}" for c in cs)

@@ -65,12 +65,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/ledgerlens/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df, eager: bool = True):
+def materialize(df, name: str = "table"):
     """Cut lineage for a DataFrame that several passes will read.
 
-    A reliable checkpoint into ``spark.checkpoint.dir`` (a shared folder on a
-    cluster): later passes read the written files instead of recomputing
-    joins and windows, and a lost executor costs a re-read, not a replay.
+    The rows are written once as parquet under ``spark.checkpoint.dir`` (a
+    shared folder on a cluster) and read back: later passes scan columnar
+    files (with pruning and pushdown) instead of recomputing joins and
+    windows, and a lost executor costs a re-read, not a replay.  (An RDD
+    ``checkpoint()`` would compute the plan twice and store rows, not columns.)
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

@@ -72,13 +72,13 @@ def classification_metrics(cm: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ curve tables
 
-def score_table(pred: DataFrame, n_buckets: int = 1024) -> DataFrame:
+def score_table(pred: DataFrame, rows_per_bucket: int = 1_000_000) -> DataFrame:
     """One row per (model, distinct score): pos, neg, running counts up to and
     including the score (cpos, cneg) and the model totals (P, N)."""
     st = pred.groupBy(MODEL, "score").agg(
         F.count(F.when(F.col("label") == 1, 1)).alias("pos"),
         F.count(F.when(F.col("label") == 0, 1)).alias("neg"))
-    st = with_range_bucket(st, "score", "_sb", n_buckets)
+    st = with_range_bucket(st, "score", "_sb", rows_per_bucket)
     cum = running_sums(st, [MODEL], F.col("_sb"), ["score"], {"cpos": F.col("pos"), "cneg": F.col("neg")})
     return cum.withColumnsRenamed({"cpos_total": "P", "cneg_total": "N"}).drop("_sb")
 

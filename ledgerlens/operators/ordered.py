@@ -51,21 +51,29 @@ def hash_bucket(col: Column | str, bits: int = 16) -> Column:
     return F.conv(F.substring(c, 1, digits), 16, 10).cast("long")
 
 
-def with_range_bucket(df: DataFrame, col: str, out: str, n_buckets: int = 4096,
-                      accuracy: int = 10_000) -> DataFrame:
+def with_range_bucket(df: DataFrame, col: str, out: str, rows_per_bucket: int = 1_000_000,
+                      max_buckets: int = 65_536, accuracy: int = 10_000) -> DataFrame:
     """Add ``out``: the index of ``col``'s value among approximate quantile ranges.
 
-    The boundaries come from one ``percentile_approx`` aggregate (``n_buckets``
-    numbers reach the driver, a fixed bound), and the lookup is ML's
-    ``Bucketizer`` (a JVM-side binary search).  The bucket is
-    non-decreasing in ``col``, so it can split a global ordering led by
-    ``col`` into bounded pieces.  NULL stays NULL (sorts first, like the
-    ordering itself); NaN gets the last bucket.
+    The number of ranges follows the data: about ``rows_per_bucket`` rows per
+    range (at most ``max_buckets`` ranges), from one count and one
+    ``percentile_approx`` aggregate; small inputs get a single range and no
+    sketch at all.  The lookup is ML's ``Bucketizer`` (a JVM-side binary
+    search).  The bucket is non-decreasing in ``col``, so it splits a global
+    ordering led by ``col`` into bounded pieces, and the per-bucket table of
+    ``running_sums`` has at most ``max_buckets`` rows per key.  NULL stays
+    NULL (sorts first, like the ordering itself); NaN gets the last bucket.
     """
     from pyspark.ml.feature import Bucketizer
+    n = df.count()
+    n_buckets = max(1, min(max_buckets, -(-n // rows_per_bucket)))
+    if n_buckets == 1:
+        return df.withColumn(out, F.when(F.col(col).isNotNull(), F.lit(0)).cast("long"))
     probs = [i / n_buckets for i in range(1, n_buckets)]
     bounds = df.agg(F.percentile_approx(F.col(col).cast("double"), probs, accuracy).alias("b")).first()["b"] or []
     splits = [float("-inf")] + sorted({float(b) for b in bounds if b is not None}) + [float("inf")]
+    if len(splits) < 3:
+        return df.withColumn(out, F.when(F.col(col).isNotNull(), F.lit(0)).cast("long"))
     tmp = f"_rb_{out}"
     df = df.withColumn(tmp, F.col(col).cast("double"))
     b = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")
@@ -129,12 +137,17 @@ def lag_within(df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequen
     w = Window.partitionBy(*keys, _B).orderBy(*order_cols)
     local = (base.withColumn("_lag_local", F.lag(value, 1).over(w))
              .withColumn("_lag_first", F.row_number().over(w) == 1))
-    # Last value of each bucket: the max of struct(order..., value).
-    last = F.max(F.struct(*[c.alias(f"_k{i}") for i, c in enumerate(order_cols)],
-                          F.col(value).alias("_val")))
+    # Last value of each bucket: the max of struct(order..., value); when the
+    # lagged value is the leading order column a plain max (hash aggregate) does.
+    lead_is_value = isinstance(order[0], str) and order[0] == value
+    if lead_is_value:
+        last = F.max(F.col(value))
+    else:
+        last = F.max(F.struct(*[c.alias(f"_k{i}") for i, c in enumerate(order_cols)],
+                              F.col(value).alias("_val")))["_val"]
     per_bucket = base.groupBy(*keys, _B).agg(last.alias("_last"))
     w_prev = Window.partitionBy(*keys).orderBy(_B)
-    per_bucket = per_bucket.select(*keys, _B, F.lag(F.col("_last._val"), 1).over(w_prev).alias("_lag_prev"))
+    per_bucket = per_bucket.select(*keys, _B, F.lag(F.col("_last"), 1).over(w_prev).alias("_lag_prev"))
     out = _null_safe_join(local, per_bucket, keys + [_B])
     out = out.withColumn(name, F.when(F.col("_lag_first"), F.col("_lag_prev")).otherwise(F.col("_lag_local")))
     return out.drop(_B, "_lag_local", "_lag_first", "_lag_prev")

@@ -112,22 +112,61 @@ def quantiles(df: DataFrame, stats: Sequence[Stat], accuracy: int = DEFAULT_ACCU
     return out
 
 
-def _counts(vals: DataFrame, keys: list, items: dict) -> tuple[list[int], list[int]]:
-    """Per item: values below the lower bracket and values inside the bracket."""
-    aggs = []
-    for j, k in enumerate(keys):
-        i = k[0]
-        lo, hi = items[k]
-        v = F.col(f"_q{i}")
-        aggs.append((F.count(F.when(v < F.lit(lo), 1)) if lo is not None else F.lit(0).cast("long")).alias(f"b{j}"))
-        inside = v.isNotNull()
+def _thresholds(keys: list, items: dict) -> dict[int, list[float]]:
+    """Per column: sorted strict-below thresholds (lower brackets, and the next
+    double above each upper bracket, so that v <= hi  <=>  v < nextafter(hi))."""
+    th: dict[int, set] = {}
+    for (i, _r) in keys:
+        lo, hi = items[(i, _r)]
+        s = th.setdefault(i, set())
         if lo is not None:
-            inside = inside & (v >= F.lit(lo))
+            s.add(float(lo))
         if hi is not None:
-            inside = inside & (v <= F.lit(hi))
-        aggs.append(F.count(F.when(inside, 1)).alias(f"w{j}"))
-    row = vals.agg(*aggs).first()
-    return [row[f"b{j}"] for j in range(len(keys))], [row[f"w{j}"] for j in range(len(keys))]
+            s.add(math.nextafter(float(hi), math.inf))
+    # Bucketizer needs three splits; an unbounded-only column gets a neutral one.
+    return {i: sorted(v) if v else [0.0] for i, v in th.items()}
+
+
+def _bucketed(vals: DataFrame, th: dict[int, list[float]]) -> DataFrame:
+    """(i, b, v): per non-null value of column i, b = number of thresholds <= v
+    (a JVM-side binary search: ML Bucketizer over all columns at once)."""
+    from pyspark.ml.feature import Bucketizer
+    cols = sorted(th)
+    x = vals.select(*[F.coalesce(F.col(f"_q{i}"), F.lit(float("nan"))).alias(f"_q{i}") for i in cols])
+    bz = Bucketizer(splitsArray=[[-math.inf] + th[i] + [math.inf] for i in cols],
+                    inputCols=[f"_q{i}" for i in cols], outputCols=[f"_b{i}" for i in cols],
+                    handleInvalid="keep")
+    x = bz.transform(x)
+    arr = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"_b{i}").cast("int").alias("b"),
+                             F.col(f"_q{i}").alias("v")) for i in cols])
+    return (x.select(F.explode(arr).alias("t")).select("t.i", "t.b", "t.v")
+            .filter(~F.isnan("v")))
+
+
+def _counts(vals: DataFrame, keys: list, items: dict) -> tuple[list[int], list[int]]:
+    """Per item: values below the lower bracket and values inside the bracket.
+
+    One pass: each value's bucket among its column's thresholds, counted per
+    (column, bucket); the small count table gives every item's two numbers.
+    """
+    th = _thresholds(keys, items)
+    got = {(r["i"], r["b"]): r["c"] for r in
+           _bucketed(vals, th).groupBy("i", "b").agg(F.count(F.lit(1)).alias("c")).collect()}
+    below_t: dict[tuple[int, float], int] = {}
+    for i, ts in th.items():
+        run = got.get((i, 0), 0)
+        for k, t in enumerate(ts, start=1):  # count(v < t_k) = sum of buckets before k
+            below_t[(i, t)] = run
+            run += got.get((i, k), 0)
+        below_t[(i, math.inf)] = run
+    below, width = [], []
+    for (i, r) in keys:
+        lo, hi = items[(i, r)]
+        b = below_t[(i, float(lo))] if lo is not None else 0
+        le = below_t[(i, math.nextafter(float(hi), math.inf))] if hi is not None else below_t[(i, math.inf)]
+        below.append(b)
+        width.append(le - b)
+    return below, width
 
 
 def _narrow(vals: DataFrame, keys: list, items: dict, below: list, width: list, accuracy: int) -> None:
@@ -171,29 +210,31 @@ def _select(vals: DataFrame, items: dict, accuracy: int, max_band: int) -> dict:
         _narrow(vals, sub, items, [below[j] for j in big], [width[j] for j in big], accuracy)
         below, width = _counts(vals, keys, items)
     need = [keys[j][1] - below[j] for j in range(len(keys))]
-    ok = [1 <= need[j] <= width[j] for j in range(len(keys))]
     for j, k in enumerate(keys):  # a missed bracket is widened to everything
-        if not ok[j]:
+        if not 1 <= need[j] <= width[j]:
             items[k] = (None, None)
             need[j] = k[1]
-    tags = []
-    for j, k in enumerate(keys):
-        i = k[0]
-        lo, hi = items[k]
-        v = F.col(f"_q{i}")
-        cond = v.isNotNull()
-        if lo is not None:
-            cond = cond & (v >= F.lit(lo))
-        if hi is not None:
-            cond = cond & (v <= F.lit(hi))
-        tags.append(F.when(cond, F.struct(F.lit(j).alias("j"), v.alias("v"))))
-    band = (vals.select(F.explode(F.filter(F.array(*tags), lambda x: x.isNotNull())).alias("t"))
-            .select("t.j", "t.v").groupBy("j", "v").agg(F.count(F.lit(1)).alias("c")))
-    targets = vals.sparkSession.createDataFrame([(j, int(need[j])) for j in range(len(keys))],
-                                                "j int, need long")
+    spark = vals.sparkSession
+    th = _thresholds(keys, items)
+    # Buckets of each column that lie inside some bracket of that column.
+    inband = set()
+    for (i, r) in keys:
+        lo, hi = items[(i, r)]
+        ts = th.get(i, [])
+        b_lo = (ts.index(float(lo)) + 1) if lo is not None else 0
+        b_hi = ts.index(math.nextafter(float(hi), math.inf)) if hi is not None else len(ts)
+        inband.update((i, b) for b in range(b_lo, b_hi + 1))
+    band_keys = spark.createDataFrame(sorted(inband), "i int, b int")
+    spec = spark.createDataFrame(
+        [(j, k[0], items[k][0], items[k][1], int(need[j])) for j, k in enumerate(keys)],
+        "j int, i int, lo double, hi double, need long")
+    band = (_bucketed(vals, th).join(F.broadcast(band_keys), ["i", "b"])
+            .groupBy("i", "v").agg(F.count(F.lit(1)).alias("c")))
+    inside = ((F.col("lo").isNull() | (F.col("v") >= F.col("lo")))
+              & (F.col("hi").isNull() | (F.col("v") <= F.col("hi"))))
     w = Window.partitionBy("j").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    picked = (band.withColumn("cum", F.sum("c").over(w))
-              .join(F.broadcast(targets), "j")
+    picked = (band.join(F.broadcast(spec), "i").filter(inside)
+              .withColumn("cum", F.sum("c").over(w))
               .filter((F.col("cum") >= F.col("need")) & (F.col("cum") - F.col("c") < F.col("need")))
               .select("j", "v").collect())
     got = {row["j"]: row["v"] for row in picked}

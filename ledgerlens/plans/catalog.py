@@ -665,3 +665,106 @@ def q_merged_metrics(spark, sf_dir):
     m = mt.merge_metric_sources(legacy, per_model)
     m = m.withColumn("picked_threshold", mt.pick_threshold(m))
     return _r6(m, "roc_auc", "pr_auc", "f1", "precision", "recall", "accuracy")
+
+
+# ---------------------------------------------------------------- transformers
+
+from pyspark.ml.functions import vector_to_array  # noqa: E402
+
+from ..operators import transform as tf  # noqa: E402
+
+TRAIN_CTE = _strat_sql(0.15, VAL_RATIO).replace("\n, ranked", "ranked", 1).split("\nSELECT")[0]
+SPLIT_CTE = TRAIN_CTE.strip() + """,
+splits AS (
+  SELECT f.*, CASE WHEN _r <= ceil(CAST(0.15 AS DOUBLE) * _n) THEN 'test'
+                   WHEN _r <= ceil(CAST(0.15 AS DOUBLE) * _n)
+                             + ceil(CAST(%r AS DOUBLE) * (_n - ceil(CAST(0.15 AS DOUBLE) * _n))) THEN 'val'
+                   ELSE 'train' END AS split
+  FROM features f JOIN ranked r USING (TransactionID))""" % VAL_RATIO
+
+SPLIT_WITH = with_ctes(RAW_CTE, BASE_CTE, STATS_CTE, CURATED_CTE, FEATURES_CTE, SPLIT_CTE)
+
+
+def split_features(spark, sf_dir):
+    """Features with the stratified random split column (written once per session)."""
+    return shared(spark, sf_dir, "split_features", lambda: sp.stratified_split(features(spark, sf_dir)))
+
+
+SCALE_COLS = ["AccountBalance", "CustomerAge", "LoginAttempts", "TransactionAmount", "TransactionDuration",
+              "amt_to_bal", "minutes_since_prev", "secs_since_prev", "txn_hour"]
+
+
+@register("standardize", SPLIT_WITH.rstrip() + """,
+sstats AS (
+  SELECT """ + ", ".join(f"avg(CAST({c} AS DOUBLE)) AS m_{c}, coalesce(nullif(stddev_pop(CAST({c} AS DOUBLE)), 0), 1) "
+                         f"AS s_{c}" for c in SCALE_COLS) + """ FROM splits WHERE split = 'train')
+SELECT TransactionID, """ + ", ".join(f"round((CAST({c} AS DOUBLE) - m_{c}) / s_{c}, 6) AS num__{c}" for c in SCALE_COLS)
+          + " FROM splits, sstats")
+def q_standardize(spark, sf_dir):
+    """Population-std scaling fitted on the train split, applied to all rows."""
+    df = split_features(spark, sf_dir)
+    m = tf.PopulationScaler(inputCols=SCALE_COLS, outputCols=[f"num__{c}" for c in SCALE_COLS]).fit(
+        df.filter(F.col("split") == "train"))
+    out = m.transform(df)
+    return out.select("TransactionID", *[r6(f"num__{c}").alias(f"num__{c}") for c in SCALE_COLS])
+
+
+ONEHOT_COLS = ["Channel", "Location"]
+
+
+@register("one_hot", SPLIT_WITH.rstrip() + ",\n" + ", ".join(
+    f"cats_{c} AS (SELECT list(DISTINCT coalesce(CAST({c} AS VARCHAR), '{tf.NULL_TOKEN}') ORDER BY "
+    f"coalesce(CAST({c} AS VARCHAR), '{tf.NULL_TOKEN}')) AS k FROM splits WHERE split = 'train')"
+    for c in ONEHOT_COLS) + "\nSELECT TransactionID, " + ", ".join(
+    f"list_transform(cats_{c}.k, lambda v: CASE WHEN coalesce(CAST({c} AS VARCHAR), '{tf.NULL_TOKEN}') = v "
+    f"THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) AS cat__{c}" for c in ONEHOT_COLS)
+    + " FROM splits, " + ", ".join(f"cats_{c}" for c in ONEHOT_COLS))
+def q_one_hot(spark, sf_dir):
+    """T2 (+T3 stages): sorted-category one-hot fitted on train; unknown -> zeros."""
+    df = split_features(spark, sf_dir)
+    pipe = tf.tabular_pipeline([], ONEHOT_COLS, output="features")
+    m = pipe.fit(df.filter(F.col("split") == "train"))
+    out = m.transform(df)
+    return out.select("TransactionID", *[vector_to_array(f"cat__{c}").alias(f"cat__{c}") for c in ONEHOT_COLS])
+
+
+IMPUTE_COLS = ["minutes_since_prev", "TransactionAmount"]
+
+
+@register("impute_scale", SPLIT_WITH.rstrip() + ",\nimeds AS (SELECT " + ", ".join(
+    f"quantile_cont(CAST({c} AS DOUBLE), 0.5) AS med_{c}" for c in IMPUTE_COLS) + """ FROM splits WHERE split = 'train'),
+imputed AS (SELECT TransactionID, split, """ + ", ".join(
+    f"coalesce(CAST({c} AS DOUBLE), med_{c}) AS i_{c}" for c in IMPUTE_COLS) + """ FROM splits, imeds),
+istats AS (SELECT """ + ", ".join(f"avg(i_{c}) AS m_{c}, coalesce(nullif(stddev_pop(i_{c}), 0), 1) AS s_{c}"
+                                  for c in IMPUTE_COLS) + """ FROM imputed WHERE split = 'train')
+SELECT TransactionID, """ + ", ".join(f"round((i_{c} - m_{c}) / s_{c}, 6) AS num__{c}" for c in IMPUTE_COLS)
+          + " FROM imputed, istats")
+def q_impute_scale(spark, sf_dir):
+    """T4: exact-median imputation then population scaling, fitted on train."""
+    df = split_features(spark, sf_dir)
+    pipe = tf.tabular_pipeline(IMPUTE_COLS, [], impute=True)
+    m = pipe.fit(df.filter(F.col("split") == "train"))
+    out = m.transform(df)
+    return out.select("TransactionID", *[r6(f"num__{c}").alias(f"num__{c}") for c in IMPUTE_COLS])
+
+
+@register("tfidf_idf", SPLIT_WITH.rstrip() + """,
+docs AS (
+  SELECT TransactionID, regexp_extract_all(lower(coalesce(nlp_text, '')), '\\b\\w\\w+\\b') AS t
+  FROM splits WHERE split = 'train'),
+grams AS (
+  SELECT TransactionID, unnest(list_concat(t, list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])))
+         AS term
+  FROM docs),
+tt AS (SELECT term, count(*) AS tf, count(DISTINCT TransactionID) AS df FROM grams GROUP BY term),
+nd AS (SELECT count(*) AS n FROM docs),
+top AS (SELECT term, tf, df, row_number() OVER (ORDER BY tf DESC, term) - 1 AS idx FROM tt
+        ORDER BY tf DESC, term LIMIT 5000)
+SELECT CAST(idx AS INTEGER) AS idx, term, CAST(tf AS BIGINT) AS tf, CAST(df AS BIGINT) AS df,
+       round(ln((1 + n) / (1 + df)) + 1, 6) AS idf
+FROM top, nd""")
+def q_tfidf_idf(spark, sf_dir):
+    """T5: vocabulary (top 5,000 1-/2-grams by corpus count) with tf, df and smooth idf."""
+    df = split_features(spark, sf_dir).filter(F.col("split") == "train")
+    _, vocab = tf.fit_tfidf(df, "nlp_text", id_col="TransactionID")
+    return vocab.withColumn("idf", r6("idf"))

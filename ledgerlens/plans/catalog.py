@@ -768,3 +768,70 @@ def q_tfidf_idf(spark, sf_dir):
     df = split_features(spark, sf_dir).filter(F.col("split") == "train")
     _, vocab = tf.fit_tfidf(df, "nlp_text", id_col="TransactionID")
     return vocab.withColumn("idf", r6("idf"))
+
+
+# ---------------------------------------------------------------- balancing
+
+from ..operators import balance as bal  # noqa: E402
+from ..sources.tables import table  # noqa: E402
+
+MINORITY_LABEL = 0
+
+
+def minority_points(spark, sf_dir):
+    """Embeddings of one label (the minority class against the rest)."""
+    e = table(spark, sf_dir, "embeddings")
+    return e.filter(F.col("label") == MINORITY_LABEL).select(F.col("vec_id").alias("id"),
+                                                             F.col("embedding").alias("vec"))
+
+
+@register("knn_minority", """
+WITH m AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings WHERE label = 0),
+pairs AS (
+  SELECT a.id, b.id AS nn_id,
+         sqrt(list_sum(list_transform(range(1, len(a.vec) + 1),
+                                      lambda i: (a.vec[i] - b.vec[i]) * (a.vec[i] - b.vec[i])))) AS dist
+  FROM m a JOIN m b ON a.id <> b.id),
+r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY dist, nn_id) AS nn_rank FROM pairs)
+SELECT id, nn_id, CAST(nn_rank AS INTEGER) AS nn_rank, round(dist, 6) AS dist FROM r WHERE nn_rank <= 5""")
+def q_knn_minority(spark, sf_dir):
+    """Exact 5 nearest neighbours inside the minority class (projection-pruned band join)."""
+    return bal.knn(minority_points(spark, sf_dir), 5).withColumn("dist", r6("dist"))
+
+
+@register("smote_counts", """
+WITH l AS (SELECT CASE WHEN label = 0 THEN 1 ELSE 0 END AS label FROM embeddings),
+c AS (SELECT label, count(*) AS n FROM l GROUP BY label),
+mx AS (SELECT max(n) AS m FROM c)
+SELECT c.label, CAST(mx.m AS BIGINT) AS n, CAST(mx.m - c.n AS BIGINT) AS n_synthetic FROM c, mx""")
+def q_smote_counts(spark, sf_dir):
+    """SP6 + U2: class counts after SMOTE (minority raised to the majority count)."""
+    e = table(spark, sf_dir, "embeddings")
+    pts = e.select(F.col("vec_id").alias("id"),
+                   F.when(F.col("label") == MINORITY_LABEL, 1).otherwise(0).alias("label"),
+                   F.col("embedding").alias("vec"))
+    out = bal.smote(pts, "label", "vec", "id", k=5)
+    return out.groupBy("label").agg(F.count(F.lit(1)).alias("n"),
+                                    F.count(F.when(F.col("synthetic"), 1)).alias("n_synthetic"))
+
+
+@register("class_weights", CURATED_WITH + """SELECT is_fraud, count(*) AS n,
+       round(CAST(sum(count(*)) OVER () AS DOUBLE) / (count(*) OVER () * count(*)), 6) AS balanced_weight,
+       round(CASE WHEN is_fraud = 1 THEN
+         coalesce((SELECT CASE WHEN sum(CASE WHEN is_fraud = 1 THEN 1 ELSE 0 END) = 0 THEN NULL
+                               WHEN CAST(sum(CASE WHEN is_fraud = 0 THEN 1 ELSE 0 END) AS DOUBLE)
+                                    / sum(CASE WHEN is_fraud = 1 THEN 1 ELSE 0 END) > 3
+                               THEN CAST(sum(CASE WHEN is_fraud = 0 THEN 1 ELSE 0 END) AS DOUBLE)
+                                    / sum(CASE WHEN is_fraud = 1 THEN 1 ELSE 0 END) END FROM curated), 1.0)
+         ELSE 1.0 END, 6) AS pos_weight
+FROM curated GROUP BY is_fraud""")
+def q_class_weights(spark, sf_dir):
+    """A10 + A11: balanced class weights and the scale_pos_weight weight column."""
+    c = curated(spark, sf_dir)
+    wb = bal.with_balanced_weight(c, "is_fraud", "balanced_weight")
+    wp, _ = bal.with_pos_weight(wb, "is_fraud", "pos_weight")
+    return (wp.groupBy("is_fraud").agg(F.count(F.lit(1)).alias("n"),
+                                       F.first("balanced_weight").alias("balanced_weight"),
+                                       F.first("pos_weight").alias("pos_weight"))
+            .select("is_fraud", "n", r6("balanced_weight").alias("balanced_weight"),
+                    r6("pos_weight").alias("pos_weight")))

@@ -94,7 +94,7 @@ def apply_rules(base: DataFrame, s: CurationStats) -> DataFrame:
 
 
 def curate(raw: DataFrame, stats: CurationStats | None = None) -> DataFrame:
-    """Raw transactions -> the 29-column curated table."""
+    """Raw transactions -> the 30-column curated table."""
     base = typed(raw)
     if stats is None:
         stats = curation_stats(base)

@@ -125,7 +125,7 @@ def q_raw_transactions(spark, sf_dir):
 
 @register("curate", CURATED_WITH + "SELECT * FROM curated")
 def q_curate(spark, sf_dir):
-    """Flagship: P1-P11, A1, J1 -> the 29-column curated table."""
+    """Flagship: P1-P11, A1, J1 -> the 30-column curated table."""
     return curated_lazy(spark, sf_dir)
 
 

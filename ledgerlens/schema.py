@@ -53,7 +53,7 @@ TEXT_PARTS = ["TransactionType", "Location", "Channel", "MerchantID", "DeviceID"
 FLAG_COLUMNS = ["flag_high_amount", "flag_high_ratio", "flag_many_logins", "flag_night",
                 "flag_rapid_repeat_high", "flag_weekend_high"]
 
-# Curated output: 29 columns in this order.
+# Curated output: 30 columns in this order.
 CURATED_COLUMNS = RAW_COLUMNS + [
     "amt_to_bal", "txn_hour", "is_weekend", "minutes_since_prev",
     *FLAG_COLUMNS, "risk_score", "is_fraud", "nlp_text", "label_source",

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import RANDOM_SEED
+from ..session import materialize
 from .ordered import row_number_within, with_range_bucket
 
 # ------------------------------------------------------------------ A10, A11, SP7
@@ -80,46 +81,74 @@ def _sqdist(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, z: acc + z)
 
 
-def knn(points: DataFrame, k: int = 5, id_col: str = "id", vec_col: str = "vec") -> DataFrame:
+def _nonzeros(vec: Column) -> Column:
+    """map<int, double> of the non-zero entries of an array (computed once per point)."""
+    ent = F.transform(vec, lambda x, i: F.struct(i.alias("key"), x.alias("value")))
+    return F.map_from_entries(F.filter(ent, lambda e: e["value"] != F.lit(0.0)))
+
+
+def _sqdist_sparse(xm: Column, ym: Column) -> Column:
+    """Squared distance over the union of non-zero positions (no cancellation)."""
+    own = F.aggregate(F.map_entries(xm), F.lit(0.0), lambda acc, e: acc + F.pow(
+        e["value"] - F.coalesce(F.element_at(ym, e["key"]), F.lit(0.0)), 2))
+    other = F.aggregate(F.map_entries(ym), F.lit(0.0), lambda acc, e: acc + F.when(
+        F.element_at(xm, e["key"]).isNull(), e["value"] * e["value"]).otherwise(F.lit(0.0)))
+    return own + other
+
+
+def knn(points: DataFrame, k: int = 5, id_col: str = "id", vec_col: str = "vec", n_axes: int = 3) -> DataFrame:
     """The k nearest other points of every point (Euclidean), exact.
 
     Returns (id, nn_id, nn_rank 1..k, dist); ties broken by neighbour id.
+    Candidate pairs are generated on narrow rows (ids, projections on the
+    ``n_axes`` highest-variance axes, radius); a pair survives only if it is
+    within the radius on every axis, and only survivors fetch their vectors.
     """
     pts = points.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
-    # 1. axis of largest variance (one aggregate over d columns) and projection
+    # 1. axes of largest variance (one aggregate over d columns) and projections
     var = (pts.select(F.posexplode("vec").alias("j", "x")).groupBy("j")
-           .agg(F.var_pop("x").alias("v")).orderBy(F.col("v").desc(), F.col("j")).first())
-    axis = int(var["j"]) if var is not None else 0
-    pts = pts.withColumn("p", F.col("vec")[axis]).withColumn("_g", F.lit(0))
-    # 2. rank along the axis (bucketed, no single-task sort) -> k neighbours each side
-    pts = with_range_bucket(pts, "p", "_pb")
-    ranked = row_number_within(pts, ["_g"], F.col("_pb"), ["p", "id"], name="r", count_name="n").drop("_g", "_pb")
-    ranked = ranked.select("id", "vec", "p", "r", "n")
+           .agg(F.var_pop("x").alias("v")).orderBy(F.col("v").desc(), F.col("j")).limit(n_axes).collect())
+    axes = [int(r["j"]) for r in var] or [0]
+    pts = pts.withColumns({f"p{i}": F.col("vec")[a] for i, a in enumerate(axes)}).withColumn("_g", F.lit(0))
+    pcols = [f"p{i}" for i in range(len(axes))]
+    # 2. rank along the first axis (bucketed, no single-task sort) -> k neighbours each side
+    pts = with_range_bucket(pts, "p0", "_pb")
+    ranked = row_number_within(pts, ["_g"], F.col("_pb"), ["p0", "id"], name="r", count_name="n").drop("_g", "_pb")
+    ranked = ranked.select("id", "vec", *pcols, "r", "n")
     offs = F.array(*[F.lit(o) for o in list(range(-k, 0)) + list(range(1, k + 1))])
-    seeds = (ranked.select("id", "vec", "p", "n", "r", F.explode(offs).alias("o"))
+    seeds = (ranked.select("id", "vec", "n", "r", F.explode(offs).alias("o"))
              .withColumn("r2", F.col("r") + F.col("o")).drop("r", "o")
-             .join(ranked.select(F.col("r").alias("r2"), F.col("id").alias("id2"), F.col("vec").alias("vec2")), "r2"))
+             .join(ranked.select(F.col("r").alias("r2"), F.col("vec").alias("vec2")), "r2"))
     seeds = seeds.withColumn("d2", _sqdist(F.col("vec"), F.col("vec2")))
     bound = (seeds.groupBy("id", "n").agg(F.sort_array(F.collect_list("d2")).alias("ds"))
              .select("id", F.when(F.col("n") - 1 > k, F.sqrt(F.col("ds")[k - 1])).alias("rad")))
     # n - 1 <= k: every other point is a neighbour (unbounded radius)
-    q = ranked.join(bound, "id", "left")
-    # 3. band join on projection buckets of width W (median bound -> ~3 buckets per point)
-    w_row = q.agg(F.percentile_approx("rad", 0.5, 1000).alias("w"), F.min("p").alias("lo"),
-                  F.max("p").alias("hi")).first()
+    q = ranked.select("id", *pcols).join(bound, "id", "left")
+    # 3. band join on first-axis buckets of width W (median radius -> ~3 buckets per point)
+    w_row = q.agg(F.percentile_approx("rad", 0.5, 1000).alias("w"), F.min("p0").alias("lo"),
+                  F.max("p0").alias("hi")).first()
     W = float(w_row["w"] or 0.0)
     lo, hi = float(w_row["lo"] or 0.0), float(w_row["hi"] or 0.0)
     if not W > 0 or math.isinf(W):
         W = max(hi - lo, 1.0)
-    p_lo = F.coalesce(F.col("p") - F.col("rad"), F.lit(lo))
-    p_hi = F.coalesce(F.col("p") + F.col("rad"), F.lit(hi))
-    qx = q.select("id", "vec", "p", "rad",
+    p_lo = F.coalesce(F.col("p0") - F.col("rad"), F.lit(lo))
+    p_hi = F.coalesce(F.col("p0") + F.col("rad"), F.lit(hi))
+    qx = q.select("id", *pcols, "rad",
                   F.explode(F.sequence(F.floor((p_lo - F.lit(lo)) / W), F.floor((p_hi - F.lit(lo)) / W))).alias("b"))
-    ty = q.select(F.col("id").alias("nn_id"), F.col("vec").alias("nvec"), F.col("p").alias("np"),
-                  F.floor((F.col("p") - F.lit(lo)) / W).alias("b"))
-    cand = (qx.join(ty, "b").filter((F.col("nn_id") != F.col("id"))
-                                    & (F.col("rad").isNull() | (F.abs(F.col("np") - F.col("p")) <= F.col("rad"))))
-            .withColumn("dist", F.sqrt(_sqdist(F.col("vec"), F.col("nvec"))))
+    ty = q.select(F.col("id").alias("nn_id"), *[F.col(c).alias(f"n{c}") for c in pcols],
+                  F.floor((F.col("p0") - F.lit(lo)) / W).alias("b"))
+    near = F.col("nn_id") != F.col("id")
+    for c in pcols:
+        near = near & (F.col("rad").isNull() | (F.abs(F.col(f"n{c}") - F.col(c)) <= F.col("rad")))
+    pairs = qx.join(ty, "b").filter(near).select("id", "nn_id", "rad")
+    # Mostly-zero vectors (one-hot features) compare on their non-zeros only.
+    density = ranked.agg(F.avg(F.size(F.filter("vec", lambda x: x != F.lit(0.0))) / F.size("vec"))).first()[0]
+    sparse = density is not None and density < 0.25
+    vecs = ranked.select("id", (_nonzeros(F.col("vec")) if sparse else F.col("vec")).alias("vec"))
+    dist = _sqdist_sparse if sparse else _sqdist
+    cand = (pairs.join(vecs, "id")
+            .join(vecs.select(F.col("id").alias("nn_id"), F.col("vec").alias("nvec")), "nn_id")
+            .withColumn("dist", F.sqrt(dist(F.col("vec"), F.col("nvec"))))
             .filter(F.col("rad").isNull() | (F.col("dist") <= F.col("rad"))))
     w = Window.partitionBy("id").orderBy("dist", "nn_id")
     return (cand.withColumn("nn_rank", F.row_number().over(w)).filter(F.col("nn_rank") <= k)
@@ -140,8 +169,9 @@ def smote(df: DataFrame, label: str = "label", vec_col: str = "vec", id_col: str
 
     Output columns: id (synthetic ids 'syn_<j>'), label, vec, synthetic (bool).
     """
-    base = df.select(F.col(id_col).cast("string").alias("id"), F.col(label).alias("label"),
-                     F.col(vec_col).cast("array<double>").alias("vec"))
+    # The vectors are read by many passes below: write them once.
+    base = materialize(df.select(F.col(id_col).cast("string").alias("id"), F.col(label).alias("label"),
+                                 F.col(vec_col).cast("array<double>").alias("vec")), "smote_input")
     counts = base.groupBy("label").agg(F.count(F.lit(1)).alias("c")).orderBy("c", "label").collect()
     originals = base.withColumn("synthetic", F.lit(False))
     if len(counts) < 2:

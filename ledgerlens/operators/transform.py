@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from .quantiles import Stat, quantiles
 
 NULL_TOKEN = "__null__"
+EMPTY_TOKEN = "__empty__"
 TOKEN_PATTERN = r"(?U)\b\w\w+\b"
 
 
@@ -120,14 +121,20 @@ class MedianImputerModel(Model, _ImputerParams, DefaultParamsReadable, DefaultPa
 
 
 def null_sentinel(cols: Sequence[str]) -> SQLTransformer:
-    """String casts with NULL -> a category of its own (one-hot parity)."""
-    keep = ", ".join(f"coalesce(CAST(`{c}` AS STRING), '{NULL_TOKEN}') AS `_cat_{c}`" for c in cols)
+    """String casts with NULL and '' as categories of their own (one-hot parity;
+    ML attribute names cannot be empty)."""
+    keep = ", ".join(f"CASE WHEN `{c}` IS NULL THEN '{NULL_TOKEN}' WHEN CAST(`{c}` AS STRING) = '' "
+                     f"THEN '{EMPTY_TOKEN}' ELSE CAST(`{c}` AS STRING) END AS `_cat_{c}`" for c in cols)
     return SQLTransformer(statement=f"SELECT *, {keep} FROM __THIS__" if cols else "SELECT * FROM __THIS__")
 
 
 def tabular_pipeline(numeric: Sequence[str], categorical: Sequence[str], output: str = "features",
-                     scale: bool = True, impute: bool = False) -> Pipeline:
-    """Numerics (imputed / scaled), categoricals one-hot, remainder dropped, one vector."""
+                     scale: bool = True, impute: bool = False, missing: float | None = None) -> Pipeline:
+    """Numerics (imputed / scaled), categoricals one-hot, remainder dropped, one vector.
+
+    ``missing``: value for a numeric that is still NULL after scaling (model
+    input: Spark's tree learners take no NaN; 0.0 is the training mean).
+    """
     stages = []
     num_in = list(numeric)
     if impute and num_in:
@@ -138,6 +145,10 @@ def tabular_pipeline(numeric: Sequence[str], categorical: Sequence[str], output:
         num_out = [f"num__{c}" for c in numeric]
     else:
         num_out = num_in
+    if missing is not None and num_out:
+        fill = ", ".join(f"coalesce(CAST(`{c}` AS DOUBLE), {float(missing)!r}) AS `_fill_{c}`" for c in num_out)
+        stages.append(SQLTransformer(statement=f"SELECT *, {fill} FROM __THIS__"))
+        num_out = [f"_fill_{c}" for c in num_out]
     cat_out = []
     if categorical:
         stages.append(null_sentinel(categorical))

@@ -712,11 +712,15 @@ def q_standardize(spark, sf_dir):
 ONEHOT_COLS = ["Channel", "Location"]
 
 
+def _cat_sql(c):
+    return (f"CASE WHEN {c} IS NULL THEN '{tf.NULL_TOKEN}' WHEN CAST({c} AS VARCHAR) = '' THEN '{tf.EMPTY_TOKEN}' "
+            f"ELSE CAST({c} AS VARCHAR) END")
+
+
 @register("one_hot", SPLIT_WITH.rstrip() + ",\n" + ", ".join(
-    f"cats_{c} AS (SELECT list(DISTINCT coalesce(CAST({c} AS VARCHAR), '{tf.NULL_TOKEN}') ORDER BY "
-    f"coalesce(CAST({c} AS VARCHAR), '{tf.NULL_TOKEN}')) AS k FROM splits WHERE split = 'train')"
+    f"cats_{c} AS (SELECT list(DISTINCT {_cat_sql(c)} ORDER BY {_cat_sql(c)}) AS k FROM splits WHERE split = 'train')"
     for c in ONEHOT_COLS) + "\nSELECT TransactionID, " + ", ".join(
-    f"list_transform(cats_{c}.k, lambda v: CASE WHEN coalesce(CAST({c} AS VARCHAR), '{tf.NULL_TOKEN}') = v "
+    f"list_transform(cats_{c}.k, lambda v: CASE WHEN {_cat_sql(c)} = v "
     f"THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) AS cat__{c}" for c in ONEHOT_COLS)
     + " FROM splits, " + ", ".join(f"cats_{c}" for c in ONEHOT_COLS))
 def q_one_hot(spark, sf_dir):
@@ -835,3 +839,73 @@ def q_class_weights(spark, sf_dir):
                                        F.first("pos_weight").alias("pos_weight"))
             .select("is_fraud", "n", r6("balanced_weight").alias("balanced_weight"),
                     r6("pos_weight").alias("pos_weight")))
+
+
+# ---------------------------------------------------------------- models (statistical checks: no SQL oracle)
+
+from ..operators import models as mdl  # noqa: E402
+from . import train as tr  # noqa: E402
+from .warehouse import memo  # noqa: E402
+
+
+def prepared(spark, sf_dir):
+    return memo(spark, sf_dir, "prepared", lambda: tr.prepare(curated(spark, sf_dir)))
+
+
+def gbt_model(spark, sf_dir):
+    return memo(spark, sf_dir, "gbt", lambda: tr.train_tabular(prepared(spark, sf_dir)))
+
+
+def text_model(spark, sf_dir):
+    return memo(spark, sf_dir, "nlp", lambda: tr.train_text(prepared(spark, sf_dir)))
+
+
+def gbt_val_scores(spark, sf_dir):
+    return shared(spark, sf_dir, "gbt_val_scores",
+                  lambda: tr.scored(gbt_model(spark, sf_dir), prepared(spark, sf_dir).val, "xgb"))
+
+
+@register("gbt_metrics")
+def q_gbt_metrics(spark, sf_dir):
+    """M1 (+SP6 SMOTE, T3 preprocessor) with E1-E4/E15 on the validation split."""
+    return mt.evaluate(gbt_val_scores(spark, sf_dir))
+
+
+@register("gbt_feature_importance")
+def q_gbt_feature_importance(spark, sf_dir):
+    """M6: used features of the boosted trees, by importance."""
+    return mdl.feature_importance(gbt_model(spark, sf_dir), prepared(spark, sf_dir).names)
+
+
+@register("gbt_tuned_threshold")
+def q_gbt_tuned_threshold(spark, sf_dir):
+    """E7 + E8 on the model's validation probabilities (aligned and compat thresholds)."""
+    s = gbt_val_scores(spark, sf_dir)
+    a = mt.tuned_confusion(s).withColumn("rule", F.lit("aligned"))
+    b = mt.tuned_confusion(s, compat=True).withColumn("rule", F.lit("compat"))
+    return a.unionByName(b)
+
+
+@register("calibration_brier")
+def q_calibration_brier(spark, sf_dir):
+    """Brier score of raw, Platt and isotonic probabilities (validation)."""
+    s = gbt_val_scores(spark, sf_dir)
+    p = mdl.isotonic(s, mdl.platt(s, s))
+    return p.groupBy("model").agg(F.avg((F.col("score") - F.col("label")) ** 2).alias("brier_raw"),
+                                  F.avg((F.col("p_platt") - F.col("label")) ** 2).alias("brier_platt"),
+                                  F.avg((F.col("p_iso") - F.col("label")) ** 2).alias("brier_isotonic"))
+
+
+@register("nlp_metrics")
+def q_nlp_metrics(spark, sf_dir):
+    """M2: TF-IDF + balanced logistic regression, validation metrics."""
+    model, _ = text_model(spark, sf_dir)
+    val = prepared(spark, sf_dir).val.withColumn("nlp_text", F.coalesce(F.col("nlp_text"), F.lit("")))
+    return mt.evaluate(tr.scored(model, val, "nlp"))
+
+
+@register("nlp_top_terms")
+def q_nlp_top_terms(spark, sf_dir):
+    """M7: 20 most positive and 20 most negative terms of the text model."""
+    model, vocab = text_model(spark, sf_dir)
+    return mdl.top_terms(model.stages[-1], vocab, 20)

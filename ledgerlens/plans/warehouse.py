@@ -34,3 +34,18 @@ def shared(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
 def clear() -> None:
     with _lock:
         _tables.clear()
+
+
+_objects: dict[tuple[str, str, str], object] = {}
+
+
+def memo(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], object]) -> object:
+    """A fitted object (model, preprocessor) for ``sf_dir``, built on first use."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    with _lock:
+        obj = _objects.get(key)
+    if obj is None:
+        obj = build()
+        with _lock:
+            _objects[key] = obj
+    return obj

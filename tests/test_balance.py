@@ -53,3 +53,23 @@ def test_weights_and_policy():
     assert scale_pos_weight(90, 10) == 9.0 and scale_pos_weight(30, 10) is None
     assert use_smote("auto", "primary") and not use_smote("auto", "ulb") and use_smote("always", "ulb")
     assert not use_smote("auto", "primary", n_rows=200_000, row_limit=120_000)
+
+
+def test_knn_exact_sparse_vectors(spark):
+    rnd = random.Random(9)
+    pts = []
+    for i in range(90):
+        v = [0.0] * 40
+        for j in rnd.sample(range(40), 3):
+            v[j] = float(rnd.randint(1, 4))
+        pts.append((i, v))
+    df = spark.createDataFrame(pts, "id long, vec array<double>")
+    got = {}
+    for r in knn(df, 4).collect():
+        got.setdefault(r["id"], []).append((r["nn_rank"], r["nn_id"], r["dist"]))
+    X = np.array([v for _, v in pts])
+    for i, _ in pts:
+        d = np.sqrt(((X - X[i]) ** 2).sum(axis=1))
+        order = sorted((round(d[j], 9), j) for j in range(len(pts)) if j != i)[:4]
+        mine = sorted(got[i])
+        assert [(round(dd, 9), j) for _, j, dd in mine] == order, i

@@ -909,3 +909,111 @@ def q_nlp_top_terms(spark, sf_dir):
     """M7: 20 most positive and 20 most negative terms of the text model."""
     model, vocab = text_model(spark, sf_dir)
     return mdl.top_terms(model.stages[-1], vocab, 20)
+
+
+# ---------------------------------------------------------------- files, streams, scoring
+
+from ..operators import scoring as sc  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import files as io  # noqa: E402
+from ..streaming import ingest as ing  # noqa: E402
+
+
+NULL_MARKER = "\\N"
+
+
+def _write_raw_csv(spark, sf_dir, path, by_day=True):
+    r = raw(spark, sf_dir).withColumn("txn_day", F.date_format("TransactionDate", "yyyy-MM-dd"))
+    w = (r.write.mode("overwrite").option("header", True).option("nullValue", NULL_MARKER)
+         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    if by_day:
+        w = w.partitionBy("txn_day")
+    else:
+        r = r.drop("txn_day")
+    w.csv(path)
+
+
+@register("csv_load_report", with_ctes(RAW_CTE) + "SELECT strftime(TransactionDate, '%Y-%m-%d') AS txn_day, "
+          "count(*) AS rows FROM raw GROUP BY 1")
+def q_csv_load_report(spark, sf_dir):
+    """S1 + S3 + S4: raw rows written as CSV (one folder per day), read back with
+    the fixed schema, rows per loaded file summed per day folder."""
+    path = scratch_path(spark, "csv_drop")
+    _write_raw_csv(spark, sf_dir, path)
+    df = io.read_transactions_csv(spark, path, null_value=NULL_MARKER)
+    rep = io.load_report(df)
+    day = F.regexp_extract("source_file", r"txn_day=([0-9-]+)", 1)
+    return rep.groupBy(day.alias("txn_day")).agg(F.sum("rows").alias("rows"))
+
+
+@register("ingest_stream", with_ctes(RAW_CTE) + "SELECT * FROM raw")
+def q_ingest_stream(spark, sf_dir):
+    """S2 (+F1 path filter): CSV drops under incoming/ appended by a checkpointed
+    file stream (availableNow); decoy files outside the prefix or with another
+    suffix are ignored."""
+    root = scratch_path(spark, "landing")
+    _write_raw_csv(spark, sf_dir, f"{root}/incoming/batch1", by_day=True)
+    spark.createDataFrame([("not a transaction",)], "x string").write.text(f"{root}/incoming/notes")
+    raw(spark, sf_dir).limit(3).write.option("header", True).csv(f"{root}/elsewhere")
+    table, ckpt, rep = f"{root}/table", f"{root}/_checkpoint", f"{root}/_report"
+    q = ing.ingest(spark, root, table, ckpt, rep, null_value=NULL_MARKER)
+    q.awaitTermination()
+    return ing.read_ingested(spark, table)
+
+
+def _requests_sql_fields():
+    return """CAST(TransactionID AS VARCHAR) AS TransactionID, AccountID,
+       CASE WHEN CAST(TransactionID AS BIGINT) % 29 = 0 THEN NULL ELSE TransactionAmount END AS TransactionAmount,
+       CASE WHEN CAST(TransactionID AS BIGINT) % 23 = 0 THEN NULL ELSE date_trunc('second', TransactionDate) END
+         AS TransactionDate,
+       TransactionType, Location, DeviceID, IP_Address, MerchantID, Channel,
+       CAST(CustomerAge AS DOUBLE) AS CustomerAge, CustomerOccupation,
+       CAST(TransactionDuration AS DOUBLE) AS TransactionDuration, CAST(LoginAttempts AS DOUBLE) AS LoginAttempts,
+       AccountBalance, date_trunc('second', PreviousTransactionDate) AS PreviousTransactionDate, nlp_text"""
+
+
+def request_json(df):
+    """Requests as JSON text: dates as strings, padded text, some malformed values."""
+    tid = F.col("TransactionID").cast("long")
+    fields = []
+    for c in df.columns:
+        x = F.col(c)
+        if c in ("TransactionDate", "PreviousTransactionDate"):
+            x = F.date_format(x, "yyyy-MM-dd HH:mm:ss")
+            if c == "TransactionDate":
+                x = F.when(tid % 23 == 0, F.lit("not-a-date")).otherwise(x)
+        elif c == "TransactionAmount":
+            x = F.when(tid % 29 == 0, F.lit("n/a")).otherwise(x.cast("string"))
+        elif c in ("Location", "TransactionType"):
+            x = F.concat(F.lit("  "), x, F.lit(" "))
+        else:
+            x = x.cast("string")
+        fields.append(x.alias(c))
+    return df.select(F.to_json(F.struct(*fields)).alias("value"))
+
+
+REQUEST_COLS = ["TransactionID", "AccountID", "TransactionAmount", "TransactionDate", "TransactionType", "Location",
+                "DeviceID", "IP_Address", "MerchantID", "Channel", "CustomerAge", "CustomerOccupation",
+                "TransactionDuration", "LoginAttempts", "AccountBalance", "PreviousTransactionDate", "nlp_text"]
+
+
+@register("request_typing", CURATED_WITH + "SELECT " + _requests_sql_fields() + " FROM curated")
+def q_request_typing(spark, sf_dir):
+    """S11 + P22: JSON requests parsed with the request schema and typed leniently
+    (unparsable dates / numbers -> NULL, text trimmed)."""
+    req = io.parse_requests(request_json(curated(spark, sf_dir).select(*REQUEST_COLS)))
+    return sc.type_requests(req)
+
+
+@register("scored_requests")
+def q_scored_requests(spark, sf_dir):
+    """M8 (+P23-P25, P28, E14): test-split transactions sent as JSON requests and
+    scored by the fitted preprocessor and boosted trees at the tuned threshold."""
+    prep = prepared(spark, sf_dir)
+    model = gbt_model(spark, sf_dir)
+    thr_row = mt.best_f1_threshold(gbt_val_scores(spark, sf_dir)).first()
+    threshold = float(thr_row["threshold"]) if thr_row is not None else mt.DEFAULT_THRESHOLD
+    test_ids = prep.test.select("TransactionID")
+    rows = curated(spark, sf_dir).join(test_ids, "TransactionID").select(*REQUEST_COLS)
+    req = io.parse_requests(request_json(rows))
+    return sc.score_requests(req, prep.preproc, model, threshold, prep.secs_median)

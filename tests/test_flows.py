@@ -117,3 +117,16 @@ def test_ablation_and_cross_domain(spark):
     dirs = {(r["direction"], r["split"]) for r in cd.collect()}
     assert dirs == {("primary_to_ulb", "val"), ("primary_to_ulb", "test"),
                     ("ulb_to_primary", "val"), ("ulb_to_primary", "test")}
+
+
+def test_preprocessor_persistence_roundtrip(spark, prep):
+    from ledgerlens.operators import transform as tf
+    d = tempfile.mkdtemp(prefix="ll-pipe-")
+    tf.save_pipeline(prep.preproc, f"{d}/preproc")
+    back = tf.load_pipeline(f"{d}/preproc")
+    x = cat.split_features(spark, SF).drop("split").limit(50)
+    from pyspark.ml.functions import vector_to_array
+    a = [list(r[0]) for r in prep.preproc.transform(x).select(vector_to_array("features")).orderBy(F.lit(1)).collect()]
+    b = [list(r[0]) for r in back.transform(x).select(vector_to_array("features")).orderBy(F.lit(1)).collect()]
+    assert sorted(a) == sorted(b)
+    assert sc.expected_inputs(back) == sc.expected_inputs(prep.preproc) == (prep.numeric, prep.categorical)

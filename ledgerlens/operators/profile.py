@@ -45,12 +45,12 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None) -> DataFr
     if not cols:
         return spark.createDataFrame([], DESCRIBE_NUMERIC_SCHEMA)
     x = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    aggs = []
+    row = {}
     for i, c in enumerate(cols):
-        aggs += [F.count(c).alias(f"n{i}"), F.avg(c).alias(f"m{i}"), F.stddev_samp(c).alias(f"s{i}"),
-                 F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
-    row = x.agg(*aggs).first()
-    qs = quantiles(x, [Stat(c, p, "cont") for c in cols for p in (0.25, 0.5, 0.75)])
+        row.update({f"n{i}": F.count(c), f"m{i}": F.avg(c), f"s{i}": F.stddev_samp(c),
+                    f"lo{i}": F.min(c), f"hi{i}": F.max(c)})
+    # moments ride along in the quantiles' first pass (one scan fewer)
+    qs = quantiles(x, [Stat(c, p, "cont") for c in cols for p in (0.25, 0.5, 0.75)], extra=row)
     out = []
     for i, c in enumerate(cols):
         out.append((c, row[f"n{i}"], row[f"m{i}"], row[f"s{i}"], row[f"lo{i}"],

@@ -61,12 +61,18 @@ def _bracket_probs(p: float, eps: float) -> tuple[float | None, float | None]:
 
 
 def quantiles(df: DataFrame, stats: Sequence[Stat], accuracy: int = DEFAULT_ACCURACY,
-              max_band: int = MAX_BAND) -> list[float | None]:
-    """Exact quantiles for ``stats``; ``None`` where a column has no values."""
+              max_band: int = MAX_BAND, extra: dict | None = None) -> list[float | None]:
+    """Exact quantiles for ``stats``; ``None`` where a column has no values.
+
+    ``extra`` ({name: aggregate Column over ``df``'s columns}) rides along in
+    the first pass; its values are written back into the same dict.
+    """
     stats = list(stats)
     cols = sorted({s.col for s in stats})
     idx = {c: i for i, c in enumerate(cols)}
+    extra = extra if extra is not None else {}
     vals = df.select(*[F.col(c).cast("double").alias(f"_q{i}") for i, c in enumerate(cols)])
+    src = df.select("*", *[F.col(c).cast("double").alias(f"_q{i}") for i, c in enumerate(cols)]) if extra else vals
     eps = 2.0 / accuracy
     probs: dict[int, list[float]] = {i: [] for i in range(len(cols))}
     for s in stats:
@@ -77,7 +83,9 @@ def quantiles(df: DataFrame, stats: Sequence[Stat], accuracy: int = DEFAULT_ACCU
     for i, ps in probs.items():
         if ps:
             aggs.append(F.percentile_approx(f"_q{i}", ps, accuracy).alias(f"a{i}"))
-    row = vals.agg(*aggs).first().asDict()
+    row = src.agg(*aggs, *[a.alias(f"_x_{k}") for k, a in extra.items()]).first().asDict()
+    for k in list(extra):
+        extra[k] = row[f"_x_{k}"]
     items = {}  # (column index, rank) -> (lower, upper) bracket
     for s in stats:
         i = idx[s.col]

@@ -114,7 +114,8 @@ def knn(points: DataFrame, k: int = 5, id_col: str = "id", vec_col: str = "vec",
     # 2. rank along the first axis (bucketed, no single-task sort) -> k neighbours each side
     pts = with_range_bucket(pts, "p0", "_pb")
     ranked = row_number_within(pts, ["_g"], F.col("_pb"), ["p0", "id"], name="r", count_name="n").drop("_g", "_pb")
-    ranked = ranked.select("id", "vec", *pcols, "r", "n")
+    # read by four branches below: written once
+    ranked = materialize(ranked.select("id", "vec", *pcols, "r", "n"), "knn_ranked")
     offs = F.array(*[F.lit(o) for o in list(range(-k, 0)) + list(range(1, k + 1))])
     seeds = (ranked.select("id", "vec", "n", "r", F.explode(offs).alias("o"))
              .withColumn("r2", F.col("r") + F.col("o")).drop("r", "o")

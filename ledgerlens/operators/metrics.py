@@ -72,7 +72,7 @@ def classification_metrics(cm: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ curve tables
 
-def score_table(pred: DataFrame, rows_per_bucket: int = 1_000_000) -> DataFrame:
+def score_table(pred: DataFrame, rows_per_bucket: int = 250_000) -> DataFrame:
     """One row per (model, distinct score): pos, neg, running counts up to and
     including the score (cpos, cneg) and the model totals (P, N)."""
     st = pred.groupBy(MODEL, "score").agg(

@@ -51,7 +51,7 @@ def hash_bucket(col: Column | str, bits: int = 16) -> Column:
     return F.conv(F.substring(c, 1, digits), 16, 10).cast("long")
 
 
-def with_range_bucket(df: DataFrame, col: str, out: str, rows_per_bucket: int = 1_000_000,
+def with_range_bucket(df: DataFrame, col: str, out: str, rows_per_bucket: int = 250_000,
                       max_buckets: int = 65_536, accuracy: int = 10_000) -> DataFrame:
     """Add ``out``: the index of ``col``'s value among approximate quantile ranges.
 

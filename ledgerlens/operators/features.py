@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from ..functions import columns as C
 from ..schema import (ACCOUNT_COL, ID_COL, LEAKY_COLUMNS, PREV_TIME_COL, ROLE_DROP_COLUMNS, TARGET_COL,
                       TIME_COL, TS)
-from .ordered import lag_within, row_number_within, time_bucket, trailing_rows
+from .ordered import adaptive_time_bucket, lag_within, row_number_within, time_bucket, trailing_rows
 from .profile import NUMERIC_TYPES
 from .quantiles import median
 
@@ -64,7 +64,7 @@ CARD_EPOCH = "2019-01-01 00:00:00"
 
 
 def card_canonical(card: DataFrame, row_col: str = "row_id", accounts: int = 10000,
-                   bucket_seconds: int = 3600) -> DataFrame:
+                   bucket_seconds: int | None = None) -> DataFrame:
     """P12 + W2: the card data set in the canonical transaction columns.
 
     ``Amount`` -> TransactionAmount, ``Class`` -> is_fraud (int), id
@@ -79,8 +79,9 @@ def card_canonical(card: DataFrame, row_col: str = "row_id", accounts: int = 100
            .withColumn(ID_COL, F.concat(F.lit("ULB_"), row.cast("string")))
            .withColumn(TIME_COL, F.timestamp_seconds(base_s + F.col("Time")).cast(TS))
            .withColumn(ACCOUNT_COL, F.concat(F.lit("ULB_ACC_"), F.pmod(row, F.lit(accounts)).cast("string"))))
-    out = lag_within(out, [ACCOUNT_COL], time_bucket(TIME_COL, bucket_seconds), [TIME_COL, row_col],
-                     TIME_COL, PREV_TIME_COL)
+    bucket = (time_bucket(TIME_COL, bucket_seconds) if bucket_seconds
+              else adaptive_time_bucket(out, [ACCOUNT_COL], TIME_COL))
+    out = lag_within(out, [ACCOUNT_COL], bucket, [TIME_COL, row_col], TIME_COL, PREV_TIME_COL)
     if "nlp_text" not in out.columns:
         out = out.withColumn("nlp_text", F.lit(""))
     return out
@@ -90,7 +91,7 @@ def card_canonical(card: DataFrame, row_col: str = "row_id", accounts: int = 100
 
 
 def build_sequences(df: DataFrame, feature_cols: Sequence[str], length: int = 10,
-                    bucket_seconds: int = 86400) -> DataFrame:
+                    bucket_seconds: int | None = None) -> DataFrame:
     """For each row at position >= ``length`` in its account, the last
     ``length`` rows' feature vectors (oldest first) and the row's label.
 
@@ -98,8 +99,9 @@ def build_sequences(df: DataFrame, feature_cols: Sequence[str], length: int = 10
     """
     item = F.array(*[F.col(c).cast("double") for c in feature_cols])
     keys, order = [ACCOUNT_COL], [TIME_COL, ID_COL]
-    bucket = time_bucket(TIME_COL, bucket_seconds)
     x = df.select(ACCOUNT_COL, TIME_COL, ID_COL, TARGET_COL, *feature_cols)
+    bucket = (time_bucket(TIME_COL, bucket_seconds) if bucket_seconds
+              else adaptive_time_bucket(x, keys, TIME_COL))
     x = row_number_within(x, keys, bucket, order, name="pos", count_name=None)
     x = trailing_rows(x, keys, bucket, order, item, length, "seq")
     return (x.filter(F.col("pos") >= length)

@@ -41,6 +41,24 @@ def time_bucket(ts_col: str, seconds: int = 3600) -> Column:
     return F.floor(F.unix_micros(F.col(ts_col).cast("timestamp")) / F.lit(seconds * 1_000_000))
 
 
+def adaptive_time_bucket(df: DataFrame, keys: Sequence[str], ts_col: str, target_rows: int = 1_000_000,
+                         min_seconds: int = 1, max_seconds: int = 30 * 86400) -> Column:
+    """Time slots sized so the densest key gets about ``target_rows`` rows per slot.
+
+    One aggregate per key (count and time span, map-side combined) gives the
+    highest rows-per-second rate over all keys; the slot width follows from
+    it, clamped to [min_seconds, max_seconds].  A key holding a third of a
+    100 TB table is then cut into slots of ~``target_rows`` rows, while
+    ordinary keys keep one or a few slots.
+    """
+    us = F.unix_micros(F.col(ts_col).cast("timestamp"))
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
+                                    ((F.max(us) - F.min(us)) / F.lit(1e6)).alias("_span"))
+    rate = per_key.agg(F.max(F.col("_n") / F.greatest(F.col("_span"), F.lit(1.0)))).first()[0]
+    width = max_seconds if not rate else int(min(max_seconds, max(min_seconds, target_rows / rate)))
+    return time_bucket(ts_col, width)
+
+
 def hash_bucket(col: Column | str, bits: int = 16) -> Column:
     """Leading ``bits`` bits of an md5 hex string, as a non-negative long.
 

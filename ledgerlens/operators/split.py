@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import ACCOUNT_COL, ID_COL, RANDOM_SEED, TARGET_COL, TEST_SIZE, TIME_COL, VAL_SIZE
-from .ordered import hash_bucket, row_number_within, time_bucket
+from .ordered import adaptive_time_bucket, hash_bucket, row_number_within, time_bucket
 
 TRAIN, VAL, TEST = "train", "val", "test"
 
@@ -70,13 +70,13 @@ def _round_half_even(x: Column) -> Column:
 
 
 def time_split(df: DataFrame, account: str = ACCOUNT_COL, time: str = TIME_COL, id_col: str = ID_COL,
-               val_frac: float = VAL_SIZE, test_frac: float = TEST_SIZE, bucket_seconds: int = 86400) -> DataFrame:
+               val_frac: float = VAL_SIZE, test_frac: float = TEST_SIZE, bucket_seconds: int | None = None) -> DataFrame:
     """W3 / SP3: per account, in (time, id) order: train first, then val, then
     the latest rows test.  n_test = max(1, round(n*test)), n_val likewise
     (half-even rounding), n_train = max(0, n - n_val - n_test).
     """
-    x = row_number_within(df, [account], time_bucket(time, bucket_seconds), [time, id_col],
-                          name="_r", count_name="_n")
+    bucket = time_bucket(time, bucket_seconds) if bucket_seconds else adaptive_time_bucket(df, [account], time)
+    x = row_number_within(df, [account], bucket, [time, id_col], name="_r", count_name="_n")
     n = F.col("_n")
     n_test = F.greatest(F.lit(1), _round_half_even(n * F.lit(float(test_frac))).cast("long"))
     n_val = F.greatest(F.lit(1), _round_half_even(n * F.lit(float(val_frac))).cast("long"))

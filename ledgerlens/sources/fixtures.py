@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.ordered import lag_within, time_bucket
+from ..operators.ordered import adaptive_time_bucket, lag_within, time_bucket
 from ..schema import RAW_COLUMNS, TS
 from .tables import table
 
@@ -21,11 +21,12 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
-def transactions(spark: SparkSession, sf_dir: str, bucket_seconds: int = 86400) -> DataFrame:
+def transactions(spark: SparkSession, sf_dir: str, bucket_seconds: int | None = None) -> DataFrame:
     """Raw transactions (16 columns of RAW_SCHEMA) derived from ``events``.
 
     The previous-transaction time is the account's previous event, computed
-    per (account, day) window with a carried-over last value, so an account
+    per (account, time slot) window with a carried-over last value; slots are
+    sized from the densest account (``adaptive_time_bucket``), so an account
     with a third of all events is still spread over many tasks.
     """
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
@@ -36,7 +37,9 @@ def transactions(spark: SparkSession, sf_dir: str, bucket_seconds: int = 86400)
     j = (e.join(c, e.user_id == c.c_custkey, "left")
          .join(n, F.col("c_nationkey") == n.n_nationkey, "left"))
     eid, uid = F.col("event_id"), F.col("user_id")
-    j = lag_within(j, ["user_id"], time_bucket("ts", bucket_seconds), ["ts", "event_id"], "ts", "_prev_ts")
+    bucket = (time_bucket("ts", bucket_seconds) if bucket_seconds
+              else adaptive_time_bucket(e, ["user_id"], "ts"))
+    j = lag_within(j, ["user_id"], bucket, ["ts", "event_id"], "ts", "_prev_ts")
     return j.select(
         _s(eid).alias("TransactionID"),
         _s(uid).alias("AccountID"),

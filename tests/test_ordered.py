@@ -66,3 +66,17 @@ def test_range_bucket_monotone(spark):
     keys = sorted(by_b)
     for a, c in zip(keys, keys[1:]):
         assert max(by_b[a]) <= min(by_b[c])
+
+
+def test_adaptive_time_bucket_cuts_hot_key(spark):
+    from ledgerlens.operators.ordered import adaptive_time_bucket
+    df = spark.range(20000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 500).cast("string"))).alias("key"),
+        F.timestamp_seconds(F.col("id") * 60).cast("timestamp_ntz").alias("ts"), "id")
+    b = adaptive_time_bucket(df, ["key"], "ts", target_rows=500)
+    per = df.withColumn("b", b).groupBy("key", "b").count()
+    assert per.agg(F.max("count")).first()[0] <= 1000
+    assert per.filter(F.col("key") == "hot").count() > 5
+    w = Window.partitionBy("key").orderBy("ts", "id")
+    want = _rows(df.select("id", F.lag("id").over(w).alias("p")), ["id", "p"])
+    assert _rows(lag_within(df, ["key"], b, ["ts", "id"], "id", "p"), ["id", "p"]) == want

@@ -78,3 +78,30 @@ def materialize(df, name: str = "table"):
     path = scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
+               partition_bytes: int = 256 * 1024 * 1024, max_partitions: int = 200_000) -> dict:
+    """Cluster settings sized from the input volume.
+
+    * shuffle partitions ~ input / ``partition_bytes`` (at least two waves of
+      the cluster's cores), coalesced at run time by AQE to the same target
+      size, so no task's share outgrows executor memory;
+    * scans split files into ``partition_bytes`` pieces;
+    * static broadcast joins are off: estimated sizes of derived tables are
+      not trusted; AQE broadcasts a side only after measuring it below 64 MB
+      (the size check), and splits skewed partitions of sort-merge joins.
+    """
+    cores = max(1, executors * cores_per_executor)
+    parts = int(min(max_partitions, max(2 * cores, -(-input_bytes // partition_bytes))))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }

@@ -59,3 +59,8 @@ def test_query_matches_oracle(spark, duck, name):
     a = sorted((tuple(_norm(x) for x in r) for r in srows), key=_key)
     b = sorted((tuple(_norm(x) for x in r) for r in drows), key=_key)
     assert a == b
+    # The executed plan: no all-pairs joins, no Python evaluation, pruned scans.
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+        assert bad not in plan, (name, bad)
+    assert "props:string" not in plan, name  # the unused JSON column of events is never read

@@ -159,16 +159,17 @@ def reliability_curve(pred: DataFrame, n_bins: int = 10) -> DataFrame:
 
     Bin edges are the exact interpolated score percentiles at k/n_bins; a
     score's bin is the number of interior edges strictly below it.  Empty
-    bins do not appear.  Edges (n_bins - 1 numbers per model) are computed
-    per model and joined as a small literal table.
+    bins do not appear.  The edges of all models come from one set of
+    quantile passes (one masked score column per model) and are joined as a
+    small table (n_bins - 1 numbers per model).
     """
     spark = pred.sparkSession
-    models = [r[0] for r in pred.select(MODEL).distinct().collect()]
-    rows = []
-    for m in models:
-        sub = pred.filter(F.col(MODEL) == m)
-        edges = quantiles(sub, [Stat("score", k / n_bins, "cont") for k in range(1, n_bins)])
-        rows.append((m, [float(e) for e in edges]))
+    models = sorted(r[0] for r in pred.select(MODEL).distinct().collect())
+    masked = pred.select(*[F.when(F.col(MODEL) == m, F.col("score")).alias(f"_s{i}") for i, m in enumerate(models)])
+    stats = [Stat(f"_s{i}", k / n_bins, "cont") for i in range(len(models)) for k in range(1, n_bins)]
+    edges = quantiles(masked, stats) if models else []
+    per = n_bins - 1
+    rows = [(m, [float(e) for e in edges[i * per:(i + 1) * per]]) for i, m in enumerate(models)]
     edges_df = spark.createDataFrame(rows, f"{MODEL} string, edges array<double>")
     binned = pred.join(F.broadcast(edges_df), MODEL).withColumn(
         "bin", F.size(F.filter("edges", lambda e: e < F.col("score"))))

@@ -73,6 +73,18 @@ def quantiles(df: DataFrame, stats: Sequence[Stat], accuracy: int = DEFAULT_ACCU
     extra = extra if extra is not None else {}
     vals = df.select(*[F.col(c).cast("double").alias(f"_q{i}") for i, c in enumerate(cols)])
     src = df.select("*", *[F.col(c).cast("double").alias(f"_q{i}") for i, c in enumerate(cols)]) if extra else vals
+    # Columns of at most ``max_band`` values need no brackets: one grouped
+    # count per (column, value) and a running count per column find every rank.
+    crow = src.agg(*[F.count(f"_q{i}").alias(f"n{i}") for i in range(len(cols))],
+                   *[a.alias(f"_x_{k}") for k, a in extra.items()]).first().asDict()
+    for k in list(extra):
+        extra[k] = crow[f"_x_{k}"]
+    if cols and max(crow[f"n{i}"] for i in range(len(cols))) <= max_band:
+        ranks = sorted({(idx[s.col], r) for s in stats if crow[f"n{idx[s.col]}"] > 0
+                        for r in _ranks(s, crow[f"n{idx[s.col]}"])})
+        got = _walk_columns(vals, ranks)
+        return _finish(stats, idx, crow, got)
+    extra = {}
     eps = 2.0 / accuracy
     probs: dict[int, list[float]] = {i: [] for i in range(len(cols))}
     for s in stats:
@@ -103,6 +115,10 @@ def quantiles(df: DataFrame, stats: Sequence[Stat], accuracy: int = DEFAULT_ACCU
                 hi = None if (b is None or hi is None) else max(b, hi)
             items[(i, r)] = (lo, hi)
     got = _select(vals, items, accuracy, max_band)
+    return _finish(stats, idx, row, got)
+
+
+def _finish(stats, idx, row, got) -> list[float | None]:
     out: list[float | None] = []
     for s in stats:
         i = idx[s.col]
@@ -120,6 +136,26 @@ def quantiles(df: DataFrame, stats: Sequence[Stat], accuracy: int = DEFAULT_ACCU
     return out
 
 
+def _walk_columns(vals: DataFrame, ranks: list) -> dict:
+    """Exact values at (column, rank) for small columns: every non-null value is
+    counted per (column, value) and walked with a running count per column."""
+    if not ranks:
+        return {}
+    cols = sorted({i for i, _ in ranks})
+    arr = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"_q{i}").alias("v")) for i in cols])
+    counts = (vals.select(F.explode(arr).alias("t")).select("t.i", "t.v")
+              .filter(F.col("v").isNotNull() & ~F.isnan("v"))
+              .groupBy("i", "v").agg(F.count(F.lit(1)).alias("c")))
+    w = Window.partitionBy("i").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    spec = vals.sparkSession.createDataFrame([(j, i, int(r)) for j, (i, r) in enumerate(ranks)],
+                                             "j int, i int, need long")
+    picked = (counts.withColumn("cum", F.sum("c").over(w)).join(F.broadcast(spec), "i")
+              .filter((F.col("cum") >= F.col("need")) & (F.col("cum") - F.col("c") < F.col("need")))
+              .select("j", "v").collect())
+    got = {row["j"]: row["v"] for row in picked}
+    return {k: got.get(j) for j, k in enumerate(ranks)}
+
+
 def _thresholds(keys: list, items: dict) -> dict[int, list[float]]:
     """Per column: sorted strict-below thresholds (lower brackets, and the next
     double above each upper bracket, so that v <= hi  <=>  v < nextafter(hi))."""

@@ -44,16 +44,27 @@ def apply_runtime_conf(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+_fallback_dirs: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Only when the setting is missing (local tests) do we fall back to a
-    folder of our own, and record it in the session so later calls agree.
+    folder of our own, registered as the context's checkpoint folder so later
+    calls agree.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not d:
+        try:
+            d = spark.conf.get("spark.checkpoint.dir", None)
+        except Exception:  # noqa: BLE001 - not readable as a session setting
+            d = None
     if not d:
-        d = os.path.join(os.environ.get("TMPDIR", "/tmp"), "ledgerlens-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", d)
+        app = spark.sparkContext.applicationId
+        d = _fallback_dirs.get(app) or os.path.join(os.environ.get("TMPDIR", "/tmp"),
+                                                    f"ledgerlens-checkpoints-{app}")
+        _fallback_dirs[app] = d
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d

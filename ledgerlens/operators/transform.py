@@ -24,7 +24,7 @@ import math
 from collections.abc import Sequence
 
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, NGram, Normalizer, OneHotEncoder,
                                 RegexTokenizer, SQLTransformer, StringIndexer, VectorAssembler)
 from pyspark.ml.linalg import Vectors
@@ -236,17 +236,3 @@ def fit_tfidf(train: DataFrame, text: str = "nlp_text", max_features: int = 5000
               Normalizer(p=2.0, inputCol="_tfidf", outputCol=output),
               SQLTransformer(statement="SELECT * EXCEPT (_text, _tok, _bi, _terms, _tf, _tfidf) FROM __THIS__")]
     return PipelineModel(stages=stages), vocab_df
-
-
-class ColumnDropper(Transformer, DefaultParamsReadable, DefaultParamsWritable):
-    """Drop helper columns at the end of a pipeline."""
-
-    cols = Param(Params._dummy(), "cols", "columns to drop", typeConverter=TypeConverters.toListString)
-
-    @keyword_only
-    def __init__(self, cols=None):
-        super().__init__()
-        self._set(**self._input_kwargs)
-
-    def _transform(self, df: DataFrame) -> DataFrame:
-        return df.drop(*self.getOrDefault(self.cols))

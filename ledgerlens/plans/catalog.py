@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import curate as cur
-from ..session import materialize
 from .warehouse import shared
 from ..sources import fixtures as fx
 
@@ -1018,3 +1017,18 @@ def q_scored_requests(spark, sf_dir):
     rows = curated(spark, sf_dir).join(test_ids, "TransactionID").select(*REQUEST_COLS)
     req = io.parse_requests(request_json(rows))
     return sc.score_requests(req, prep.preproc, model, threshold, prep.secs_median)
+
+
+@register("nlp_documents_metrics")
+def q_nlp_documents_metrics(spark, sf_dir):
+    """M2 + T5 on whole documents: documents joined with their labels (label =
+    toxic), stratified 80/20 by hash, TF-IDF (1-/2-grams, 5,000 terms) +
+    balanced logistic regression, held-out metrics."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("is_fraud"))
+    d = docs.join(labels, "doc_id").withColumn("TransactionID", F.col("doc_id").cast("string"))
+    d = shared(spark, sf_dir, "doc_split", lambda: sp.stratified_split(d, test_size=0.2, val_size=None))
+    train = d.filter(F.col("split") == "train").withColumn("label", F.col("is_fraud").cast("double"))
+    test = d.filter(F.col("split") == "test").withColumn("label", F.col("is_fraud").cast("double"))
+    model, _ = mdl.fit_text_model(train, "text", "label", "TransactionID")
+    return mt.evaluate(tr.scored(model, test, "nlp_documents"))

@@ -953,8 +953,9 @@ def q_ingest_stream(spark, sf_dir):
     suffix are ignored."""
     root = scratch_path(spark, "landing")
     _write_raw_csv(spark, sf_dir, f"{root}/incoming/batch1", by_day=True)
+    # decoys: a non-CSV file under the prefix, and every row again outside it
     spark.createDataFrame([("not a transaction",)], "x string").write.text(f"{root}/incoming/notes")
-    raw(spark, sf_dir).limit(3).write.option("header", True).csv(f"{root}/elsewhere")
+    _write_raw_csv(spark, sf_dir, f"{root}/elsewhere/incoming", by_day=False)
     table, ckpt, rep = f"{root}/table", f"{root}/_checkpoint", f"{root}/_report"
     q = ing.ingest(spark, root, table, ckpt, rep, null_value=NULL_MARKER)
     q.awaitTermination()

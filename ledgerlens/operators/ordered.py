@@ -17,6 +17,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _B = "_ll_bucket"
 
@@ -25,15 +26,45 @@ def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner equi-join on ``keys`` where NULL keys match each other."""
-    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
-                     *[c for c in right.columns if c not in keys])
-    cond = None
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-        cond = c if cond is None else cond & c
-    return left.join(r, cond, "inner").drop(*[f"_r_{k}" for k in keys])
+_LONG_MIN = -(2 ** 63)
+
+
+def _default_for(dt: T.DataType) -> Column:
+    if isinstance(dt, T.StringType):
+        return F.lit("")
+    if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
+                       T.DecimalType, T.BooleanType)):
+        return F.lit(0).cast(dt)
+    return F.lit(None).cast(dt)
+
+
+def _normalized(df: DataFrame, keys: Sequence[str], bucket: Column) -> tuple[DataFrame, list[str]]:
+    """Non-null partition keys: each nullable key becomes (value or default,
+    is-null) and a NULL bucket becomes the smallest long (it sorts first, like
+    NULL in the ordering).  Windows, the per-bucket aggregate and the join
+    back then use plain equality on the same columns, so the big side is
+    shuffled once and the join reuses that partitioning."""
+    out_keys = []
+    types = {f.name: f for f in df.schema.fields}
+    for i, k in enumerate(keys):
+        f = types[k]
+        if f.nullable:
+            d = _default_for(f.dataType)
+            if isinstance(f.dataType, (T.StringType, T.ByteType, T.ShortType, T.IntegerType, T.LongType,
+                                       T.FloatType, T.DoubleType, T.DecimalType, T.BooleanType)):
+                df = df.withColumn(f"_nk{i}", F.coalesce(F.col(k), d)).withColumn(f"_nn{i}", F.col(k).isNull())
+            else:
+                df = df.withColumn(f"_nk{i}", F.coalesce(F.col(k).cast("string"), F.lit(""))) \
+                       .withColumn(f"_nn{i}", F.col(k).isNull())
+            out_keys += [f"_nk{i}", f"_nn{i}"]
+        else:
+            out_keys.append(k)
+    df = df.withColumn(_B, F.coalesce(bucket.cast("long"), F.lit(_LONG_MIN).cast("long")))
+    return df, out_keys
+
+
+def _drop_norm(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.startswith("_nk") or c.startswith("_nn")], _B)
 
 
 def time_bucket(ts_col: str, seconds: int = 3600) -> Column:
@@ -106,9 +137,8 @@ def running_sums(df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequ
     column per entry of ``values`` (the running sum) and, if ``totals``, a
     ``<name>_total`` column with the sum over the whole key.
     """
-    keys = list(keys)
     names = list(values)
-    base = df.withColumn(_B, bucket)
+    base, keys = _normalized(df, list(keys), bucket)
     for n, c in values.items():
         base = base.withColumn(f"_v_{n}", c)
     w_local = (Window.partitionBy(*keys, _B).orderBy(*_cols(order))
@@ -123,13 +153,13 @@ def running_sums(df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequ
     tots = [F.sum(f"_b_{n}").over(Window.partitionBy(*keys)).alias(f"_t_{n}") for n in names] if totals else []
     per_bucket = per_bucket.select(*keys, _B, *offs, *tots)
 
-    out = _null_safe_join(local, per_bucket, keys + [_B])
+    out = local.join(per_bucket, keys + [_B])
     for n in names:
         out = out.withColumn(n, F.col(f"_o_{n}") + F.col(f"_l_{n}"))
         if totals:
             out = out.withColumn(f"{n}_total", F.col(f"_t_{n}"))
-    drop = [_B] + [f"_{p}_{n}" for n in names for p in ("v", "l", "o", "t")]
-    return out.drop(*drop)
+    drop = [f"_{p}_{n}" for n in names for p in ("v", "l", "o", "t")]
+    return _drop_norm(out.drop(*drop))
 
 
 def row_number_within(df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence,
@@ -149,9 +179,8 @@ def lag_within(df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequen
     bucket takes the last value of the nearest earlier non-empty bucket of the
     same key, found on the per-bucket table.
     """
-    keys = list(keys)
     order_cols = _cols(order)
-    base = df.withColumn(_B, bucket)
+    base, keys = _normalized(df, list(keys), bucket)
     w = Window.partitionBy(*keys, _B).orderBy(*order_cols)
     local = (base.withColumn("_lag_local", F.lag(value, 1).over(w))
              .withColumn("_lag_first", F.row_number().over(w) == 1))
@@ -166,9 +195,9 @@ def lag_within(df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequen
     per_bucket = base.groupBy(*keys, _B).agg(last.alias("_last"))
     w_prev = Window.partitionBy(*keys).orderBy(_B)
     per_bucket = per_bucket.select(*keys, _B, F.lag(F.col("_last"), 1).over(w_prev).alias("_lag_prev"))
-    out = _null_safe_join(local, per_bucket, keys + [_B])
+    out = local.join(per_bucket, keys + [_B])
     out = out.withColumn(name, F.when(F.col("_lag_first"), F.col("_lag_prev")).otherwise(F.col("_lag_local")))
-    return out.drop(_B, "_lag_local", "_lag_first", "_lag_prev")
+    return _drop_norm(out.drop("_lag_local", "_lag_first", "_lag_prev"))
 
 
 def trailing_rows(df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence,
@@ -180,15 +209,15 @@ def trailing_rows(df: DataFrame, keys: Sequence[str], bucket: Column, order: Seq
     bucket contributes at most ``length - 1`` items to that tail, so the
     per-bucket table stays bounded no matter how hot a key is.
     """
-    keys = list(keys)
     order_cols = _cols(order)
     k = length - 1
-    base = df.withColumn(_B, bucket).withColumn("_item", item)
+    base, keys = _normalized(df, list(keys), bucket)
+    base = base.withColumn("_item", item)
     w = Window.partitionBy(*keys, _B).orderBy(*order_cols)
     local = (base.withColumn("_seq_local", F.collect_list("_item").over(w.rowsBetween(-k, 0)))
              .withColumn("_pos_local", F.row_number().over(w)))
     if k == 0:
-        return local.withColumn(name, F.col("_seq_local")).drop(_B, "_item", "_seq_local", "_pos_local")
+        return _drop_norm(local.withColumn(name, F.col("_seq_local")).drop("_item", "_seq_local", "_pos_local"))
     # Tail of every bucket: its last k items, in order.
     w_desc = Window.partitionBy(*keys, _B).orderBy(*[c.desc() for c in order_cols])
     tails = (base.withColumn("_rpos", F.row_number().over(w_desc)).filter(F.col("_rpos") <= k)
@@ -200,9 +229,9 @@ def trailing_rows(df: DataFrame, keys: Sequence[str], bucket: Column, order: Seq
     w_prev = Window.partitionBy(*keys).orderBy(_B).rowsBetween(-k, -1)
     tails = tails.select(*keys, _B, F.flatten(F.collect_list("_tail").over(w_prev)).alias("_prev"))
     tails = tails.withColumn("_prev", F.slice("_prev", F.greatest(F.size("_prev") - k + 1, F.lit(1)), k))
-    out = _null_safe_join(local, tails, keys + [_B])
+    out = local.join(tails, keys + [_B])
     full = F.concat(F.coalesce(F.col("_prev"), F.array()), F.col("_seq_local"))
     merged = F.when(F.col("_pos_local") <= k,
                     F.slice(full, F.greatest(F.size(full) - length + 1, F.lit(1)), length)
                     ).otherwise(F.col("_seq_local"))
-    return out.withColumn(name, merged).drop(_B, "_item", "_seq_local", "_pos_local", "_prev")
+    return _drop_norm(out.withColumn(name, merged).drop("_item", "_seq_local", "_pos_local", "_prev"))

@@ -99,6 +99,8 @@ def build_sequences(df: DataFrame, feature_cols: Sequence[str], length: int = 10
     """
     item = F.array(*[F.col(c).cast("double") for c in feature_cols])
     keys, order = [ACCOUNT_COL], [TIME_COL, ID_COL]
+    if ACCOUNT_COL not in df.columns:  # W1: time order only -> one key, still cut into time slots
+        df = df.withColumn(ACCOUNT_COL, F.lit("__all__"))
     x = df.select(ACCOUNT_COL, TIME_COL, ID_COL, TARGET_COL, *feature_cols)
     bucket = (time_bucket(TIME_COL, bucket_seconds) if bucket_seconds
               else adaptive_time_bucket(x, keys, TIME_COL))

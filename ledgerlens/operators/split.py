@@ -75,8 +75,13 @@ def time_split(df: DataFrame, account: str = ACCOUNT_COL, time: str = TIME_COL,
     the latest rows test.  n_test = max(1, round(n*test)), n_val likewise
     (half-even rounding), n_train = max(0, n - n_val - n_test).
     """
+    added = account not in df.columns
+    if added:  # W1: time order only -> one key, still cut into time slots
+        df = df.withColumn(account, F.lit("__all__"))
     bucket = time_bucket(time, bucket_seconds) if bucket_seconds else adaptive_time_bucket(df, [account], time)
     x = row_number_within(df, [account], bucket, [time, id_col], name="_r", count_name="_n")
+    if added:
+        x = x.drop(account)
     n = F.col("_n")
     n_test = F.greatest(F.lit(1), _round_half_even(n * F.lit(float(test_frac))).cast("long"))
     n_val = F.greatest(F.lit(1), _round_half_even(n * F.lit(float(val_frac))).cast("long"))

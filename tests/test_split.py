@@ -56,3 +56,11 @@ def test_time_split_single_row_is_val(spark):
     df = spark.createDataFrame([("1", "solo", 0, 0)], "TransactionID string, AccountID string, is_fraud int, s long")
     df = df.withColumn("TransactionDate", F.timestamp_seconds("s").cast("timestamp_ntz"))
     assert time_split(df).first()["split"] == "val"
+
+
+def test_time_split_without_account_orders_by_time(spark):
+    df = spark.createDataFrame([(str(i), 0, i) for i in range(20)], "TransactionID string, is_fraud int, s long")
+    df = df.withColumn("TransactionDate", F.timestamp_seconds("s").cast("timestamp_ntz"))
+    out = {r["TransactionID"]: r["split"] for r in time_split(df).collect()}
+    assert "AccountID" not in time_split(df).columns
+    assert [out[str(i)] for i in range(20)] == ["train"] * 14 + ["val"] * 3 + ["test"] * 3

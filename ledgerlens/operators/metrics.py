@@ -274,8 +274,10 @@ def merge_metric_sources(legacy: DataFrame, per_model: DataFrame) -> DataFrame:
     cols = ["roc_auc", "pr_auc", "f1", "precision", "recall", "accuracy", "threshold"]
 
     def norm(df):
-        return df.select("name", *[(F.col(c) if c in df.columns else F.lit(None)).cast("double").alias(c)
-                                   for c in cols])
+        # a combined record without a name stands for the default model
+        name = F.coalesce(F.col("name"), F.lit("xgb")) if "name" in df.columns else F.lit("xgb")
+        return df.select(name.alias("name"), *[(F.col(c) if c in df.columns else F.lit(None)).cast("double").alias(c)
+                                               for c in cols])
 
     def has_metric(df):
         return df.filter(F.col("pr_auc").isNotNull() | F.col("f1").isNotNull() | F.col("roc_auc").isNotNull())

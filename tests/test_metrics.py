@@ -83,3 +83,13 @@ def test_best_model_rules(spark):
     assert mt.best_by_f1(rec).first()["name"] == "z"
     ranks = {r["name"]: r["rank"] for r in mt.rank_models(rec).collect()}
     assert ranks == {"y": 1, "x": 2, "z": 3}
+
+
+def test_merge_sources_per_model_wins(spark):
+    legacy = spark.createDataFrame([("xgb", 0.5, 0.4, 0.9), ("nlp", 0.1, 0.2, 0.6), ("bad", None, None, None)],
+                                   "name string, pr_auc double, f1 double, roc_auc double")
+    per = spark.createDataFrame([("xgb", 0.7, 0.8)], "name string, pr_auc double, f1 double")
+    m = {r["name"]: r for r in mt.merge_metric_sources(legacy, per).collect()}
+    assert set(m) == {"xgb", "nlp"} and m["xgb"]["pr_auc"] == 0.7 and m["xgb"]["roc_auc"] is None
+    flat = spark.createDataFrame([(0.3, 0.2)], "pr_auc double, f1 double")
+    assert [r["name"] for r in mt.merge_metric_sources(flat, per.limit(0)).collect()] == ["xgb"]

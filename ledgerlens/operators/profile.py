@@ -90,13 +90,13 @@ def describe_datetime(df: DataFrame, cols: Sequence[str] | None = None) -> DataF
     if not cols:
         return spark.createDataFrame([], schema)
     x = df.select(*[F.unix_micros(F.col(c).cast("timestamp")).alias(c) for c in cols])
-    aggs = []
+    row = {}
     for i, c in enumerate(cols):
         # Exact integer sum (a double sum of ~1e15 values drifts by microseconds).
-        aggs += [F.count(c).alias(f"n{i}"), F.sum(F.col(c).cast("decimal(38,0)")).alias(f"s{i}"),
-                 F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
-    row = x.agg(*aggs).first()
-    qs = quantiles(x, [Stat(c, p, "cont") for c in cols for p in (0.25, 0.5, 0.75)])
+        row.update({f"n{i}": F.count(c), f"s{i}": F.sum(F.col(c).cast("decimal(38,0)")),
+                    f"lo{i}": F.min(c), f"hi{i}": F.max(c)})
+    # moments ride along in the quantiles' first pass
+    qs = quantiles(x, [Stat(c, p, "cont") for c in cols for p in (0.25, 0.5, 0.75)], extra=row)
     out = []
     for i, c in enumerate(cols):
         n = row[f"n{i}"]

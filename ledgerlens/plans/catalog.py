@@ -923,13 +923,13 @@ NULL_MARKER = "\\N"
 
 
 def _write_raw_csv(spark, sf_dir, path, by_day=True):
-    r = raw(spark, sf_dir).withColumn("txn_day", F.date_format("TransactionDate", "yyyy-MM-dd"))
+    r = raw(spark, sf_dir)
+    if by_day:
+        r = r.withColumn("txn_day", F.date_format("TransactionDate", "yyyy-MM-dd"))
     w = (r.write.mode("overwrite").option("header", True).option("nullValue", NULL_MARKER)
          .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
     if by_day:
         w = w.partitionBy("txn_day")
-    else:
-        r = r.drop("txn_day")
     w.csv(path)
 
 

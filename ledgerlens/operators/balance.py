@@ -8,10 +8,11 @@ r(x) of it along u whenever r(x) bounds its k-th neighbour distance.
    (``operators.ordered``: bucketed running ranks, no single-task sort);
 2. each point's k predecessors and k successors in that order give real
    distances, and the k-th smallest of them is the bound r(x);
-3. an equi-join on projection buckets of width W (each point looks at the
-   buckets its interval [p - r, p + r] touches) pairs only points whose
-   projections differ by at most r(x); true distances and a top-k per point
-   (ties: neighbour id) finish it.
+3. an equi-join on buckets of B consecutive points in that order (each point
+   looks at the buckets its interval [p - r, p + r] touches, found with one
+   running count) pairs only points whose projections differ by at most
+   r(x); true distances and a top-k per point (ties: neighbour id) finish it.
+   A bucket never holds more than B points, however dense a value range is.
 
 Exact for every input; the pairs examined are the points inside each
 point's projection interval, not the whole class.
@@ -23,14 +24,12 @@ partitioning or retries; synthetic = x + u * (neighbour - x).
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import RANDOM_SEED
 from ..session import materialize
-from .ordered import row_number_within, with_range_bucket
+from .ordered import row_number_within, running_sums, with_range_bucket
 
 # ------------------------------------------------------------------ A10, A11, SP7
 
@@ -124,27 +123,49 @@ def knn(points: DataFrame, k: int = 5, id_col: str = "id", vec_col: str = "vec",
     bound = (seeds.groupBy("id", "n").agg(F.sort_array(F.collect_list("d2")).alias("ds"))
              .select("id", F.when(F.col("n") - 1 > k, F.sqrt(F.col("ds")[k - 1])).alias("rad")))
     # n - 1 <= k: every other point is a neighbour (unbounded radius)
-    q = ranked.select("id", *pcols).join(bound, "id", "left")
-    # 3. band join on first-axis buckets of width W (median radius -> ~3 buckets per point)
-    w_row = q.agg(F.percentile_approx("rad", 0.5, 1000).alias("w"), F.min("p0").alias("lo"),
-                  F.max("p0").alias("hi")).first()
-    W = float(w_row["w"] or 0.0)
-    lo, hi = float(w_row["lo"] or 0.0), float(w_row["hi"] or 0.0)
-    if not W > 0 or math.isinf(W):
-        W = max(hi - lo, 1.0)
-    p_lo = F.coalesce(F.col("p0") - F.col("rad"), F.lit(lo))
-    p_hi = F.coalesce(F.col("p0") + F.col("rad"), F.lit(hi))
+    q = materialize(ranked.select("id", *pcols, "r", "n").join(bound, "id", "left"), "knn_bound")
+    # 3. band join on first-axis *rank* buckets of B points each, so a dense
+    # value range cannot put a large share of the points into one join key.
+    # A point's interval [p0 - rad, p0 + rad] (widened by a rounding margin;
+    # the exact |dp| <= rad test follows) becomes the rank range
+    # [#(p0 < lo) + 1, #(p0 <= hi)]: one running count over the points and the
+    # interval ends sorted together (lower ends before equal points, upper after).
+    # point count and non-zero density (mostly-zero one-hot vectors compare on
+    # their non-zeros only) in one pass over the written table
+    st = ranked.agg(F.count(F.lit(1)).alias("n"),
+                    F.avg(F.size(F.filter("vec", lambda x: x != F.lit(0.0))) / F.size("vec")).alias("d")).first()
+    n_pts, density = int(st["n"]), st["d"]
+    sparse = density is not None and density < 0.25
+    eps = (F.abs(F.col("p0")) + F.col("rad")) * F.lit(1e-9)
+    ends = (q.filter(F.col("rad").isNotNull())
+            .select(F.col("id").alias("qid"),
+                    F.explode(F.array(F.struct(F.lit(0).alias("kind"), (F.col("p0") - F.col("rad") - eps).alias("v")),
+                                      F.struct(F.lit(2).alias("kind"), (F.col("p0") + F.col("rad") + eps).alias("v"))))
+                    .alias("e"))
+            .select("qid", "e.kind", "e.v", F.lit(0).alias("w")))
+    marks = q.select(F.lit(None).cast(q.schema["id"].dataType).alias("qid"), F.lit(1).alias("kind"),
+                     F.col("p0").alias("v"), F.lit(1).alias("w")).unionByName(ends).withColumn("_g", F.lit(0))
+    marks = with_range_bucket(marks, "v", "_vb", n=3 * n_pts)
+    marks = running_sums(marks, ["_g"], F.col("_vb"), ["v", "kind"], {"c": F.col("w").cast("long")}, totals=False)
+    rng = (marks.filter(F.col("kind") != 1).groupBy("qid")
+           .agg(F.min(F.when(F.col("kind") == 0, F.col("c") + 1)).alias("r_lo"),
+                F.max(F.when(F.col("kind") == 2, F.col("c"))).alias("r_hi"))
+           .withColumnRenamed("qid", "id"))
+    q = q.join(rng, "id", "left").select("id", *pcols, "r", "rad",
+                                         F.coalesce("r_lo", F.lit(1)).alias("r_lo"),
+                                         F.coalesce("r_hi", F.col("n")).alias("r_hi"))
+    # B ~ the median interval size (about three buckets per point), at least 2k + 2
+    med = q.agg(F.percentile_approx(F.col("r_hi") - F.col("r_lo") + 1, 0.5, 1000)).first()[0]
+    B = max(2 * k + 2, int(med or 1))
     qx = q.select("id", *pcols, "rad",
-                  F.explode(F.sequence(F.floor((p_lo - F.lit(lo)) / W), F.floor((p_hi - F.lit(lo)) / W))).alias("b"))
+                  F.explode(F.sequence(F.floor((F.col("r_lo") - 1) / B), F.floor((F.col("r_hi") - 1) / B)))
+                  .alias("b"))
     ty = q.select(F.col("id").alias("nn_id"), *[F.col(c).alias(f"n{c}") for c in pcols],
-                  F.floor((F.col("p0") - F.lit(lo)) / W).alias("b"))
+                  F.floor((F.col("r") - 1) / B).alias("b"))
     near = F.col("nn_id") != F.col("id")
     for c in pcols:
         near = near & (F.col("rad").isNull() | (F.abs(F.col(f"n{c}") - F.col(c)) <= F.col("rad")))
     pairs = qx.join(ty, "b").filter(near).select("id", "nn_id", "rad")
-    # Mostly-zero vectors (one-hot features) compare on their non-zeros only.
-    density = ranked.agg(F.avg(F.size(F.filter("vec", lambda x: x != F.lit(0.0))) / F.size("vec"))).first()[0]
-    sparse = density is not None and density < 0.25
     vecs = ranked.select("id", (_nonzeros(F.col("vec")) if sparse else F.col("vec")).alias("vec"))
     dist = _sqdist_sparse if sparse else _sqdist
     cand = (pairs.join(vecs, "id")

@@ -101,20 +101,22 @@ def hash_bucket(col: Column | str, bits: int = 16) -> Column:
 
 
 def with_range_bucket(df: DataFrame, col: str, out: str, rows_per_bucket: int = 250_000,
-                      max_buckets: int = 65_536, accuracy: int = 10_000) -> DataFrame:
+                      max_buckets: int = 65_536, accuracy: int = 10_000, n: int | None = None) -> DataFrame:
     """Add ``out``: the index of ``col``'s value among approximate quantile ranges.
 
     The number of ranges follows the data: about ``rows_per_bucket`` rows per
     range (at most ``max_buckets`` ranges), from one count and one
     ``percentile_approx`` aggregate; small inputs get a single range and no
     sketch at all.  The lookup is ML's ``Bucketizer`` (a JVM-side binary
-    search).  The bucket is non-decreasing in ``col``, so it splits a global
+    search).  ``n``, when the caller already knows the row count (or a bound
+    on it), saves the count.  The bucket is non-decreasing in ``col``, so it splits a global
     ordering led by ``col`` into bounded pieces, and the per-bucket table of
     ``running_sums`` has at most ``max_buckets`` rows per key.  NULL stays
     NULL (sorts first, like the ordering itself); NaN gets the last bucket.
     """
     from pyspark.ml.feature import Bucketizer
-    n = df.count()
+    if n is None:
+        n = df.count()
     n_buckets = max(1, min(max_buckets, -(-n // rows_per_bucket)))
     if n_buckets == 1:
         return df.withColumn(out, F.when(F.col(col).isNotNull(), F.lit(0)).cast("long"))

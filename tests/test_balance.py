@@ -73,3 +73,22 @@ def test_knn_exact_sparse_vectors(spark):
         order = sorted((round(d[j], 9), j) for j in range(len(pts)) if j != i)[:4]
         mine = sorted(got[i])
         assert [(round(dd, 9), j) for _, j, dd in mine] == order, i
+
+
+def test_knn_exact_dense_cluster_and_ties(spark):
+    # A third of the points share one first coordinate and sit in a tiny
+    # cluster; the rest are spread out.  Rank buckets keep the cluster out of
+    # a single join key, and the result must still equal brute force.
+    rnd = random.Random(11)
+    pts = [(i, [0.5, round(rnd.uniform(0, 1e-3), 6), round(rnd.uniform(0, 1e-3), 6)]) for i in range(40)]
+    pts += [(40 + i, [round(rnd.uniform(-50, 50), 2), round(rnd.uniform(-50, 50), 2), round(rnd.uniform(-50, 50), 2)])
+            for i in range(80)]
+    df = spark.createDataFrame(pts, "id long, vec array<double>").repartition(5)
+    got = {}
+    for r in knn(df, 3).collect():
+        got.setdefault(r["id"], []).append((r["nn_rank"], r["nn_id"]))
+    X = np.array([v for _, v in pts])
+    for i, _ in pts:
+        d = np.sqrt(((X - X[i]) ** 2).sum(axis=1))
+        order = sorted((d[j], j) for j in range(len(pts)) if j != i)[:3]
+        assert [j for _, j in sorted(got[i])] == [j for _, j in order], i

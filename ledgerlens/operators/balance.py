@@ -99,11 +99,51 @@ def knn(points: DataFrame, k: int = 5, id_col: str = "id", vec_col: str = "vec",
     """The k nearest other points of every point (Euclidean), exact.
 
     Returns (id, nn_id, nn_rank 1..k, dist); ties broken by neighbour id.
+
+    Identical vectors are collapsed first, so a vector shared by a third of
+    the points costs one row, not all pairs of the group.  Only the k + 1
+    smallest ids of each distinct vector are kept (a bounded top-k window).
+    The neighbours are found among distinct vectors (``_knn_distinct``, keyed
+    by each vector's smallest id).  A point's answer is the top k of its own
+    vector's other ids (distance 0) and the k smallest ids of each of its
+    vector's k nearest other vectors.  This is exact: a point outside those
+    vectors has k points ranked before it by (distance, id).
+    """
+    pts = points.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
+    firsts = (pts.withColumn("_dr", F.row_number().over(Window.partitionBy("vec").orderBy("id")))
+              .filter(F.col("_dr") <= k + 1))
+    firsts = materialize(firsts, "knn_firsts")
+    if firsts.filter(F.col("_dr") == 2).limit(1).count() == 0:
+        return _knn_distinct(firsts.select("id", "vec"), k, n_axes)
+    reps = firsts.filter(F.col("_dr") == 1).select("id", "vec")
+    near = _knn_distinct(reps, k, n_axes)
+    # kept ids with their vector's representative (small tables: <= k + 1 rows per vector)
+    rep_of = reps.select(F.col("id").alias("rep"), "vec")
+    fr = firsts.join(rep_of, "vec").select("id", "rep", "_dr")
+    own = fr.select("rep", F.col("id").alias("nn_id"), F.lit(0.0).alias("dist"))
+    ext = (near.select(F.col("id").alias("rep"), F.col("nn_id").alias("nn_rep"), "dist")
+           .join(fr.filter(F.col("_dr") <= k).select(F.col("rep").alias("nn_rep"), F.col("id").alias("nn_id")),
+                 "nn_rep")
+           .select("rep", "nn_id", "dist"))
+    # per distinct vector: the k + 1 best candidates (one of them may be the point itself)
+    wc = Window.partitionBy("rep").orderBy("dist", "nn_id")
+    cand = (own.unionByName(ext).withColumn("_c", F.row_number().over(wc)).filter(F.col("_c") <= k + 1)
+            .join(rep_of, "rep").select("vec", "nn_id", "dist"))
+    # every point joins its vector's <= k + 1 candidates (a hot vector is a
+    # skewed key against a tiny side, which AQE's skew join splits)
+    w = Window.partitionBy("id").orderBy("dist", "nn_id")
+    return (pts.join(cand, "vec").filter(F.col("nn_id") != F.col("id"))
+            .withColumn("nn_rank", F.row_number().over(w)).filter(F.col("nn_rank") <= k)
+            .select("id", "nn_id", "nn_rank", "dist"))
+
+
+def _knn_distinct(pts: DataFrame, k: int, n_axes: int) -> DataFrame:
+    """kNN over (id, vec) rows whose vectors are pairwise distinct.
+
     Candidate pairs are generated on narrow rows (ids, projections on the
     ``n_axes`` highest-variance axes, radius); a pair survives only if it is
     within the radius on every axis, and only survivors fetch their vectors.
     """
-    pts = points.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
     # 1. axes of largest variance (one aggregate over d columns) and projections
     var = (pts.select(F.posexplode("vec").alias("j", "x")).groupBy("j")
            .agg(F.var_pop("x").alias("v")).orderBy(F.col("v").desc(), F.col("j")).limit(n_axes).collect())

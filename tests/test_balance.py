@@ -92,3 +92,29 @@ def test_knn_exact_dense_cluster_and_ties(spark):
         d = np.sqrt(((X - X[i]) ** 2).sum(axis=1))
         order = sorted((d[j], j) for j in range(len(pts)) if j != i)[:3]
         assert [j for _, j in sorted(got[i])] == [j for _, j in order], i
+
+
+def test_knn_exact_large_duplicate_group(spark):
+    # A third of the points are one identical vector: they are collapsed to one
+    # row, and every point still gets the brute-force answer (ties by id).
+    rnd = random.Random(4)
+    pts = [(i, [1.0, 2.0, 3.0]) for i in range(0, 90, 3)]
+    pts += [(i, [round(rnd.gauss(0, 2), 1) for _ in range(3)]) for i in range(90) if i % 3]
+    pts += [(200 + i, [1.0, 2.5, 3.0]) for i in range(2)]  # a small group at a tied distance
+    df = spark.createDataFrame(pts, "id long, vec array<double>").repartition(4)
+    got = {}
+    for r in knn(df, 4).collect():
+        got.setdefault(r["id"], []).append((r["nn_rank"], r["nn_id"]))
+    X = np.array([v for _, v in pts])
+    ids = [i for i, _ in pts]
+    for a, (i, _) in enumerate(pts):
+        d = np.sqrt(((X - X[a]) ** 2).sum(axis=1))
+        order = sorted((d[b], ids[b]) for b in range(len(pts)) if b != a)[:4]
+        assert [j for _, j in sorted(got[i])] == [j for _, j in order], i
+
+
+def test_knn_single_distinct_vector(spark):
+    df = spark.createDataFrame([(i, [0.5, 0.5]) for i in range(5)], "id long, vec array<double>")
+    got = sorted((r["id"], r["nn_rank"], r["nn_id"]) for r in knn(df, 2).collect())
+    assert got == [(0, 1, 1), (0, 2, 2), (1, 1, 0), (1, 2, 2), (2, 1, 0), (2, 2, 1),
+                   (3, 1, 0), (3, 2, 1), (4, 1, 0), (4, 2, 1)]

@@ -118,3 +118,14 @@ def test_knn_single_distinct_vector(spark):
     got = sorted((r["id"], r["nn_rank"], r["nn_id"]) for r in knn(df, 2).collect())
     assert got == [(0, 1, 1), (0, 2, 2), (1, 1, 0), (1, 2, 2), (2, 1, 0), (2, 2, 1),
                    (3, 1, 0), (3, 2, 1), (4, 1, 0), (4, 2, 1)]
+
+
+def test_knn_duplicate_path_plan(spark):
+    # The duplicate-collapsing path has no all-pairs operator and stays in the JVM.
+    pts = [(i, [1.0, 2.0]) for i in range(0, 60, 3)] + [(i, [float(i % 7), float(i % 5)]) for i in range(60) if i % 3]
+    out = knn(spark.createDataFrame(pts, "id long, vec array<double>"), 3)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    for bad in ("NestedLoop", "Cartesian", "BatchEvalPython", "ArrowEvalPython"):
+        assert bad not in plan, bad
+    assert "WindowGroupLimit" in plan

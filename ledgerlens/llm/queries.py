@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, lines, minhash, mixing, quality
+from . import bpe, html, langid, lines, minhash, mixing, pii, quality, rules, spotsigs
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 
@@ -15,6 +15,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, url, text, n_chars of every page."""
+    pages = _table(spark, sf_dir, "pages")
+    return html.extract(pages, html.fit(pages)).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
     documents = _table(spark, sf_dir, "documents")
@@ -33,11 +39,42 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(_table(spark, sf_dir, "documents"))
 
 
+def op4_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_terms of every document."""
+    return pii.report(_table(spark, sf_dir, "documents"))
+
+
 def op5_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document (three words, 0.85)."""
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id (of documents), page_id (of pages), host, declared, lang, confidence of every document and page.
+
+    A document's host is its source; it declares nothing.
+    """
+    documents, pages = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "pages")
+    records = (pages.select(F.lit("page").alias("kind"), F.col("page_id").cast("long").alias("id"),
+                            F.col("html").alias("content"), langid.host_of("url").alias("host"))
+               .unionByName(documents.select(F.lit("document").alias("kind"), F.col("doc_id").cast("long").alias("id"),
+                                             F.col("text").alias("content"), F.col("source").alias("host"))))
+    found = langid.identify(records, *langid.learn(documents))
+    return found.select(F.when(F.col("kind") == "document", F.col("id")).alias("doc_id"),
+                        F.when(F.col("kind") == "page", F.col("id")).alias("page_id"),
+                        "host", "declared", "lang", "confidence")
+
+
+def op7_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every document."""
+    return spotsigs.neighbours(_table(spark, sf_dir, "documents"))
+
+
+def op8_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept of every document."""
+    return rules.judge(_table(spark, sf_dir, "documents"), facts=True)
+
+
 def op9_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, size, source_size, target, taken of every document."""
     mix = mixing.mix(_table(spark, sf_dir, "documents"))
@@ -49,5 +86,7 @@ def op10_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality, op3_byte_bpe, op5_bbit_minhash, op9_pivotal_mix, op10_line_windows)}
+QUERIES = {f.__name__: f for f in (
+    op1_html_trees, op2_quality, op3_byte_bpe, op4_disclosure, op5_bbit_minhash, op6_language, op7_spotsigs,
+    op8_rule_cascade, op9_pivotal_mix, op10_line_windows)}
 ORACLE_SQL = {"op10_line_windows": lines.ORACLE.format(documents="documents")}

@@ -61,21 +61,27 @@ def seconds_between(prev: str | Column, cur: str | Column) -> Column:
 
 
 def lenient_timestamp(c: str | Column) -> Column:
-    """String -> UTC timestamp, NULL when it does not parse."""
+    """String -> UTC timestamp, NULL when it does not parse.
+
+    Date, or date and time to the minute or finer, with an optional zone
+    (Z, +hh, +hhmm, +hh:mm); without one the time is taken as UTC.
+    """
     s = F.trim(col(c).cast("string"))
-    s = F.regexp_replace(s, r"(Z|[+-]00:?00)$", "")
-    return F.coalesce(
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ss")),
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH:mm:ss")),
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSS")),
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH:mm:ss.SSSSSS")),
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd")),
-    ).cast(T.TimestampNTZType())
+    shape = r"^(\d{4}-\d{2}-\d{2})(?:[T ](\d{2}:\d{2})(:\d{2}(?:\.\d{1,6})?)?)?\s*(Z|[+-]\d{2}(?::?\d{2})?)?$"
+    day, minute, second, zone = (F.regexp_extract(s, shape, k) for k in (1, 2, 3, 4))
+    digits = F.regexp_replace(zone, "[^0-9]", "")
+    offset = (F.when(zone.startswith("-"), -1).otherwise(1)
+              * (F.coalesce(F.substring(digits, 1, 2).try_cast("int"), F.lit(0)) * 60
+                 + F.coalesce(F.substring(digits, 3, 2).try_cast("int"), F.lit(0))))
+    clock = F.concat(F.when(minute == "", "00:00").otherwise(minute), F.when(second == "", ":00").otherwise(second))
+    local = F.concat(day, F.lit(" "), clock).try_cast(T.TimestampNTZType())
+    return local - F.make_dt_interval(F.lit(0), F.lit(0), offset, F.lit(0))
 
 
 def lenient_double(c: str | Column) -> Column:
-    """Anything -> double, NULL when it does not parse."""
-    return F.trim(col(c).cast("string")).try_cast("double")
+    """Anything -> double, NULL when it is no decimal number, NaN or infinity."""
+    s = F.trim(col(c).cast("string"))
+    return F.when(s.rlike(r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|nan|inf|infinity)$"), s.try_cast("double"))
 
 
 def empty_to_null(c: str | Column) -> Column:

@@ -42,9 +42,8 @@ def class_counts(df: DataFrame, label: str = "is_fraud") -> tuple[int, int]:
 
 
 def scale_pos_weight(neg: int, pos: int) -> float | None:
-    """A10: neg / max(pos, 1) (1.0 without positives), applied only when > 3."""
-    spw = (neg / max(pos, 1)) if pos > 0 else 1.0
-    return spw if spw > 3.0 else None
+    """A10: negatives for each positive, None where that is at most 3 or there are no positives."""
+    return neg / pos if pos and neg > 3 * pos else None
 
 
 def with_pos_weight(df: DataFrame, label: str = "is_fraud", out: str = "weight") -> tuple[DataFrame, float | None]:
@@ -57,21 +56,16 @@ def with_pos_weight(df: DataFrame, label: str = "is_fraud", out: str = "weight")
 def with_balanced_weight(df: DataFrame, label: str = "is_fraud", out: str = "weight") -> DataFrame:
     """N / (n_classes * n_c) per row (the 'balanced' class weight)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    # one row per class: the window and the broadcast are bounded by the class count
+    # one row per class: the window is bounded by the class count
     every = Window.partitionBy()
     w = counts.select(label, (F.sum("_nc").over(every) / (F.count(F.lit(1)).over(every) * F.col("_nc"))).alias(out))
-    return df.join(F.broadcast(w), label, "left")
+    return df.join(w, label, "left")
 
 
-def use_smote(policy: str, dataset: str = "primary", n_rows: int | None = None,
-              row_limit: int | None = None) -> bool:
-    """SP7: 'always'; or 'auto' and not the card data set; the cross-dataset
-    flow also requires fewer than ``row_limit`` rows."""
+def use_smote(policy: str, dataset: str = "primary") -> bool:
+    """SP7: 'always'; or 'auto' and not the card data set.  Never decided by a row count."""
     p = (policy or "auto").lower()
-    ok = p == "always" or (p == "auto" and dataset != "ulb")
-    if row_limit is not None and n_rows is not None:
-        ok = ok and n_rows < row_limit
-    return ok
+    return p == "always" or (p == "auto" and dataset != "ulb")
 
 
 # ------------------------------------------------------------------ J4
@@ -227,7 +221,8 @@ def _u32(h: Column, start: int) -> Column:
 def smote(df: DataFrame, label: str = "label", vec_col: str = "vec", id_col: str = "id", k: int = 5,
           seed: int = RANDOM_SEED) -> DataFrame:
     """SP6 + U2: raise the minority class to the majority count with
-    synthetic rows, returned together with the originals.
+    synthetic rows, returned together with the originals.  Fewer than k + 1
+    minority rows raise an error.
 
     Output columns: id (synthetic ids 'syn_<j>'), label, vec, synthetic (bool).
     """
@@ -241,11 +236,12 @@ def smote(df: DataFrame, label: str = "label", vec_col: str = "vec", id_col: str
     minority, m = counts[0]["label"], int(counts[0]["c"])
     majority_n = int(counts[-1]["c"])
     need = majority_n - m
-    if need <= 0 or m < 2:
+    if need <= 0:
         return originals
-    kk = min(k, m - 1)
+    if m <= k:
+        raise ValueError(f"SMOTE with k = {k} needs at least {k + 1} minority rows, got {m}")
     mino = base.filter(F.col("label") == minority)
-    nn = knn(mino, kk, "id", "vec")
+    nn = knn(mino, k, "id", "vec")
     # dense 1..m numbering of minority rows (by id hash): bucketed ranks
     mino = mino.withColumn("_h", F.md5(F.concat(F.col("id"), F.lit(f":{seed}")))).withColumn("_g", F.lit(0))
     mino = row_number_within(mino, ["_g"], F.conv(F.substring("_h", 1, 4), 16, 10).cast("long"), ["_h", "id"],
@@ -254,7 +250,7 @@ def smote(df: DataFrame, label: str = "label", vec_col: str = "vec", id_col: str
     h = F.md5(F.concat(F.lit(f"{seed}:"), F.col("j").cast("string")))
     draws = spark.range(need).withColumnRenamed("id", "j").select(
         "j", (F.pmod(_u32(h, 1), F.lit(m)) + 1).alias("pos"),
-        (F.pmod(_u32(h, 9), F.lit(kk)) + 1).alias("nn_rank"),
+        (F.pmod(_u32(h, 9), F.lit(k)) + 1).alias("nn_rank"),
         (_u32(h, 17) / F.lit(4294967296.0)).alias("u"))
     base_rows = mino.select("pos", F.col("id").alias("base_id"), F.col("vec").alias("x"))
     nvec = mino.select(F.col("id").alias("nn_id"), F.col("vec").alias("y"))

@@ -103,16 +103,20 @@ def ranking_metrics(pred: DataFrame, st: DataFrame | None = None) -> DataFrame:
                                 F.first("P").alias("P"), F.first("N").alias("N"))
     two = (F.col("P") > 0) & (F.col("N") > 0)
     return agg.select(MODEL,
-                      F.when(two, F.col("_auc") / (F.col("P") * F.col("N"))).otherwise(F.lit(0.0)).alias("roc_auc"),
+                      F.when(two, F.col("_auc") / F.col("P") / F.col("N")).otherwise(F.lit(0.0)).alias("roc_auc"),
                       F.when(two, F.col("_ap") / F.col("P")).otherwise(F.lit(0.0)).alias("pr_auc"))
 
 
 def roc_points(pred: DataFrame, st: DataFrame | None = None) -> DataFrame:
-    """E5: (threshold, fpr, tpr) at every distinct score."""
+    """E5: (threshold, fpr, tpr) at every distinct score, plus the start point
+    (0, 0) above the highest score, with a NULL threshold."""
     st = _ge_counts(st if st is not None else score_table(pred))
-    return st.select(MODEL, F.col("score").alias("threshold"),
-                     _div0(F.col("fp_ge"), F.col("N")).alias("fpr"),
-                     _div0(F.col("tp_ge"), F.col("P")).alias("tpr"))
+    pts = st.select(MODEL, F.col("score").alias("threshold"),
+                    _div0(F.col("fp_ge"), F.col("N")).alias("fpr"),
+                    _div0(F.col("tp_ge"), F.col("P")).alias("tpr"))
+    start = st.select(MODEL).distinct().select(MODEL, F.lit(None).cast("double").alias("threshold"),
+                                               F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    return pts.unionByName(start)
 
 
 def pr_points(pred: DataFrame, st: DataFrame | None = None) -> DataFrame:
@@ -232,7 +236,8 @@ def _m1(c: str) -> Column:
 
 def rank_models(records: DataFrame) -> DataFrame:
     """Rank by (pr_auc, f1, roc_auc) desc, missing = -1 (ties: name);
-    bar widths int(100 * x / max) for pr_auc and f1 (max over present values, 1 if none)."""
+    bar widths int(100 * x / max) for pr_auc and f1 (max over present values, 1 if none;
+    0 where the maximum is 0)."""
     # Model tables are one row per model: a single ordered window is bounded by the model count.
     w = Window.orderBy(_m1("pr_auc").desc(), _m1("f1").desc(), _m1("roc_auc").desc(), F.col("name"))
     allw = Window.partitionBy()
@@ -242,29 +247,35 @@ def rank_models(records: DataFrame) -> DataFrame:
         F.coalesce(F.max("pr_auc").over(allw), F.lit(1.0)).alias("_mpr"),
         F.coalesce(F.max("f1").over(allw), F.lit(1.0)).alias("_mf1"))
     width = lambda c, m: F.when(F.col(c).isNull(), F.lit(0)).otherwise(
-        F.floor(F.lit(100.0) * F.col(c) / F.col(m)).cast("int"))
+        F.coalesce(F.floor(F.try_divide(F.lit(100.0) * F.col(c), F.col(m))).cast("int"), F.lit(0)))
     return out.select("name", "rank", "pr_auc", "f1", "roc_auc",
                       width("pr_auc", "_mpr").alias("pr_width"), width("f1", "_mf1").alias("f1_width"))
 
 
 def best_model(records: DataFrame) -> DataFrame:
-    """Argmax of (pr_auc, f1, roc_auc) with missing = -1; the criterion is
-    'pr_auc' unless no model has a pr_auc, then 'f1' (argmax of (f1, roc_auc))."""
-    any_pr = F.max(F.col("pr_auc").isNotNull().cast("int")) == 1
-    by_all = F.max_by("name", F.struct(_m1("pr_auc"), _m1("f1"), _m1("roc_auc"), F.col("name")))
-    by_f1 = F.max_by("name", F.struct(_m1("f1"), _m1("roc_auc"), F.col("name")))
-    return records.agg(F.when(any_pr, F.lit("pr_auc")).otherwise(F.lit("f1")).alias("by"),
-                       F.when(any_pr, by_all).otherwise(by_f1).alias("name"))
+    """The first of ``rank_models`` and the criterion that ranked it: 'pr_auc' if any
+    model has one, else 'f1', else 'roc_auc'.  No row for no models."""
+    has = {c: F.max(F.col(c).isNotNull().cast("int")) == 1 for c in ("pr_auc", "f1")}
+    by = F.when(has["pr_auc"], F.lit("pr_auc")).when(has["f1"], F.lit("f1")).otherwise(F.lit("roc_auc"))
+    return (records.agg(by.alias("by"), _first_name("pr_auc", "f1", "roc_auc").alias("name"))
+            .filter(F.col("name").isNotNull()))
+
+
+def _first_name(*by: str) -> Column:
+    """The name that is highest by these metrics; the smaller name wins ties, as in ``rank_models``."""
+    return F.min_by("name", F.struct(*[(-_m1(c)).alias(f"k{i}") for i, c in enumerate(by)], F.col("name")))
 
 
 def best_by_f1(records: DataFrame) -> DataFrame:
-    """The model with the highest f1 (ties: name)."""
-    return records.agg(F.max_by("name", F.struct(_m1("f1"), F.col("name"))).alias("name"))
+    """The model with the highest f1 (ties: the smaller name).  No row for no models."""
+    return records.agg(_first_name("f1").alias("name")).filter(F.col("name").isNotNull())
 
 
-def best_trial(trials: DataFrame, score: str = "f1", order: str = "trial") -> DataFrame:
-    """Argmax of ``score`` over a tuning grid, the first trial winning ties."""
-    return trials.orderBy(F.col(score).desc(), F.col(order).asc()).limit(1)
+def best_trial(trials: DataFrame, score: str = "f1", order: str = "trial", by: list[str] | None = None) -> DataFrame:
+    """Argmax of ``score`` over a tuning grid (for each value of ``by``), the first trial winning ties."""
+    row = F.struct(*[F.col(c) for c in trials.columns])
+    best = trials.groupBy(*(by or [])).agg(F.min_by(row, F.struct((-F.col(score)).alias("s"), F.col(order))).alias("_t"))
+    return best.filter(F.col("_t").isNotNull()).select("_t.*")
 
 
 def merge_metric_sources(legacy: DataFrame, per_model: DataFrame) -> DataFrame:

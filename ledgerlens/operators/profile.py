@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .quantiles import Stat, quantiles
+from .quantiles import Stat, quantiles, number
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
                  T.DecimalType)
@@ -44,7 +44,7 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None) -> DataFr
     spark = df.sparkSession
     if not cols:
         return spark.createDataFrame([], DESCRIBE_NUMERIC_SCHEMA)
-    x = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    x = df.select(*[number(c).alias(c) for c in cols])
     row = {}
     for i, c in enumerate(cols):
         row.update({f"n{i}": F.count(c), f"m{i}": F.avg(c), f"s{i}": F.stddev_samp(c),

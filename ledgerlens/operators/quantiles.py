@@ -27,7 +27,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_ACCURACY = 10_000
@@ -48,6 +48,12 @@ class Stat:
     kind: str = "disc"
 
 
+def number(c: str) -> Column:
+    """A column as double, NaN counting as missing."""
+    x = F.col(c).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def _ranks(s: Stat, n: int) -> list[int]:
     if s.kind == "disc":
         return [max(1, min(n, math.ceil(s.p * n)))]
@@ -71,8 +77,9 @@ def quantiles(df: DataFrame, stats: Sequence[Stat], accuracy: int = DEFAULT_ACCU
     cols = sorted({s.col for s in stats})
     idx = {c: i for i, c in enumerate(cols)}
     extra = extra if extra is not None else {}
-    vals = df.select(*[F.col(c).cast("double").alias(f"_q{i}") for i, c in enumerate(cols)])
-    src = df.select("*", *[F.col(c).cast("double").alias(f"_q{i}") for i, c in enumerate(cols)]) if extra else vals
+    value = [number(c).alias(f"_q{i}") for i, c in enumerate(cols)]
+    vals = df.select(*value)
+    src = df.select("*", *value) if extra else vals
     # Columns of at most ``max_band`` values need no brackets: one grouped
     # count per (column, value) and a running count per column find every rank.
     crow = src.agg(*[F.count(f"_q{i}").alias(f"n{i}") for i in range(len(cols))],
@@ -84,7 +91,6 @@ def quantiles(df: DataFrame, stats: Sequence[Stat], accuracy: int = DEFAULT_ACCU
                         for r in _ranks(s, crow[f"n{idx[s.col]}"])})
         got = _walk_columns(vals, ranks)
         return _finish(stats, idx, crow, got)
-    extra = {}
     eps = 2.0 / accuracy
     probs: dict[int, list[float]] = {i: [] for i in range(len(cols))}
     for s in stats:
@@ -95,9 +101,7 @@ def quantiles(df: DataFrame, stats: Sequence[Stat], accuracy: int = DEFAULT_ACCU
     for i, ps in probs.items():
         if ps:
             aggs.append(F.percentile_approx(f"_q{i}", ps, accuracy).alias(f"a{i}"))
-    row = src.agg(*aggs, *[a.alias(f"_x_{k}") for k, a in extra.items()]).first().asDict()
-    for k in list(extra):
-        extra[k] = row[f"_x_{k}"]
+    row = vals.agg(*aggs).first().asDict()
     items = {}  # (column index, rank) -> (lower, upper) bracket
     for s in stats:
         i = idx[s.col]

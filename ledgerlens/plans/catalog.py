@@ -38,56 +38,45 @@ def r6(c) -> F.Column:
 
 RAW_CTE = f"raw AS ({fx.TRANSACTIONS_SQL})"
 
+# SURVEY P1, P2, P4-P6: the raw row with its typed, trimmed and derived columns.
 BASE_CTE = """
 base AS (
-  SELECT CAST(TransactionID AS VARCHAR) AS TransactionID, CAST(AccountID AS VARCHAR) AS AccountID,
-         CAST(TransactionAmount AS DOUBLE) AS TransactionAmount, CAST(TransactionDate AS TIMESTAMP) AS TransactionDate,
-         trim(TransactionType) AS TransactionType, trim(Location) AS Location, trim(DeviceID) AS DeviceID,
-         trim(IP_Address) AS IP_Address, trim(MerchantID) AS MerchantID, trim(Channel) AS Channel,
-         CAST(CustomerAge AS BIGINT) AS CustomerAge, trim(CustomerOccupation) AS CustomerOccupation,
-         CAST(TransactionDuration AS BIGINT) AS TransactionDuration, CAST(LoginAttempts AS BIGINT) AS LoginAttempts,
-         CAST(AccountBalance AS DOUBLE) AS AccountBalance,
-         CAST(PreviousTransactionDate AS TIMESTAMP) AS PreviousTransactionDate,
-         TransactionAmount / NULLIF(AccountBalance, 0) AS amt_to_bal,
-         CAST(hour(TransactionDate) AS INTEGER) AS txn_hour,
-         CAST(dayofweek(TransactionDate) AS INTEGER) AS txn_dow,
+  SELECT TransactionID::VARCHAR AS TransactionID, AccountID::VARCHAR AS AccountID,
+         TransactionAmount::DOUBLE AS TransactionAmount, TransactionDate::TIMESTAMP AS TransactionDate,
+         CustomerAge::BIGINT AS CustomerAge, TransactionDuration::BIGINT AS TransactionDuration,
+         LoginAttempts::BIGINT AS LoginAttempts, AccountBalance::DOUBLE AS AccountBalance,
+         PreviousTransactionDate::TIMESTAMP AS PreviousTransactionDate,
+         trim(COLUMNS('^(TransactionType|Location|DeviceID|IP_Address|MerchantID|Channel|CustomerOccupation)$')),
+         if(AccountBalance = 0, NULL, TransactionAmount / AccountBalance) AS amt_to_bal,
+         extract('hour' FROM TransactionDate)::INTEGER AS txn_hour,
+         extract('dow' FROM TransactionDate)::INTEGER AS txn_dow,
          date_sub('minute', PreviousTransactionDate, TransactionDate) AS minutes_since_prev
   FROM raw)"""
 
+# A1: the four cut-offs.
 STATS_CTE = """
 stats AS (
-  SELECT quantile_disc(TransactionAmount, 0.90) AS amount_p90,
-         quantile_disc(TransactionAmount, 0.95) AS amount_p95,
-         quantile_disc(amt_to_bal, 0.95) AS ratio_p95,
-         quantile_disc(LoginAttempts, 0.95) AS logins_p95
-  FROM base)"""
+  SELECT q_amount[1] AS amount_p90, q_amount[2] AS amount_p95, ratio_p95, logins_p95
+  FROM (SELECT quantile_disc(TransactionAmount, [0.90, 0.95]) AS q_amount, quantile_disc(amt_to_bal, 0.95) AS ratio_p95,
+               quantile_disc(LoginAttempts, 0.95) AS logins_p95 FROM base))"""
 
+# A list of the six conditions makes the flags, their sum and the label.
 CURATED_CTE = """
-rules AS (
-  SELECT b.*,
-         CAST(CASE WHEN b.txn_dow IN (0, 6) THEN 1 ELSE 0 END AS INTEGER) AS is_weekend,
-         CAST(CASE WHEN b.TransactionAmount >= s.amount_p95 THEN 1 ELSE 0 END AS INTEGER) AS flag_high_amount,
-         CAST(CASE WHEN b.amt_to_bal >= s.ratio_p95 THEN 1 ELSE 0 END AS INTEGER) AS flag_high_ratio,
-         CAST(CASE WHEN b.LoginAttempts >= greatest(s.logins_p95, 3) THEN 1 ELSE 0 END AS INTEGER) AS flag_many_logins,
-         CAST(CASE WHEN b.txn_hour BETWEEN 0 AND 5 THEN 1 ELSE 0 END AS INTEGER) AS flag_night,
-         CAST(CASE WHEN b.minutes_since_prev IS NOT NULL AND b.minutes_since_prev <= 2
-                    AND b.TransactionAmount >= s.amount_p90 THEN 1 ELSE 0 END AS INTEGER) AS flag_rapid_repeat_high,
-         CAST(CASE WHEN b.txn_dow IN (0, 6) AND b.TransactionAmount >= s.amount_p90 THEN 1 ELSE 0 END AS INTEGER)
-           AS flag_weekend_high
-  FROM base b CROSS JOIN stats s),
+flagged AS (
+  SELECT b.*, list_transform(
+           [TransactionAmount >= amount_p95, amt_to_bal >= ratio_p95, LoginAttempts >= greatest(logins_p95, 3), txn_hour <= 5,
+            minutes_since_prev <= 2 AND TransactionAmount >= amount_p90,
+            txn_dow % 6 = 0 AND TransactionAmount >= amount_p90], lambda c: coalesce(c, false)::INTEGER) AS flags
+  FROM base b, stats),
 curated AS (
-  SELECT TransactionID, AccountID, TransactionAmount, TransactionDate, TransactionType, Location, DeviceID,
-         IP_Address, MerchantID, Channel, CustomerAge, CustomerOccupation, TransactionDuration, LoginAttempts,
-         AccountBalance, PreviousTransactionDate, amt_to_bal, txn_hour, is_weekend, minutes_since_prev,
-         flag_high_amount, flag_high_ratio, flag_many_logins, flag_night, flag_rapid_repeat_high, flag_weekend_high,
-         CAST(flag_high_amount + flag_high_ratio + flag_many_logins + flag_night + flag_rapid_repeat_high
-              + flag_weekend_high AS INTEGER) AS risk_score,
-         CAST(CASE WHEN flag_high_amount + flag_high_ratio + flag_many_logins + flag_night + flag_rapid_repeat_high
-                        + flag_weekend_high >= 2 THEN 1 ELSE 0 END AS INTEGER) AS is_fraud,
+  SELECT * EXCLUDE (flags, txn_dow), coalesce(txn_dow % 6 = 0, false)::INTEGER AS is_weekend,
+         flags[1] AS flag_high_amount, flags[2] AS flag_high_ratio, flags[3] AS flag_many_logins, flags[4] AS flag_night,
+         flags[5] AS flag_rapid_repeat_high, flags[6] AS flag_weekend_high, list_sum(flags)::INTEGER AS risk_score,
+         (list_sum(flags) >= 2)::INTEGER AS is_fraud,
          array_to_string(list_filter([TransactionType, Location, Channel, MerchantID, DeviceID, IP_Address],
-                                     lambda x: x IS NOT NULL AND x <> ''), ' ') AS nlp_text,
+                                     lambda x: x <> ''), ' ') AS nlp_text,
          'heuristic_v2' AS label_source
-  FROM rules)"""
+  FROM flagged)"""
 
 
 def with_ctes(*ctes: str) -> str:
@@ -502,9 +491,10 @@ def q_metrics_ranking(spark, sf_dir):
 
 
 @register("roc_curve", METRICS_WITH + "SELECT model, score AS threshold, "
-          "round(coalesce(fp_ge / nullif(N, 0), 0), 6) AS fpr, round(coalesce(tp_ge / nullif(P, 0), 0), 6) AS tpr FROM ge")
+          "round(coalesce(fp_ge / nullif(N, 0), 0), 6) AS fpr, round(coalesce(tp_ge / nullif(P, 0), 0), 6) AS tpr FROM ge "
+          "UNION ALL SELECT DISTINCT model, CAST(NULL AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE) FROM ge")
 def q_roc_curve(spark, sf_dir):
-    """E5: ROC points at every distinct score."""
+    """E5: ROC points at every distinct score and the start point (0, 0)."""
     return _r6(mt.roc_points(predictions(spark, sf_dir)), "fpr", "tpr")
 
 
@@ -584,8 +574,8 @@ def q_metrics_comparison(spark, sf_dir):
        CAST(row_number() OVER (ORDER BY coalesce(pr_auc, -1) DESC, coalesce(f1, -1) DESC,
                                         coalesce(roc_auc, -1) DESC, name) AS INTEGER) AS rank,
        round(pr_auc, 6) AS pr_auc, round(f1, 6) AS f1, round(roc_auc, 6) AS roc_auc,
-       CAST(floor(100 * pr_auc / max(pr_auc) OVER ()) AS INTEGER) AS pr_width,
-       CAST(floor(100 * f1 / max(f1) OVER ()) AS INTEGER) AS f1_width
+       CAST(coalesce(floor(100 * pr_auc / nullif(max(pr_auc) OVER (), 0)), 0) AS INTEGER) AS pr_width,
+       CAST(coalesce(floor(100 * f1 / nullif(max(f1) OVER (), 0)), 0) AS INTEGER) AS f1_width
 FROM records""")
 def q_model_ranking(spark, sf_dir):
     """Models ranked by (pr_auc, f1, roc_auc); bar widths."""
@@ -593,14 +583,14 @@ def q_model_ranking(spark, sf_dir):
     return _r6(r.withColumn("rank", F.col("rank").cast("int")), "pr_auc", "f1", "roc_auc")
 
 
-@register("best_model", METRICS_WITH + "SELECT 'pr_auc' AS by, arg_max(name, (pr_auc, f1, roc_auc, name)) AS name "
-          "FROM records")
+@register("best_model", METRICS_WITH + "SELECT 'pr_auc' AS by, name FROM records "
+          "ORDER BY pr_auc DESC, f1 DESC, roc_auc DESC, name LIMIT 1")
 def q_best_model(spark, sf_dir):
     """Best model by (pr_auc, f1, roc_auc) and the criterion used."""
     return mt.best_model(mt.evaluate(predictions(spark, sf_dir)))
 
 
-@register("best_model_f1", METRICS_WITH + "SELECT arg_max(name, (f1, name)) AS name FROM records")
+@register("best_model_f1", METRICS_WITH + "SELECT name FROM records ORDER BY f1 DESC, name LIMIT 1")
 def q_best_model_f1(spark, sf_dir):
     """Best model by f1 alone."""
     return mt.best_by_f1(mt.evaluate(predictions(spark, sf_dir)))
@@ -613,18 +603,18 @@ THRESHOLD_GRID = [round(0.05 * i, 2) for i in range(1, 20)]
 grid AS (
   SELECT CAST(i AS INTEGER) AS trial, round(0.05 * i, 2) AS thr FROM range(1, 20) t(i)),
 trials AS (
-  SELECT g.trial, g.thr,
+  SELECT p.model, g.trial, g.thr,
          coalesce(CAST(2 * count(*) FILTER (WHERE label = 1 AND score >= g.thr) AS DOUBLE)
                   / nullif(count(*) FILTER (WHERE label = 1) + count(*) FILTER (WHERE score >= g.thr), 0), 0) AS f1
-  FROM pred p, grid g WHERE p.model = 'm97' GROUP BY g.trial, g.thr)
-SELECT trial, thr, round(f1, 6) AS f1 FROM trials ORDER BY f1 DESC, trial LIMIT 1""")
+  FROM pred p, grid g GROUP BY p.model, g.trial, g.thr)
+SELECT model, trial, thr, round(f1, 6) AS f1 FROM trials
+QUALIFY row_number() OVER (PARTITION BY model ORDER BY f1 DESC, trial) = 1""")
 def q_threshold_grid_best(spark, sf_dir):
-    """Argmax of validation f1 over a grid of trials (first trial wins ties).
+    """For each model the argmax of validation f1 over a grid of trials (first trial wins ties).
 
-    The trials are decision thresholds 0.05..0.95 for model m97; every trial is
-    one conditional count in a single aggregate over the predictions.
+    The trials are decision thresholds 0.05..0.95; every trial is one
+    conditional count in a single aggregate over the predictions.
     """
-    p = predictions(spark, sf_dir).filter(F.col("model") == "m97")
     aggs = []
     for i, t in enumerate(THRESHOLD_GRID, start=1):
         tp = F.count(F.when((F.col("label") == 1) & (F.col("score") >= t), 1))
@@ -632,8 +622,9 @@ def q_threshold_grid_best(spark, sf_dir):
         pos = F.count(F.when(F.col("label") == 1, 1))
         aggs.append(F.struct(F.lit(i).alias("trial"), F.lit(t).alias("thr"),
                              mt._div0(2 * tp, pos + pp).alias("f1")))
-    trials = p.agg(F.array(*aggs).alias("t")).select(F.explode("t").alias("t")).select("t.*")
-    return _r6(mt.best_trial(trials, "f1", "trial"), "f1")
+    trials = (predictions(spark, sf_dir).groupBy("model").agg(F.array(*aggs).alias("t"))
+              .select("model", F.explode("t").alias("t")).select("model", "t.*"))
+    return _r6(mt.best_trial(trials, "f1", "trial", by=["model"]), "f1")
 
 
 @register("merged_metrics", METRICS_WITH.rstrip() + """,
@@ -641,7 +632,7 @@ tuned AS (
   SELECT p.model AS name, coalesce(CAST(2 * count(*) FILTER (WHERE label = 1 AND score >= best) AS DOUBLE)
          / nullif(count(*) FILTER (WHERE label = 1) + count(*) FILTER (WHERE score >= best), 0), 0) AS f1,
          max(best) AS threshold
-  FROM pred p JOIN best b ON p.model = b.model WHERE p.model = 'm97' GROUP BY p.model)
+  FROM pred p JOIN best b ON p.model = b.model GROUP BY p.model)
 SELECT coalesce(t.name, r.name) AS name,
        CASE WHEN t.name IS NOT NULL THEN NULL ELSE round(r.roc_auc, 6) END AS roc_auc,
        CASE WHEN t.name IS NOT NULL THEN NULL ELSE round(r.pr_auc, 6) END AS pr_auc,
@@ -657,9 +648,9 @@ def q_merged_metrics(spark, sf_dir):
     wins), then the threshold fallback chain."""
     p = predictions(spark, sf_dir)
     legacy = mt.evaluate(p)
-    thr = mt.best_f1_threshold(p).filter(F.col("model") == "m97")
+    thr = mt.best_f1_threshold(p)
     tuned = mt.classification_metrics(mt.confusion(
-        p.filter(F.col("model") == "m97").join(thr.select("model", F.col("threshold").alias("_t")), "model"),
+        p.join(thr.select("model", F.col("threshold").alias("_t")), "model"),
         F.col("_t"))).join(thr.select("model", "threshold"), "model")
     per_model = tuned.select(F.col("model").alias("name"), "f1", "threshold")
     m = mt.merge_metric_sources(legacy, per_model)
@@ -965,12 +956,11 @@ def q_ingest_stream(spark, sf_dir):
 def _requests_sql_fields():
     return """CAST(TransactionID AS VARCHAR) AS TransactionID, AccountID,
        CASE WHEN CAST(TransactionID AS BIGINT) % 29 = 0 THEN NULL ELSE TransactionAmount END AS TransactionAmount,
-       CASE WHEN CAST(TransactionID AS BIGINT) % 23 = 0 THEN NULL ELSE date_trunc('second', TransactionDate) END
-         AS TransactionDate,
+       CASE WHEN CAST(TransactionID AS BIGINT) % 23 = 0 THEN NULL ELSE TransactionDate END AS TransactionDate,
        TransactionType, Location, DeviceID, IP_Address, MerchantID, Channel,
        CAST(CustomerAge AS DOUBLE) AS CustomerAge, CustomerOccupation,
        CAST(TransactionDuration AS DOUBLE) AS TransactionDuration, CAST(LoginAttempts AS DOUBLE) AS LoginAttempts,
-       AccountBalance, date_trunc('second', PreviousTransactionDate) AS PreviousTransactionDate, nlp_text"""
+       AccountBalance, PreviousTransactionDate, nlp_text"""
 
 
 def request_json(df):
@@ -980,7 +970,7 @@ def request_json(df):
     for c in df.columns:
         x = F.col(c)
         if c in ("TransactionDate", "PreviousTransactionDate"):
-            x = F.date_format(x, "yyyy-MM-dd HH:mm:ss")
+            x = F.date_format(x, "yyyy-MM-dd HH:mm:ss.SSSSSS")
             if c == "TransactionDate":
                 x = F.when(tid % 23 == 0, F.lit("not-a-date")).otherwise(x)
         elif c == "TransactionAmount":
@@ -1008,15 +998,13 @@ def q_request_typing(spark, sf_dir):
 
 @register("scored_requests")
 def q_scored_requests(spark, sf_dir):
-    """M8 (+P23-P25, P28, E14): test-split transactions sent as JSON requests and
-    scored by the fitted preprocessor and boosted trees at the tuned threshold."""
+    """M8 (+P23-P25, P28, E14): all transactions sent as JSON requests and scored by
+    the fitted preprocessor and boosted trees at the tuned threshold."""
     prep = prepared(spark, sf_dir)
     model = gbt_model(spark, sf_dir)
     thr_row = mt.best_f1_threshold(gbt_val_scores(spark, sf_dir)).first()
     threshold = float(thr_row["threshold"]) if thr_row is not None else mt.DEFAULT_THRESHOLD
-    test_ids = prep.test.select("TransactionID")
-    rows = curated(spark, sf_dir).join(test_ids, "TransactionID").select(*REQUEST_COLS)
-    req = io.parse_requests(request_json(rows))
+    req = io.parse_requests(request_json(curated(spark, sf_dir).select(*REQUEST_COLS)))
     return sc.score_requests(req, prep.preproc, model, threshold, prep.secs_median)
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -44,15 +45,15 @@ def apply_runtime_conf(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-_fallback_dirs: dict[str, str] = {}
+_local_dirs: dict[str, str] = {}
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is missing (local tests) do we fall back to a
-    folder of our own, registered as the context's checkpoint folder so later
-    calls agree.
+    Where it is unset, a session of one machine (master ``local``) gets a temporary folder,
+    registered as the context's checkpoint folder so that later calls agree; on a cluster that
+    folder would be a different disk for each executor, so an unset setting is an error.
     """
     d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
@@ -62,9 +63,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
             d = None
     if not d:
         app = spark.sparkContext.applicationId
-        d = _fallback_dirs.get(app) or os.path.join(os.environ.get("TMPDIR", "/tmp"),
-                                                    f"ledgerlens-checkpoints-{app}")
-        _fallback_dirs[app] = d
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if app not in _local_dirs:
+            _local_dirs[app] = tempfile.mkdtemp(prefix="ledgerlens-")
+        d = _local_dirs[app]
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
@@ -92,7 +95,7 @@ def materialize(df, name: str = "table"):
 
 
 def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
-               partition_bytes: int = 256 * 1024 * 1024, max_partitions: int = 200_000) -> dict:
+               partition_bytes: int = 256 * 1024 * 1024) -> dict:
     """Cluster settings sized from the input volume.
 
     * shuffle partitions ~ input / ``partition_bytes`` (at least two waves of
@@ -104,7 +107,7 @@ def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
       (the size check), and splits skewed partitions of sort-merge joins.
     """
     cores = max(1, executors * cores_per_executor)
-    parts = int(min(max_partitions, max(2 * cores, -(-input_bytes // partition_bytes))))
+    parts = max(2 * cores, -(-input_bytes // partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),

@@ -52,7 +52,6 @@ def test_smote_properties(spark):
 def test_weights_and_policy():
     assert scale_pos_weight(90, 10) == 9.0 and scale_pos_weight(30, 10) is None
     assert use_smote("auto", "primary") and not use_smote("auto", "ulb") and use_smote("always", "ulb")
-    assert not use_smote("auto", "primary", n_rows=200_000, row_limit=120_000)
 
 
 def test_knn_exact_sparse_vectors(spark):

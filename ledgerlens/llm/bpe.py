@@ -82,11 +82,21 @@ def serialise(tokens: list[bytes]) -> bytes:
     return b"".join(pieces) + _field(2, trainer) + _field(3, identity)
 
 
-def ascii_pattern(pattern: str) -> str | None:
-    """The pre-token pattern for texts of ASCII alone, in the faster standard engine; None if it has other classes."""
-    twin = (pattern.replace(r"[^\s\p{L}\p{N}]", r"[^\sA-Za-z0-9]").replace(r"\p{L}", "[A-Za-z]")
-            .replace(r"\p{N}", "[0-9]"))
-    return None if r"\p" in twin else twin
+def latin_pattern(pattern: str) -> str | None:
+    """The pattern for texts of the first 256 characters alone, its classes spelt out for the faster standard engine.
+
+    None if it has a class that isn't known here.
+    """
+    import regex
+    members = {c: "".join(re.escape(chr(k)) for k in range(256) if regex.match(c, chr(k))) for c in (r"\p{L}", r"\p{N}", r"\s")}
+
+    def spell(part: str, wrap: str) -> str:
+        for c, chars in members.items():
+            part = part.replace(c, wrap.format(chars))
+        return part.replace(r"\S", f"[^{members[r'\s']}]")
+    pieces = re.split(r"(\[[^\]]*\])", pattern)  # odd ones are bracketed
+    twin = "".join(spell(x, "{}" if k % 2 else "[{}]") for k, x in enumerate(pieces))
+    return None if r"\p" in twin or re.search(r"\\[A-Za-z]", twin.replace("\\\\", "")) else twin
 
 
 class Codec:
@@ -100,8 +110,8 @@ class Codec:
         self.rank = {t: i for i, t in enumerate(tokens)}
         self.known: dict[str, bytes] = {}  # packed ids by pre-token
         self.split = regex.compile(pattern).findall
-        twin = ascii_pattern(pattern)
-        self.split_ascii = re.compile(twin, re.ASCII).findall if twin else self.split
+        twin = latin_pattern(pattern)
+        self.split_latin = re.compile(twin).findall if twin else self.split
 
     def _learn(self, parts: list[str]) -> dict[str, bytes]:
         """Packed ids of pre-tokens: a token's own rank, else what the model finds, all in one call."""
@@ -118,7 +128,7 @@ class Codec:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
-        cut = [(self.split_ascii if t.isascii() else self.split)(t) if t else [] for t in texts]
+        cut = [(self.split_latin if _is_latin(t) else self.split)(t) if t else [] for t in texts]
         found = [list(map(self.known.get, parts)) for parts in cut]
         gaps = [[i for i, x in enumerate(ids) if x is None] for ids in found]
         fresh = self._learn(list({parts[i] for parts, gap in zip(cut, gaps) for i in gap}))
@@ -135,6 +145,13 @@ class Codec:
         return b"".join([tokens[i] for i in memoryview(ids).cast("I")]) if ids else b""
 
 
+def _is_latin(text: str) -> bool:
+    try:
+        return text.isascii() or bool(text.encode("latin-1"))
+    except UnicodeEncodeError:
+        return False
+
+
 _codecs: dict[tuple, Codec] = {}
 
 

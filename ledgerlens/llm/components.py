@@ -17,16 +17,21 @@ from ..session import materialize
 def _star(edges: DataFrame, lowest: DataFrame) -> DataFrame:
     """Each edge (u, v) moved to (lowest neighbour of u, v), loops dropped, smaller end first."""
     moved = edges.join(lowest, "u").select(F.least("v", "m").alias("u"), F.greatest("v", "m").alias("v"))
-    return moved.where("u != v").distinct()
+    return moved.where("u != v")
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, component (its smallest reachable node) for each node that an edge (a, b) names."""
-    e = materialize(edges.where("a is not null and b is not null")
-                    .select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct(), "edges")
-    nodes = e.select("u").union(e.select("v")).distinct().toDF("node")
-    e = e.where("u != v")
+    """node, component (its smallest reachable node) for each node that an edge (a, b) with two different ends names."""
+    e = materialize(edges.where("a != b").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct(),
+                    "edges")
     while not e.isEmpty():
+        # Stars: no node has two smaller neighbours, and no centre is itself a leaf.
+        ends = e.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(0).alias("leaf")),
+                                          F.struct(F.col("v").alias("node"), F.lit(1).alias("leaf")))).alias("x")).select("x.*")
+        tangled = ends.groupBy("node").agg(F.sum("leaf").alias("leaves"), F.min("leaf").alias("least")).where(
+            "leaves > 1 or (leaves = 1 and least = 0)")
+        if tangled.isEmpty():
+            break
         # Large star: the greater neighbours of a node move to the least of the node and its neighbours.
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -36,9 +41,5 @@ def components(edges: DataFrame) -> DataFrame:
         least = down.groupBy("u").agg(F.min("v").alias("m"))
         own = least.select(F.col("m").alias("u"), F.col("u").alias("v"))
         e = materialize(_star(down, least).unionByName(own).distinct(), "edges")
-        # Stars: no node has two smaller neighbours, and no centre is itself a leaf.
-        leaves, centres = e.select("v"), e.select(F.col("u").alias("v")).distinct()
-        if leaves.groupBy("v").count().where("count > 1").isEmpty() and leaves.join(centres, "v", "left_semi").isEmpty():
-            break
-    return materialize(nodes.join(e.select(F.col("v").alias("node"), F.col("u").alias("component")), "node", "left")
-                       .select("node", F.coalesce("component", "node").alias("component")), "components")
+    return e.select(F.col("v").alias("node"), F.col("u").alias("component")).unionByName(
+        e.select(F.col("u").alias("node"), F.col("u").alias("component")).distinct())

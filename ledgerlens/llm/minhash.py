@@ -11,17 +11,18 @@ How groups of copies stay cheap and no link is lost:
 
 * Texts with equal shingle sets are one class (a map-side combined minimum over a
   128-bit set fingerprint); only class representatives go further.
-* First round: in each band bucket every member is paired with one centre, chosen
-  by a hash of (id, bucket).  A bucket of m members gives m - 1 pairs, not m*m/2,
-  and the bands give up to BANDS different centres for a group of near copies.
-  The bit estimate drops implausible pairs, the full sets confirm the rest.
-* Second round: representatives that candidate pairs connect form a cluster.  In a
-  cluster whose members still lie in several components, the members outside the
-  largest component are compared with all members, exactly, in blocks of at most
-  BLOCK_ROWS texts and about BLOCK_SHINGLES shingles; each block pair is a task of
-  its own and only new links leave it.  Afterwards every pair of a cluster has
-  been compared or lies in one component already, so no link between candidates
-  is lost, and no list of pairs within a group is ever made.
+* In each band bucket every member is paired with one centre, chosen by a hash of
+  (id, bucket).  A bucket of m members gives m - 1 pairs, not m*m/2, and the bands give up
+  to BANDS different centres for a group of near copies.  The bit estimate drops
+  implausible pairs.
+* Representatives that plausible pairs connect form a cluster.  A cluster that fits in one block
+  (BLOCK_ROWS texts, BLOCK_BYTES of text) is compared whole, on the full sets, in one task.
+* In a larger cluster about HUBS members, chosen by hash, are compared with all; members that link
+  to a hub take its label.  The members outside the largest label are then compared with all
+  members, block by block; each block pair is a task of its own and only links between labels
+  leave it.  So every pair of a cluster has been compared or lies in one component already: no link
+  is lost, a group of m close copies takes about m comparisons with hubs, and no list of the
+  pairs within a group is ever made.
 
 A pair at similarity 0.8 shares no band with probability 1.4e-7, one at 0.85 with 2.4e-10;
 the estimate of a pair at the bound falls five standard deviations, below the floor, with
@@ -37,8 +38,6 @@ are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -46,7 +45,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .components import components
-from .textops import LOWER, MULT, arrow_map, as_bytes, chain, column_bytes, mix, small_batches, word_hashes
+from .textops import LOWER, MULT, arrow_map, as_bytes, chain, column_bytes, mix, word_hashes
 
 BANDS, ROWS, BITS = 30, 4, 2
 HASHES = BANDS * ROWS
@@ -54,7 +53,7 @@ _DEVIATIONS = 5.0  # an estimate that far below the bound is taken as no link
 _U = np.uint64
 _FACTORS = mix(np.arange(1, HASHES + 1, dtype=_U)) | _U(1)
 _CHUNK = 512
-BLOCK_ROWS, BLOCK_SHINGLES = 256, 200_000
+BLOCK_ROWS, BLOCK_BYTES, HUBS = 256, 1_500_000, 16
 PLANES = [f"p{k}" for k in range(2 * BITS)]  # two words of 60 bits for each retained bit
 
 
@@ -157,29 +156,8 @@ def _similar(common, na, nb, percent: int):
     return 100 * common >= percent * (na + nb - common)
 
 
-def confirm(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets have 100 * intersection >= percent * union."""
-    both = (pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-            .join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_text, last = None, None
-        for batch in batches:
-            keep = []
-            for ta, tb in zip(column_bytes(batch.column("text_a")), column_bytes(batch.column("text_b"))):
-                if last is None or ta != last_text:  # the rows of one text arrive together
-                    last_text, last = ta, shingle_set(ta, shingle)
-                other = shingle_set(tb, shingle)
-                common = len(np.intersect1d(last, other, assume_unique=True))
-                keep.append(_similar(common, len(last), len(other), percent))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")],
-                                             ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-    small_batches(pairs.sparkSession)
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
-
-
-def _first_round(sigs: DataFrame, percent: int) -> DataFrame:
-    """Every member of a band bucket with the bucket's centre, where the estimate allows a link."""
+def candidates(sigs: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b): every member of a band bucket with the bucket's centre, where the estimate allows a link."""
     members = sigs.select(F.explode("bands").alias("key"), F.col("doc_id").alias("id"))
     centres = (members.groupBy("key")
                .agg(F.min(F.struct(F.xxhash64("id", "key").alias("h"), F.col("id").alias("id"))).alias("c"),
@@ -187,10 +165,6 @@ def _first_round(sigs: DataFrame, percent: int) -> DataFrame:
                .where("n > 1").select("key", F.col("c.id").alias("centre")))
     pairs = (members.join(centres, "key").where("id != centre")
              .select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct())
-    return _estimated(pairs, sigs, percent)
-
-
-def _estimated(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
     s = sigs.select("doc_id", "n_shingles", *PLANES)
     return (pairs.join(s.alias("x"), F.col("a") == F.col("x.doc_id"))
             .join(s.alias("y"), F.col("b") == F.col("y.doc_id"))
@@ -217,94 +191,153 @@ def common_counts(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
     return np.rint(out).astype(np.int64)
 
 
-def _block_links(rows: pa.Table, shingle: int, percent: int) -> pa.Table:
-    """New links of one block pair: for each outside member, one for each component that it reaches."""
+def _sets(texts: pa.ChunkedArray, shingle: int) -> list[np.ndarray]:
+    return [shingle_set(t, shingle) for t in texts.cast(pa.binary()).to_pylist()]
+
+
+def _links(x: list[np.ndarray], y: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which sets of x link with which of y, on the full sets."""
+    nx, ny = np.array([len(s) for s in x])[:, None], np.array([len(s) for s in y])[None, :]
+    return _similar(common_counts(x, y), nx, ny, percent)
+
+
+def _lowest(ids: np.ndarray, link: np.ndarray) -> np.ndarray:
+    """The smallest id that each of the linked ids reaches."""
+    low = ids.copy()
+    while True:
+        new = np.where(link, low[None, :], low[:, None]).min(axis=1)
+        if (new == low).all():
+            return low
+        low = new
+
+
+def _whole_cluster(rows: pa.Table, shingle: int, percent: int) -> pa.Table:
+    """node, component of one small cluster."""
+    ids, sets = np.array(rows.column("doc_id").to_pylist(), dtype=np.int64), _sets(rows.column("text"), shingle)
+    link = _links(sets, sets, percent) | (ids[:, None] == ids[None, :])
+    return pa.table({"node": pa.array(ids), "component": pa.array(_lowest(ids, link))})
+
+
+def _with_hubs(rows: pa.Table, shingle: int, percent: int) -> pa.Table:
+    """The rows of one block, not its hubs, labelled with the smallest hub that they reach through hubs, else with themselves."""
+    hub = np.array(rows.column("hub").to_pylist(), dtype=bool)
+    hubs, own = rows.filter(pa.array(hub)), rows.filter(pa.array(~hub))
+    ids = np.array(own.column("doc_id").to_pylist(), dtype=np.int64)
+    if hubs.num_rows and own.num_rows:
+        hub_ids, hub_sets = np.array(hubs.column("doc_id").to_pylist(), dtype=np.int64), _sets(hubs.column("text"), shingle)
+        low = _lowest(hub_ids, _links(hub_sets, hub_sets, percent) | (hub_ids[:, None] == hub_ids[None, :]))
+        link = _links(_sets(own.column("text"), shingle), hub_sets, percent) | (ids[:, None] == hub_ids[None, :])
+        labels = np.where(link.any(axis=1), np.where(link, low[None, :], np.iinfo(np.int64).max).min(axis=1), ids)
+    else:
+        labels = ids
+    return own.select(["cluster", "doc_id", "text"]).append_column("label", pa.array(labels))
+
+
+def _across(rows: pa.Table, shingle: int, percent: int) -> pa.Table:
+    """Pairs of labels (a, b) that link one block of outside members with one block of members."""
     side = np.array(rows.column("outside").to_pylist(), dtype=bool)
-    ids, labels = np.array(rows.column("doc_id").to_pylist()), np.array(rows.column("label").to_pylist())
-    sets = [shingle_set(t, shingle) for t in rows.column("text").cast(pa.binary()).to_pylist()]
-    a, b = [], []
-    ix, iy = np.flatnonzero(side), np.flatnonzero(~side)
-    if len(ix) and len(iy):
-        common = common_counts([sets[i] for i in ix], [sets[i] for i in iy])
-        nx, ny = np.array([len(sets[i]) for i in ix])[:, None], np.array([len(sets[i]) for i in iy])[None, :]
-        link = _similar(common, nx, ny, percent) & (labels[ix][:, None] != labels[iy][None, :])
-        for r in np.flatnonzero(link.any(axis=1)):
-            hits = iy[link[r]]
-            for k in np.unique(labels[hits], return_index=True)[1]:
-                a.append(int(ids[ix[r]]))
-                b.append(int(ids[hits[k]]))
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-
-def _second_round(sizes: DataFrame, texts: DataFrame, labels: DataFrame, clusters: DataFrame,
-                  shingle: int, percent: int) -> DataFrame:
-    """Links across components inside the clusters that the first round left in several."""
-    rows = (clusters.withColumnRenamed("component", "cluster")
-            .join(labels.withColumnRenamed("component", "label"), "node", "left")
-            .select("cluster", F.col("node").alias("doc_id"), F.coalesce("label", "node").alias("label"))
-            .join(sizes, "doc_id"))
-    parts = rows.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"))
+    x, y = rows.filter(pa.array(side)), rows.filter(pa.array(~side))
+    a, b = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    if x.num_rows and y.num_rows:
+        lx, ly = (np.array(t.column("label").to_pylist(), dtype=np.int64) for t in (x, y))
+        i, j = np.nonzero(_links(_sets(x.column("text"), shingle), _sets(y.column("text"), shingle), percent)
+                          & (lx[:, None] != ly[None, :]))
+        names, ends = np.unique(np.concatenate([lx[i], ly[j]]), return_inverse=True)
+        low, ends = np.arange(len(names)), ends.reshape(2, -1)
+        while True:  # a label's lowest reachable one: a forest instead of all pairs
+            new = low.copy()
+            np.minimum.at(new, ends[0], low[ends[1]])
+            np.minimum.at(new, ends[1], low[ends[0]])
+            new = new[new]
+            if (new == low).all():
+                break
+            low = new
+        tied = low != np.arange(len(names))
+        a, b = names[tied], names[low[tied]]
+    return pa.table({"a": pa.array(a), "b": pa.array(b)})
+
+
+def _blocks(n, size):
+    return F.greatest(F.ceil(n / BLOCK_ROWS), F.ceil(size / BLOCK_BYTES)).cast("int")
+
+
+def _large_clusters(texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """node, component of clusters of several blocks; ``texts`` has cluster, doc_id, text, n, blocks."""
+    h = F.xxhash64(F.lit("block"), "doc_id")
+    own = texts.select("cluster", "doc_id", "text", F.lit(False).alias("hub"), F.pmod(h, F.col("blocks")).cast("int").alias("block"))
+    hubs = texts.where(F.pmod(F.xxhash64("doc_id"), F.col("n")) < HUBS).select(
+        "cluster", "doc_id", "text", F.lit(True).alias("hub"),
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+
+    def label(table: pa.Table) -> pa.Table:
+        return _with_hubs(table, shingle, percent)
+    labelled = materialize(own.unionByName(hubs).groupBy("cluster", "block").applyInArrow(
+        label, "cluster long, doc_id long, text string, label long"), "minhash-labels")
+
+    size = F.octet_length("text")
+    parts = labelled.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("s"))
     shape = (parts.groupBy("cluster")
              .agg(F.max(F.struct("n", "label", "s")).alias("top"), F.sum("n").alias("n"), F.sum("s").alias("s"),
-                  F.count(F.lit(1)).alias("parts")).where("parts > 1"))
-
-    def blocks(n, s):
-        return F.greatest(F.ceil(n / BLOCK_ROWS), F.ceil(s / BLOCK_SHINGLES)).cast("int")
-    shape = shape.select("cluster", F.col("top.label").alias("top"), blocks(F.col("n"), F.col("s")).alias("all_blocks"),
-                         blocks(F.col("n") - F.col("top.n"), F.col("s") - F.col("top.s")).alias("out_blocks"))
-    rows = rows.join(shape, "cluster")
-    h = F.xxhash64("doc_id")
+                  F.count(F.lit(1)).alias("parts")).where("parts > 1")
+             .select("cluster", F.col("top.label").alias("top"), _blocks(F.col("n"), F.col("s")).alias("all_blocks"),
+                     _blocks(F.col("n") - F.col("top.n"), F.col("s") - F.col("top.s")).alias("out_blocks")))
+    rows = labelled.join(shape, "cluster")
     members = rows.select(
-        "cluster", "doc_id", "label", F.lit(False).alias("outside"),
-        F.pmod(h, F.col("all_blocks")).cast("int").alias("mb"),
+        "cluster", "label", "text", F.lit(False).alias("outside"), F.pmod(h, F.col("all_blocks")).cast("int").alias("mb"),
         F.explode(F.sequence(F.lit(0), F.col("out_blocks") - 1)).alias("ob"))
     outside = rows.where("label != top").select(
-        "cluster", "doc_id", "label", F.lit(True).alias("outside"),
+        "cluster", "label", "text", F.lit(True).alias("outside"),
         F.explode(F.sequence(F.lit(0), F.col("all_blocks") - 1)).alias("mb"),
         F.pmod(h, F.col("out_blocks")).cast("int").alias("ob"))
-    dealt = members.select("cluster", "doc_id", "label", "outside", "mb", "ob").unionByName(outside)
 
-    def run(table: pa.Table) -> pa.Table:
-        return _block_links(table, shingle, percent)
-    return (dealt.join(texts, "doc_id").select("cluster", "mb", "ob", "doc_id", "label", "outside", "text")
-            .groupBy("cluster", "mb", "ob").applyInArrow(run, "a long, b long"))
+    def compare(table: pa.Table) -> pa.Table:
+        return _across(table, shingle, percent)
+    across = (members.select("cluster", "label", "text", "outside", "mb", "ob").unionByName(outside)
+              .groupBy("cluster", "mb", "ob").applyInArrow(compare, "a long, b long"))
+    merged = components(across)
+    # A label is a hub's id: also that hub's component may be a smaller member.
+    named = labelled.select(F.col("doc_id").alias("node"), "label").join(
+        merged.withColumnRenamed("node", "label"), "label", "left").withColumn("part", F.coalesce("component", "label"))
+    least = named.groupBy("part").agg(F.min("node").alias("component"))
+    return named.select("node", "part").join(least, "part").select("node", "component")
 
 
 def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row; links have 100 * intersection >= percent * union."""
     sigs = materialize(signatures(documents, shingle), "minhash-signatures")
     keys = ["f1", "f2", "n_shingles"]
-    classes = (sigs.where("n_shingles > 0 and doc_id is not null").groupBy(*keys)
-               .agg(F.min("doc_id").alias("rep")))
-    member = materialize(sigs.where("doc_id is not null").select("doc_id", *keys).join(classes, keys, "left")
-                         .select("doc_id", "n_shingles", "rep"), "minhash-members")
-    reps = materialize(sigs.join(classes, keys).where("doc_id = rep")
-                       .select("doc_id", "n_shingles", *PLANES, "bands")
-                       .dropDuplicates(["doc_id", "n_shingles", *PLANES]), "minhash-classes")
-    first = materialize(_first_round(reps, percent), "minhash-candidates")
-    clusters = components(first)
+    reps = materialize(sigs.where("n_shingles > 0 and doc_id is not null").groupBy(*keys)
+                       .agg(F.min("doc_id").alias("doc_id"), *(F.first(p).alias(p) for p in PLANES), F.first("bands").alias("bands")),
+                       "minhash-classes")
+    clusters = components(materialize(candidates(reps, percent), "minhash-candidates"))
     texts = materialize(documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-                        .join(clusters.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"), "minhash-texts")
-    labels = components(confirm(first, texts, shingle, percent))
-    sizes = reps.groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"))
-    more = _second_round(sizes, texts, labels, clusters, shingle, percent)
-    lifted = (more.join(labels.select(F.col("node").alias("a"), F.col("component").alias("la")), "a", "left")
-              .join(labels.select(F.col("node").alias("b"), F.col("component").alias("lb")), "b", "left")
-              .select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
-    merged = components(lifted)
-    top = merged.select(F.col("node").alias("component"), F.col("component").alias("top"))
-    final = (labels.join(top, "component", "left").select("node", F.coalesce("top", "component").alias("component"))
-             .unionByName(merged.join(labels, "node", "left_anti")))
-    found = (member.join(final.withColumnRenamed("node", "rep"), "rep", "left")
-             .select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id")))
+                        .join(clusters.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"))
+                              .hint("merge"), "doc_id"), "minhash-texts")  # no bound on the nodes: never broadcast
+    shape = texts.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), _blocks(
+        F.count(F.lit(1)), F.sum(F.octet_length("text"))).alias("blocks"))
+    large = materialize(shape.where("blocks > 1"), "minhash-large")
+    some = not large.isEmpty()
+
+    def solve(table: pa.Table) -> pa.Table:
+        return _whole_cluster(table, shingle, percent)
+    small = texts.join(large, "cluster", "left_anti") if some else texts
+    found = small.groupBy("cluster").applyInArrow(solve, "node long, component long")
+    if some:
+        found = found.unionByName(_large_clusters(texts.join(large, "cluster"), shingle, percent))
+    # A doc_id of several different texts may be found more than once.
+    found = found.groupBy(F.col("node").alias("doc_id")).agg(F.min("component").alias("component"))
+    classes = reps.select(*keys, F.col("doc_id").alias("doc_id")).join(found, "doc_id", "left").select(
+        *keys, F.coalesce("component", "doc_id").alias("component"))
+    members = (sigs.where("doc_id is not null").select("doc_id", *keys).join(classes, keys, "left")
+               .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))
     nameless = sigs.where("doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return found.unionByName(nameless).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return members.unionByName(nameless).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def unique_documents(documents: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``documents``, all columns, without those that a document of smaller id stands for."""
     kept = near_duplicates(documents, shingle, percent).where("kept and doc_id is not null").select(
-        F.col("doc_id").alias("__kept")).distinct()
+        F.col("doc_id").alias("__kept")).distinct().hint("merge")
     named = documents.where(F.col("doc_id").isNotNull())
     return (named.join(kept, named["doc_id"].cast("long") == kept["__kept"], "left_semi")
             .unionByName(documents.where(F.col("doc_id").isNull())))

@@ -298,6 +298,24 @@ def test_minhash_equals_brute_force(spark, docs, texts):
         assert all((r["n_shingles"], r["component_id"]) == want[r["doc_id"]] and r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
+def test_minhash_large_clusters(spark, monkeypatch):
+    """A group of near copies over several blocks, at small block sizes, has the components of all pairs."""
+    rng = random.Random(21)
+    base = [f"w{rng.randrange(5000)}" for _ in range(300)]
+    texts = {}
+    for k in range(150):
+        w = list(base)
+        for _ in range(rng.choice((1, 3, 6, 10, 14))):
+            w[rng.randrange(len(w))] = f"v{rng.randrange(99999)}"
+        texts[k * 3 + 1] = " ".join(w)
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", 20)
+    monkeypatch.setattr(minhash, "HUBS", 3)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    want = brute_components(texts, 3, 85)
+    assert 1 < len({c for _, c in want.values()}) < 150
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(frame, 3, 85).collect()} == want
+
+
 def test_block_counts_and_estimate():
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 9000, rng.integers(1, 6000)).astype(np.uint64)) for _ in range(12)]
@@ -321,17 +339,18 @@ def test_estimate_is_corrected(spark):
 def test_components(spark):
     rng = random.Random(2)
     edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(300 + k, 301 + k) for k in range(40)] + [(500, 500)]
+    edges = [e for e in edges if e[0] != e[1]] + [(7, 7)]
     root = {}
 
     def find(i):
         while root.setdefault(i, i) != i:
             i = root[i]
         return i
-    for a, b in edges:
+    for a, b in edges[:-1]:
         x, y = sorted((find(a), find(b)))
         root[y] = x
     got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert got == {i: find(i) for i in list(root)}
+    assert got == {i: find(i) for i in list(root)}  # a loop names no pair
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 

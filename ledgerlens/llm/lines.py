@@ -59,8 +59,9 @@ def repeated_windows(documents: DataFrame) -> DataFrame:
 
 def _cleaned(documents: DataFrame) -> DataFrame:
     """The rows with __lines, __removed (positions of removed lines, from 1) and __kept."""
-    starts = repeated_windows(documents).select("row", "starts").withColumnRenamed("row", "__row").withColumnRenamed("starts", "__starts")
-    rows = documents.withColumn("__row", _row("doc_id", "text")).join(starts, "__row", "left")
+    starts = repeated_windows(documents).select(F.col("row").alias("__row"), F.col("starts").alias("__starts"))
+    # any share of the documents may have repeats: never broadcast
+    rows = documents.withColumn("__row", _row("doc_id", "text")).join(starts.hint("merge"), "__row", "left")
     lines = F.split("text", "\n", -1)
     filled = F.filter(F.transform(lines, lambda x, i: F.when(F.btrim(x, F.lit(_BLANKS)) != "", i + 1)), lambda x: x.isNotNull())
     covered = F.array_distinct(F.flatten(F.transform("__starts", lambda s: F.slice("__filled", s, WINDOW))))

@@ -157,5 +157,5 @@ def mix(documents: DataFrame) -> DataFrame:
 def mixed_documents(documents: DataFrame) -> DataFrame:
     """The rows of ``documents``, all columns, each as often as the mix takes it."""
     copies = mix(documents).where("copies > 0").select(F.col("unit").alias("__unit"), F.col("copies").alias("__copies")).distinct()
-    return (documents.withColumn("__unit", _unit("doc_id", "text")).join(copies, "__unit")
+    return (documents.withColumn("__unit", _unit("doc_id", "text")).join(copies.hint("merge"), "__unit")
             .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*documents.columns))

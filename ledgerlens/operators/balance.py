@@ -1,21 +1,18 @@
-"""Class balancing: weights, exact k-nearest neighbours, SMOTE (J4, SP6, SP7, A10, A11, U2).
-
-Exact kNN without comparing all pairs.  For unit vector u,
-|u.x - u.y| <= |x - y|, so a point's k nearest neighbours all lie within
-r(x) of it along u whenever r(x) bounds its k-th neighbour distance.
-
-1. u is the axis of largest variance; points are ranked along it
-   (``operators.ordered``: bucketed running ranks, no single-task sort);
-2. each point's k predecessors and k successors in that order give real
-   distances, and the k-th smallest of them is the bound r(x);
-3. an equi-join on buckets of B consecutive points in that order (each point
-   looks at the buckets its interval [p - r, p + r] touches, found with one
-   running count) pairs only points whose projections differ by at most
-   r(x); true distances and a top-k per point (ties: neighbour id) finish it.
-   A bucket never holds more than B points, however dense a value range is.
-
-Exact for every input; the pairs examined are the points inside each
-point's projection interval, not the whole class.
+"""Class balancing: weights, k-nearest neighbours, SMOTE (J4, SP6, SP7, A10, A11, U2).
+
+Nearest neighbours in work that is linear in the number of points.  Every
+point is projected on PROJECTIONS fixed random directions (signs of +1 or -1
+from an arithmetic hash, so a projection reads non-zero entries only, in whole
+numbers, and SQL states the same).  Along each direction the points are ranked by
+(projection, id) in ranges of equal row counts, and a point's candidates are
+the REACH points before and after it.  At most 2 * PROJECTIONS * REACH * n
+candidate pairs are examined, whatever the data; exact distances of the distinct
+ones give the k nearest (ties: neighbour id).  Up to REACH + 1 distinct vectors the
+result is exact; beyond, a neighbour is found if it is near in some
+projection.  The definition is the same at every size.
+
+Vectors stay sparse: (size, indices of non-zeros, values), from dense arrays or
+from ML vectors alike.
 
 SMOTE draws, for synthetic row j, a base row, one of its k neighbours and a
 step u in [0, 1) from md5(seed:j), so the output does not depend on
@@ -24,12 +21,14 @@ partitioning or retries; synthetic = x + u * (neighbour - x).
 
 from __future__ import annotations
 
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import RANDOM_SEED
-from ..session import materialize
-from .ordered import row_number_within, running_sums, with_range_bucket
+from ..session import materialize, scratch_path
+from .ordered import hash_bits, hash_bucket, row_number_within, with_key_ranges
 
 # ------------------------------------------------------------------ A10, A11, SP7
 
@@ -70,144 +69,118 @@ def use_smote(policy: str, dataset: str = "primary") -> bool:
 
 # ------------------------------------------------------------------ J4
 
-def _sqdist(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, z: acc + z)
+PROJECTIONS, REACH = 8, 32
+_PRIME, _SCALE = 2147483647, 1 << 20  # signs modulo 2**31 - 1; values in units of 2**-20
+_PAIR = "struct<size:int,indices:array<int>,values:array<double>>"
+
+
+def sparse(vec: Column, kind: T.DataType) -> Column:
+    """struct(size, indices, values) of the non-zeros of an array or ML vector column; such a struct stays as it is."""
+    if isinstance(kind, T.StructType):
+        return vec.cast(_PAIR)
+    if isinstance(kind, VectorUDT):
+        u = F.unwrap_udt(vec)
+        values = u["values"]
+        size = F.coalesce(u["size"], F.size(values))
+        indices = F.coalesce(u["indices"], F.sequence(F.lit(0), F.size(values) - 1))
+    else:
+        values = vec.cast("array<double>")
+        size = F.size(values)
+        indices = F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(F.array().cast("array<int>"))
+    entries = F.filter(F.zip_with(indices, values, lambda i, x: F.struct(i.alias("i"), x.alias("x"))), lambda e: e["x"] != 0)
+    return F.struct(size.alias("size"), entries["i"].alias("indices"), entries["x"].alias("values")).cast(_PAIR)
+
+
+def _dense(v: Column) -> Column:
+    """The array of all entries of a sparse struct."""
+    at = F.map_from_arrays(v["indices"], v["values"])
+    return F.transform(F.sequence(F.lit(0), v["size"] - 1), lambda i: F.coalesce(F.element_at(at, i), F.lit(0.0)))
+
 
+def _factor(t: int) -> int:
+    return pow(48271, t + 1, _PRIME)
 
-def _nonzeros(vec: Column) -> Column:
-    """map<int, double> of the non-zero entries of an array (computed once per point)."""
-    ent = F.transform(vec, lambda x, i: F.struct(i.alias("key"), x.alias("value")))
-    return F.map_from_entries(F.filter(ent, lambda e: e["value"] != F.lit(0.0)))
 
+def _projection(v: Column, t: int) -> Column:
+    """Sum of sign(t, index) * value in units of 2**-20."""
+    def signed(i: Column, x: Column) -> Column:
+        h = (i.cast("long") + 1) * F.lit(_factor(t)) % F.lit(_PRIME)
+        up = h * h % F.lit(_PRIME) < F.lit(_PRIME // 2)
+        units = F.round(x * F.lit(float(_SCALE))).cast("long")
+        return F.when(up, units).otherwise(-units)
+    return F.aggregate(F.zip_with(v["indices"], v["values"], signed), F.lit(0).cast("long"), lambda a, x: a + x)
 
-def _sqdist_sparse(xm: Column, ym: Column) -> Column:
+
+def _sqdist(x: Column, y: Column) -> Column:
     """Squared distance over the union of non-zero positions (no cancellation)."""
-    own = F.aggregate(F.map_entries(xm), F.lit(0.0), lambda acc, e: acc + F.pow(
-        e["value"] - F.coalesce(F.element_at(ym, e["key"]), F.lit(0.0)), 2))
-    other = F.aggregate(F.map_entries(ym), F.lit(0.0), lambda acc, e: acc + F.when(
-        F.element_at(xm, e["key"]).isNull(), e["value"] * e["value"]).otherwise(F.lit(0.0)))
-    return own + other
+    mx, my = F.map_from_arrays(x["indices"], x["values"]), F.map_from_arrays(y["indices"], y["values"])
 
+    def square(i: Column) -> Column:
+        d = F.coalesce(F.element_at(mx, i), F.lit(0.0)) - F.coalesce(F.element_at(my, i), F.lit(0.0))
+        return d * d
+    every = F.array_sort(F.array_union(x["indices"], y["indices"]))
+    return F.aggregate(F.transform(every, square), F.lit(0.0), lambda a, z: a + z)
 
-def knn(points: DataFrame, k: int = 5, id_col: str = "id", vec_col: str = "vec", n_axes: int = 3) -> DataFrame:
-    """The k nearest other points of every point (Euclidean), exact.
 
-    Returns (id, nn_id, nn_rank 1..k, dist); ties broken by neighbour id.
+def candidate_pairs(points: DataFrame, projections: int = PROJECTIONS, reach: int = REACH) -> DataFrame:
+    """Distinct (a, b), a < b, of points (id, v) within ``reach`` ranks in some projection."""
+    each = points.select("id", F.posexplode(F.array(*[_projection(F.col("v"), t) for t in range(projections)])).alias("t", "p"))
+    ranked = with_key_ranges(each, ["t"], ["p", "id"])
+    ranked = row_number_within(ranked, ["t"], F.col("_ll_range"), ["p", "id"], name="r", count_name=None)
+    ranked = materialize(ranked.select("t", "r", "id"), "knn_ranked")
+    onward = ranked.select("t", F.col("id").alias("x"), F.explode(F.sequence(F.lit(1), F.lit(reach))).alias("o"), "r")
+    pairs = onward.select("t", "x", (F.col("r") + F.col("o")).alias("r")).join(
+        ranked.select("t", "r", F.col("id").alias("y")), ["t", "r"])
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
-    Identical vectors are collapsed first, so a vector shared by a third of
-    the points costs one row, not all pairs of the group.  Only the k + 1
-    smallest ids of each distinct vector are kept (a bounded top-k window).
-    The neighbours are found among distinct vectors (``_knn_distinct``, keyed
-    by each vector's smallest id).  A point's answer is the top k of its own
-    vector's other ids (distance 0) and the k smallest ids of each of its
-    vector's k nearest other vectors.  This is exact: a point outside those
-    vectors has k points ranked before it by (distance, id).
-    """
-    pts = points.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
-    firsts = (pts.withColumn("_dr", F.row_number().over(Window.partitionBy("vec").orderBy("id")))
-              .filter(F.col("_dr") <= k + 1))
-    firsts = materialize(firsts, "knn_firsts")
-    if firsts.filter(F.col("_dr") == 2).limit(1).count() == 0:
-        return _knn_distinct(firsts.select("id", "vec"), k, n_axes)
-    reps = firsts.filter(F.col("_dr") == 1).select("id", "vec")
-    near = _knn_distinct(reps, k, n_axes)
-    # kept ids with their vector's representative (small tables: <= k + 1 rows per vector)
-    rep_of = reps.select(F.col("id").alias("rep"), "vec")
-    fr = firsts.join(rep_of, "vec").select("id", "rep", "_dr")
-    own = fr.select("rep", F.col("id").alias("nn_id"), F.lit(0.0).alias("dist"))
-    ext = (near.select(F.col("id").alias("rep"), F.col("nn_id").alias("nn_rep"), "dist")
-           .join(fr.filter(F.col("_dr") <= k).select(F.col("rep").alias("nn_rep"), F.col("id").alias("nn_id")),
-                 "nn_rep")
-           .select("rep", "nn_id", "dist"))
-    # per distinct vector: the k + 1 best candidates (one of them may be the point itself)
-    wc = Window.partitionBy("rep").orderBy("dist", "nn_id")
-    cand = (own.unionByName(ext).withColumn("_c", F.row_number().over(wc)).filter(F.col("_c") <= k + 1)
-            .join(rep_of, "rep").select("vec", "nn_id", "dist"))
-    # every point joins its vector's <= k + 1 candidates (a hot vector is a
-    # skewed key against a tiny side, which AQE's skew join splits)
-    w = Window.partitionBy("id").orderBy("dist", "nn_id")
-    return (pts.join(cand, "vec").filter(F.col("nn_id") != F.col("id"))
-            .withColumn("nn_rank", F.row_number().over(w)).filter(F.col("nn_rank") <= k)
-            .select("id", "nn_id", "nn_rank", "dist"))
 
+def knn(points: DataFrame, k: int = 5, id_col: str = "id", vec_col: str = "vec", projections: int = PROJECTIONS,
+        reach: int = REACH) -> DataFrame:
+    """The k nearest other points of every point (Euclidean) among its candidates.
 
-def _knn_distinct(pts: DataFrame, k: int, n_axes: int) -> DataFrame:
-    """kNN over (id, vec) rows whose vectors are pairwise distinct.
+    Returns (id, nn_id, nn_rank 1..k, dist); ties broken by neighbour id.
 
-    Candidate pairs are generated on narrow rows (ids, projections on the
-    ``n_axes`` highest-variance axes, radius); a pair survives only if it is
-    within the radius on every axis, and only survivors fetch their vectors.
+    Identical vectors are collapsed first (by 128 bits of hash), so a vector
+    shared by a third of the points costs one row.  Candidates are found
+    among distinct vectors, each keyed by its smallest id.  A point's answer is
+    the top k of its own vector's other ids (distance 0) and the k smallest ids
+    of each of its vector's k nearest other vectors; a point outside those has k
+    points ranked before it by (distance, id).
     """
-    # 1. axes of largest variance (one aggregate over d columns) and projections
-    var = (pts.select(F.posexplode("vec").alias("j", "x")).groupBy("j")
-           .agg(F.var_pop("x").alias("v")).orderBy(F.col("v").desc(), F.col("j")).limit(n_axes).collect())
-    axes = [int(r["j"]) for r in var] or [0]
-    pts = pts.withColumns({f"p{i}": F.col("vec")[a] for i, a in enumerate(axes)}).withColumn("_g", F.lit(0))
-    pcols = [f"p{i}" for i in range(len(axes))]
-    # 2. rank along the first axis (bucketed, no single-task sort) -> k neighbours each side
-    pts = with_range_bucket(pts, "p0", "_pb")
-    ranked = row_number_within(pts, ["_g"], F.col("_pb"), ["p0", "id"], name="r", count_name="n").drop("_g", "_pb")
-    # read by four branches below: written once
-    ranked = materialize(ranked.select("id", "vec", *pcols, "r", "n"), "knn_ranked")
-    offs = F.array(*[F.lit(o) for o in list(range(-k, 0)) + list(range(1, k + 1))])
-    seeds = (ranked.select("id", "vec", "n", "r", F.explode(offs).alias("o"))
-             .withColumn("r2", F.col("r") + F.col("o")).drop("r", "o")
-             .join(ranked.select(F.col("r").alias("r2"), F.col("vec").alias("vec2")), "r2"))
-    seeds = seeds.withColumn("d2", _sqdist(F.col("vec"), F.col("vec2")))
-    bound = (seeds.groupBy("id", "n").agg(F.sort_array(F.collect_list("d2")).alias("ds"))
-             .select("id", F.when(F.col("n") - 1 > k, F.sqrt(F.col("ds")[k - 1])).alias("rad")))
-    # n - 1 <= k: every other point is a neighbour (unbounded radius)
-    q = materialize(ranked.select("id", *pcols, "r", "n").join(bound, "id", "left"), "knn_bound")
-    # 3. band join on first-axis *rank* buckets of B points each, so a dense
-    # value range cannot put a large share of the points into one join key.
-    # A point's interval [p0 - rad, p0 + rad] (widened by a rounding margin;
-    # the exact |dp| <= rad test follows) becomes the rank range
-    # [#(p0 < lo) + 1, #(p0 <= hi)]: one running count over the points and the
-    # interval ends sorted together (lower ends before equal points, upper after).
-    # point count and non-zero density (mostly-zero one-hot vectors compare on
-    # their non-zeros only) in one pass over the written table
-    st = ranked.agg(F.count(F.lit(1)).alias("n"),
-                    F.avg(F.size(F.filter("vec", lambda x: x != F.lit(0.0))) / F.size("vec")).alias("d")).first()
-    n_pts, density = int(st["n"]), st["d"]
-    sparse = density is not None and density < 0.25
-    eps = (F.abs(F.col("p0")) + F.col("rad")) * F.lit(1e-9)
-    ends = (q.filter(F.col("rad").isNotNull())
-            .select(F.col("id").alias("qid"),
-                    F.explode(F.array(F.struct(F.lit(0).alias("kind"), (F.col("p0") - F.col("rad") - eps).alias("v")),
-                                      F.struct(F.lit(2).alias("kind"), (F.col("p0") + F.col("rad") + eps).alias("v"))))
-                    .alias("e"))
-            .select("qid", "e.kind", "e.v", F.lit(0).alias("w")))
-    marks = q.select(F.lit(None).cast(q.schema["id"].dataType).alias("qid"), F.lit(1).alias("kind"),
-                     F.col("p0").alias("v"), F.lit(1).alias("w")).unionByName(ends).withColumn("_g", F.lit(0))
-    marks = with_range_bucket(marks, "v", "_vb", n=3 * n_pts)
-    marks = running_sums(marks, ["_g"], F.col("_vb"), ["v", "kind"], {"c": F.col("w").cast("long")}, totals=False)
-    rng = (marks.filter(F.col("kind") != 1).groupBy("qid")
-           .agg(F.min(F.when(F.col("kind") == 0, F.col("c") + 1)).alias("r_lo"),
-                F.max(F.when(F.col("kind") == 2, F.col("c"))).alias("r_hi"))
-           .withColumnRenamed("qid", "id"))
-    q = q.join(rng, "id", "left").select("id", *pcols, "r", "rad",
-                                         F.coalesce("r_lo", F.lit(1)).alias("r_lo"),
-                                         F.coalesce("r_hi", F.col("n")).alias("r_hi"))
-    # B ~ the median interval size (about three buckets per point), at least 2k + 2
-    med = q.agg(F.percentile_approx(F.col("r_hi") - F.col("r_lo") + 1, 0.5, 1000)).first()[0]
-    B = max(2 * k + 2, int(med or 1))
-    qx = q.select("id", *pcols, "rad",
-                  F.explode(F.sequence(F.floor((F.col("r_lo") - 1) / B), F.floor((F.col("r_hi") - 1) / B)))
-                  .alias("b"))
-    ty = q.select(F.col("id").alias("nn_id"), *[F.col(c).alias(f"n{c}") for c in pcols],
-                  F.floor((F.col("r") - 1) / B).alias("b"))
-    near = F.col("nn_id") != F.col("id")
-    for c in pcols:
-        near = near & (F.col("rad").isNull() | (F.abs(F.col(f"n{c}") - F.col(c)) <= F.col("rad")))
-    pairs = qx.join(ty, "b").filter(near).select("id", "nn_id", "rad")
-    vecs = ranked.select("id", (_nonzeros(F.col("vec")) if sparse else F.col("vec")).alias("vec"))
-    dist = _sqdist_sparse if sparse else _sqdist
-    cand = (pairs.join(vecs, "id")
-            .join(vecs.select(F.col("id").alias("nn_id"), F.col("vec").alias("nvec")), "nn_id")
-            .withColumn("dist", F.sqrt(dist(F.col("vec"), F.col("nvec"))))
-            .filter(F.col("rad").isNull() | (F.col("dist") <= F.col("rad"))))
-    w = Window.partitionBy("id").orderBy("dist", "nn_id")
-    return (cand.withColumn("nn_rank", F.row_number().over(w)).filter(F.col("nn_rank") <= k)
+    if reach < k:
+        raise ValueError(f"reach {reach} is less than k = {k}")
+    v = sparse(F.col(vec_col), points.schema[vec_col].dataType)
+    pts = points.select(F.col(id_col).alias("id"), v.alias("v"))
+    h1 = F.xxhash64("v.size", "v.indices", "v.values")
+    pts = materialize(pts.withColumns({"h1": h1, "h2": F.xxhash64(F.lit("second"), "v.values", "v.indices")}), "knn_points")
+    same = Window.partitionBy("h1", "h2").orderBy("id")
+    firsts = materialize(pts.select("id", "h1", "h2").withColumn("_dr", F.row_number().over(same)).filter(F.col("_dr") <= k + 1),
+                         "knn_firsts")
+    rep_of = firsts.filter("_dr = 1").select("h1", "h2", F.col("id").alias("rep"))
+    reps = materialize(pts.join(rep_of, ["h1", "h2"]).filter("id = rep").select("id", "v"), "knn_vectors")
+    pairs = candidate_pairs(reps, projections, reach)
+    dist = (pairs.join(reps.select(F.col("id").alias("a"), F.col("v").alias("va")), "a")
+            .join(reps.select(F.col("id").alias("b"), F.col("v").alias("vb")), "b")
+            .select("a", "b", F.sqrt(_sqdist(F.col("va"), F.col("vb"))).alias("dist")))
+    dist = materialize(dist, "knn_distances")
+    both = (dist.select(F.col("a").alias("rep"), F.col("b").alias("nn_rep"), "dist")
+            .unionByName(dist.select(F.col("b").alias("rep"), F.col("a").alias("nn_rep"), "dist")))
+    near = (both.withColumn("_c", F.row_number().over(Window.partitionBy("rep").orderBy("dist", "nn_rep")))
+            .filter(F.col("_c") <= k).drop("_c"))
+    # kept ids with their vector's representative (at most k + 1 rows a vector)
+    fr = firsts.join(rep_of, ["h1", "h2"]).select("id", "rep", "_dr")
+    own = fr.select("rep", F.col("id").alias("nn_id"), F.lit(0.0).alias("dist"))
+    ext = near.join(fr.filter(F.col("_dr") <= k).select(F.col("rep").alias("nn_rep"), F.col("id").alias("nn_id")),
+                    "nn_rep").select("rep", "nn_id", "dist")
+    # per distinct vector: the k + 1 best candidates (one of them may be the point itself)
+    best = Window.partitionBy("rep").orderBy("dist", "nn_id")
+    cand = own.unionByName(ext).withColumn("_c", F.row_number().over(best)).filter(F.col("_c") <= k + 1).drop("_c")
+    # every point joins its vector's candidates (a hot vector is a skewed key
+    # against a tiny side, which AQE's skew join splits)
+    mine = Window.partitionBy("id").orderBy("dist", "nn_id")
+    return (pts.select("id", "h1", "h2").join(rep_of, ["h1", "h2"]).select("id", "rep").join(cand, "rep")
+            .filter(F.col("nn_id") != F.col("id"))
+            .withColumn("nn_rank", F.row_number().over(mine)).filter(F.col("nn_rank") <= k)
             .select("id", "nn_id", "nn_rank", "dist"))
 
 
@@ -218,47 +191,74 @@ def _u32(h: Column, start: int) -> Column:
     return F.conv(F.substring(h, start, 8), 16, 10).cast("long")
 
 
+def _between(x: Column, y: Column, u: Column) -> Column:
+    """x + u * (y - x) of sparse structs."""
+    mx, my = F.map_from_arrays(x["indices"], x["values"]), F.map_from_arrays(y["indices"], y["values"])
+
+    def value(i: Column) -> Column:
+        a = F.coalesce(F.element_at(mx, i), F.lit(0.0))
+        return a + u * (F.coalesce(F.element_at(my, i), F.lit(0.0)) - a)
+    every = F.array_sort(F.array_union(x["indices"], y["indices"]))
+    return F.struct(x["size"].alias("size"), every.alias("indices"), F.transform(every, value).alias("values")).cast(_PAIR)
+
+
+def synthetic(minority: DataFrame, need: int, k: int = 5, seed: int = RANDOM_SEED) -> DataFrame:
+    """SP6: ``need`` synthetic rows from minority rows (id, v): id, base_id, nn_id, u, v.
+
+    Row j takes the base row numbered 1 + md5(seed:j)[0:8] mod m in order of
+    md5(id:seed), its neighbour of rank 1 + md5(seed:j)[8:16] mod k, and u from the
+    next 8 digits.  Ids are resolved first, vectors are fetched last.
+    """
+    m = minority.count()
+    if m <= k:
+        raise ValueError(f"SMOTE with k = {k} needs at least {k + 1} minority rows, got {m}")
+    nn = knn(minority, k, "id", "v")
+    numbered = minority.select("id").withColumn("_h", F.md5(F.concat(F.col("id").cast("string"), F.lit(f":{seed}"))))
+    numbered = row_number_within(numbered.withColumn("_g", F.lit(0)), ["_g"], hash_bucket("_h", hash_bits(m)), ["_h", "id"],
+                                 name="pos", count_name=None).select("pos", F.col("id").alias("base_id"))
+    h = F.md5(F.concat(F.lit(f"{seed}:"), F.col("j").cast("string")))
+    draws = minority.sparkSession.range(need).withColumnRenamed("id", "j").select(
+        "j", (F.pmod(_u32(h, 1), F.lit(m)) + 1).alias("pos"), (F.pmod(_u32(h, 9), F.lit(k)) + 1).alias("nn_rank"),
+        (_u32(h, 17) / F.lit(4294967296.0)).alias("u"))
+    ids = (draws.join(numbered, "pos").join(nn.select(F.col("id").alias("base_id"), "nn_rank", "nn_id"), ["base_id", "nn_rank"])
+           .select("j", "base_id", "nn_id", "u"))
+    return (ids.join(minority.select(F.col("id").alias("base_id"), F.col("v").alias("x")), "base_id")
+            .join(minority.select(F.col("id").alias("nn_id"), F.col("v").alias("y")), "nn_id")
+            .select(F.concat(F.lit("syn_"), F.col("j").cast("string")).alias("id"), "base_id", "nn_id", "u",
+                    _between(F.col("x"), F.col("y"), F.col("u")).alias("v")))
+
+
 def smote(df: DataFrame, label: str = "label", vec_col: str = "vec", id_col: str = "id", k: int = 5,
           seed: int = RANDOM_SEED) -> DataFrame:
     """SP6 + U2: raise the minority class to the majority count with
     synthetic rows, returned together with the originals.  Fewer than k + 1
     minority rows raise an error.
 
-    Output columns: id (synthetic ids 'syn_<j>'), label, vec, synthetic (bool).
+    Output columns: id (synthetic ids 'syn_<j>'), label, vec (arrays for arrays,
+    sparse ML vectors for ML vectors), synthetic (bool).
     """
+    kind = df.schema[vec_col].dataType
     # The vectors are read by many passes below: write them once.
     base = materialize(df.select(F.col(id_col).cast("string").alias("id"), F.col(label).alias("label"),
-                                 F.col(vec_col).cast("array<double>").alias("vec")), "smote_input")
+                                 sparse(F.col(vec_col), kind).alias("v")), "smote_input")
     counts = base.groupBy("label").agg(F.count(F.lit(1)).alias("c")).orderBy("c", "label").collect()
-    originals = base.withColumn("synthetic", F.lit(False))
-    if len(counts) < 2:
-        return originals
-    minority, m = counts[0]["label"], int(counts[0]["c"])
-    majority_n = int(counts[-1]["c"])
-    need = majority_n - m
-    if need <= 0:
-        return originals
-    if m <= k:
-        raise ValueError(f"SMOTE with k = {k} needs at least {k + 1} minority rows, got {m}")
-    mino = base.filter(F.col("label") == minority)
-    nn = knn(mino, k, "id", "vec")
-    # dense 1..m numbering of minority rows (by id hash): bucketed ranks
-    mino = mino.withColumn("_h", F.md5(F.concat(F.col("id"), F.lit(f":{seed}")))).withColumn("_g", F.lit(0))
-    mino = row_number_within(mino, ["_g"], F.conv(F.substring("_h", 1, 4), 16, 10).cast("long"), ["_h", "id"],
-                             name="pos", count_name=None).drop("_g", "_h")
-    spark = df.sparkSession
-    h = F.md5(F.concat(F.lit(f"{seed}:"), F.col("j").cast("string")))
-    draws = spark.range(need).withColumnRenamed("id", "j").select(
-        "j", (F.pmod(_u32(h, 1), F.lit(m)) + 1).alias("pos"),
-        (F.pmod(_u32(h, 9), F.lit(k)) + 1).alias("nn_rank"),
-        (_u32(h, 17) / F.lit(4294967296.0)).alias("u"))
-    base_rows = mino.select("pos", F.col("id").alias("base_id"), F.col("vec").alias("x"))
-    nvec = mino.select(F.col("id").alias("nn_id"), F.col("vec").alias("y"))
-    syn = (draws.join(base_rows, "pos")
-           .join(nn.select(F.col("id").alias("base_id"), "nn_rank", "nn_id"), ["base_id", "nn_rank"])
-           .join(nvec, "nn_id")
-           .select(F.concat(F.lit("syn_"), F.col("j").cast("string")).alias("id"),
-                   F.lit(minority).alias("label"),
-                   F.zip_with("x", "y", lambda a, b: a + F.col("u") * (b - a)).alias("vec"),
-                   F.lit(True).alias("synthetic")))
-    return originals.unionByName(syn)
+    rows = base.withColumn("synthetic", F.lit(False))
+    need = int(counts[-1]["c"]) - int(counts[0]["c"]) if len(counts) > 1 else 0
+    if need > 0:
+        minority = counts[0]["label"]
+        made = synthetic(base.filter(F.col("label") == minority).select("id", "v"), need, k, seed)
+        rows = rows.unionByName(made.select("id", F.lit(minority).alias("label"), "v", F.lit(True).alias("synthetic")))
+    if isinstance(kind, VectorUDT):
+        return _as_vectors(rows)
+    return rows.select("id", "label", _dense(F.col("v")).alias("vec"), "synthetic")
+
+
+def _as_vectors(rows: DataFrame) -> DataFrame:
+    """Sparse structs written as the storage form of ML vectors and read back as such."""
+    spark, path = rows.sparkSession, scratch_path(rows.sparkSession, "smote_vectors")
+    stored = F.struct(F.lit(0).cast("byte").alias("type"), F.col("v.size").alias("size"), F.col("v.indices").alias("indices"),
+                      F.col("v.values").alias("values"))
+    out = rows.select("id", "label", stored.alias("vec"), "synthetic")
+    out.write.parquet(path)
+    schema = T.StructType([T.StructField(f.name, VectorUDT() if f.name == "vec" else f.dataType) for f in out.schema.fields])
+    return spark.read.schema(schema).parquet(path)

@@ -1,7 +1,7 @@
 """Features, per-account windows and schema-driven column selection.
 
 P12-P21, A2, W1, W2, W4.  Per-account order (account, time, id) is never a
-global sort: each consumer runs a window on (account, time bucket) through
+global sort in one task: each consumer runs a window on (account, range) through
 ``operators.ordered``, so one hot account is spread over many tasks.
 """
 
@@ -16,7 +16,8 @@ from pyspark.sql import types as T
 from ..functions import columns as C
 from ..schema import (ACCOUNT_COL, ID_COL, LEAKY_COLUMNS, PREV_TIME_COL, ROLE_DROP_COLUMNS, TARGET_COL,
                       TIME_COL, TS)
-from .ordered import adaptive_time_bucket, lag_within, row_number_within, time_bucket, trailing_rows
+from ..session import materialize
+from .ordered import lag_within, row_number_within, trailing_rows, with_key_ranges
 from .profile import NUMERIC_TYPES
 from .quantiles import median
 
@@ -63,8 +64,7 @@ def add_simple_features(df: DataFrame, secs_median: float | None = None, fit_med
 CARD_EPOCH = "2019-01-01 00:00:00"
 
 
-def card_canonical(card: DataFrame, row_col: str = "row_id", accounts: int = 10000,
-                   bucket_seconds: int | None = None) -> DataFrame:
+def card_canonical(card: DataFrame, row_col: str = "row_id", accounts: int = 10000) -> DataFrame:
     """P12 + W2: the card data set in the canonical transaction columns.
 
     ``Amount`` -> TransactionAmount, ``Class`` -> is_fraud (int), id
@@ -79,9 +79,8 @@ def card_canonical(card: DataFrame, row_col: str = "row_id", accounts: int = 100
            .withColumn(ID_COL, F.concat(F.lit("ULB_"), row.cast("string")))
            .withColumn(TIME_COL, F.timestamp_seconds(base_s + F.col("Time")).cast(TS))
            .withColumn(ACCOUNT_COL, F.concat(F.lit("ULB_ACC_"), F.pmod(row, F.lit(accounts)).cast("string"))))
-    bucket = (time_bucket(TIME_COL, bucket_seconds) if bucket_seconds
-              else adaptive_time_bucket(out, [ACCOUNT_COL], TIME_COL))
-    out = lag_within(out, [ACCOUNT_COL], bucket, [TIME_COL, row_col], TIME_COL, PREV_TIME_COL)
+    out = with_key_ranges(out, [ACCOUNT_COL], [TIME_COL, row_col])
+    out = lag_within(out, [ACCOUNT_COL], F.col("_ll_range"), [TIME_COL, row_col], TIME_COL, PREV_TIME_COL).drop("_ll_range")
     if "nlp_text" not in out.columns:
         out = out.withColumn("nlp_text", F.lit(""))
     return out
@@ -90,8 +89,7 @@ def card_canonical(card: DataFrame, row_col: str = "row_id", accounts: int = 100
 # -------------------------------------------------------------- W4
 
 
-def build_sequences(df: DataFrame, feature_cols: Sequence[str], length: int = 10,
-                    bucket_seconds: int | None = None) -> DataFrame:
+def build_sequences(df: DataFrame, feature_cols: Sequence[str], length: int = 10) -> DataFrame:
     """For each row at position >= ``length`` in its account, the last
     ``length`` rows' feature vectors (oldest first) and the row's label.
 
@@ -99,13 +97,13 @@ def build_sequences(df: DataFrame, feature_cols: Sequence[str], length: int = 10
     """
     item = F.array(*[F.col(c).cast("double") for c in feature_cols])
     keys, order = [ACCOUNT_COL], [TIME_COL, ID_COL]
-    if ACCOUNT_COL not in df.columns:  # W1: time order only -> one key, still cut into time slots
+    if ACCOUNT_COL not in df.columns:  # W1: time order only -> one key, still cut into ranges
         df = df.withColumn(ACCOUNT_COL, F.lit("__all__"))
     x = df.select(ACCOUNT_COL, TIME_COL, ID_COL, TARGET_COL, *feature_cols)
-    bucket = (time_bucket(TIME_COL, bucket_seconds) if bucket_seconds
-              else adaptive_time_bucket(x, keys, TIME_COL))
-    x = row_number_within(x, keys, bucket, order, name="pos", count_name=None)
-    x = trailing_rows(x, keys, bucket, order, item, length, "seq")
+    x = with_key_ranges(x, keys, order)
+    # the position is read by both branches of the trailing rows: written once
+    x = materialize(row_number_within(x, keys, F.col("_ll_range"), order, name="pos", count_name=None), "positions")
+    x = trailing_rows(x, keys, F.col("_ll_range"), order, item, length, "seq")
     return (x.filter(F.col("pos") >= length)
             .select(ACCOUNT_COL, ID_COL, "pos", "seq", F.col(TARGET_COL).alias("label")))
 

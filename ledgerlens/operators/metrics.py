@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import decision
 from ..session import materialize
-from .ordered import running_sums, with_range_bucket
+from .ordered import running_sums, with_key_ranges
 from .quantiles import Stat, quantiles
 
 MODEL = "model"
@@ -79,9 +79,8 @@ def score_table(pred: DataFrame, rows_per_bucket: int = 250_000) -> DataFrame:
     st = pred.groupBy(MODEL, "score").agg(
         F.count(F.when(F.col("label") == 1, 1)).alias("pos"),
         F.count(F.when(F.col("label") == 0, 1)).alias("neg"))
-    # sized, sketched and walked: the distinct-score table is written once
-    st = materialize(st, "score_table")
-    st = with_range_bucket(st, "score", "_sb", rows_per_bucket)
+    # counted and walked: the distinct-score table is written once before it is cut into ranges
+    st = with_key_ranges(materialize(st, "score_table"), [MODEL], ["score"], "_sb", rows_per_bucket)
     cum = running_sums(st, [MODEL], F.col("_sb"), ["score"], {"cpos": F.col("pos"), "cneg": F.col("neg")})
     return cum.withColumnsRenamed({"cpos_total": "P", "cneg_total": "N"}).drop("_sb")
 

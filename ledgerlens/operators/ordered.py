@@ -3,8 +3,8 @@
 A plain ``Window.partitionBy(key).orderBy(...)`` sends every row of a key to
 one task; a key holding a third of the table then runs in a single task.
 Here every ordered computation is split on an extra *bucket* column that is
-non-decreasing along the ordering (a time bucket, a hash prefix, a value
-range).  Rows are processed in (key, bucket) windows, and a narrow per-bucket
+non-decreasing along the ordering (a range of (key, order) values, a hash
+prefix).  Rows are processed in (key, bucket) windows, and a narrow per-bucket
 table -- one row per (key, bucket) -- carries the running totals from one
 bucket to the next.  The big side is shuffled once, on (key, bucket); the
 bucket table is joined back on the same keys, so the join reuses that
@@ -13,12 +13,15 @@ partitioning and AQE broadcasts it whenever its measured size is small.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
+
 _B = "_ll_bucket"
 
 
@@ -67,30 +70,31 @@ def _drop_norm(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("_nk") or c.startswith("_nn")], _B)
 
 
-def time_bucket(ts_col: str, seconds: int = 3600) -> Column:
-    """Bucket of a timestamp: whole ``seconds``-wide slots since the epoch."""
-    return F.floor(F.unix_micros(F.col(ts_col).cast("timestamp")) / F.lit(seconds * 1_000_000))
+def with_key_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "_ll_range",
+                    rows_per_range: int = 250_000, n: int | None = None) -> DataFrame:
+    """Range-partition ``df`` once on (keys, order), write it, and number the ranges in ``out``.
 
+    A range holds about ``rows_per_range`` rows however the rows are spread:
+    ties of the leading columns, bursts of one key and quiet stretches of
+    another are cut at the same row count, because the cut points are full
+    (keys, order) values.  Inside a key the number is non-decreasing along
+    ``order``, so it is a bucket for every ordered operator here; a range is
+    contiguous, so there are at most keys + ranges (key, range) pairs.
+    ``n``, when the caller knows the row count, saves the count.
+    """
+    if n is None:
+        n = df.count()
+    ranges = max(1, -(-n // rows_per_range))
+    cut = df.repartitionByRange(ranges, *keys, *order).withColumn(out, F.spark_partition_id().cast("long"))
+    return materialize(cut, "key_ranges")
 
-def adaptive_time_bucket(df: DataFrame, keys: Sequence[str], ts_col: str, target_rows: int = 1_000_000,
-                         min_seconds: int = 1, max_seconds: int = 30 * 86400) -> Column:
-    """Time slots sized so the densest key gets about ``target_rows`` rows per slot.
 
-    One aggregate per key (count and time span, map-side combined) gives the
-    highest rows-per-second rate over all keys; the slot width follows from
-    it, clamped to [min_seconds, max_seconds].  A key holding a third of a
-    100 TB table is then cut into slots of ~``target_rows`` rows, while
-    ordinary keys keep one or a few slots.
-    """
-    us = F.unix_micros(F.col(ts_col).cast("timestamp"))
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
-                                    ((F.max(us) - F.min(us)) / F.lit(1e6)).alias("_span"))
-    rate = per_key.agg(F.max(F.col("_n") / F.greatest(F.col("_span"), F.lit(1.0)))).first()[0]
-    width = max_seconds if not rate else int(min(max_seconds, max(min_seconds, target_rows / rate)))
-    return time_bucket(ts_col, width)
+def hash_bits(n: int, rows_per_bucket: int = 250_000) -> int:
+    """Bits of a hash prefix that cuts ``n`` rows into buckets of about ``rows_per_bucket`` or fewer."""
+    return 4 * max(1, math.ceil(math.log(max(1, n / rows_per_bucket), 16)))
 
 
-def hash_bucket(col: Column | str, bits: int = 16) -> Column:
+def hash_bucket(col: Column | str, bits: int) -> Column:
     """Leading ``bits`` bits of an md5 hex string, as a non-negative long.
 
     For an order defined by that md5 string, the bucket is non-decreasing.
@@ -100,37 +104,6 @@ def hash_bucket(col: Column | str, bits: int = 16) -> Column:
     return F.conv(F.substring(c, 1, digits), 16, 10).cast("long")
 
 
-def with_range_bucket(df: DataFrame, col: str, out: str, rows_per_bucket: int = 250_000,
-                      max_buckets: int = 65_536, accuracy: int = 10_000, n: int | None = None) -> DataFrame:
-    """Add ``out``: the index of ``col``'s value among approximate quantile ranges.
-
-    The number of ranges follows the data: about ``rows_per_bucket`` rows per
-    range (at most ``max_buckets`` ranges), from one count and one
-    ``percentile_approx`` aggregate; small inputs get a single range and no
-    sketch at all.  The lookup is ML's ``Bucketizer`` (a JVM-side binary
-    search).  ``n``, when the caller already knows the row count (or a bound
-    on it), saves the count.  The bucket is non-decreasing in ``col``, so it splits a global
-    ordering led by ``col`` into bounded pieces, and the per-bucket table of
-    ``running_sums`` has at most ``max_buckets`` rows per key.  NULL stays
-    NULL (sorts first, like the ordering itself); NaN gets the last bucket.
-    """
-    from pyspark.ml.feature import Bucketizer
-    if n is None:
-        n = df.count()
-    n_buckets = max(1, min(max_buckets, -(-n // rows_per_bucket)))
-    if n_buckets == 1:
-        return df.withColumn(out, F.when(F.col(col).isNotNull(), F.lit(0)).cast("long"))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = df.agg(F.percentile_approx(F.col(col).cast("double"), probs, accuracy).alias("b")).first()["b"] or []
-    splits = [float("-inf")] + sorted({float(b) for b in bounds if b is not None}) + [float("inf")]
-    if len(splits) < 3:
-        return df.withColumn(out, F.when(F.col(col).isNotNull(), F.lit(0)).cast("long"))
-    tmp = f"_rb_{out}"
-    df = df.withColumn(tmp, F.col(col).cast("double"))
-    b = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")
-    return b.transform(df).withColumn(out, F.col(out).cast("long")).drop(tmp)
-
-
 def running_sums(df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence,
                  values: dict[str, Column], totals: bool = True) -> DataFrame:
     """Inclusive running sums of ``values`` within ``keys`` in ``order``.

@@ -3,9 +3,9 @@
 Randomness is a hash: rows (or accounts) are ranked by md5(id || ':' ||
 seed), so the result does not depend on partitioning, task order or
 retries.  Ranks come from ``operators.ordered`` with buckets taken from the
-leading bits of that hash: a stratum holding 94% of the rows is still spread
-over 65,536 (stratum, bucket) windows, and the per-bucket table has a fixed
-bound of strata x 65,536 rows.
+leading bits of that hash, as many as the row count asks for: a stratum
+holding 94% of the rows is spread over (stratum, bucket) windows of a bounded
+number of rows.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import ACCOUNT_COL, ID_COL, RANDOM_SEED, TARGET_COL, TEST_SIZE, TIME_COL, VAL_SIZE
-from .ordered import adaptive_time_bucket, hash_bucket, row_number_within, time_bucket
+from ..session import materialize
+from .ordered import hash_bits, hash_bucket, row_number_within, with_key_ranges
 
 TRAIN, VAL, TEST = "train", "val", "test"
 
@@ -36,7 +37,7 @@ def _assign(rank: Column, n: Column, test_size: float, val_ratio: float | None)
 
 def stratified_split(df: DataFrame, label: str = TARGET_COL, id_col: str = ID_COL,
                      test_size: float = TEST_SIZE, val_size: float | None = VAL_SIZE,
-                     seed: int = RANDOM_SEED, bits: int = 16) -> DataFrame:
+                     seed: int = RANDOM_SEED) -> DataFrame:
     """SP1 / SP4: per stratum, the first ceil(test*n) rows by hash are test,
     then ceil(val/(1-test) * rest) are val, the remainder train.
 
@@ -44,13 +45,13 @@ def stratified_split(df: DataFrame, label: str = TARGET_COL, id_col: str = ID_CO
     """
     h = seeded_hash(id_col, seed)
     x = df.withColumn("_h", h)
-    x = row_number_within(x, [label], hash_bucket("_h", bits), ["_h", id_col], name="_r", count_name="_n")
+    x = row_number_within(x, [label], hash_bucket("_h", hash_bits(df.count())), ["_h", id_col], name="_r", count_name="_n")
     val_ratio = None if val_size is None else val_size / (1.0 - test_size)
     return x.withColumn("split", _assign(F.col("_r"), F.col("_n"), test_size, val_ratio)).drop("_h", "_r", "_n")
 
 
 def group_split(df: DataFrame, group: str = ACCOUNT_COL, test_size: float = TEST_SIZE,
-                val_size: float = VAL_SIZE, seed: int = RANDOM_SEED, bits: int = 16) -> DataFrame:
+                val_size: float = VAL_SIZE, seed: int = RANDOM_SEED) -> DataFrame:
     """SP2: whole groups (accounts) go to one split; ratios count groups.
 
     The distinct groups are ranked by hash; the (group -> split) table is
@@ -58,8 +59,8 @@ def group_split(df: DataFrame, group: str = ACCOUNT_COL, test_size: float = TEST
     allows and splits a hot group's partition otherwise).
     """
     g = df.select(F.col(group).cast("string").alias("_g")).distinct()
-    g = g.withColumn("_h", seeded_hash("_g", seed)).withColumn("_k", F.lit(0))
-    g = row_number_within(g, ["_k"], hash_bucket("_h", bits), ["_h", "_g"], name="_r", count_name="_n")
+    g = materialize(g.withColumn("_h", seeded_hash("_g", seed)).withColumn("_k", F.lit(0)), "split_groups")
+    g = row_number_within(g, ["_k"], hash_bucket("_h", hash_bits(g.count())), ["_h", "_g"], name="_r", count_name="_n")
     val_ratio = val_size / (1.0 - test_size)
     g = g.select("_g", _assign(F.col("_r"), F.col("_n"), test_size, val_ratio).alias("split"))
     return (df.join(g, df[group].cast("string").eqNullSafe(g["_g"]), "left").drop("_g"))
@@ -70,16 +71,16 @@ def _round_half_even(x: Column) -> Column:
 
 
 def time_split(df: DataFrame, account: str = ACCOUNT_COL, time: str = TIME_COL, id_col: str = ID_COL,
-               val_frac: float = VAL_SIZE, test_frac: float = TEST_SIZE, bucket_seconds: int | None = None) -> DataFrame:
+               val_frac: float = VAL_SIZE, test_frac: float = TEST_SIZE) -> DataFrame:
     """W3 / SP3: per account, in (time, id) order: train first, then val, then
     the latest rows test.  n_test = max(1, round(n*test)), n_val likewise
     (half-even rounding), n_train = max(0, n - n_val - n_test).
     """
     added = account not in df.columns
-    if added:  # W1: time order only -> one key, still cut into time slots
+    if added:  # W1: time order only -> one key, still cut into ranges
         df = df.withColumn(account, F.lit("__all__"))
-    bucket = time_bucket(time, bucket_seconds) if bucket_seconds else adaptive_time_bucket(df, [account], time)
-    x = row_number_within(df, [account], bucket, [time, id_col], name="_r", count_name="_n")
+    x = with_key_ranges(df, [account], [time, id_col])
+    x = row_number_within(x, [account], F.col("_ll_range"), [time, id_col], name="_r", count_name="_n").drop("_ll_range")
     if added:
         x = x.drop(account)
     n = F.col("_n")

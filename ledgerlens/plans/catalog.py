@@ -780,20 +780,65 @@ def minority_points(spark, sf_dir):
                                                              F.col("embedding").alias("vec"))
 
 
-@register("knn_minority", """
-WITH m AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings WHERE label = 0),
-pairs AS (
-  SELECT a.id, b.id AS nn_id,
-         sqrt(list_sum(list_transform(range(1, len(a.vec) + 1),
-                                      lambda i: (a.vec[i] - b.vec[i]) * (a.vec[i] - b.vec[i])))) AS dist
-  FROM m a JOIN m b ON a.id <> b.id),
-r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY dist, nn_id) AS nn_rank FROM pairs)
-SELECT id, nn_id, CAST(nn_rank AS INTEGER) AS nn_rank, round(dist, 6) AS dist FROM r WHERE nn_rank <= 5""")
+# J4 in SQL: the projection-band definition of operators/balance.py over the rows of m(id, vec).
+KNN_CTES = f"""
+reps AS (SELECT vec, min(id) AS id FROM m GROUP BY vec),
+members AS (SELECT m.id, r.id AS rep FROM m JOIN reps r USING (vec)),
+entries AS (SELECT id, unnest(vec) AS x, unnest(range(len(vec))) AS i FROM reps),
+factors AS (SELECT * FROM (VALUES {", ".join(f"({t}, {bal._factor(t)})" for t in range(bal.PROJECTIONS))}) f(t, factor)),
+projected AS (
+  SELECT t, id, sum(CASE WHEN (((i + 1) * factor % {bal._PRIME}) * ((i + 1) * factor % {bal._PRIME})) % {bal._PRIME}
+                          < {bal._PRIME // 2} THEN 1 ELSE -1 END * CAST(round(x * {bal._SCALE}) AS BIGINT)) AS p
+  FROM entries, factors GROUP BY t, id),
+ranked AS (SELECT t, id, row_number() OVER (PARTITION BY t ORDER BY p, id) AS r FROM projected),
+bands AS (SELECT DISTINCT a.id AS a, b.id AS b FROM ranked a JOIN ranked b
+          ON a.t = b.t AND a.id <> b.id AND abs(a.r - b.r) <= {bal.REACH}),
+distances AS (
+  SELECT p.a, p.b, sqrt(list_sum(list_transform(range(1, len(x.vec) + 1),
+                                                lambda i: (x.vec[i] - y.vec[i]) * (x.vec[i] - y.vec[i])))) AS dist
+  FROM bands p JOIN reps x ON x.id = p.a JOIN reps y ON y.id = p.b),
+options AS (
+  SELECT s.id, o.id AS nn_id, 0.0 AS dist FROM members s JOIN members o ON s.rep = o.rep AND s.id <> o.id
+  UNION ALL
+  SELECT s.id, o.id, d.dist FROM members s JOIN distances d ON d.a = s.rep JOIN members o ON o.rep = d.b),
+nearest AS (
+  SELECT id, nn_id, CAST(row_number() OVER (PARTITION BY id ORDER BY dist, nn_id) AS INTEGER) AS nn_rank, dist
+  FROM options QUALIFY nn_rank <= 5)"""
+
+MINORITY_CTE = "m AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings WHERE label = 0)"
+
+
+@register("knn_minority", with_ctes(MINORITY_CTE, KNN_CTES)
+          + "SELECT id, nn_id, nn_rank, round(dist, 6) AS dist FROM nearest")
 def q_knn_minority(spark, sf_dir):
-    """Exact 5 nearest neighbours inside the minority class (projection-pruned band join)."""
+    """5 nearest neighbours inside the minority class among projection-band candidates."""
     return bal.knn(minority_points(spark, sf_dir), 5).withColumn("dist", r6("dist"))
 
 
+@register("smote_rows", with_ctes(MINORITY_CTE, KNN_CTES, f"""
+sized AS (SELECT (SELECT count(*) FROM m) AS m,
+                 (SELECT max(c) - min(c) FROM (SELECT count(*) AS c FROM embeddings GROUP BY label = 0)) AS need),
+numbered AS (SELECT id, row_number() OVER (ORDER BY md5(concat(CAST(id AS VARCHAR), ':{bal.RANDOM_SEED}')), CAST(id AS VARCHAR)) AS pos FROM m),
+digests AS (SELECT j, md5(concat('{bal.RANDOM_SEED}:', CAST(j AS VARCHAR))) AS h FROM range((SELECT need FROM sized)) r(j)),
+draws AS (
+  SELECT j, CAST(concat('0x', h[1:8]) AS BIGINT) % (SELECT m FROM sized) + 1 AS pos, CAST(concat('0x', h[9:16]) AS BIGINT) % 5 + 1 AS nn_rank,
+         CAST(concat('0x', h[17:24]) AS BIGINT) / 4294967296.0::DOUBLE AS u FROM digests)""") + """
+SELECT concat('syn_', CAST(d.j AS VARCHAR)) AS id, b.id AS base_id, n.nn_id, round(d.u, 6) AS u,
+       array_to_string(list_transform(range(1, len(x.vec) + 1),
+         lambda i: printf('%.4f', round(x.vec[i] + d.u * (y.vec[i] - x.vec[i]), 4) + 0.0)), ' ') AS vec
+FROM draws d JOIN numbered b USING (pos) JOIN nearest n ON n.id = b.id AND n.nn_rank = d.nn_rank
+JOIN m x ON x.id = b.id JOIN m y ON y.id = n.nn_id""")
+def q_smote_rows(spark, sf_dir):
+    """SP6: every synthetic row of the minority class: its base, neighbour, step and vector."""
+    pts = minority_points(spark, sf_dir)
+    sizes = [r["n"] for r in table(spark, sf_dir, "embeddings").groupBy(F.col("label") == MINORITY_LABEL)
+             .agg(F.count(F.lit(1)).alias("n")).collect()]
+    rows = pts.select("id", bal.sparse(F.col("vec"), pts.schema["vec"].dataType).alias("v"))
+    made = bal.synthetic(rows, max(sizes) - min(sizes))
+    text = F.array_join(F.transform(bal._dense(F.col("v")), lambda x: F.format_string("%.4f", F.round(x, 4) + F.lit(0.0))), " ")
+    return made.select("id", "base_id", "nn_id", F.round("u", 6).alias("u"), text.alias("vec"))
+
+
 @register("smote_counts", """
 WITH l AS (SELECT CASE WHEN label = 0 THEN 1 ELSE 0 END AS label FROM embeddings),
 c AS (SELECT label, count(*) AS n FROM l GROUP BY label),

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.ordered import adaptive_time_bucket, lag_within, time_bucket
+from ..operators.ordered import lag_within, row_number_within, with_key_ranges
 from ..schema import RAW_COLUMNS, TS
 from .tables import table
 
@@ -21,13 +21,13 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
-def transactions(spark: SparkSession, sf_dir: str, bucket_seconds: int | None = None) -> DataFrame:
+def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw transactions (16 columns of RAW_SCHEMA) derived from ``events``.
 
     The previous-transaction time is the account's previous event, computed
-    per (account, time slot) window with a carried-over last value; slots are
-    sized from the densest account (``adaptive_time_bucket``), so an account
-    with a third of all events is still spread over many tasks.
+    per (account, range) window with a carried-over last value; ranges hold equal
+    numbers of events (``with_key_ranges``), so an account with a third of all
+    events is still spread over many tasks.
     """
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
@@ -37,9 +37,8 @@ def transactions(spark: SparkSession, sf_dir: str, bucket_seconds: int | None =
     j = (e.join(c, e.user_id == c.c_custkey, "left")
          .join(n, F.col("c_nationkey") == n.n_nationkey, "left"))
     eid, uid = F.col("event_id"), F.col("user_id")
-    bucket = (time_bucket("ts", bucket_seconds) if bucket_seconds
-              else adaptive_time_bucket(e, ["user_id"], "ts"))
-    j = lag_within(j, ["user_id"], bucket, ["ts", "event_id"], "ts", "_prev_ts")
+    j = with_key_ranges(j, ["user_id"], ["ts", "event_id"])
+    j = lag_within(j, ["user_id"], F.col("_ll_range"), ["ts", "event_id"], "ts", "_prev_ts")
     return j.select(
         _s(eid).alias("TransactionID"),
         _s(uid).alias("AccountID"),
@@ -87,7 +86,6 @@ def card_transactions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``row_id`` (0-based) orders rows by all columns, because (orderkey,
     linenumber) is not unique; it plays the role of the file row index.
     """
-    from ..operators.ordered import row_number_within, with_range_bucket
     li = table(spark, sf_dir, "lineitem")
     df = li.select(
         F.col("l_orderkey").cast("double").alias("Time"),
@@ -98,11 +96,10 @@ def card_transactions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.col(c).alias(f"_o{i}") for i, c in enumerate(li.columns)],
     )
     order = [f"_o{i}" for i in range(len(li.columns))]
-    # A global row number: buckets are approximate-quantile ranges of the
-    # leading order column (orderkey), so no single task sees the table and
-    # the bucket table stays under a fixed number of rows.
-    df = with_range_bucket(df.withColumn("_g", F.lit(0)), "_o0", "_rb")
-    df = row_number_within(df, ["_g"], F.col("_rb"), order, name="_rn", count_name=None)
+    # A global row number: ranges of all order columns, so no single task sees
+    # the table, whatever one order key holds.
+    df = with_key_ranges(df.withColumn("_g", F.lit(0)), [], order)
+    df = row_number_within(df, ["_g"], F.col("_ll_range"), order, name="_rn", count_name=None)
     return df.select("Time", "V1", "V2", "V3", "V4", "Amount", "Class",
                      (F.col("_rn") - 1).alias("row_id"))
 

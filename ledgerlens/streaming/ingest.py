@@ -40,10 +40,11 @@ def ingest(spark: SparkSession, root: str, table: str, checkpoint: str, report:
     micro-batch; per-file row counts to ``report``."""
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.drop("source_file")
-        rows.write.mode("overwrite").parquet(f"{table.rstrip('/')}/batch_id={batch_id}")
+        # the files are parsed once: the report counts the rows that were written
+        path = f"{table.rstrip('/')}/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(path)
         if report is not None:
-            (batch.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"))
+            (batch.sparkSession.read.parquet(path).groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"))
              .withColumn("batch_id", F.lit(batch_id))
              .write.mode("overwrite").parquet(f"{report.rstrip('/')}/batch_id={batch_id}"))
 
@@ -55,7 +56,7 @@ def ingest(spark: SparkSession, root: str, table: str, checkpoint: str, report:
 
 def read_ingested(spark: SparkSession, table: str) -> DataFrame:
     """The raw table written by ``ingest`` (batch folders read as one table)."""
-    return spark.read.parquet(table).drop("batch_id")
+    return spark.read.parquet(table).drop("batch_id", "source_file")
 
 
 def score_stream(spark: SparkSession, requests_dir: str, out: str, checkpoint: str, preproc, model,

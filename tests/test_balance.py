@@ -1,11 +1,12 @@
-"""Exact kNN against brute force; SMOTE properties."""
+"""kNN against brute force and its bound on pairs; SMOTE properties."""
 
 import random
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.balance import knn, scale_pos_weight, smote, use_smote
+from ledgerlens.operators.balance import (PROJECTIONS, REACH, candidate_pairs, knn, scale_pos_weight, smote, sparse,
+                                          use_smote)
 
 
 def _points(n=120, d=6, seed=5):
@@ -128,3 +129,55 @@ def test_knn_duplicate_path_plan(spark):
     for bad in ("NestedLoop", "Cartesian", "BatchEvalPython", "ArrowEvalPython"):
         assert bad not in plan, bad
     assert "WindowGroupLimit" in plan
+
+
+def _recall(points, got, k):
+    x = np.array([v for _, v in points])
+    hits = 0
+    for a, (i, _) in enumerate(points):
+        d = ((x - x[a]) ** 2).sum(axis=1)
+        d[a] = np.inf
+        near = np.sort(d)[k - 1]
+        hits += sum(d[j] <= near + 1e-9 for j in got[i])
+    return hits / (k * len(points))
+
+
+def test_knn_pairs_are_bounded_and_recall(spark):
+    """Linear work on clustered points, one third in one tiny cluster, and on one-hot rows; recall against brute force."""
+    rnd = random.Random(3)
+    centres = [[rnd.gauss(0, 5) for _ in range(16)] for _ in range(30)]
+    dense = [(i, [c + rnd.gauss(0, 0.5) for c in centres[0 if i % 3 == 0 else rnd.randrange(30)]]) for i in range(900)]
+    hot = []
+    for i in range(900):
+        v = [0.0] * 60
+        for j in (rnd.randrange(20), 20 + rnd.randrange(20), 40 + rnd.randrange(20)):
+            v[j] = 1.0
+        hot.append((i, v))
+    for points, least in ((dense, 0.9), (hot, 0.6)):
+        df = spark.createDataFrame(points, "id long, vec array<double>")
+        v = df.select("id", sparse(F.col("vec"), df.schema["vec"].dataType).alias("v"))
+        assert candidate_pairs(v).count() <= PROJECTIONS * REACH * len(points)
+        got = {}
+        for r in knn(df, 5).collect():
+            got.setdefault(r["id"], []).append(r["nn_id"])
+        assert all(len(x) == 5 for x in got.values()) and len(got) == len(points)
+        recall = _recall(points, got, 5)
+        print(f"recall at 5: {recall:.3f}")
+        assert recall >= least
+
+
+def test_smote_keeps_sparse_vectors(spark):
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.linalg import SparseVector, Vectors
+    rnd = random.Random(5)
+    rows = []
+    for i in range(60):
+        at = sorted(rnd.sample(range(1000), 3))
+        rows.append((str(i), int(i < 12), Vectors.sparse(1000, at, [1.0, 2.0, rnd.random()])))
+    df = spark.createDataFrame(rows, ["id", "label", "vec"])
+    out = smote(df, k=5)
+    got = out.collect()
+    assert len(got) == 96 and all(isinstance(r["vec"], SparseVector) and r["vec"].size == 1000 for r in got)
+    assert all(len(r["vec"].indices) <= 6 for r in got)
+    dense = {r["id"]: r["vec"] for r in smote(df.withColumn("vec", vector_to_array("vec")), k=5).collect()}
+    assert all(list(r["vec"].toArray()) == dense[r["id"]] for r in got)

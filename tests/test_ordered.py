@@ -5,8 +5,8 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.ordered import (lag_within, row_number_within, running_sums, trailing_rows,
-                                          with_range_bucket)
+from ledgerlens.operators.ordered import (hash_bits, lag_within, row_number_within, running_sums, trailing_rows,
+                                          with_key_ranges)
 
 
 def _data(spark, n=600, seed=3):
@@ -55,28 +55,50 @@ def test_trailing_rows_match_frame(spark):
     assert {r["id"]: list(r["s"]) for r in got.collect()} == want
 
 
-def test_range_bucket_monotone(spark):
-    df = spark.range(5000).withColumn("x", (F.col("id") * 7919 % 1000).cast("double"))
-    b = with_range_bucket(df, "x", "b", rows_per_bucket=500)
-    rows = b.select("x", "b").collect()
-    assert len({r["b"] for r in rows}) > 1
-    by_b = {}
-    for r in rows:
-        by_b.setdefault(r["b"], []).append(r["x"])
-    keys = sorted(by_b)
-    for a, c in zip(keys, keys[1:]):
-        assert max(by_b[a]) <= min(by_b[c])
-
-
-def test_adaptive_time_bucket_cuts_hot_key(spark):
-    from ledgerlens.operators.ordered import adaptive_time_bucket
-    df = spark.range(20000).select(
-        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 500).cast("string"))).alias("key"),
-        F.timestamp_seconds(F.col("id") * 60).cast("timestamp_ntz").alias("ts"), "id")
-    b = adaptive_time_bucket(df, ["key"], "ts", target_rows=500)
-    per = df.withColumn("b", b).groupBy("key", "b").count()
-    assert per.agg(F.max("count")).first()[0] <= 1000
-    assert per.filter(F.col("key") == "hot").count() > 5
-    w = Window.partitionBy("key").orderBy("ts", "id")
-    want = _rows(df.select("id", F.lag("id").over(w).alias("p")), ["id", "p"])
-    assert _rows(lag_within(df, ["key"], b, ["ts", "id"], "id", "p"), ["id", "p"]) == want
+def _check_ranges(df, keys, order, target):
+    """Ranges of bounded size, few (key, range) pairs, non-decreasing along the order."""
+    n = df.count()
+    ranged = with_key_ranges(df, keys, order, "b", rows_per_range=target)
+    ranges = -(-n // target)
+    sizes = [r["count"] for r in ranged.groupBy("b").count().collect()]
+    assert sum(sizes) == n and max(sizes) <= 2 * target
+    assert ranged.select(*keys, "b").distinct().count() <= df.select(*keys).distinct().count() + ranges
+    rows = sorted((tuple((r[c] is not None, r[c]) for c in [*keys, *order]), r["b"]) for r in ranged.collect())
+    assert all(x[1] <= y[1] for x, y in zip(rows, rows[1:]))
+    return ranged
+
+
+def test_ranges_of_a_bursty_key(spark):
+    """One row in 2014 and 20,000 rows within one hour of 2024."""
+    burst = spark.range(20_000).select(F.lit("k").alias("key"), F.timestamp_millis(F.lit(1_720_000_000_000) + F.col("id") * 180).alias("t"), "id")
+    early = spark.range(1).select(F.lit("k").alias("key"), F.timestamp_seconds(F.lit(1_400_000_000)).alias("t"), F.lit(-1).cast("long").alias("id"))
+    _check_ranges(burst.unionByName(early), ["key"], ["t", "id"], 1000)
+
+
+def test_ranges_with_one_time_for_a_third(spark):
+    df = spark.range(15_000).select((F.col("id") % 4).alias("key"), F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("t"), "id")
+    _check_ranges(df, ["key"], ["t", "id"], 700)
+
+
+def test_ranges_of_a_hot_key_among_many(spark):
+    df = spark.range(20_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 101 == 1, F.lit(None))
+        .otherwise(F.concat(F.lit("k"), F.col("id") % 5000)).alias("key"), (F.col("id") * 60).alias("t"), "id")
+    ranged = _check_ranges(df, ["key"], ["t", "id"], 500)
+    assert ranged.filter("key = 'hot'").select("b").distinct().count() > 5
+    w = Window.partitionBy("key").orderBy("t", "id")
+    want = _rows(df.select("id", F.coalesce(F.lag("id").over(w), F.lit(-1)).alias("p")), ["id", "p"])
+    got = lag_within(ranged, ["key"], F.col("b"), ["t", "id"], "id", "p").withColumn("p", F.coalesce("p", F.lit(-1)))
+    assert _rows(got, ["id", "p"]) == want
+
+
+def test_global_ranges(spark):
+    df = spark.range(5000).withColumn("x", (F.col("id") * 7919 % 10).cast("double"))
+    ranged = _check_ranges(df, [], ["x", "id"], 500).withColumn("g", F.lit(0))
+    got = row_number_within(ranged, ["g"], F.col("b"), ["x", "id"], "rn", None)
+    want = df.select("id", F.row_number().over(Window.orderBy("x", "id")).alias("rn"))
+    assert _rows(got, ["id", "rn"]) == _rows(want, ["id", "rn"])
+
+
+def test_hash_bits_follow_the_rows():
+    assert hash_bits(1) == 4 and hash_bits(250_000 * 16) == 4 and hash_bits(250_000 * 17) == 8 and hash_bits(10**12) == 24

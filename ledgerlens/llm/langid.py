@@ -62,11 +62,16 @@ def learn(documents: DataFrame) -> tuple[list[str], np.ndarray]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
+        waiting: dict[str, list[np.ndarray]] = {}  # grams of a few texts, counted together
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), column_bytes(batch.column("text"))):
                 if lang not in sums:
                     sums[lang] = np.zeros(SLOTS, dtype=np.int64)
-                sums[lang] += np.bincount(grams(text), minlength=SLOTS)
+                waiting.setdefault(lang, []).append(grams(text))
+            for lang in [k for k, parts in waiting.items() if sum(map(len, parts)) > 1 << 18]:
+                sums[lang] += np.bincount(np.concatenate(waiting.pop(lang)), minlength=SLOTS)
+        for lang, parts in waiting.items():
+            sums[lang] += np.bincount(np.concatenate(parts), minlength=SLOTS)
         for lang, n in sums.items():
             slot = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(slot), pa.string()), pa.array(slot.astype(np.int32)),

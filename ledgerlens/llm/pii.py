@@ -137,10 +137,10 @@ def term_form(word: Column) -> Column:
 
 
 def _contexts(spans: DataFrame) -> DataFrame:
-    """One row for each term near each base span: row, entity, context (hash), term, start, end."""
-    one = spans.where(F.size("base") > 0).select("row", "text", F.explode("base").alias("x"))
-    entity = F.concat(F.col("x.kind").cast("string"), F.lit(":"), F.lower(F.col("x.value")))
-    near = one.select("row", entity.alias("entity"), _near(F.col("text"), F.col("x")).alias("near"))
+    """One row for each term near each base span of rows (row, base, near): row, entity, context (hash), term, start, end."""
+    one = spans.where(F.size("base") > 0).select("row", F.explode(F.arrays_zip("base", "near")).alias("x"))
+    entity = F.concat(F.col("x.base.kind").cast("string"), F.lit(":"), F.lower(F.col("x.base.value")))
+    near = one.select("row", entity.alias("entity"), F.col("x.near").alias("near"))
     context = F.xxhash64(F.transform("near", lambda w: w["value"]))
     words = near.select("row", "entity", context.alias("context"), F.explode("near").alias("w"))
     return words.select("row", "entity", "context", term_form(F.col("w.value")).alias("term"),
@@ -168,8 +168,10 @@ def disclosures(contexts: DataFrame, documents: DataFrame) -> DataFrame:
 def find(documents: DataFrame) -> DataFrame:
     """doc_id, row, base, terms: array<struct<start, kind, end, disclosure>> of every row."""
     spans = base_spans(documents)
-    narrow = materialize(spans.select("doc_id", "row", "base"), "pii-spans")
-    contexts = materialize(_contexts(spans), "pii-contexts")
+    near = F.transform("base", lambda x: _near(F.col("text"), x))
+    narrow = materialize(spans.select("doc_id", "row", "base", near.alias("near")), "pii-spans")
+    contexts = materialize(_contexts(narrow), "pii-contexts")
+    narrow = narrow.drop("near")
     telling = disclosures(contexts, documents)
     hits = contexts.join(telling, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("disclosure").alias("disclosure"))
     terms = hits.groupBy("row").agg(F.sort_array(F.collect_list(

@@ -961,7 +961,8 @@ NULL_MARKER = "\\N"
 def _write_raw_csv(spark, sf_dir, path, by_day=True):
     r = raw(spark, sf_dir)
     if by_day:
-        r = r.withColumn("txn_day", F.date_format("TransactionDate", "yyyy-MM-dd"))
+        # clustered by day first: a task writes the files of its few days, not one file a day
+        r = r.withColumn("txn_day", F.date_format("TransactionDate", "yyyy-MM-dd")).repartitionByRange("txn_day", "TransactionID")
     w = (r.write.mode("overwrite").option("header", True).option("nullValue", NULL_MARKER)
          .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
     if by_day:

@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -45,6 +46,11 @@ def test_smote_equalises(spark, n_min, n_maj):
     rng = np.random.default_rng(n_min * 1000 + n_maj)
     rows = [(f"m{i}", 1, rng.normal(size=3).tolist()) for i in range(n_min)]
     rows += [(f"M{i}", 0, rng.normal(size=3).tolist()) for i in range(n_maj)]
-    out = smote(spark.createDataFrame(rows, "id string, label int, vec array<double>"), k=5)
+    df = spark.createDataFrame(rows, "id string, label int, vec array<double>")
+    if n_min <= 5:  # fewer than k + 1 minority rows are refused, not left unbalanced
+        with pytest.raises(ValueError, match="minority"):
+            smote(df, k=5)
+        return
+    out = smote(df, k=5)
     counts = {r["label"]: r["c"] for r in out.groupBy("label").agg(F.count("*").alias("c")).collect()}
     assert counts == {0: n_maj, 1: n_maj}

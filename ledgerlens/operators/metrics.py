@@ -151,10 +151,10 @@ def best_f1_threshold(pred: DataFrame, st: DataFrame | None = None, compat: bool
             .select(MODEL, F.coalesce(F.col("prev"), F.lit(DEFAULT_THRESHOLD)).alias("threshold"), "best_f1"))
 
 
-def tuned_confusion(pred: DataFrame, compat: bool = False) -> DataFrame:
+def tuned_confusion(pred: DataFrame, compat: bool = False, st: DataFrame | None = None) -> DataFrame:
     """Confusion counts at each model's F1-optimal threshold."""
-    thr = best_f1_threshold(pred, compat=compat)
-    joined = pred.join(F.broadcast(thr.select(MODEL, F.col("threshold").alias("_thr"))), MODEL)
+    thr = best_f1_threshold(pred, st, compat=compat)
+    joined = pred.join(thr.select(MODEL, F.col("threshold").alias("_thr")), MODEL)
     return confusion(joined, F.col("_thr")).join(thr, MODEL)
 
 
@@ -177,7 +177,7 @@ def reliability_curve(pred: DataFrame, n_bins: int = 10) -> DataFrame:
     per = n_bins - 1
     rows = [(m, [float(e) for e in edges[i * per:(i + 1) * per]]) for i, m in enumerate(models)]
     edges_df = spark.createDataFrame(rows, f"{MODEL} string, edges array<double>")
-    binned = pred.join(F.broadcast(edges_df), MODEL).withColumn(
+    binned = pred.join(edges_df, MODEL).withColumn(
         "bin", F.size(F.filter("edges", lambda e: e < F.col("score"))))
     return binned.groupBy(MODEL, "bin").agg(F.avg("score").alias("mean_score"),
                                             F.avg(F.col("label").cast("double")).alias("frac_pos"),
@@ -191,10 +191,10 @@ def brier(pred: DataFrame, prob: str = "score") -> DataFrame:
 
 # ------------------------------------------------------------------ metric records
 
-def evaluate(pred: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
-    """E1-E4 + E15 as one metric record per model (name, ..., cm struct)."""
+def evaluate(pred: DataFrame, threshold: float = DEFAULT_THRESHOLD, st: DataFrame | None = None) -> DataFrame:
+    """E1-E4 + E15 as one metric record per model (name, ..., cm struct); ``st`` is their score table, if there is one."""
     cm = classification_metrics(confusion(pred, threshold))
-    rk = ranking_metrics(pred)
+    rk = ranking_metrics(pred, st)
     return cm.join(rk, MODEL).select(
         F.col(MODEL).alias("name"), "roc_auc", "pr_auc", "f1", "precision", "recall", "accuracy",
         F.lit(float(threshold)).alias("threshold"),

@@ -464,6 +464,16 @@ def predictions(spark, sf_dir):
 R6 = lambda *cs: ", ".join(f"round({c}, 6) AS {c}" for c in cs)
 
 
+def scores(spark, sf_dir):
+    """The score table of the predictions, written once per session for all metric queries."""
+    return shared(spark, sf_dir, "scores", lambda: mt.score_table(predictions(spark, sf_dir)))
+
+
+def records(spark, sf_dir):
+    """The metric records of the predictions."""
+    return mt.evaluate(predictions(spark, sf_dir), st=scores(spark, sf_dir))
+
+
 def _r6(df, *cs):
     return df.select(*[r6(c).alias(c) if c in cs else F.col(c) for c in df.columns])
 
@@ -487,7 +497,7 @@ def q_metrics_classification(spark, sf_dir):
 @register("metrics_ranking", METRICS_WITH + "SELECT model, " + R6("roc_auc", "pr_auc") + " FROM rk")
 def q_metrics_ranking(spark, sf_dir):
     """E3 + E4: ROC AUC (ties = 1/2) and average precision (step sum)."""
-    return _r6(mt.ranking_metrics(predictions(spark, sf_dir)), "roc_auc", "pr_auc")
+    return _r6(mt.ranking_metrics(predictions(spark, sf_dir), scores(spark, sf_dir)), "roc_auc", "pr_auc")
 
 
 @register("roc_curve", METRICS_WITH + "SELECT model, score AS threshold, "
@@ -495,20 +505,20 @@ def q_metrics_ranking(spark, sf_dir):
           "UNION ALL SELECT DISTINCT model, CAST(NULL AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE) FROM ge")
 def q_roc_curve(spark, sf_dir):
     """E5: ROC points at every distinct score and the start point (0, 0)."""
-    return _r6(mt.roc_points(predictions(spark, sf_dir)), "fpr", "tpr")
+    return _r6(mt.roc_points(predictions(spark, sf_dir), scores(spark, sf_dir)), "fpr", "tpr")
 
 
 @register("pr_curve", METRICS_WITH + "SELECT model, threshold, " + R6("precision", "recall") + " FROM pts "
           "UNION ALL SELECT DISTINCT model, CAST(NULL AS DOUBLE), CAST(1 AS DOUBLE), CAST(0 AS DOUBLE) FROM pts")
 def q_pr_curve(spark, sf_dir):
     """PR points plus the closing (precision 1, recall 0) point."""
-    return _r6(mt.pr_points(predictions(spark, sf_dir)), "precision", "recall")
+    return _r6(mt.pr_points(predictions(spark, sf_dir), scores(spark, sf_dir)), "precision", "recall")
 
 
 @register("best_threshold", METRICS_WITH + "SELECT model, best AS threshold, round(best_f1, 6) AS best_f1 FROM best")
 def q_best_threshold(spark, sf_dir):
     """F1-optimal threshold (aligned with its PR point)."""
-    return _r6(mt.best_f1_threshold(predictions(spark, sf_dir)), "best_f1")
+    return _r6(mt.best_f1_threshold(predictions(spark, sf_dir), scores(spark, sf_dir)), "best_f1")
 
 
 @register("best_threshold_compat", METRICS_WITH + """SELECT b.model,
@@ -516,7 +526,7 @@ def q_best_threshold(spark, sf_dir):
                 CAST(0.5 AS DOUBLE)) AS threshold, round(b.best_f1, 6) AS best_f1 FROM best b""")
 def q_best_threshold_compat(spark, sf_dir):
     """E7 (compat): the source's one-step-lower threshold, 0.5 at the bottom."""
-    return _r6(mt.best_f1_threshold(predictions(spark, sf_dir), compat=True), "best_f1")
+    return _r6(mt.best_f1_threshold(predictions(spark, sf_dir), scores(spark, sf_dir), compat=True), "best_f1")
 
 
 @register("tuned_confusion", METRICS_WITH + """SELECT p.model,
@@ -528,7 +538,7 @@ def q_best_threshold_compat(spark, sf_dir):
 FROM pred p JOIN best b ON p.model = b.model GROUP BY p.model""")
 def q_tuned_confusion(spark, sf_dir):
     """Confusion at the F1-optimal threshold."""
-    t = mt.tuned_confusion(predictions(spark, sf_dir))
+    t = mt.tuned_confusion(predictions(spark, sf_dir), st=scores(spark, sf_dir))
     return _r6(t.select("model", "tn", "fp", "fn", "tp", "threshold", "best_f1"), "best_f1")
 
 
@@ -556,7 +566,7 @@ def q_brier(spark, sf_dir):
           "CAST(support AS BIGINT) AS support, CAST(n AS BIGINT) AS n FROM records")
 def q_metric_records(spark, sf_dir):
     """E1-E4 + E15: the per-model metric record (cm flattened for comparison)."""
-    r = mt.evaluate(predictions(spark, sf_dir))
+    r = records(spark, sf_dir)
     r = r.select("name", "roc_auc", "pr_auc", "f1", "precision", "recall", "accuracy", "threshold",
                  "cm.tn", "cm.fp", "cm.fn", "cm.tp", "support", "n")
     return _r6(r, "roc_auc", "pr_auc", "f1", "precision", "recall", "accuracy")
@@ -566,7 +576,7 @@ def q_metric_records(spark, sf_dir):
                                                                             "roc_auc") + " FROM records")
 def q_metrics_comparison(spark, sf_dir):
     """Wide comparison table (five metrics per model, missing = 0)."""
-    long = mt.to_long(mt.evaluate(predictions(spark, sf_dir)))
+    long = mt.to_long(records(spark, sf_dir))
     return _r6(mt.comparison_table(long), "accuracy", "precision", "recall", "f1", "roc_auc")
 
 
@@ -579,7 +589,7 @@ def q_metrics_comparison(spark, sf_dir):
 FROM records""")
 def q_model_ranking(spark, sf_dir):
     """Models ranked by (pr_auc, f1, roc_auc); bar widths."""
-    r = mt.rank_models(mt.evaluate(predictions(spark, sf_dir)))
+    r = mt.rank_models(records(spark, sf_dir))
     return _r6(r.withColumn("rank", F.col("rank").cast("int")), "pr_auc", "f1", "roc_auc")
 
 
@@ -587,13 +597,13 @@ def q_model_ranking(spark, sf_dir):
           "ORDER BY pr_auc DESC, f1 DESC, roc_auc DESC, name LIMIT 1")
 def q_best_model(spark, sf_dir):
     """Best model by (pr_auc, f1, roc_auc) and the criterion used."""
-    return mt.best_model(mt.evaluate(predictions(spark, sf_dir)))
+    return mt.best_model(records(spark, sf_dir))
 
 
 @register("best_model_f1", METRICS_WITH + "SELECT name FROM records ORDER BY f1 DESC, name LIMIT 1")
 def q_best_model_f1(spark, sf_dir):
     """Best model by f1 alone."""
-    return mt.best_by_f1(mt.evaluate(predictions(spark, sf_dir)))
+    return mt.best_by_f1(records(spark, sf_dir))
 
 
 THRESHOLD_GRID = [round(0.05 * i, 2) for i in range(1, 20)]
@@ -647,8 +657,8 @@ def q_merged_metrics(spark, sf_dir):
     """J2 / S13 + E14: combined records merged with a per-model record (per-model
     wins), then the threshold fallback chain."""
     p = predictions(spark, sf_dir)
-    legacy = mt.evaluate(p)
-    thr = mt.best_f1_threshold(p)
+    legacy = records(spark, sf_dir)
+    thr = mt.best_f1_threshold(p, scores(spark, sf_dir))
     tuned = mt.classification_metrics(mt.confusion(
         p.join(thr.select("model", F.col("threshold").alias("_t")), "model"),
         F.col("_t"))).join(thr.select("model", "threshold"), "model")

@@ -87,7 +87,7 @@ def q_csv_roundtrip(spark, sf_dir):
 def q_metric_files(spark, sf_dir):
     """S10 + S13: metric records written as JSON, nested counts kept, and collected from their files."""
     path = scratch_path(spark, "metric_files")
-    io.write_json(mt.evaluate(cat.predictions(spark, sf_dir)), path)
+    io.write_json(cat.records(spark, sf_dir), path)
     got = io.read_metrics(spark, path)
     return got.select("name", r6("roc_auc").alias("roc_auc"), r6("f1").alias("f1"), "threshold", "cm.tn", "cm.tp")
 
@@ -186,7 +186,7 @@ def q_sanitized_vectors(spark, sf_dir):
 @register("kpi", METRICS_WITH + """SELECT name, printf('%.3f', round(f1, 3)) AS f1, '-' AS missing FROM records""")
 def q_kpi(spark, sf_dir):
     """Metrics with three decimals, '-' for a missing one."""
-    rec = mt.evaluate(cat.predictions(spark, sf_dir))
+    rec = cat.records(spark, sf_dir)
     return rec.select("name", C.kpi(F.round("f1", 3)).alias("f1"), C.kpi(F.lit(None).cast("double")).alias("missing"))
 
 

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textops import arrow_map
+from .textops import arrow_map, hashed_sample
 
 FIT_PAGES = 200
 TREES, DEPTH, RATE, BINS = 24, 4, 0.3, 32
@@ -441,9 +441,8 @@ def fit_pages(pages: list[str]) -> Trees:
 
 def fit(pages: DataFrame, fit_rows: int = FIT_PAGES) -> Trees:
     """Learn from ``fit_rows`` pages, the smallest by hash of page_id."""
-    rows = (pages.where(F.length("html") > 0).select("page_id", "html")
-            .orderBy(F.xxhash64("page_id"), "page_id", "html").limit(fit_rows).collect())
-    return fit_pages([r["html"] for r in rows])
+    rows = hashed_sample(pages.where(F.length("html") > 0).select("page_id", "html"), "page_id", fit_rows).collect()
+    return fit_pages(sorted(r["html"] for r in rows))
 
 
 def extract(pages: DataFrame, model: Trees) -> DataFrame:

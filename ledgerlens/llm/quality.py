@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textops import MULT, arrow_map, as_bytes, column_bytes, word_hashes
+from .textops import MULT, arrow_map, as_bytes, column_bytes, hashed_sample, word_hashes
 
 BITS = 17
 SLOTS = (1 << 16) + (2 << BITS) + 8
@@ -198,10 +198,9 @@ def fit_rows(rows: list[np.ndarray], labels: np.ndarray) -> NBSVM:
 
 def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> NBSVM:
     """Learn from the labelled rows outside the held-out remainder, at most ``sample_rows`` of them."""
-    chosen = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()
-                           & ~held_out(F.col("doc_id")))
-              .groupBy("doc_id").agg(F.min("quality").cast("int").alias("label"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))
+    usable = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
+              .groupBy("doc_id").agg(F.min("quality").cast("int").alias("label")))
+    chosen = hashed_sample(usable, "doc_id", sample_rows)
     texts = (documents.select(F.col("doc_id").alias("doc_id"), F.col("text").alias("text"))
              .join(F.broadcast(chosen), "doc_id"))  # at most sample_rows rows of two numbers
 

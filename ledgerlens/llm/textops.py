@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 _U = np.uint64
 MULT = _U(0x9E3779B97F4A7C15)
@@ -104,6 +105,19 @@ def arrow_map(df: DataFrame, one_batch, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def hashed_sample(rows: DataFrame, key: str, size: int) -> DataFrame:
+    """The ``size`` rows of smallest hash of ``key`` (ties by key); all rows if there are fewer.
+
+    A hash bound that about twice as many rows pass comes first, so what the partitions send to be
+    ordered is bounded by the size, not by size times partitions.
+    """
+    span = 1 << 30
+    total = rows.count()
+    bound = span if total <= 2 * size else -(-2 * size * span // total) + 1
+    h = F.pmod(F.xxhash64(key), F.lit(span))
+    return rows.where(h < bound).orderBy(h, key).limit(size)
+
+
 def small_batches(spark) -> None:
     """Arrow batches of a few hundred texts: what a task buffers is bounded by rows of text, not by 10,000 rows."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 256:

@@ -15,6 +15,10 @@ How groups of copies stay cheap and no link is lost:
   (id, bucket).  A bucket of m members gives m - 1 pairs, not m*m/2, and the bands give up
   to BANDS different centres for a group of near copies.  The bit estimate drops
   implausible pairs.
+* A bucket whose members these pairs leave in several components is split by overlapping size
+  class.  Each class gets a centre of its own; then the members outside its largest component are
+  compared, on sizes and estimates, with all members of the class, in bounded blocks.  So every
+  pair that shares a bucket has been tested or lies in one component already, whatever the centres were.
 * Representatives that plausible pairs connect form a cluster.  A cluster that fits in one block
   (BLOCK_ROWS texts, BLOCK_BYTES of text) is compared whole, on the full sets, in one task.
 * In a larger cluster about HUBS members, chosen by hash, are compared with all; members that link
@@ -26,7 +30,8 @@ How groups of copies stay cheap and no link is lost:
 
 A pair at similarity 0.8 shares no band with probability 1.4e-7, one at 0.85 with 2.4e-10;
 the estimate of a pair at the bound falls five standard deviations, below the floor, with
-probability 3e-7.
+probability 3e-7.  No other step loses a link.  Members of a bucket that stay apart cost the
+square of their number in bit counts, which a passage common to many unlike texts can make large.
 
 Defined results: a null text counts as empty; texts without words have no
 shingles, link with nothing and are kept; a text with fewer than ``shingle`` words
@@ -38,6 +43,8 @@ are ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -54,6 +61,7 @@ _U = np.uint64
 _FACTORS = mix(np.arange(1, HASHES + 1, dtype=_U)) | _U(1)
 _CHUNK = 512
 BLOCK_ROWS, BLOCK_BYTES, HUBS = 256, 1_500_000, 16
+SIDE = 4096  # rows of signatures on each side of one comparison within a bucket
 PLANES = [f"p{k}" for k in range(2 * BITS)]  # two words of 60 bits for each retained bit
 
 
@@ -156,19 +164,83 @@ def _similar(common, na, nb, percent: int):
     return 100 * common >= percent * (na + nb - common)
 
 
-def candidates(sigs: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b): every member of a band bucket with the bucket's centre, where the estimate allows a link."""
-    members = sigs.select(F.explode("bands").alias("key"), F.col("doc_id").alias("id"))
-    centres = (members.groupBy("key")
-               .agg(F.min(F.struct(F.xxhash64("id", "key").alias("h"), F.col("id").alias("id"))).alias("c"),
+def _paired(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, id, centre of the members (keys, id) of each bucket that has more than one."""
+    centres = (rows.groupBy(*keys)
+               .agg(F.min(F.struct(F.xxhash64("id", *keys).alias("h"), F.col("id").alias("id"))).alias("c"),
                     F.count(F.lit(1)).alias("n"))
-               .where("n > 1").select("key", F.col("c.id").alias("centre")))
-    pairs = (members.join(centres, "key").where("id != centre")
-             .select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct())
-    s = sigs.select("doc_id", "n_shingles", *PLANES)
-    return (pairs.join(s.alias("x"), F.col("a") == F.col("x.doc_id"))
-            .join(s.alias("y"), F.col("b") == F.col("y.doc_id"))
-            .where(_plausible("x", "y", percent)).select("a", "b"))
+               .where("n > 1").select(*keys, F.col("c.id").alias("centre"), "n"))
+    return rows.join(centres, keys)
+
+
+def _tested(starred: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
+    """a, b, plausible of every member with its centre."""
+    pairs = starred.where("id != centre").select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
+    return (pairs.join(sigs.alias("x"), F.col("a") == F.col("x.doc_id"))
+            .join(sigs.alias("y"), F.col("b") == F.col("y.doc_id"))
+            .groupBy("a", "b").agg(F.max(_plausible("x", "y", percent)).alias("plausible")))
+
+
+def _labelled(rows: DataFrame, labels: DataFrame, column: str, name: str) -> DataFrame:
+    """The rows with the component of ``column``, itself where no pair names it."""
+    held = labels.select(F.col("node").alias(column), F.col("component").alias("__component"))
+    return rows.join(held, column, "left").withColumn(name, F.coalesce("__component", column)).drop("__component")
+
+
+def _size_class(percent: int):
+    """Sizes that allow the similarity lie in one class or in two next to each other."""
+    return F.floor(F.log("n_shingles") / (math.log(100 / max(percent, 1)) * 1.001 + 1e-6))
+
+
+def _exhausted(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of labels (a, b) with a plausible pair of members in one bucket and size class.
+
+    Members outside the largest label of a bucket meet all members, SIDE by SIDE a task key.
+    """
+    keys = ["key", "class"]
+    parts = rows.groupBy(*keys, "label").agg(F.count(F.lit(1)).alias("n"))
+    shape = (parts.groupBy(*keys).agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n"),
+                                      F.count(F.lit(1)).alias("parts")).where("parts > 1")
+             .select(*keys, F.col("top.label").alias("top"), F.ceil(F.col("n") / SIDE).alias("all_blocks"),
+                     F.ceil((F.col("n") - F.col("top.n")) / SIDE).alias("out_blocks")))
+    placed, h = rows.join(shape, keys), F.xxhash64(F.lit("side"), "id")
+    members = placed.withColumn("mb", F.pmod(h, F.col("all_blocks"))).withColumn(
+        "ob", F.explode(F.sequence(F.lit(0).cast("long"), F.col("out_blocks") - 1)))
+    outside = placed.where("label != top").withColumn("ob", F.pmod(h, F.col("out_blocks"))).withColumn(
+        "mb", F.explode(F.sequence(F.lit(0).cast("long"), F.col("all_blocks") - 1)))
+    x, y = outside.alias("x"), members.hint("merge").alias("y")
+    same = [F.col(f"x.{k}") == F.col(f"y.{k}") for k in (*keys, "ob", "mb")]
+    once = (F.col("y.label") == F.col("y.top")) | (F.col("x.id") < F.col("y.id"))
+    return (x.join(y, same).where((F.col("x.label") != F.col("y.label")) & once & _plausible("x", "y", percent))
+            .select(F.least("x.label", "y.label").alias("a"), F.greatest("x.label", "y.label").alias("b")).distinct())
+
+
+def candidates(sigs: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose components are those of all plausible pairs that share a band bucket."""
+    short = sigs.select("doc_id", "n_shingles", *PLANES)
+    starred = materialize(_paired(sigs.select(F.explode("bands").alias("key"), F.col("doc_id").alias("id")), ["key"]),
+                          "minhash-buckets")
+    tested = materialize(_tested(starred, short, percent), "minhash-stars")
+    found = tested.where("plausible").select("a", "b")
+    # Buckets with a member that no plausible pair joins with the centre; one of two members is done.
+    labels = components(found)
+    links = labels.where("node != component").select(F.col("component").alias("a"), F.col("node").alias("b"))
+    apart = _labelled(_labelled(tested.where("not plausible"), labels, "a", "la"), labels, "b", "lb").where("la != lb")
+    split = (starred.where("n > 2 and id != centre").withColumn("a", F.least("id", "centre"))
+             .withColumn("b", F.greatest("id", "centre")).join(apart.select("a", "b"), ["a", "b"]).select("key").distinct())
+    rows = _labelled(starred.select("key", "id").join(split, "key"), labels, "id", "label")
+    rows = rows.join(short.withColumnRenamed("doc_id", "id"), "id")
+    rows = materialize(rows.withColumn("class", F.explode(F.array(_size_class(percent), _size_class(percent) + 1))),
+                       "minhash-split")
+    if rows.isEmpty():
+        return links
+    # A centre for each size class first: it joins large groups at one pair a member.  From here on links join labels.
+    again = _labelled(_paired(rows.select("key", "class", "id", "label"), ["key", "class"]), labels, "centre", "other")
+    again = _tested(again.where("label != other"), short, percent).where("plausible")
+    again = materialize(_labelled(_labelled(again, labels, "a", "la"), labels, "b", "lb")
+                        .select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).distinct(), "minhash-stars")
+    rows = materialize(_labelled(rows.withColumnRenamed("label", "old"), components(again), "old", "label"), "minhash-split")
+    return links.unionByName(again).unionByName(materialize(_exhausted(rows, percent), "minhash-exhausted"))
 
 
 def common_counts(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:

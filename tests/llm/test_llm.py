@@ -316,6 +316,26 @@ def test_minhash_large_clusters(spark, monkeypatch):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(frame, 3, 85).collect()} == want
 
 
+def test_minhash_pairs_beside_an_implausible_centre(spark, monkeypatch):
+    """Near copies in one bucket with longer or unlike texts are joined whichever member is the centre."""
+    rng = np.random.default_rng(17)
+    signatures = []
+    for bucket in range(6):
+        planes = [[int(v) for v in rng.integers(0, 2**60, len(minhash.PLANES))] for _ in range(14)]
+        kinds = [0, 0, 1, 1, 1, *range(2, 14), *range(2, 9)]  # the first two, the next three and seven pairs are near copies
+        for kind in kinds:
+            signatures.append((len(signatures) * 7 + 3, 57 if kind < 2 else 398 if kind < 9 else 60, *planes[kind], [bucket]))
+    monkeypatch.setattr(minhash, "SIDE", 4)
+    frame = spark.createDataFrame(signatures, "doc_id long, n_shingles long, " + "".join(f"{p} long, " for p in minhash.PLANES)
+                                  + "bands array<long>")
+    x, y = frame.alias("x"), frame.alias("y")
+    every = (x.join(y, (F.col("x.bands") == F.col("y.bands")) & (F.col("x.doc_id") < F.col("y.doc_id")))
+             .where(minhash._plausible("x", "y", 80)).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")))
+    want = {tuple(r) for r in minhash.components(every).collect()}
+    assert len(want) >= 6 * 19
+    assert {tuple(r) for r in minhash.components(minhash.candidates(frame, 80)).collect()} == want
+
+
 def test_block_counts_and_estimate():
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 9000, rng.integers(1, 6000)).astype(np.uint64)) for _ in range(12)]

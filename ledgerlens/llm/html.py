@@ -8,7 +8,7 @@ Decoding picks the best labelling in which a node below rejected nodes is reject
 ancestor and a descendant can't contradict each other, and one pass up and one down the tree
 find the optimum.
 
-The trees learn from a bounded sample of the table's own pages, FIT_PAGES by hash of page_id.  Their
+The trees learn from a bounded sample of the table's own pages, FIT_PAGES by hash of page_id, all nodes of each.  Their
 labels come from meaning that pages declare: article and main elements hold the text, navigation,
 asides, headers, footers, forms and nodes with tokens such as "comment" or "ad" don't.  Each page is
 learned as it is and with declared side parts put in (paragraphs of other sample pages under random
@@ -39,7 +39,6 @@ from .textops import arrow_map, hashed_sample
 
 FIT_PAGES = 200
 TREES, DEPTH, RATE, BINS = 24, 4, 0.3, 32
-_FIT_NODES = 24_000
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)\]\]>|<[!?][^>]*(?:>|\Z)"
                     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
@@ -420,7 +419,7 @@ def fit_pages(pages: list[str]) -> Trees:
     rng = np.random.default_rng(11)
     parsed = [(s, t, y) for s in pages for t in [parse(s)] for y in [declared(t)] if y is not None]
     others = [p for _, t, y in parsed for p in _paragraphs(t, y)[:6]]
-    x, y, n = [], [], 0
+    x, y = [], []
     for source, nodes, label in parsed:
         changed = parse(_with_parts(source, others, rng))
         for t, z in ((nodes, label), (changed, declared(changed))):
@@ -431,9 +430,6 @@ def fit_pages(pages: list[str]) -> Trees:
             bare[:, _MEANING] = 0
             x += [f, bare]
             y += [z, z]
-            n += 2 * len(z)
-        if n > _FIT_NODES:
-            break
     if not y or len(np.unique(np.concatenate(y))) < 2:
         return _fallback()
     return boost(np.concatenate(x), np.concatenate(y).astype(float))

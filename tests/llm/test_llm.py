@@ -89,6 +89,17 @@ def test_html_declared_parts(spark):
     assert text.startswith("Boats\nThe 0 harbour") and text.count("\n") == 6
 
 
+def test_html_fit_reads_every_sampled_page(monkeypatch):
+    """A long page that sorts first leaves the nodes of the others in the fit."""
+    long = "<body><article>" + "<p>some words of an article, more of them.</p>" * 7000 + "</article></body>"
+    short = "<html><body><nav><a href='x'>home</a></nav><article><p>a</p><blockquote>quoted text.</blockquote></article></body></html>"
+    seen = []
+    monkeypatch.setattr(html, "boost", lambda x, y: seen.append(x))
+    html.fit_pages([long, short])
+    want = html.features(html.parse(short))
+    assert all((seen[0] == row).all(axis=1).any() for row in want)
+
+
 def test_html_decoding_is_the_best_consistent_labelling():
     rng = random.Random(5)
     for _ in range(50):

@@ -18,7 +18,7 @@ Pages without declared text teach nothing; if the whole sample has none, a built
 same features stands in.
 
 Defined results: a null or empty html has the empty text; scripts, styles, templates, comments and head
-never count; unclosed and misnested elements are closed as browsers close paragraphs, list
+never count (a head without end tag ends at the first text or element that can't stand in it); unclosed and misnested elements are closed as browsers close paragraphs, list
 items and table cells; a page cut off in a tag loses that tag; character references are
 decoded, white space inside a block is one space; repeated rows are extracted row by row; an
 empty table gives an empty result; extra columns are ignored.
@@ -49,6 +49,7 @@ _WORDS = re.compile(r"[a-z]+")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title xmp noframes".split())
 _DROPPED = frozenset("script style template noscript iframe object svg math canvas head title textarea select".split())
+_HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template".split())
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt rp s samp "
     "small span strike strong sub sup time tt u var wbr br img".split())
@@ -109,6 +110,8 @@ def parse(source: str) -> list[Node]:
 
     def add(text: str) -> None:
         nonlocal run
+        if text and text.strip():
+            leave_head()
         if dropped or not text:
             return
         block = stack[-1][1]
@@ -134,6 +137,10 @@ def parse(source: str) -> list[Node]:
             if tag not in _INLINE:
                 run = -1
 
+    def leave_head() -> None:
+        while stack[-1][0] == "head":
+            close(len(stack) - 1)
+
     def last(tags, scope) -> int:
         for k in range(len(stack) - 1, 0, -1):
             if stack[k][0] in tags:
@@ -173,6 +180,8 @@ def parse(source: str) -> list[Node]:
                 stack.append(("body", len(nodes) - 1))
                 run = -1
             continue
+        if tag not in _HEAD:
+            leave_head()
         if tag in _CLOSES_P:
             k = last(("p",), _SCOPE)
             if k > 0:

@@ -100,6 +100,16 @@ def test_html_fit_reads_every_sampled_page(monkeypatch):
     assert all((seen[0] == row).all(axis=1).any() for row in want)
 
 
+@pytest.mark.parametrize("start", [
+    "<html><head><title>t</title>", "<head><meta charset=utf-8><link href=x>", "<head><head><script>s</script>",
+    "<head><noscript><img src=x></noscript>", "<head><template><p>no</p></template>", "<head></head><body>"])
+@pytest.mark.parametrize("body", ["<p>text <b>here</b></p>", "<article><p>text here</p></article>", "text here", "<b>text</b> here"])
+def test_html_head_without_end(start, body):
+    """A page may omit </head> and <body>: its text stays, and the head's own doesn't count."""
+    nodes = html.parse(start + "\n" + body)
+    assert html.main_text(nodes, [True] * len(nodes)) == "text here"
+
+
 def test_html_decoding_is_the_best_consistent_labelling():
     rng = random.Random(5)
     for _ in range(50):

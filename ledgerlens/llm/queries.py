@@ -6,9 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html, langid, lines, minhash, mixing, pii, quality, rules, spotsigs
+from . import audit, bpe, html, langid, lines, minhash, mixing, pii, quality, repeats, rules, spotsigs, tokenstore
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
+STORE_TOKENIZER, END_ID = "word_bpe_49k.json", 2
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,7 +87,30 @@ def op10_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(_table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_runs, the strongest run and digests of all runs and of the collapsed text of every document."""
+    documents = _table(spark, sf_dir, "documents")
+    found = repeats.find(documents.select("doc_id", repeats.planted(F.col("doc_id"), F.col("text")).alias("text")))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = [F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")]
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), *best,
+                        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 of every document, read back from the files."""
+    return tokenstore.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path(STORE_TOKENIZER), END_ID)
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts for each part (lang), order of the filters and step."""
+    return audit.audit(audit.failures(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_trees, op2_quality, op3_byte_bpe, op4_disclosure, op5_bbit_minhash, op6_language, op7_spotsigs,
-    op8_rule_cascade, op9_pivotal_mix, op10_line_windows)}
-ORACLE_SQL = {"op10_line_windows": lines.ORACLE.format(documents="documents")}
+    op8_rule_cascade, op9_pivotal_mix, op10_line_windows, op11_periodic_runs, op12_token_store, op13_filter_audit)}
+ORACLE_SQL = {"op10_line_windows": lines.ORACLE.format(documents="documents"),
+              "op13_filter_audit": audit.ORACLE.format(documents="documents", labels="labels")}

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+BATCH_ROWS, BATCH_BYTES = 256, 16 << 20
+
 _U = np.uint64
 MULT = _U(0x9E3779B97F4A7C15)
 _P = 0x5851F42D4C957F2D  # odd, hence invertible modulo 2**64
@@ -119,6 +121,8 @@ def hashed_sample(rows: DataFrame, key: str, size: int) -> DataFrame:
 
 
 def small_batches(spark) -> None:
-    """Arrow batches of a few hundred texts: what a task buffers is bounded by rows of text, not by 10,000 rows."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 256:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
+    """Arrow batches of a few hundred texts and a few MB: what a task buffers is bounded by both; a longer text goes alone."""
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        if not 0 < int(spark.conf.get(key).rstrip("b")) <= most:
+            spark.conf.set(key, str(most))

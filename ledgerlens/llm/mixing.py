@@ -15,10 +15,14 @@ however large the source, and the levels are the logarithm of the rows to the ba
 
 Masses are whole numbers of 2**-20 words, draws are hashes of the two documents: reruns agree.
 
+Rows equal in source, doc_id and text are one unit with a count: the whole part of count * fraction is spread over as many of
+them, one copy each, and only the rest is drawn, so however many rows are equal, they are one row of the draw
+and their words stay near their share.  Units are spread into rows again in chunks of CHUNK.
+
 Defined results: size counts runs other than space, tab, \\n, \\v, \\f, \\r; a null or empty text
-has size 0 and takes 0 words; null is a source of its own, last in order; rows
-equal in doc_id and text share one draw; an empty table gives an empty result; extra
-columns are ignored by ``mix`` and carried by ``mixed_documents``.  The one window without
+has size 0 and takes 0 words; null is a source of its own, last in order; the same doc_id and text under two sources are
+two documents; no row is taken more than CAP times; very long texts are counted whole; an empty table gives an empty
+result; extra columns are ignored by ``mix``; ``mixed_documents`` returns all columns, those of one of the rows for equal ones.  The one window without
 a key ranks sources, one row each, never documents.
 """
 
@@ -32,6 +36,7 @@ from ..session import materialize
 WEIGHTS = (3, 1, 2)
 SHARE, CAP = 1.5, 2
 FAN = 64
+CHUNK = 10_000
 _WORD = 1 << 20
 _CLASSES = 4  # size classes for each doubling of the size
 
@@ -124,38 +129,63 @@ def draw(sized: DataFrame) -> DataFrame:
     return won.union(rest).distinct().withColumn("extra", F.lit(1))
 
 
-def _unit(doc_id: str, text: str) -> Column:
-    return F.xxhash64(F.col(doc_id), F.col(text))
+def _unit(source: str, doc_id: str, text: str) -> Column:
+    return F.xxhash64(F.col(source), F.col(doc_id), F.col(text))
 
 
-def mix(documents: DataFrame) -> DataFrame:
-    """doc_id, unit, size, source_size, target, copies of every row."""
-    size = word_count("text")
-    rows = materialize(documents.select("doc_id", F.col("source").alias("source"), _unit("doc_id", "text").alias("unit"),
-                                        size.alias("size"))
-                       .withColumn("class", F.when(F.col("size") > 0, F.floor(F.log2("size") * _CLASSES).cast("int"))
-                                   .otherwise(-1)), "mix-sizes")
-    groups = materialize(rows.groupBy("source", "class").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("s")),
+def _numbered(units: DataFrame, count: str, name: str) -> DataFrame:
+    """Each row as often as ``count`` says, numbered from 1; large counts are dealt over the tasks in chunks."""
+    few = units.where(F.col(count).between(1, CHUNK)).withColumn(name, F.explode(F.sequence(F.lit(1).cast("long"), F.col(count))))
+    many = (units.where(F.col(count) > CHUNK)
+            .withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(count) - 1) / CHUNK))))
+            .repartition(F.col("__chunk"))
+            .withColumn(name, F.explode(F.sequence(F.col("__chunk") * CHUNK + 1, F.least(F.col(count), (F.col("__chunk") + 1) * CHUNK))))
+            .drop("__chunk"))
+    return few.unionByName(many)
+
+
+def mixed_units(documents: DataFrame) -> DataFrame:
+    """unit, doc_id, size, n (rows), source_size, target, whole (copies of every row), extra (rows that get one more)."""
+    units = (documents.select(F.col("source").alias("source"), F.col("doc_id").alias("doc_id"),
+                              _unit("source", "doc_id", "text").alias("unit"), word_count("text").alias("size"))
+             .groupBy("source", "doc_id", "unit", "size").agg(F.count(F.lit(1)).alias("n"))
+             .withColumn("class", F.when(F.col("size") > 0, F.floor(F.log2("size") * _CLASSES).cast("int")).otherwise(-1)))
+    units = materialize(units, "mix-units")
+    groups = materialize(units.groupBy("source", "class").agg(F.count(F.lit(1)).alias("units"), F.sum(F.col("size") * F.col("n")).alias("s")),
                          "mix-groups")
     targets = source_targets(groups.groupBy("source").agg(F.sum("s").alias("source_size")))
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     plan = (groups.alias("g").join(targets.alias("t"), F.col("g.source").eqNullSafe(F.col("t.source")))
             .select(F.col("g.source").alias("source"), "class", "rank", "source_size", "target",
-                    F.ceil(F.col("n") / FAN).alias("blocks"), F.floor(share).cast("long").alias("whole"),
+                    F.ceil(F.col("units") / FAN).alias("blocks"), F.floor(share).cast("long").alias("whole"),
                     (share - F.floor(share)).alias("part")))
-    planned = (rows.alias("r").join(plan.alias("p"), F.col("r.source").eqNullSafe(F.col("p.source"))
-                                    & (F.col("r.class") == F.col("p.class")))
-               .select("doc_id", "unit", "size", "r.class", "rank", "source_size", "target", "blocks", "whole",
-                       F.round(F.col("part") * F.col("size") * _WORD).cast("long").alias("mass")))
+    given = F.floor(F.col("part") * F.col("n")).cast("long")
+    planned = (units.alias("r").join(plan.alias("p"), F.col("r.source").eqNullSafe(F.col("p.source"))
+                                     & (F.col("r.class") == F.col("p.class")))
+               .select("unit", "doc_id", "size", "n", "r.class", "rank", "source_size", "target", "blocks", "whole",
+                       given.alias("given"),
+                       F.round((F.col("part") * F.col("n") - given) * F.col("size") * _WORD).cast("long").alias("mass")))
     planned = materialize(planned, "mix-plan")
-    extra = draw(planned.where("size > 0 and mass > 0"))
-    return (planned.join(extra, "unit", "left")
-            .select("doc_id", "unit", "size", "source_size", "target",
-                    F.when(F.col("size") > 0, F.col("whole") + F.coalesce("extra", F.lit(0))).otherwise(0).alias("copies")))
+    won = draw(planned.where("size > 0 and mass > 0")).withColumnRenamed("extra", "won")
+    some = F.col("size") > 0
+    return (planned.join(won.hint("merge"), "unit", "left")
+            .select("unit", "doc_id", "size", "n", "source_size", "target", F.when(some, F.col("whole")).otherwise(0).alias("whole"),
+                    F.when(some, F.col("given") + F.coalesce("won", F.lit(0))).otherwise(0).alias("extra")))
+
+
+def mix(documents: DataFrame) -> DataFrame:
+    """doc_id, unit, size, source_size, target, copies of every row."""
+    rows = _numbered(mixed_units(documents), "n", "__row")
+    return rows.select("doc_id", "unit", "size", "source_size", "target",
+                       (F.col("whole") + (F.col("__row") <= F.col("extra")).cast("long")).alias("copies"))
 
 
 def mixed_documents(documents: DataFrame) -> DataFrame:
     """The rows of ``documents``, all columns, each as often as the mix takes it."""
-    copies = mix(documents).where("copies > 0").select(F.col("unit").alias("__unit"), F.col("copies").alias("__copies")).distinct()
-    return (documents.withColumn("__unit", _unit("doc_id", "text")).join(copies.hint("merge"), "__unit")
-            .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*documents.columns))
+    copies = mixed_units(documents).select(F.col("unit").alias("__unit"), (F.col("n") * F.col("whole") + F.col("extra")).alias("__copies"))
+    # Equal rows are one before they move; the join then finds both sides dealt by unit.
+    row = F.struct(*[F.col(c).alias(f"c{k}") for k, c in enumerate(documents.columns)])
+    one = documents.groupBy(_unit("source", "doc_id", "text").alias("__unit")).agg(F.first(row).alias("__doc"))
+    found = one.join(copies.where("__copies > 0").hint("merge"), "__unit")
+    return _numbered(found, "__copies", "__copy").select(
+        *[F.col(f"__doc.c{k}").alias(c) for k, c in enumerate(documents.columns)])

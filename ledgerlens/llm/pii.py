@@ -7,19 +7,22 @@ corpus how much a term discloses of an entity near which it stands:
     disclosure(term, entity) = PMI(term; entity) / IC(entity)
                              = log(n_te * N / (n_t * n_e)) / log(N / n_e)
 
-N: texts; n_t: texts with the term; n_e: distinct contexts of the entity; n_te: those of them with
-the term.  A context is the REACH words on either side; equal contexts, as copies of a text have
-them, count once, so copying alone never makes a term telling.  1 means that the term occurs with the
+N: distinct texts; n_t: distinct texts with the term; n_e: distinct contexts of the entity; n_te: those of them with
+the term.  A context is the REACH whole words on either side, however long they are; the words that a span itself
+touches are none of them.  Copies of a text count once on all four sides, so copying alone makes no term more or
+less telling.  1 means that the term occurs with the
 entity alone.  Terms with at least SUPPORT contexts and a disclosure from GENERALISE on are
 spans as well, in the contexts of that entity: replaced by a class from GENERALISE on, removed
 from REMOVE on.
 
-Everything is DataFrame functions.  Patterns are possessive forms that match the same strings in
-linear time.  Only narrow rows are shuffled: contexts, and one count for each task and term.
+Everything is DataFrame functions.  Patterns are possessive forms that match the same strings in linear time; offsets
+are prefix sums in chunks, and the words around a span are found by sorting words and spans of a text together, so
+the work for a text grows with its length (times a logarithm), however many matches it has.  What is shuffled: contexts,
+the distinct words of each text once, to count copies of a text as one, and one count for each task and term.
 
 Defined results: a null text counts as empty; offsets are code points, the end exclusive; a text without
 matches has zero counts and empty span lists; rows equal in doc_id and text share their
-(equal) spans; an empty table gives an empty result; extra columns are ignored.
+(equal) spans; very long texts are searched whole; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +32,8 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-REACH, NEAR_CHARS = 4, 80
+REACH = 4
+_CHUNK = 64
 SUPPORT = 2
 GENERALISE, REMOVE = 0.8, 0.95
 KINDS = ("email", "ip", "card", "phone")
@@ -48,19 +52,44 @@ _HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "p
 _BYTE = r"^0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})$"
 
 
+def _let(value: Column, body) -> Column:
+    """body(value) with the value evaluated once, also where body uses it within other lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _scan(steps: Column, first: Column) -> Column:
+    """Running sums of a short array, added to ``first``; the last element is the total."""
+    start = F.struct(first.alias("at"), F.array().cast("array<int>").alias("out"))
+
+    def step(s: Column, x: Column) -> Column:
+        return F.struct((s["at"] + x).alias("at"), F.concat(s["out"], F.array(s["at"] + x)).alias("out"))
+    return F.aggregate(steps, start, step)["out"]
+
+
+def running(steps: Column) -> Column:
+    """Inclusive running sums of an int array: within chunks, on top of the running sums of the chunks."""
+    def within(parts: Column) -> Column:
+        totals = F.transform(parts, lambda p: F.aggregate(p, F.lit(0), lambda a, x: a + x))
+        before = F.concat(F.array(F.lit(0)), _scan(totals, F.lit(0)))
+        both = F.zip_with(parts, F.slice(before, F.lit(1), F.size(parts)), lambda p, c: F.struct(p.alias("p"), c.alias("c")))
+        return F.flatten(F.transform(both, lambda z: _scan(z["p"], z["c"])))
+
+    def cut(xs: Column) -> Column:
+        chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / _CHUNK).cast("int")),
+                             lambda c: F.slice(xs, c * _CHUNK + 1, F.lit(_CHUNK)))
+        return F.when(F.size(xs) > 0, _let(chunks, within)).otherwise(F.array().cast("array<int>"))
+    return _let(steps, cut)
+
+
 def located(text: Column, pattern: str) -> Column:
     """array<struct<start, end, value>> of the matches of a pattern that matches no empty string."""
-    gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    items = F.transform(found, lambda m, i: F.struct(F.length(F.get(gaps, i)).alias("gap"), m.alias("m")))
-    place = "struct<start:int,end:int,value:string>"
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{place}>").alias("out"))
+    found, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
 
-    def step(s: Column, x: Column) -> Column:
-        first = s["at"] + x["gap"]
-        last = first + F.length(x["m"])
-        one = F.struct(first.alias("start"), last.alias("end"), x["m"].alias("value"))
-        return F.struct(last.alias("at"), F.concat(s["out"], F.array(one)).alias("out"))
-    return F.aggregate(items, start, step)["out"]
+    def placed(values: Column) -> Column:
+        steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(values)), values, lambda g, m: F.length(g) + F.length(m))
+        return F.zip_with(running(steps), values, lambda end, m: F.struct(
+            (end - F.length(m)).alias("start"), end.alias("end"), m.alias("value")))
+    return _let(found, placed)
 
 
 def _digits(value: Column) -> Column:
@@ -113,21 +142,38 @@ def base_spans(documents: DataFrame) -> DataFrame:
                        F.array_sort(F.concat(*parts)).alias("base"))
 
 
-def _near(text: Column, x: Column) -> Column:
-    """The words within REACH of a span, as array<struct<start, end, value>> in text offsets."""
-    before = F.least(F.lit(NEAR_CHARS), x["start"])
-    left = located(F.substring(text, x["start"] - before + 1, before), r"[^\x20\x09-\x0D]+")
-    # A word cut off at the window's edge, or grown into the span, is no word of the context.
-    left = F.filter(left, lambda w: ((w["start"] > 0) | (x["start"] == before)) & (w["end"] < before))
-    left = F.transform(F.slice(left, F.greatest(F.size(left) - REACH + 1, F.lit(1)), F.lit(REACH)),
-                       lambda w: F.struct((w["start"] + x["start"] - before).alias("start"),
-                                          (w["end"] + x["start"] - before).alias("end"), w["value"].alias("value")))
-    after = F.substring(text, x["end"] + 1, F.lit(NEAR_CHARS))
-    right = located(after, r"[^\x20\x09-\x0D]+")
-    right = F.filter(right, lambda w: (w["start"] > 0) & ((w["end"] < NEAR_CHARS) | (F.length(after) < NEAR_CHARS)))
-    right = F.transform(F.slice(right, 1, REACH), lambda w: F.struct(
-        (w["start"] + x["end"]).alias("start"), (w["end"] + x["end"]).alias("end"), w["value"].alias("value")))
-    return F.concat(left, right)
+def _near(words: Column, spans: Column) -> Column:
+    """For each span the words within REACH of it, as array<struct<start, end, value>> in text offsets.
+
+    Words and spans of a text are sorted together; running counts of words then tell each span how many words start
+    before its start and before its end.
+    """
+    place = "struct<at:int,kind:int,span:int>"
+
+    def events(ws: Column, xs: Column) -> Column:
+        # at one offset, ends and starts of spans come before a word that starts there
+        return F.array_sort(F.concat(
+            F.transform(ws, lambda w: F.struct(w["start"].alias("at"), F.lit(2).alias("kind"), F.lit(0).alias("span")).cast(place)),
+            F.transform(xs, lambda x, i: F.struct(x["start"].alias("at"), F.lit(0).alias("kind"), i.alias("span")).cast(place)),
+            F.transform(xs, lambda x, i: F.struct(x["end"].alias("at"), F.lit(1).alias("kind"), i.alias("span")).cast(place))))
+
+    def counts(every: Column) -> Column:
+        seen = running(F.transform(every, lambda e: F.when(e["kind"] == 2, 1).otherwise(0)))
+        return F.zip_with(every, seen, lambda e, n: F.struct(e["span"].alias("span"), e["kind"].alias("kind"), n.alias("n")))
+
+    def of(counted: Column, kind: int) -> Column:
+        return F.transform(F.array_sort(F.filter(counted, lambda e: e["kind"] == kind)), lambda e: e["n"])
+
+    def around(ws: Column, xs: Column, counted: Column) -> Column:
+        both = F.arrays_zip(xs.alias("x"), of(counted, 0).alias("low"), of(counted, 1).alias("high"))
+
+        def one(z: Column) -> Column:
+            # the last word that starts before the span may reach into it
+            low = z["low"] - F.when(F.get(ws, z["low"] - 1)["end"] > z["x"]["start"], 1).otherwise(0)
+            left = F.slice(ws, F.greatest(low - REACH + 1, F.lit(1)), F.least(F.lit(REACH), low))
+            return F.concat(left, F.slice(ws, z["high"] + 1, F.lit(REACH)))
+        return F.transform(both, one)
+    return _let(words, lambda ws: _let(spans, lambda xs: _let(_let(events(ws, xs), counts), lambda c: around(ws, xs, c))))
 
 
 def term_form(word: Column) -> Column:
@@ -153,11 +199,18 @@ def disclosures(contexts: DataFrame, documents: DataFrame) -> DataFrame:
     n_e = (seen.select("entity", "context").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")))
     pairs = (seen.where("term != ''").groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_te"))
              .where(F.col("n_te") >= SUPPORT))
-    # The text count of each term over the whole corpus; words are combined before they move.
-    words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{M}'’-]+"))
-    n_t = (documents.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n_t")))
+    # The text count of each term over the corpus: copies of a text are made one before its words are counted.
+    # What stands between two terms takes along the marks that ``term_form`` would strip.
+    marks = r"[\p{M}'’-]*"
+    spaced = F.concat(F.lit(" "), F.lower("text"), F.lit(" "))
+    words = F.array_distinct(F.split(spaced, rf"{marks}(?:[^\p{{L}}\p{{M}}'’-]+{marks})+"))
+    texts = (documents.select(F.coalesce(F.col("text"), F.lit("")).alias("text"))
+             .select(F.xxhash64("text").alias("h1"), F.xxhash64(F.lit("second"), "text").alias("h2"),
+                     F.array_join(words, " ").alias("words")))
+    texts = materialize(texts.groupBy("h1", "h2").agg(F.first("words").alias("words")), "pii-texts")
+    n_t = (texts.select(F.explode(F.split("words", " ")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n_t")))
     n_t = n_t.select(term_form(F.col("word")).alias("term"), "n_t").groupBy("term").agg(F.sum("n_t").alias("n_t"))
-    total = documents.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    total = texts.count()
     ratio = (F.log(F.col("n_te") * F.lit(float(total)) / (F.greatest("n_t", "n_te") * F.col("n_e")))
              / F.log(F.lit(float(total)) / F.col("n_e")))
     return (pairs.join(n_e, "entity").join(n_t, "term")
@@ -168,7 +221,9 @@ def disclosures(contexts: DataFrame, documents: DataFrame) -> DataFrame:
 def find(documents: DataFrame) -> DataFrame:
     """doc_id, row, base, terms: array<struct<start, kind, end, disclosure>> of every row."""
     spans = base_spans(documents)
-    near = F.transform("base", lambda x: _near(F.col("text"), x))
+    words = located(F.col("text"), r"[^\x20\x09-\x0D]+")
+    near = F.when(F.size("base") > 0, _near(words, F.col("base"))).otherwise(
+        F.array().cast("array<array<struct<start:int,end:int,value:string>>>"))
     narrow = materialize(spans.select("doc_id", "row", "base", near.alias("near")), "pii-spans")
     contexts = materialize(_contexts(narrow), "pii-contexts")
     narrow = narrow.drop("near")

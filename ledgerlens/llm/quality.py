@@ -197,7 +197,10 @@ def fit_rows(rows: list[np.ndarray], labels: np.ndarray) -> NBSVM:
 
 
 def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> NBSVM:
-    """Learn from the labelled rows outside the held-out remainder, at most ``sample_rows`` of them."""
+    """Learn from the labelled rows outside the held-out remainder, at most ``sample_rows`` of them.
+
+    Of the rows that share a sampled doc_id one is used, the one of smallest features.
+    """
     usable = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
               .groupBy("doc_id").agg(F.min("quality").cast("int").alias("label")))
     chosen = hashed_sample(usable, "doc_id", sample_rows)
@@ -209,7 +212,10 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(blobs, pa.binary())],
                                           ["doc_id", "label", "slots"])
     schema = f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, label int, slots binary"
-    got = arrow_map(texts.select("doc_id", "label", "text"), encode, schema).toArrow().to_pydict()
+    # One row a doc_id, combined before it moves: what reaches the driver is bounded by rows, also where a doc_id repeats.
+    one = arrow_map(texts.select("doc_id", "label", "text"), encode, schema).groupBy("doc_id").agg(
+        F.first("label").alias("label"), F.min("slots").alias("slots"))
+    got = one.toArrow().to_pydict()
     rows = [np.frombuffer(x, dtype=np.int32) for x in got["slots"]]
     order = sorted(range(len(rows)), key=lambda i: (got["doc_id"][i], got["slots"][i]))
     return fit_rows([rows[i] for i in order], np.array([got["label"][i] for i in order]))

@@ -11,14 +11,15 @@ A store is a folder of Parquet files in ascending order of doc_id, one row for e
 * Spark's own writer commits the files, so they may lie in any file system that Spark knows, a lost
   executor's rows are written again and a failed job leaves no half of a file.
 
-Texts are dealt by ranges of (doc_id, hash of the text, row number) into files of about FILE_BYTES of text; the keys after
+Texts are dealt by ranges of (doc_id, hash of the text, row number) into files of FILE_BYTES of text at most (and at least
+as many as the session has shuffle partitions); the keys after
 doc_id cut a doc_id that a third of the rows share. They are encoded after the shuffle, in order, in Arrow batches;
 the running count within a file needs no window. The count of ids before a file is a running sum over one
 row for each file, read from the metadata.
 
 Encoding: the tokenizer drops white space and no pre-token spans it, so a text's ids are those of its
-pieces between white space characters one after the other. Each worker keeps the ids of up to CACHE short pieces
-and has the library encode the others, all of a batch in one call.
+pieces between white space characters one after the other. Each worker keeps the ids of the short pieces it used last (two
+generations of up to CACHE) and has the library encode the others, all of a batch in one call.
 
 Defined results: a null or empty text has the end id alone; special tokens that stand in a text are encoded as the
 library does by default; a null doc_id comes first; rows equal in doc_id are in order of a hash of their text;
@@ -30,7 +31,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,43 +43,52 @@ from .textops import column_bytes, small_batches
 
 FILE_BYTES = 256 << 20
 ROW_GROUP, PAGE, PAGE_ROWS = 16 << 20, 256 << 10, 2000
-CACHE, _LONGEST = 1 << 18, 64
+CACHE, _LONGEST, _GROUP = 1 << 18, 64, 256
 _COLUMNS = "part int, at bigint, n_tokens int, ids array<int>"
 
 
 class Encoder:
-    """The tokenizer of one process, with the ids of pieces it has seen."""
+    """The tokenizer of one process, with the ids of pieces it has seen lately."""
 
     def __init__(self, definition: str, end_id: int | None):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(definition)
         self.end = b"" if end_id is None else np.array([end_id], dtype="<i4").tobytes()
-        self.known: dict[bytes, bytes] = {}
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def _learn(self, pieces: list[bytes]) -> dict[bytes, bytes]:
-        coded = [x.ids for x in self.tokenizer.encode_batch([p.decode() for p in pieces], add_special_tokens=False)]
-        packed = np.fromiter(chain.from_iterable(coded), dtype="<i4").tobytes()
-        out, at = {}, 0
-        for piece, ids in zip(pieces, coded):
-            out[piece] = packed[at:at + 4 * len(ids)]
-            at += 4 * len(ids)
+        """Packed ids of pieces: some hundred are one sequence of words for the library, which says whose each id is."""
+        groups = [pieces[k:k + _GROUP] for k in range(0, len(pieces), _GROUP)]
+        coded = self.tokenizer.encode_batch([[p.decode() for p in g] for g in groups], is_pretokenized=True, add_special_tokens=False)
+        out = {}
+        for group, x in zip(groups, coded):
+            packed = np.array(x.ids, dtype="<i4").tobytes()
+            counts = np.bincount(np.array(x.word_ids, dtype=np.int64), minlength=len(group)) if x.ids else np.zeros(len(group), np.int64)
+            ends = (4 * np.cumsum(counts)).tolist()
+            out.update(zip(group, (packed[a:b] for a, b in zip([0, *ends], ends))))
         return out
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """The ids of each text and the end id, as little-endian 32-bit numbers."""
         cut = [t.split() if t else [] for t in texts]  # the six white space characters of ASCII
-        fresh = set().union(*cut).difference(self.known)
-        if len(self.known) + len(fresh) > CACHE:
-            self.known.clear()
-            fresh = set().union(*cut)
-        made = self._learn(list(fresh)) if fresh else {}
-        self.known.update((p, x) for p, x in made.items() if len(p) <= _LONGEST)
-        made = {p: x for p, x in made.items() if len(p) > _LONGEST}
-        if not made:
-            ids = self.known.__getitem__
-            return [b"".join(map(ids, pieces)) + self.end for pieces in cut]
-        known = self.known
-        return [b"".join([known[p] if p in known else made[p] for p in pieces]) + self.end for pieces in cut]
+        young, old = self.young, self.old
+        new = set().union(*cut).difference(young)
+        known = {p: old[p] for p in new if p in old}
+        fresh = [p for p in new if p not in known]
+        if fresh:
+            known.update(self._learn(fresh))
+        rest = {p: x for p, x in known.items() if len(p) > _LONGEST}
+        if len(young) + len(known) > CACHE:  # what was not used for a whole generation goes
+            self.old, self.young = young, {}
+            lookup = {**young, **known}
+        else:
+            lookup = young
+        self.young.update(known)
+        out = [b"".join(map(lookup.__getitem__, pieces)) + self.end for pieces in cut]
+        for p in rest:
+            del self.young[p]
+        return out
 
 
 _encoders: dict[tuple, Encoder] = {}
@@ -130,7 +139,7 @@ def write(documents: DataFrame, path: str, tokenizer: str, end_id: int | None =
     spark = documents.sparkSession
     rows = documents.select(F.col("doc_id").alias("doc_id"), F.col("text").alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    files = max(-(-size // file_bytes), spark.sparkContext.defaultParallelism)
+    files = max(-(-size // file_bytes), int(spark.conf.get("spark.sql.shuffle.partitions")))
     dealt = (rows.select("doc_id", "text", F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("row"))
              .repartitionByRange(files, "doc_id", "h", "row").sortWithinPartitions("doc_id", "h", "row").select("doc_id", "text"))
     dictionary = {"ids.list.element": ids_encoding == "dictionary", "doc_id": False, "at": False, "n_tokens": False}

@@ -163,17 +163,21 @@ def test_store_query(spark):
 
 def test_pieces_encode_as_whole_texts(monkeypatch):
     """Odd texts: marks after white space, sigmas, contractions, other white space, special tokens; with a full cache too."""
-    monkeypatch.setattr(tokenstore, "CACHE", 50)
+    monkeypatch.setattr(tokenstore, "CACHE", 300)
     rng = random.Random(2)
     bits = ["a", "É", "é", " ́", "Σ", "ΑΣ", "'s", "'LL", " ", " ", " ", "\u0085", "\x1c", "\n", "\r\n", "\t", "\x0b", "7", "٣",
             "日本", "ﬁ", "<|endoftext|>", "<|", "|>", "--", "​", "가", "x" * 90, "\0", "😀", "İ", "ß"]
     texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(0, 25))) for _ in range(3000)]
     t = Tokenizer.from_file(STORE)
-    encoder = tokenstore.Encoder(t.to_str(), 2)
+    encoder, cuts = tokenstore.Encoder(t.to_str(), 2), 0
     for k in range(0, len(texts), 100):
         part = texts[k:k + 100]
         want = [np.array(x.ids + [2], dtype="<i4").tobytes() for x in t.encode_batch(part, add_special_tokens=False)]
+        before = encoder.young
         assert encoder.encode([x.encode() for x in part]) == want
+        cuts += encoder.young is not before
+        assert all(len(p) <= tokenstore._LONGEST for p in encoder.young)
+    assert cuts > 3
 
 
 @pytest.mark.parametrize("encoding", ["dictionary", "delta"])

@@ -43,7 +43,8 @@ from .textops import column_bytes, small_batches
 
 FILE_BYTES = 256 << 20
 ROW_GROUP, PAGE, PAGE_ROWS = 16 << 20, 256 << 10, 2000
-CACHE, _LONGEST, _GROUP = 1 << 18, 64, 256
+CACHE, _LONGEST, _GROUP = 1 << 18, 64, 32
+_MARK = "\x01"
 _COLUMNS = "part int, at bigint, n_tokens int, ids array<int>"
 
 
@@ -56,39 +57,51 @@ class Encoder:
         self.end = b"" if end_id is None else np.array([end_id], dtype="<i4").tobytes()
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        self.mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, dtype="<i4") for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, pieces: list[bytes]) -> dict[bytes, bytes]:
-        """Packed ids of pieces: some hundred are one sequence of words for the library, which says whose each id is."""
-        groups = [pieces[k:k + _GROUP] for k in range(0, len(pieces), _GROUP)]
-        coded = self.tokenizer.encode_batch([[p.decode() for p in g] for g in groups], is_pretokenized=True, add_special_tokens=False)
+        """Packed ids of pieces, some of them in one text with a mark between.
+
+        The mark, between spaces, has one id; where a text has just as many of it as marks, no piece has made one,
+        and it is cut there. Other pieces are encoded one by one.
+        """
+        alone = [p for p in pieces if len(self.mark) != 1 or _MARK.encode() in p]
+        rest = [p for p in pieces if _MARK.encode() not in p] if len(self.mark) == 1 else []
+        groups = [rest[k:k + _GROUP] for k in range(0, len(rest), _GROUP)]
         out = {}
-        for group, x in zip(groups, coded):
-            packed = np.array(x.ids, dtype="<i4").tobytes()
-            counts = np.bincount(np.array(x.word_ids, dtype=np.int64), minlength=len(group)) if x.ids else np.zeros(len(group), np.int64)
-            ends = (4 * np.cumsum(counts)).tolist()
-            out.update(zip(group, (packed[a:b] for a, b in zip([0, *ends], ends))))
+        for group, ids in zip(groups, self._ids([f" {_MARK} ".join([p.decode() for p in g]) for g in groups])):
+            at = np.flatnonzero(ids == self.mark[0]).tolist()
+            if len(at) != len(group) - 1:
+                alone += group
+                continue
+            packed = ids.tobytes()
+            begin = 0
+            for piece, end in zip(group, [*at, len(ids)]):
+                out[piece] = packed[4 * begin:4 * end]
+                begin = end + 1
+        out.update(zip(alone, (x.tobytes() for x in self._ids([p.decode() for p in alone]))))
         return out
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """The ids of each text and the end id, as little-endian 32-bit numbers."""
         cut = [t.split() if t else [] for t in texts]  # the six white space characters of ASCII
-        young, old = self.young, self.old
-        new = set().union(*cut).difference(young)
-        known = {p: old[p] for p in new if p in old}
-        fresh = [p for p in new if p not in known]
+        found = [list(map(self.young.get, pieces)) for pieces in cut]
+        gaps = [[i for i, x in enumerate(ids) if x is None] if None in ids else [] for ids in found]
+        missing = {pieces[i] for pieces, gap in zip(cut, gaps) for i in gap}
+        made = {p: self.old[p] for p in missing if p in self.old}
+        fresh = [p for p in missing if p not in made]
         if fresh:
-            known.update(self._learn(fresh))
-        rest = {p: x for p, x in known.items() if len(p) > _LONGEST}
-        if len(young) + len(known) > CACHE:  # what was not used for a whole generation goes
-            self.old, self.young = young, {}
-            lookup = {**young, **known}
-        else:
-            lookup = young
-        self.young.update(known)
-        out = [b"".join(map(lookup.__getitem__, pieces)) + self.end for pieces in cut]
-        for p in rest:
-            del self.young[p]
-        return out
+            made.update(self._learn(fresh))
+        for pieces, ids, gap in zip(cut, found, gaps):
+            for i in gap:
+                ids[i] = made[pieces[i]]
+        if len(self.young) + len(made) > CACHE:  # what was not used for a whole generation goes
+            self.old, self.young = self.young, {}
+        self.young.update((p, x) for p, x in made.items() if len(p) <= _LONGEST)
+        return [b"".join(ids) + self.end for ids in found]
 
 
 _encoders: dict[tuple, Encoder] = {}

@@ -166,7 +166,7 @@ def test_pieces_encode_as_whole_texts(monkeypatch):
     monkeypatch.setattr(tokenstore, "CACHE", 300)
     rng = random.Random(2)
     bits = ["a", "É", "é", " ́", "Σ", "ΑΣ", "'s", "'LL", " ", " ", " ", "\u0085", "\x1c", "\n", "\r\n", "\t", "\x0b", "7", "٣",
-            "日本", "ﬁ", "<|endoftext|>", "<|", "|>", "--", "​", "가", "x" * 90, "\0", "😀", "İ", "ß"]
+            "日本", "ﬁ", "<|endoftext|>", "<|", "|>", "--", "​", "가", "x" * 90, "\0", "\x01", "😀", "İ", "ß"]
     texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(0, 25))) for _ in range(3000)]
     t = Tokenizer.from_file(STORE)
     encoder, cuts = tokenstore.Encoder(t.to_str(), 2), 0

@@ -1,15 +1,6 @@
 """Class balancing: weights, k-nearest neighbours, SMOTE (J4, SP6, SP7, A10, A11, U2).
 
-Nearest neighbours in work that is linear in the number of points.  Every
-point is projected on PROJECTIONS fixed random directions (signs of +1 or -1
-from an arithmetic hash, so a projection reads non-zero entries only, in whole
-numbers, and SQL states the same).  Along each direction the points are ranked by
-(projection, id) in ranges of equal row counts, and a point's candidates are
-the REACH points before and after it.  At most 2 * PROJECTIONS * REACH * n
-candidate pairs are examined, whatever the data; exact distances of the distinct
-ones give the k nearest (ties: neighbour id).  Up to REACH + 1 distinct vectors the
-result is exact; beyond, a neighbour is found if it is near in some
-projection.  The definition is the same at every size.
+Nearest neighbours are exact (``neighbours.py``: a metric index over bounded blocks).
 
 Vectors stay sparse: (size, indices of non-zeros, values), from dense arrays or
 from ML vectors alike.
@@ -28,7 +19,8 @@ from pyspark.sql import types as T
 
 from ..schema import RANDOM_SEED
 from ..session import materialize, scratch_path
-from .ordered import hash_bits, hash_bucket, row_number_within, with_key_ranges
+from .neighbours import BLOCK, nearest_pairs
+from .ordered import hash_bits, hash_bucket, row_number_within
 
 # ------------------------------------------------------------------ A10, A11, SP7
 
@@ -69,8 +61,6 @@ def use_smote(policy: str, dataset: str = "primary") -> bool:
 
 # ------------------------------------------------------------------ J4
 
-PROJECTIONS, REACH = 8, 32
-_PRIME, _SCALE = 2147483647, 1 << 20  # signs modulo 2**31 - 1; values in units of 2**-20
 _PAIR = "struct<size:int,indices:array<int>,values:array<double>>"
 
 
@@ -97,58 +87,19 @@ def _dense(v: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), v["size"] - 1), lambda i: F.coalesce(F.element_at(at, i), F.lit(0.0)))
 
 
-def _factor(t: int) -> int:
-    return pow(48271, t + 1, _PRIME)
-
-
-def _projection(v: Column, t: int) -> Column:
-    """Sum of sign(t, index) * value in units of 2**-20."""
-    def signed(i: Column, x: Column) -> Column:
-        h = (i.cast("long") + 1) * F.lit(_factor(t)) % F.lit(_PRIME)
-        up = h * h % F.lit(_PRIME) < F.lit(_PRIME // 2)
-        units = F.round(x * F.lit(float(_SCALE))).cast("long")
-        return F.when(up, units).otherwise(-units)
-    return F.aggregate(F.zip_with(v["indices"], v["values"], signed), F.lit(0).cast("long"), lambda a, x: a + x)
-
-
-def _sqdist(x: Column, y: Column) -> Column:
-    """Squared distance over the union of non-zero positions (no cancellation)."""
-    mx, my = F.map_from_arrays(x["indices"], x["values"]), F.map_from_arrays(y["indices"], y["values"])
-
-    def square(i: Column) -> Column:
-        d = F.coalesce(F.element_at(mx, i), F.lit(0.0)) - F.coalesce(F.element_at(my, i), F.lit(0.0))
-        return d * d
-    every = F.array_sort(F.array_union(x["indices"], y["indices"]))
-    return F.aggregate(F.transform(every, square), F.lit(0.0), lambda a, z: a + z)
-
-
-def candidate_pairs(points: DataFrame, projections: int = PROJECTIONS, reach: int = REACH) -> DataFrame:
-    """Distinct (a, b), a < b, of points (id, v) within ``reach`` ranks in some projection."""
-    each = points.select("id", F.posexplode(F.array(*[_projection(F.col("v"), t) for t in range(projections)])).alias("t", "p"))
-    ranked = with_key_ranges(each, ["t"], ["p", "id"])
-    ranked = row_number_within(ranked, ["t"], F.col("_ll_range"), ["p", "id"], name="r", count_name=None)
-    ranked = materialize(ranked.select("t", "r", "id"), "knn_ranked")
-    onward = ranked.select("t", F.col("id").alias("x"), F.explode(F.sequence(F.lit(1), F.lit(reach))).alias("o"), "r")
-    pairs = onward.select("t", "x", (F.col("r") + F.col("o")).alias("r")).join(
-        ranked.select("t", "r", F.col("id").alias("y")), ["t", "r"])
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-
-
-def knn(points: DataFrame, k: int = 5, id_col: str = "id", vec_col: str = "vec", projections: int = PROJECTIONS,
-        reach: int = REACH) -> DataFrame:
-    """The k nearest other points of every point (Euclidean) among its candidates.
+def knn(points: DataFrame, k: int = 5, id_col: str = "id", vec_col: str = "vec",
+        block: int = BLOCK) -> DataFrame:
+    """The k nearest other points of every point (Euclidean), exactly.
 
     Returns (id, nn_id, nn_rank 1..k, dist); ties broken by neighbour id.
 
     Identical vectors are collapsed first (by 128 bits of hash), so a vector
-    shared by a third of the points costs one row.  Candidates are found
-    among distinct vectors, each keyed by its smallest id.  A point's answer is
+    shared by a third of the points costs one row.  Neighbours are found among distinct
+    vectors (``neighbours.nearest_pairs``), each keyed by its smallest id.  A point's answer is
     the top k of its own vector's other ids (distance 0) and the k smallest ids
     of each of its vector's k nearest other vectors; a point outside those has k
     points ranked before it by (distance, id).
     """
-    if reach < k:
-        raise ValueError(f"reach {reach} is less than k = {k}")
     v = sparse(F.col(vec_col), points.schema[vec_col].dataType)
     pts = points.select(F.col(id_col).alias("id"), v.alias("v"))
     h1 = F.xxhash64("v.size", "v.indices", "v.values")
@@ -158,15 +109,7 @@ def knn(points: DataFrame, k: int = 5, id_col: str = "id", vec_col: str = "vec",
                          "knn_firsts")
     rep_of = firsts.filter("_dr = 1").select("h1", "h2", F.col("id").alias("rep"))
     reps = materialize(pts.join(rep_of, ["h1", "h2"]).filter("id = rep").select("id", "v"), "knn_vectors")
-    pairs = candidate_pairs(reps, projections, reach)
-    dist = (pairs.join(reps.select(F.col("id").alias("a"), F.col("v").alias("va")), "a")
-            .join(reps.select(F.col("id").alias("b"), F.col("v").alias("vb")), "b")
-            .select("a", "b", F.sqrt(_sqdist(F.col("va"), F.col("vb"))).alias("dist")))
-    dist = materialize(dist, "knn_distances")
-    both = (dist.select(F.col("a").alias("rep"), F.col("b").alias("nn_rep"), "dist")
-            .unionByName(dist.select(F.col("b").alias("rep"), F.col("a").alias("nn_rep"), "dist")))
-    near = (both.withColumn("_c", F.row_number().over(Window.partitionBy("rep").orderBy("dist", "nn_rep")))
-            .filter(F.col("_c") <= k).drop("_c"))
+    near = nearest_pairs(reps, k, block).select(F.col("id").alias("rep"), F.col("nn_id").alias("nn_rep"), "dist")
     # kept ids with their vector's representative (at most k + 1 rows a vector)
     fr = firsts.join(rep_of, ["h1", "h2"]).select("id", "rep", "_dr")
     own = fr.select("rep", F.col("id").alias("nn_id"), F.lit(0.0).alias("dist"))

@@ -91,19 +91,25 @@ def _ge_counts(st: DataFrame) -> DataFrame:
                            "fp_ge": F.col("N") - F.col("cneg") + F.col("neg")})
 
 
+def _ranking_sums() -> list[Column]:
+    """Aggregates over the rows of ``_ge_counts`` that ``_ranking`` turns into E3 and E4."""
+    auc_term = F.col("pos") * (F.col("cneg") - F.col("neg") * F.lit(0.5))
+    ap_term = F.col("pos") * _div0(F.col("tp_ge"), F.col("tp_ge") + F.col("fp_ge"))
+    return [F.sum(auc_term).alias("_auc"), F.sum(ap_term).alias("_ap"), F.first("P").alias("P"), F.first("N").alias("N")]
+
+
+def _ranking() -> list[Column]:
+    two = (F.col("P") > 0) & (F.col("N") > 0)
+    return [F.when(two, F.col("_auc") / F.col("P") / F.col("N")).otherwise(F.lit(0.0)).alias("roc_auc"),
+            F.when(two, F.col("_ap") / F.col("P")).otherwise(F.lit(0.0)).alias("pr_auc")]
+
+
 def ranking_metrics(pred: DataFrame, st: DataFrame | None = None) -> DataFrame:
     """E3 + E4 per model: ROC AUC (ties count one half) and average precision
     (step sum of precision over recall increments, not a trapezoid); both 0.0
     when only one class is present."""
     st = _ge_counts(st if st is not None else score_table(pred))
-    auc_term = F.col("pos") * (F.col("cneg") - F.col("neg") * F.lit(0.5))
-    ap_term = F.col("pos") * _div0(F.col("tp_ge"), F.col("tp_ge") + F.col("fp_ge"))
-    agg = st.groupBy(MODEL).agg(F.sum(auc_term).alias("_auc"), F.sum(ap_term).alias("_ap"),
-                                F.first("P").alias("P"), F.first("N").alias("N"))
-    two = (F.col("P") > 0) & (F.col("N") > 0)
-    return agg.select(MODEL,
-                      F.when(two, F.col("_auc") / F.col("P") / F.col("N")).otherwise(F.lit(0.0)).alias("roc_auc"),
-                      F.when(two, F.col("_ap") / F.col("P")).otherwise(F.lit(0.0)).alias("pr_auc"))
+    return st.groupBy(MODEL).agg(*_ranking_sums()).select(MODEL, *_ranking())
 
 
 def roc_points(pred: DataFrame, st: DataFrame | None = None) -> DataFrame:
@@ -192,10 +198,19 @@ def brier(pred: DataFrame, prob: str = "score") -> DataFrame:
 # ------------------------------------------------------------------ metric records
 
 def evaluate(pred: DataFrame, threshold: float = DEFAULT_THRESHOLD, st: DataFrame | None = None) -> DataFrame:
-    """E1-E4 + E15 as one metric record per model (name, ..., cm struct); ``st`` is their score table, if there is one."""
-    cm = classification_metrics(confusion(pred, threshold))
-    rk = ranking_metrics(pred, st)
-    return cm.join(rk, MODEL).select(
+    """E1-E4 + E15 as one metric record per model (name, ..., cm struct); ``st`` is their score table, if there is one.
+
+    One aggregate over the distinct scores gives the counts at the threshold and the curve sums, so nothing is joined.
+    """
+    st = _ge_counts(st if st is not None else score_table(pred))
+    hit = decision("score", threshold) == 1
+
+    def count(side: str, predicted: Column) -> Column:
+        return F.sum(F.when(predicted, F.col(side)).otherwise(F.lit(0)))
+    cm = st.groupBy(MODEL).agg(
+        count("neg", ~hit).alias("tn"), count("neg", hit).alias("fp"), count("pos", ~hit).alias("fn"), count("pos", hit).alias("tp"),
+        F.sum("pos").alias("support"), F.sum(F.col("pos") + F.col("neg")).alias("n"), *_ranking_sums())
+    return classification_metrics(cm.select("*", *_ranking())).select(
         F.col(MODEL).alias("name"), "roc_auc", "pr_auc", "f1", "precision", "recall", "accuracy",
         F.lit(float(threshold)).alias("threshold"),
         F.struct("tn", "fp", "fn", "tp").alias("cm"), "support", "n")

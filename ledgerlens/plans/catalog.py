@@ -790,27 +790,12 @@ def minority_points(spark, sf_dir):
                                                              F.col("embedding").alias("vec"))
 
 
-# J4 in SQL: the projection-band definition of operators/balance.py over the rows of m(id, vec).
-KNN_CTES = f"""
-reps AS (SELECT vec, min(id) AS id FROM m GROUP BY vec),
-members AS (SELECT m.id, r.id AS rep FROM m JOIN reps r USING (vec)),
-entries AS (SELECT id, unnest(vec) AS x, unnest(range(len(vec))) AS i FROM reps),
-factors AS (SELECT * FROM (VALUES {", ".join(f"({t}, {bal._factor(t)})" for t in range(bal.PROJECTIONS))}) f(t, factor)),
-projected AS (
-  SELECT t, id, sum(CASE WHEN (((i + 1) * factor % {bal._PRIME}) * ((i + 1) * factor % {bal._PRIME})) % {bal._PRIME}
-                          < {bal._PRIME // 2} THEN 1 ELSE -1 END * CAST(round(x * {bal._SCALE}) AS BIGINT)) AS p
-  FROM entries, factors GROUP BY t, id),
-ranked AS (SELECT t, id, row_number() OVER (PARTITION BY t ORDER BY p, id) AS r FROM projected),
-bands AS (SELECT DISTINCT a.id AS a, b.id AS b FROM ranked a JOIN ranked b
-          ON a.t = b.t AND a.id <> b.id AND abs(a.r - b.r) <= {bal.REACH}),
-distances AS (
-  SELECT p.a, p.b, sqrt(list_sum(list_transform(range(1, len(x.vec) + 1),
-                                                lambda i: (x.vec[i] - y.vec[i]) * (x.vec[i] - y.vec[i])))) AS dist
-  FROM bands p JOIN reps x ON x.id = p.a JOIN reps y ON y.id = p.b),
+# J4 in SQL: every pair of the rows of m(id, vec), and the five of smallest (distance, id).
+KNN_CTES = """
 options AS (
-  SELECT s.id, o.id AS nn_id, 0.0 AS dist FROM members s JOIN members o ON s.rep = o.rep AND s.id <> o.id
-  UNION ALL
-  SELECT s.id, o.id, d.dist FROM members s JOIN distances d ON d.a = s.rep JOIN members o ON o.rep = d.b),
+  SELECT s.id, o.id AS nn_id, sqrt(list_sum(list_transform(range(1, len(s.vec) + 1),
+                                            lambda i: (s.vec[i] - o.vec[i]) * (s.vec[i] - o.vec[i])))) AS dist
+  FROM m s JOIN m o ON s.id <> o.id),
 nearest AS (
   SELECT id, nn_id, CAST(row_number() OVER (PARTITION BY id ORDER BY dist, nn_id) AS INTEGER) AS nn_rank, dist
   FROM options QUALIFY nn_rank <= 5)"""
@@ -821,7 +806,7 @@ MINORITY_CTE = "m AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS vec FR
 @register("knn_minority", with_ctes(MINORITY_CTE, KNN_CTES)
           + "SELECT id, nn_id, nn_rank, round(dist, 6) AS dist FROM nearest")
 def q_knn_minority(spark, sf_dir):
-    """5 nearest neighbours inside the minority class among projection-band candidates."""
+    """The 5 nearest neighbours of every point inside the minority class."""
     return bal.knn(minority_points(spark, sf_dir), 5).withColumn("dist", r6("dist"))
 
 

@@ -5,8 +5,8 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.balance import (PROJECTIONS, REACH, candidate_pairs, knn, scale_pos_weight, smote, sparse,
-                                          use_smote)
+from ledgerlens.operators.balance import knn, scale_pos_weight, smote, use_smote
+from ledgerlens.operators.neighbours import Block, nearest
 
 
 def _points(n=120, d=6, seed=5):
@@ -121,7 +121,7 @@ def test_knn_single_distinct_vector(spark):
 
 
 def test_knn_duplicate_path_plan(spark):
-    # The duplicate-collapsing path has no all-pairs operator and stays in the JVM.
+    # The duplicate-collapsing path has no all-pairs operator.
     pts = [(i, [1.0, 2.0]) for i in range(0, 60, 3)] + [(i, [float(i % 7), float(i % 5)]) for i in range(60) if i % 3]
     out = knn(spark.createDataFrame(pts, "id long, vec array<double>"), 3)
     out.collect()
@@ -131,19 +131,24 @@ def test_knn_duplicate_path_plan(spark):
     assert "WindowGroupLimit" in plan
 
 
-def _recall(points, got, k):
+def _brute(points, k):
     x = np.array([v for _, v in points])
-    hits = 0
+    out = {}
     for a, (i, _) in enumerate(points):
-        d = ((x - x[a]) ** 2).sum(axis=1)
-        d[a] = np.inf
-        near = np.sort(d)[k - 1]
-        hits += sum(d[j] <= near + 1e-9 for j in got[i])
-    return hits / (k * len(points))
+        d = np.sqrt(np.cumsum((x - x[a]) ** 2, axis=1)[:, -1])
+        out[i] = sorted((d[b], points[b][0]) for b in range(len(points)) if b != a)[:k]
+    return out
 
 
-def test_knn_pairs_are_bounded_and_recall(spark):
-    """Linear work on clustered points, one third in one tiny cluster, and on one-hot rows; recall against brute force."""
+def _rows(got):
+    out = {}
+    for r in sorted(got, key=lambda r: r["nn_rank"]):
+        out.setdefault(r["id"], []).append((r["dist"], r["nn_id"]))
+    return out
+
+
+def test_knn_is_exact_over_many_blocks(spark):
+    """Clustered points, a third in one tiny cluster, and one-hot rows with many ties, in blocks of 64."""
     rnd = random.Random(3)
     centres = [[rnd.gauss(0, 5) for _ in range(16)] for _ in range(30)]
     dense = [(i, [c + rnd.gauss(0, 0.5) for c in centres[0 if i % 3 == 0 else rnd.randrange(30)]]) for i in range(900)]
@@ -152,18 +157,33 @@ def test_knn_pairs_are_bounded_and_recall(spark):
         v = [0.0] * 60
         for j in (rnd.randrange(20), 20 + rnd.randrange(20), 40 + rnd.randrange(20)):
             v[j] = 1.0
-        hot.append((i, v))
-    for points, least in ((dense, 0.9), (hot, 0.6)):
-        df = spark.createDataFrame(points, "id long, vec array<double>")
-        v = df.select("id", sparse(F.col("vec"), df.schema["vec"].dataType).alias("v"))
-        assert candidate_pairs(v).count() <= PROJECTIONS * REACH * len(points)
+        hot.append((f"id{i}", v))
+    for points, kind in ((dense, "long"), (hot, "string")):
+        df = spark.createDataFrame(points, f"id {kind}, vec array<double>").repartition(5)
+        assert _rows(knn(df, 5, block=64).collect()) == _brute(points, 5)
+
+
+def test_nearest_of_blocks():
+    """Sparse blocks of any scale, with ties and a radius, against brute force; wide columns too."""
+    rng = np.random.default_rng(0)
+
+    def block(a):
+        r, c = np.nonzero(a)
+        ptr = np.concatenate([[0], np.cumsum(np.bincount(r, minlength=len(a)))])
+        return Block(ptr.astype(np.int64), c.astype(np.int32), a[r, c])
+    for t in range(60):
+        d = int(rng.integers(1, 30))
+        a = rng.integers(-2, 3, (rng.integers(1, 50), d)) * rng.choice([1, 0.37])
+        b = rng.integers(-2, 3, (rng.integers(1, 60), d)) * rng.choice([1, 0.37, 1e6])
+        if t % 5 == 0:  # far more columns than entries
+            a, b = (np.hstack([x, np.zeros((len(x), 300))])[:, rng.permutation(d + 300)] for x in (a, b))
+        k, radius = int(rng.integers(1, 6)), rng.choice([np.inf, 3.0], len(a))
         got = {}
-        for r in knn(df, 5).collect():
-            got.setdefault(r["id"], []).append(r["nn_id"])
-        assert all(len(x) == 5 for x in got.values()) and len(got) == len(points)
-        recall = _recall(points, got, 5)
-        print(f"recall at 5: {recall:.3f}")
-        assert recall >= least
+        for i, j, dist in zip(*nearest(block(a), block(b), k, radius)):
+            got.setdefault(int(i), []).append((dist, int(j)))
+        for i in range(len(a)):
+            every = [(float(np.sqrt(np.cumsum((a[i] - y) ** 2)[-1])), j) for j, y in enumerate(b)]
+            assert got.get(i, []) == sorted(x for x in every if x[0] <= radius[i])[:k]
 
 
 def test_smote_keeps_sparse_vectors(spark):

@@ -95,13 +95,14 @@ def _ranking_sums() -> list[Column]:
     """Aggregates over the rows of ``_ge_counts`` that ``_ranking`` turns into E3 and E4."""
     auc_term = F.col("pos") * (F.col("cneg") - F.col("neg") * F.lit(0.5))
     ap_term = F.col("pos") * _div0(F.col("tp_ge"), F.col("tp_ge") + F.col("fp_ge"))
-    return [F.sum(auc_term).alias("_auc"), F.sum(ap_term).alias("_ap"), F.first("P").alias("P"), F.first("N").alias("N")]
+    return [F.sum(auc_term).alias("_auc"), F.sum(ap_term).alias("_ap"), F.first("P").alias("_pos"), F.first("N").alias("_neg")]
 
 
 def _ranking() -> list[Column]:
-    two = (F.col("P") > 0) & (F.col("N") > 0)
-    return [F.when(two, F.col("_auc") / F.col("P") / F.col("N")).otherwise(F.lit(0.0)).alias("roc_auc"),
-            F.when(two, F.col("_ap") / F.col("P")).otherwise(F.lit(0.0)).alias("pr_auc")]
+    p, n = F.col("_pos"), F.col("_neg")
+    two = (p > 0) & (n > 0)
+    return [F.when(two, F.col("_auc") / p / n).otherwise(F.lit(0.0)).alias("roc_auc"),
+            F.when(two, F.col("_ap") / p).otherwise(F.lit(0.0)).alias("pr_auc")]
 
 
 def ranking_metrics(pred: DataFrame, st: DataFrame | None = None) -> DataFrame:

@@ -2,23 +2,17 @@
 
 ``percentile``/``percentile_disc`` keep every value of a group in one
 aggregation buffer, which for a global statistic is one task holding the whole
-column.  Here exact quantiles of any number of columns take three distributed
-passes:
-
-1. one aggregate: non-null counts and, per column, one ``percentile_approx``
-   sketch evaluated at p - 2/accuracy and p + 2/accuracy for every wanted p
-   (the sketch's rank error is at most n/accuracy, so the exact answer lies
-   between the two);
-2. one aggregate: per statistic, how many values fall below the lower
-   bracket and how many inside the bracket;
-3. only values inside the brackets (about 4n/accuracy per statistic) are
-   grouped by value and walked with a running count per statistic.
-
-A bracket holding more than ``max_band`` values is narrowed first by the
-same sketch restricted to the bracket (each round divides it by about
-accuracy/4), so the walk in pass 3 stays bounded at any input size.  A
-bracket that misses (tiny inputs, where rank fractions move in steps of
-1/n) is retried unbounded, so results are exact regardless.
+column.  Here exact quantiles of any number of columns take the same four distributed
+steps at every size:
+
+1. one aggregate: non-null counts and, for each column, a ``percentile_approx`` sketch read at
+   RANGES - 1 even probabilities.  Its values are only cut points, so its error costs balance, never exactness;
+2. one aggregate: how many values fall between two cut points (a JVM-side binary search; at most RANGES
+   rows a column reach the driver).  The counts tell in which range each wanted rank lies;
+3. the values of those ranges alone, about one in RANGES for each wanted rank, are grouped by value, so that a
+   value held by a third of the rows is one row, and range-partitioned by value;
+4. running counts over them (``ordered.running_sums``: partition-local windows and a table of partition totals)
+   find the value at each rank.
 """
 
 from __future__ import annotations
@@ -27,11 +21,12 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_ACCURACY = 10_000
-MAX_BAND = 5_000_000
+from .ordered import running_sums, with_key_ranges
+
+RANGES = 1024
 
 
 @dataclass(frozen=True)
@@ -62,12 +57,7 @@ def _ranks(s: Stat, n: int) -> list[int]:
     return [lo, min(n, lo + 1)]
 
 
-def _bracket_probs(p: float, eps: float) -> tuple[float | None, float | None]:
-    return (p - eps if p - eps > 0 else None, p + eps if p + eps < 1 else None)
-
-
-def quantiles(df: DataFrame, stats: Sequence[Stat], accuracy: int = DEFAULT_ACCURACY,
-              max_band: int = MAX_BAND, extra: dict | None = None) -> list[float | None]:
+def quantiles(df: DataFrame, stats: Sequence[Stat], extra: dict | None = None, ranges: int = RANGES) -> list[float | None]:
     """Exact quantiles for ``stats``; ``None`` where a column has no values.
 
     ``extra`` ({name: aggregate Column over ``df``'s columns}) rides along in
@@ -80,46 +70,16 @@ def quantiles(df: DataFrame, stats: Sequence[Stat], accuracy: int = DEFAULT_ACCU
     value = [number(c).alias(f"_q{i}") for i, c in enumerate(cols)]
     vals = df.select(*value)
     src = df.select("*", *value) if extra else vals
-    # Columns of at most ``max_band`` values need no brackets: one grouped
-    # count per (column, value) and a running count per column find every rank.
-    crow = src.agg(*[F.count(f"_q{i}").alias(f"n{i}") for i in range(len(cols))],
-                   *[a.alias(f"_x_{k}") for k, a in extra.items()]).first().asDict()
+    probs = [k / ranges for k in range(1, ranges)]
+    row = src.agg(*[F.count(f"_q{i}").alias(f"n{i}") for i in range(len(cols))],
+                  *[F.percentile_approx(f"_q{i}", probs, 4 * ranges).alias(f"a{i}") for i in range(len(cols))],
+                  *[a.alias(f"_x_{k}") for k, a in extra.items()]).first().asDict()
     for k in list(extra):
-        extra[k] = crow[f"_x_{k}"]
-    if cols and max(crow[f"n{i}"] for i in range(len(cols))) <= max_band:
-        ranks = sorted({(idx[s.col], r) for s in stats if crow[f"n{idx[s.col]}"] > 0
-                        for r in _ranks(s, crow[f"n{idx[s.col]}"])})
-        got = _walk_columns(vals, ranks)
-        return _finish(stats, idx, crow, got)
-    eps = 2.0 / accuracy
-    probs: dict[int, list[float]] = {i: [] for i in range(len(cols))}
-    for s in stats:
-        for q in _bracket_probs(s.p, eps):
-            if q is not None and q not in probs[idx[s.col]]:
-                probs[idx[s.col]].append(q)
-    aggs = [F.count(f"_q{i}").alias(f"n{i}") for i in range(len(cols))]
-    for i, ps in probs.items():
-        if ps:
-            aggs.append(F.percentile_approx(f"_q{i}", ps, accuracy).alias(f"a{i}"))
-    row = vals.agg(*aggs).first().asDict()
-    items = {}  # (column index, rank) -> (lower, upper) bracket
-    for s in stats:
-        i = idx[s.col]
-        n = row[f"n{i}"]
-        if n == 0:
-            continue
-        lo_p, hi_p = _bracket_probs(s.p, eps)
-        approx = dict(zip(probs[i], row.get(f"a{i}") or []))
-        lo = approx.get(lo_p) if lo_p is not None else None
-        hi = approx.get(hi_p) if hi_p is not None else None
-        for r in _ranks(s, n):
-            if (i, r) in items:  # keep the union of brackets asked for one rank
-                a, b = items[(i, r)]
-                lo = None if (a is None or lo is None) else min(a, lo)
-                hi = None if (b is None or hi is None) else max(b, hi)
-            items[(i, r)] = (lo, hi)
-    got = _select(vals, items, accuracy, max_band)
-    return _finish(stats, idx, row, got)
+        extra[k] = row[f"_x_{k}"]
+    cuts = {i: sorted({float(v) for v in row[f"a{i}"] if math.isfinite(v)}) or [0.0]
+            for i in range(len(cols)) if row[f"n{i}"]}
+    wanted = sorted({(idx[s.col], r) for s in stats if row[f"n{idx[s.col]}"] for r in _ranks(s, row[f"n{idx[s.col]}"])})
+    return _finish(stats, idx, row, _select(vals, cuts, wanted))
 
 
 def _finish(stats, idx, row, got) -> list[float | None]:
@@ -140,41 +100,6 @@ def _finish(stats, idx, row, got) -> list[float | None]:
     return out
 
 
-def _walk_columns(vals: DataFrame, ranks: list) -> dict:
-    """Exact values at (column, rank) for small columns: every non-null value is
-    counted per (column, value) and walked with a running count per column."""
-    if not ranks:
-        return {}
-    cols = sorted({i for i, _ in ranks})
-    arr = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"_q{i}").alias("v")) for i in cols])
-    counts = (vals.select(F.explode(arr).alias("t")).select("t.i", "t.v")
-              .filter(F.col("v").isNotNull() & ~F.isnan("v"))
-              .groupBy("i", "v").agg(F.count(F.lit(1)).alias("c")))
-    w = Window.partitionBy("i").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    spec = vals.sparkSession.createDataFrame([(j, i, int(r)) for j, (i, r) in enumerate(ranks)],
-                                             "j int, i int, need long")
-    picked = (counts.withColumn("cum", F.sum("c").over(w)).join(F.broadcast(spec), "i")
-              .filter((F.col("cum") >= F.col("need")) & (F.col("cum") - F.col("c") < F.col("need")))
-              .select("j", "v").collect())
-    got = {row["j"]: row["v"] for row in picked}
-    return {k: got.get(j) for j, k in enumerate(ranks)}
-
-
-def _thresholds(keys: list, items: dict) -> dict[int, list[float]]:
-    """Per column: sorted strict-below thresholds (lower brackets, and the next
-    double above each upper bracket, so that v <= hi  <=>  v < nextafter(hi))."""
-    th: dict[int, set] = {}
-    for (i, _r) in keys:
-        lo, hi = items[(i, _r)]
-        s = th.setdefault(i, set())
-        if lo is not None:
-            s.add(float(lo))
-        if hi is not None:
-            s.add(math.nextafter(float(hi), math.inf))
-    # Bucketizer needs three splits; an unbounded-only column gets a neutral one.
-    return {i: sorted(v) if v else [0.0] for i, v in th.items()}
-
-
 def _bucketed(vals: DataFrame, th: dict[int, list[float]]) -> DataFrame:
     """(i, b, v): per non-null value of column i, b = number of thresholds <= v
     (a JVM-side binary search: ML Bucketizer over all columns at once)."""
@@ -191,102 +116,31 @@ def _bucketed(vals: DataFrame, th: dict[int, list[float]]) -> DataFrame:
             .filter(~F.isnan("v")))
 
 
-def _counts(vals: DataFrame, keys: list, items: dict) -> tuple[list[int], list[int]]:
-    """Per item: values below the lower bracket and values inside the bracket.
-
-    One pass: each value's bucket among its column's thresholds, counted per
-    (column, bucket); the small count table gives every item's two numbers.
-    """
-    th = _thresholds(keys, items)
-    got = {(r["i"], r["b"]): r["c"] for r in
-           _bucketed(vals, th).groupBy("i", "b").agg(F.count(F.lit(1)).alias("c")).collect()}
-    below_t: dict[tuple[int, float], int] = {}
-    for i, ts in th.items():
-        run = got.get((i, 0), 0)
-        for k, t in enumerate(ts, start=1):  # count(v < t_k) = sum of buckets before k
-            below_t[(i, t)] = run
-            run += got.get((i, k), 0)
-        below_t[(i, math.inf)] = run
-    below, width = [], []
-    for (i, r) in keys:
-        lo, hi = items[(i, r)]
-        b = below_t[(i, float(lo))] if lo is not None else 0
-        le = below_t[(i, math.nextafter(float(hi), math.inf))] if hi is not None else below_t[(i, math.inf)]
-        below.append(b)
-        width.append(le - b)
-    return below, width
-
-
-def _narrow(vals: DataFrame, keys: list, items: dict, below: list, width: list, accuracy: int) -> None:
-    """One sketch pass restricted to each oversized bracket, re-centred on the rank."""
-    eps = 2.0 / accuracy
-    aggs, plan = [], []
-    for j, k in enumerate(keys):
-        i, r = k
-        lo, hi = items[k]
-        v = F.col(f"_q{i}")
-        inside = v.isNotNull()
-        if lo is not None:
-            inside = inside & (v >= F.lit(lo))
-        if hi is not None:
-            inside = inside & (v <= F.lit(hi))
-        p = (r - below[j]) / width[j]
-        lo_p, hi_p = _bracket_probs(p, eps)
-        ps = [q for q in (lo_p, hi_p) if q is not None]
-        if ps:
-            aggs.append(F.percentile_approx(F.when(inside, v), ps, accuracy).alias(f"a{j}"))
-        plan.append((k, lo_p, hi_p, ps))
-    row = vals.agg(*aggs).first().asDict() if aggs else {}
-    for j, (k, lo_p, hi_p, ps) in enumerate(plan):
-        approx = dict(zip(ps, row.get(f"a{j}") or []))
-        lo, hi = items[k]
-        items[k] = (approx.get(lo_p, lo) if lo_p is not None else lo,
-                    approx.get(hi_p, hi) if hi_p is not None else hi)
-
-
-def _select(vals: DataFrame, items: dict, accuracy: int, max_band: int) -> dict:
-    """Exact value at each (column, rank)."""
-    if not items:
+def _select(vals: DataFrame, cuts: dict[int, list[float]], wanted: list[tuple[int, int]]) -> dict:
+    """The value at each (column, rank)."""
+    if not wanted:
         return {}
-    keys = sorted(items)
-    below, width = _counts(vals, keys, items)
-    for _ in range(4):
-        big = [j for j in range(len(keys)) if width[j] > max_band]
-        if not big:
-            break
-        sub = [keys[j] for j in big]
-        _narrow(vals, sub, items, [below[j] for j in big], [width[j] for j in big], accuracy)
-        below, width = _counts(vals, keys, items)
-    need = [keys[j][1] - below[j] for j in range(len(keys))]
-    for j, k in enumerate(keys):  # a missed bracket is widened to everything
-        if not 1 <= need[j] <= width[j]:
-            items[k] = (None, None)
-            need[j] = k[1]
     spark = vals.sparkSession
-    th = _thresholds(keys, items)
-    # Buckets of each column that lie inside some bracket of that column.
-    inband = set()
-    for (i, r) in keys:
-        lo, hi = items[(i, r)]
-        ts = th.get(i, [])
-        b_lo = (ts.index(float(lo)) + 1) if lo is not None else 0
-        b_hi = ts.index(math.nextafter(float(hi), math.inf)) if hi is not None else len(ts)
-        inband.update((i, b) for b in range(b_lo, b_hi + 1))
-    band_keys = spark.createDataFrame(sorted(inband), "i int, b int")
-    spec = spark.createDataFrame(
-        [(j, k[0], items[k][0], items[k][1], int(need[j])) for j, k in enumerate(keys)],
-        "j int, i int, lo double, hi double, need long")
-    band = (_bucketed(vals, th).join(F.broadcast(band_keys), ["i", "b"])
-            .groupBy("i", "v").agg(F.count(F.lit(1)).alias("c")))
-    inside = ((F.col("lo").isNull() | (F.col("v") >= F.col("lo")))
-              & (F.col("hi").isNull() | (F.col("v") <= F.col("hi"))))
-    w = Window.partitionBy("j").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    picked = (band.join(F.broadcast(spec), "i").filter(inside)
-              .withColumn("cum", F.sum("c").over(w))
-              .filter((F.col("cum") >= F.col("need")) & (F.col("cum") - F.col("c") < F.col("need")))
-              .select("j", "v").collect())
-    got = {row["j"]: row["v"] for row in picked}
-    return {k: got.get(j) for j, k in enumerate(keys)}
+    placed = _bucketed(vals, cuts)
+    counts = {(r["i"], r["b"]): r["c"] for r in placed.groupBy("i", "b").agg(F.count(F.lit(1)).alias("c")).collect()}
+    before: dict[tuple[int, int], int] = {}  # values below each range
+    total = dict.fromkeys(cuts, 0)
+    for i, b in sorted(counts):
+        before[i, b] = total[i]
+        total[i] += counts[i, b]
+    spec, hit = [], {}
+    for j, (i, rank) in enumerate(wanted):
+        b = max(b for (c, b), below in before.items() if c == i and below < rank)
+        spec.append((j, i, b, rank - before[i, b]))
+        hit[i, b] = counts[i, b]
+    keys = spark.createDataFrame(sorted(hit), "i int, b int")  # one row for each wanted rank at most
+    inside = placed.join(F.broadcast(keys), ["i", "b"]).groupBy("i", "b", "v").agg(F.count(F.lit(1)).alias("c"))
+    cut = with_key_ranges(inside, ["i", "b"], ["v"], n=sum(hit.values()))
+    walked = running_sums(cut, ["i", "b"], F.col("_ll_range"), ["v"], {"cum": F.col("c")}, totals=False)
+    need = spark.createDataFrame(spec, "j int, i int, b int, need long")
+    picked = (walked.join(F.broadcast(need), ["i", "b"])
+              .filter((F.col("cum") >= F.col("need")) & (F.col("cum") - F.col("c") < F.col("need"))).select("j", "v").collect())
+    return {wanted[r["j"]]: r["v"] for r in picked}
 
 
 def median(df: DataFrame, col: str) -> float | None:

@@ -194,22 +194,21 @@ def terms(df: DataFrame, text: str = "nlp_text", out: str = "terms") -> DataFram
     return x.withColumn(out, F.concat("_tok", "_bi")).drop("_text", "_tok", "_bi")
 
 
-def term_table(docs: DataFrame, terms_col: str = "terms", id_col: str | None = None) -> DataFrame:
-    """(term, tf, df): corpus count and document frequency of every term.
+def term_table(docs: DataFrame, terms_col: str = "terms") -> DataFrame:
+    """(term, tf, df): corpus count and document frequency of every term, each row a document.
 
-    ``id_col`` identifies documents; without one, rows get an id before the
-    terms are exploded.
+    A document's terms count for tf and its distinct terms for df; both are summed by term in one aggregate, combined
+    before the shuffle, so no (term, document) pair moves.
     """
-    if id_col is None:
-        docs = docs.withColumn("_d", F.monotonically_increasing_id())
-        id_col = "_d"
-    x = docs.select(F.col(id_col).alias("_d"), F.explode(terms_col).alias("term"))
-    per_doc = x.groupBy("term", "_d").agg(F.count(F.lit(1)).alias("c"))
-    return per_doc.groupBy("term").agg(F.sum("c").alias("tf"), F.count(F.lit(1)).alias("df"))
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    both = F.array(F.struct(F.col(terms_col).alias("t"), one.alias("tf"), none.alias("df")),
+                   F.struct(F.array_distinct(terms_col).alias("t"), none.alias("tf"), one.alias("df")))
+    x = docs.select(F.explode(both).alias("x")).select(F.explode("x.t").alias("term"), "x.tf", "x.df")
+    return x.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
 
 
 def fit_tfidf(train: DataFrame, text: str = "nlp_text", max_features: int = 5000,
-              output: str = "tfidf", id_col: str | None = None) -> tuple[PipelineModel, DataFrame]:
+              output: str = "tfidf") -> tuple[PipelineModel, DataFrame]:
     """T5: fit vocabulary + idf on ``train``; returns (model, vocabulary table).
 
     The vocabulary is the top ``max_features`` terms by (corpus count desc,
@@ -217,7 +216,7 @@ def fit_tfidf(train: DataFrame, text: str = "nlp_text", max_features: int = 5000
     """
     t = terms(train, text)
     n_docs = train.count()
-    table = term_table(t, "terms", id_col)
+    table = term_table(t)
     vocab_rows = table.orderBy(F.col("tf").desc(), F.col("term").asc()).limit(max_features).collect()
     vocab = [r["term"] for r in vocab_rows]
     idf = [math.log((1.0 + n_docs) / (1.0 + r["df"])) + 1.0 for r in vocab_rows]

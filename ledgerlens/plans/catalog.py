@@ -771,7 +771,7 @@ FROM top, nd""")
 def q_tfidf_idf(spark, sf_dir):
     """T5: vocabulary (top 5,000 1-/2-grams by corpus count) with tf, df and smooth idf."""
     df = split_features(spark, sf_dir).filter(F.col("split") == "train")
-    _, vocab = tf.fit_tfidf(df, "nlp_text", id_col="TransactionID")
+    _, vocab = tf.fit_tfidf(df, "nlp_text")
     return vocab.withColumn("idf", r6("idf"))
 
 
@@ -1060,5 +1060,5 @@ def q_nlp_documents_metrics(spark, sf_dir):
     d = shared(spark, sf_dir, "doc_split", lambda: sp.stratified_split(d, test_size=0.2, val_size=None))
     train = d.filter(F.col("split") == "train").withColumn("label", F.col("is_fraud").cast("double"))
     test = d.filter(F.col("split") == "test").withColumn("label", F.col("is_fraud").cast("double"))
-    model, _ = mdl.fit_text_model(train, "text", "label", "TransactionID")
+    model, _ = mdl.fit_text_model(train, "text", "label")
     return mt.evaluate(tr.scored(model, test, "nlp_documents"))

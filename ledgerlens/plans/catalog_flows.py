@@ -277,7 +277,7 @@ SELECT TransactionID, CAST(idx AS INTEGER) AS idx, round(w / sqrt(sum(w * w) OVE
 def q_tfidf_vectors(spark, sf_dir):
     """T5: the non-zero entries of every row's normalised TF-IDF vector."""
     df = cat.split_features(spark, sf_dir)
-    model, _ = tf.fit_tfidf(df.filter(F.col("split") == "train"), "nlp_text", id_col="TransactionID")
+    model, _ = tf.fit_tfidf(df.filter(F.col("split") == "train"), "nlp_text")
     v = F.unwrap_udt("tfidf")
     entries = model.transform(df).select("TransactionID", F.explode(F.arrays_zip(
         v["indices"].alias("idx"), v["values"].alias("weight"))).alias("e"))

@@ -93,3 +93,17 @@ def test_merge_sources_per_model_wins(spark):
     assert set(m) == {"xgb", "nlp"} and m["xgb"]["pr_auc"] == 0.7 and m["xgb"]["roc_auc"] is None
     flat = spark.createDataFrame([(0.3, 0.2)], "pr_auc double, f1 double")
     assert [r["name"] for r in mt.merge_metric_sources(flat, per.limit(0)).collect()] == ["xgb"]
+
+
+def test_evaluate_of_a_literal_model_name(spark):
+    """Records of frames whose model name is a literal: right, and planned without a nested loop."""
+    df = _pred(spark).filter(F.col("model") == "a").withColumn("model", F.lit("only"))
+    out = mt.evaluate(df, 0.5)
+    r = out.first()
+    rows = [(x["label"], x["score"]) for x in df.collect()]
+    auc, ap = _brute(rows)
+    tp, fp = (sum(y == k and s >= 0.5 for y, s in rows) for k in (1, 0))
+    assert (r["cm"]["tp"], r["cm"]["fp"], r["support"], r["n"]) == (tp, fp, sum(y for y, _ in rows), len(rows))
+    assert r["name"] == "only" and r["roc_auc"] == pytest.approx(auc) and r["pr_auc"] == pytest.approx(ap)
+    assert r["precision"] == pytest.approx(tp / (tp + fp))
+    assert "NestedLoop" not in out._jdf.queryExecution().executedPlan().toString()

@@ -20,7 +20,7 @@ SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(He
 def test_quantiles_exact(spark, xs, p):
     df = spark.createDataFrame([(x,) for x in xs], "x double").repartition(3)
     vals = sorted(x for x in xs if x is not None)
-    d, c = quantiles(df, [Stat("x", p, "disc"), Stat("x", p, "cont")], accuracy=30, max_band=5)
+    d, c = quantiles(df, [Stat("x", p, "disc"), Stat("x", p, "cont")], ranges=8)
     if not vals:
         assert d is None and c is None
         return

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import calibrate as cal
 from ..operators import curate as cur
 from .warehouse import shared
 from ..sources import fixtures as fx
@@ -921,7 +922,7 @@ def q_gbt_tuned_threshold(spark, sf_dir):
 def q_calibration_brier(spark, sf_dir):
     """Brier score of raw, Platt and isotonic probabilities (validation)."""
     s = gbt_val_scores(spark, sf_dir)
-    p = mdl.isotonic(s, mdl.platt(s, s))
+    p = cal.isotonic(s, cal.platt(s, s))
     return p.groupBy("model").agg(F.avg((F.col("score") - F.col("label")) ** 2).alias("brier_raw"),
                                   F.avg((F.col("p_platt") - F.col("label")) ** 2).alias("brier_platt"),
                                   F.avg((F.col("p_iso") - F.col("label")) ** 2).alias("brier_isotonic"))

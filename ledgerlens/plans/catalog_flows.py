@@ -11,6 +11,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..operators import calibrate as cal
 from ..operators import features as feat
 from ..operators import metrics as mt
 from ..operators import models as mdl
@@ -302,7 +303,31 @@ def q_isotonic_scores(spark, sf_dir):
     out = None
     for model in sorted(r[0] for r in pred.select("model").distinct().collect()):
         own = pred.filter(F.col("model") == model)
-        one = mdl.isotonic(own, own.select("model", "score").distinct()).select("model", "score", r6("p_iso").alias("p_iso"))
+        one = cal.isotonic(own, own.select("model", "score").distinct()).select("model", "score", r6("p_iso").alias("p_iso"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("platt_scores", "WITH RECURSIVE" + METRICS_WITH.rstrip()[len("WITH"):] + """,
+points AS (SELECT model, score AS x, CAST(sum(label) AS DOUBLE) AS s, CAST(count(*) AS DOUBLE) AS n FROM pred GROUP BY model, score),
+newton AS (
+  SELECT model, 0 AS step, 0.0::DOUBLE AS a, 0.0::DOUBLE AS b FROM points GROUP BY model
+  UNION ALL
+  SELECT model, step + 1, a - (hbb * ga - hab * gb) / (haa * hbb - hab * hab), b - (haa * gb - hab * ga) / (haa * hbb - hab * hab)
+  FROM (SELECT model, step, a, b, sum(d * x) + a AS ga, sum(d) AS gb, sum(h * x * x) + 1 AS haa, sum(h * x) AS hab, sum(h) AS hbb
+        FROM (SELECT w.*, p.x, p.n / (1 + exp(-(w.a * p.x + w.b))) - p.s AS d,
+                     p.n * (1 / (1 + exp(-(w.a * p.x + w.b)))) * (1 - 1 / (1 + exp(-(w.a * p.x + w.b)))) AS h
+              FROM newton w JOIN points p USING (model)) GROUP BY model, step, a, b)
+  WHERE step < 25)
+SELECT p.model, p.x AS score, round(1 / (1 + exp(-(w.a * p.x + w.b))), 6) AS p_platt
+FROM points p JOIN newton w ON w.model = p.model AND w.step = 25""")
+def q_platt_scores(spark, sf_dir):
+    """Platt recalibration of every distinct score, at the optimum (25 Newton steps state the same)."""
+    pred = cat.predictions(spark, sf_dir)
+    out = None
+    for model in sorted(r[0] for r in pred.select("model").distinct().collect()):
+        own = pred.filter(F.col("model") == model)
+        one = cal.platt(own, own.select("model", "score").distinct()).select("model", "score", r6("p_platt").alias("p_platt"))
         out = one if out is None else out.unionByName(one)
     return out
 

@@ -21,6 +21,8 @@ from ..schema import ID_LIKE_COLUMNS
 from ..session import scratch_path
 from ..sources import files as io
 from ..sources import fixtures as fx
+from ..sources import ledger
+from ..streaming import gaps
 from . import catalog as cat
 from . import train as tr
 from .catalog import CURATED_WITH, METRICS_WITH, RAW_CTE, SPLIT_WITH, r6, register, with_ctes
@@ -71,6 +73,52 @@ def q_write_modes(spark, sf_dir):
     return out
 
 
+@register("ingest_ledger", RAW_WITH.rstrip() + """,
+parts AS (SELECT CAST(CAST(TransactionID AS BIGINT) % 8 AS INTEGER) AS part, count(*) AS n FROM raw GROUP BY 1)
+SELECT part, 1 AS load, n AS rows FROM parts UNION ALL SELECT 0, 2, n FROM parts WHERE part = 1""")
+def q_ingest_ledger(spark, sf_dir):
+    """S2 + S3: objects loaded once for each generation: an event repeated loads nothing, a replaced object loads again."""
+    root = scratch_path(spark, "ledger_landing")
+    raw = cat.raw(spark, sf_dir).withColumn("part", F.col("TransactionID").cast("long") % 8)
+    (raw.repartition("part").write.option("header", True).option("nullValue", cat.NULL_MARKER)
+     .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").partitionBy("part").csv(f"{root}/incoming"))
+    table = f"{root}/table"
+    part = F.regexp_extract("object", "part=([0-9]+)", 1).cast("int")
+    ledger.load_new(spark, root, table, null_value=cat.NULL_MARKER)
+    if ledger.load_new(spark, root, table, null_value=cat.NULL_MARKER) is not None:
+        raise RuntimeError("a repeated event was loaded again")
+    # the object of part 0 is replaced by the content of part 1
+    place = {r["part"]: r["object"] for r in ledger.objects(spark, root).select(part.alias("part"), "object").collect()}
+    _copy_object(spark, place[1], place[0])
+    ledger.load_new(spark, root, table, null_value=cat.NULL_MARKER)
+    return ledger.read_loaded(spark, table).groupBy(part.alias("part"), "load").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _copy_object(spark, source, target):
+    """One object written over another; its rows are read as text by Spark's file system, whichever that is."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    a, b = hadoop.Path(source), hadoop.Path(target)
+    hadoop.FileUtil.copy(a.getFileSystem(conf), a, b.getFileSystem(conf), b, False, True, conf)
+
+
+@register("account_gaps_stream", RAW_WITH + """SELECT AccountID, TransactionID, TransactionDate, lag(TransactionDate) OVER w AS PreviousTransactionDate,
+       (epoch_us(TransactionDate) - epoch_us(lag(TransactionDate) OVER w)) / 1000000.0::DOUBLE AS secs_since_prev
+FROM raw WINDOW w AS (PARTITION BY AccountID ORDER BY TransactionDate, TransactionID)""")
+def q_account_gaps_stream(spark, sf_dir):
+    """W2 + P14 + M8 as a stream: previous time and gap of every transaction from keyed state, over two runs of the query."""
+    root = scratch_path(spark, "account_gaps")
+    raw = cat.raw(spark, sf_dir).select("AccountID", "TransactionID", "TransactionDate")
+    middle = raw.agg(F.percentile_approx("TransactionDate", 0.5)).first()[0]
+    for half in (F.col("TransactionDate") <= F.lit(middle), F.col("TransactionDate") > F.lit(middle)):
+        raw.where(half).write.mode("append").parquet(f"{root}/in")
+        stream = gaps.account_gaps(spark.readStream.schema(raw.schema).parquet(f"{root}/in"))
+        query = (stream.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint")
+                 .outputMode("append").trigger(availableNow=True).start())
+        query.awaitTermination()  # the second run goes on from the first one's state
+    return spark.read.parquet(f"{root}/out")
+
+
 AWKWARD = "concat(Location, ' \"x\", ', chr(10), '; ', Channel)"
 
 

@@ -59,6 +59,9 @@ def grams(text: bytes | None) -> np.ndarray:
 def learn(documents: DataFrame) -> tuple[list[str], np.ndarray]:
     """Languages in order, and log P(slot | language) as an array of slots x languages."""
     rows = documents.where(F.col("lang").isNotNull()).select(F.col("lang").alias("lang"), F.col("text").alias("text"))
+    # before any task holds an array for each of them
+    if rows.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -80,9 +83,7 @@ def learn(documents: DataFrame) -> tuple[list[str], np.ndarray]:
     counts = rows.mapInArrow(run, "lang string, slot int, n long")
     total = counts.groupBy("lang", "slot").agg(F.sum("n").alias("n"))
     packed = (total.groupBy("lang").agg(F.collect_list("slot").alias("slots"), F.collect_list("n").alias("ns"))
-              .orderBy("lang").limit(MAX_LANGUAGES + 1).toArrow())
-    if packed.num_rows > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+              .orderBy("lang").toArrow())
     languages = packed.column("lang").to_pylist()
     table = np.full((SLOTS, max(1, len(languages))), SMOOTH_TEXT)
     for k in range(len(languages)):

@@ -1,9 +1,10 @@
 """Document fingerprints with SpotSigs.
 
 A spot is a common word (an anchor) with the CHAIN content words that follow it, every
-STEP-th one; a text's fingerprint is the set of its spots, as 32-bit hashes.  Two
-fingerprints are compared by their Jaccard similarity, pruned by set sizes: sets
-whose sizes alone keep them below the bound are never intersected.
+STEP-th one; a text's fingerprint is the set of its spots, as 32-bit hashes.  Sets are partitioned by length, a
+partition spanning a factor of 1 / bound, and two fingerprints are compared by their Jaccard similarity only where their
+partitions are equal or adjacent; the comparison ends as soon as the spots that are left cannot bring it to
+the bound.  Likenesses below the bound (BOUND for ``neighbours``) are 0.
 
 ``neighbours`` fingerprints each text, the next one, and the text with its second half
 taken from the next, without moving any text more than once: rows are dealt by ranges of
@@ -36,6 +37,8 @@ from ..session import materialize
 from .textops import LOWER, MULT, as_bytes, column_bytes, mix, small_batches, span_hashes
 
 CHAIN, STEP = 2, 1
+BOUND = 0.05
+_SLICE = 256  # spots compared between two looks at what is left
 #: Common words of English, French, German and Spanish.
 ANCHORS = ("a an the of to is was that there said and with "
            "le la les de des un une est et que dans "
@@ -102,13 +105,28 @@ def decode(s: str) -> np.ndarray:
     return np.frombuffer(base64.b64decode(s), dtype="<u4")
 
 
-def likeness(a: np.ndarray, b: np.ndarray, bound: float = 0.0) -> float:
-    """Jaccard similarity of two sets, 0 where their sizes or values keep it below ``bound``."""
+def partition(n: int, bound: float) -> int:
+    """The length partition of a set of n spots: sets that reach the bound are in equal or adjacent ones."""
+    return math.floor(math.log(n) / -math.log(bound) + 1e-9)
+
+
+def likeness(a: np.ndarray, b: np.ndarray, bound: float = BOUND) -> float:
+    """Jaccard similarity of two sorted sets, 0 where it is below ``bound``."""
     if not len(a) or not len(b):
         return float(len(a) == len(b))
-    if min(len(a), len(b)) < bound * max(len(a), len(b)):
+    if abs(partition(len(a), bound) - partition(len(b), bound)) > 1 or min(len(a), len(b)) < bound * max(len(a), len(b)):
         return 0.0
-    common = len(np.intersect1d(a, b, assume_unique=True))
+    if len(a) > len(b):
+        a, b = b, a
+    need = bound / (1 + bound) * (len(a) + len(b))  # common spots that reach the bound
+    common = 0
+    for k in range(0, len(a), _SLICE):
+        if common + len(a) - k < need:
+            return 0.0
+        part = a[k:k + _SLICE]
+        at = np.searchsorted(b, part)
+        at[at == len(b)] = 0
+        common += int(np.count_nonzero(b[at] == part))
     j = common / (len(a) + len(b) - common)
     return j if j >= bound else 0.0
 
@@ -196,7 +214,7 @@ def near_pairs(documents: DataFrame, bound: float = 0.8) -> DataFrame:
     reps = materialize(signed.join(classes, "key").where("doc_id = rep and size(spots) > 0")
                        .select("doc_id", F.size("spots").alias("n"), "spots").dropDuplicates(["doc_id"]), "spotsigs-classes")
     # Sets that reach the bound differ in length by a factor of 1 / bound at most: adjacent partitions.
-    part = F.floor(F.log("n") / F.lit(-math.log(bound))).cast("int")
+    part = F.floor(F.log("n") / F.lit(-math.log(bound)) + F.lit(1e-9)).cast("int")
     each = reps.select("doc_id", "n", part.alias("part"), F.explode("spots").alias("spot"))
     rarity = each.groupBy("spot").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     shared = (each.join(rarity, "spot").groupBy("doc_id", "n", "part")

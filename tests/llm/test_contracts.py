@@ -4,11 +4,12 @@ import math
 import random
 import re
 
+import numpy as np
 import pytest
 import regex
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import mixing, pii, quality
+from ledgerlens.llm import langid, mixing, pii, quality, spotsigs
 
 DIR = "/root/testdata/sf0.001"
 DOC = "doc_id long, text string, source string"
@@ -181,3 +182,36 @@ def test_quality_sample_is_bounded_in_rows(spark, monkeypatch, repeats):
     quality.fit(spark.createDataFrame(rows, DOC), labels)
     quality.fit(spark.createDataFrame(rows, DOC), labels, sample_rows=10)
     assert seen[0] <= 49 and seen[1] <= 10
+
+
+# 7 pruned comparison
+
+
+def test_pruned_likeness_equals_jaccard_from_the_bound_on():
+    rng = random.Random(6)
+    for _ in range(3000):
+        bound = rng.choice([0.05, 0.3, 0.8])
+        a = {rng.randrange(400) for _ in range(rng.choice([0, 1, 5, 40, 900]))}
+        b = set(rng.sample(sorted(a), rng.randrange(len(a) + 1))) | {rng.randrange(5000) for _ in range(rng.choice([0, 3, 60, 3000]))}
+        j = len(a & b) / len(a | b) if a | b else 1.0
+        if bool(a) != bool(b):
+            j = 0.0
+        got = spotsigs.likeness(*(np.array(sorted(x), dtype=np.uint32) for x in (a, b)), bound)
+        assert got == (j if j >= bound else 0.0)
+
+
+def test_length_partitions_hold_all_that_reach_the_bound():
+    for bound in (0.05, 0.5, 0.8):
+        for n in range(1, 400):
+            for m in range(n, int(n / bound) + 1):
+                assert abs(spotsigs.partition(n, bound) - spotsigs.partition(m, bound)) <= 1
+
+
+# 6 languages
+
+
+def test_too_many_languages_are_refused_before_counting(spark, monkeypatch):
+    monkeypatch.setattr(langid, "grams", lambda text: pytest.fail("counted"))
+    rows = spark.range(2000).selectExpr("concat('l', id) as lang", "'text' as text")
+    with pytest.raises(ValueError, match="languages"):
+        langid.learn(rows)

@@ -10,10 +10,14 @@ find the optimum.
 
 The trees learn from a bounded sample of the table's own pages, FIT_PAGES by hash of page_id, all nodes of each.  Their
 labels come from meaning that pages declare: article and main elements hold the text, navigation,
-asides, headers, footers, forms and nodes with tokens such as "comment" or "ad" don't.  Each page is
-learned as it is and with declared side parts put in (paragraphs of other sample pages under random
-tags and tokens, so that a comment that reads like an article is told by what it declares), and each
-of the two also with tags and tokens hidden, so that pages that declare nothing are judged by shape.
+asides, headers, footers, forms and blocks with tokens such as "comment" or "ad" don't, unless these hold most of
+the page.  Each page is learned as it is and VERSIONS times with side parts put in (paragraphs of other sample pages under random
+tags and names, half of them names that no list has, and now and then the article itself under an odd name), and each
+version also with tags and tokens hidden, so that a part is told by its place, size and by having a name as well.
+
+Attribute tokens speak by smoothed label shares, counted over the sample; an unseen token by those of its letter
+4-grams (``Tokens``). The evidence is a feature like the others and bounded, so no single token settles a long text.
+
 Pages without declared text teach nothing; if the whole sample has none, a built-in score over the
 same features stands in.
 
@@ -28,7 +32,10 @@ empty table gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 import html as references
+import math
 import re
+import zlib
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -39,7 +46,8 @@ from pyspark.sql import functions as F
 from .textops import arrow_map, hashed_sample
 
 FIT_PAGES = 200
-TREES, DEPTH, RATE, BINS = 24, 4, 0.3, 32
+TREES, DEPTH, RATE, BINS = 40, 4, 0.3, 32
+VERSIONS = 3  # of each page with side parts put in
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)\]\]>|<[!?][^>]*(?:>|\Z)"
                     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
@@ -61,7 +69,7 @@ _SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td
          "th": ("td", "th"), "option": ("option",)}
 _SCOPE = frozenset("ul ol table html body div article section main td th".split())
 
-#: Words in class, id and role values that declare a node's part.
+#: Words in class, id and role values that usually name a part: what the token evidence starts from.
 _AGAINST = frozenset(
     "ad ads advert advertisement aside banner breadcrumb breadcrumbs comment comments cookie consent copyright "
     "disqus footer form header login menu meta modal nav navbar navigation newsletter notice pager pagination "
@@ -86,19 +94,80 @@ class Node:
     text: list[str] = field(default_factory=list)
     links: int = 0  # characters in links
     children: list[int] = field(default_factory=list)
+    planted: str = ""  # set by the fit: "side" or "main"
+
+
+_GRAMS = 1 << 14
+_SEED, _SMOOTH, _MOST = 4.0, 2.0, 2.0
+
+
+def _gram_slots(token: str) -> list[int]:
+    padded = f"^{token}$"
+    return [zlib.crc32(padded[k:k + 4].encode()) % _GRAMS for k in range(max(1, len(padded) - 3))]
+
+
+class Tokens:
+    """How far attribute tokens speak for or against main text: smoothed log ratios of the labels they were seen with.
+
+    A token that was seen has its own ratio; an unseen one has the mean of those of its letter 4-grams, so that
+    words of one stem, or of related languages, speak alike. Both lie within _MOST: one token never settles a node.
+    """
+
+    def __init__(self):
+        self.seen: dict[str, list[float]] = {}
+        self.grams = np.zeros((_GRAMS, 2))
+        for words, label in ((_AGAINST, 0), (_FOR, 1)):
+            for w in words:
+                self.add(w, label, _SEED)
+        self.known: dict[str, float] = {}
+
+    def add(self, token: str, label: int, weight: float = 1.0) -> None:
+        self.seen.setdefault(token, [0.0, 0.0])[label] += weight
+        for g in _gram_slots(token):
+            self.grams[g, label] += weight
+
+    def learn(self, nodes: list[Node], label: np.ndarray) -> None:
+        """Count the tokens of a page's nodes, those of made-up parts left out."""
+        for x, y in zip(nodes, label):
+            if not x.planted:
+                for t in set(x.tokens):
+                    self.add(t, int(y))
+
+    def score(self, tokens: tuple[str, ...]) -> float:
+        return sum(map(self._one, set(tokens)))
+
+    def _one(self, token: str) -> float:
+        found = self.known.get(token)
+        if found is None:
+            if token in self.seen:
+                found = _ratio(*self.seen[token])
+            else:
+                found = float(np.mean([_ratio(*self.grams[g]) for g in _gram_slots(token)]))
+            if len(self.known) < 100_000:
+                self.known[token] = found
+        return found
 
 
-def _attributes(source: str) -> tuple[tuple[str, ...], bool]:
-    """Words of class, id and role, and whether the element is hidden."""
+def _ratio(against: float, favour: float) -> float:
+    return min(max(math.log((favour + _SMOOTH) / (against + _SMOOTH)), -_MOST), _MOST)
+
+
+_PLANTED = "data-ledgerlens-planted"
+
+
+def _attributes(source: str) -> tuple[tuple[str, ...], bool, str]:
+    """Words of class, id and role, whether the element is hidden, and the mark of a part that the fit has made up."""
     words: list[str] = []
-    hidden = False
+    hidden, planted = False, ""
     for name, a, b, c in _ATTRIBUTE.findall(source):
         name = name.lower()
         if name in ("class", "id", "role", "itemprop"):
             words += _WORDS.findall((a or b or c).lower())
+        elif name == _PLANTED:
+            planted = a
         elif name == "hidden" or name == "style" and "display:none" in (a or b or c).replace(" ", "").lower():
             hidden = True
-    return tuple(words), hidden
+    return tuple(words), hidden, planted
 
 
 def parse(source: str) -> list[Node]:
@@ -175,7 +244,7 @@ def parse(source: str) -> list[Node]:
         if tag in ("html", "body"):
             if tag == "body" and not any(t == "body" for t, _ in stack):
                 close(1)
-                words, hidden = _attributes(m[4])
+                words, hidden, _ = _attributes(m[4])
                 nodes.append(Node("body", 0, words, hidden))
                 nodes[0].children.append(len(nodes) - 1)
                 stack.append(("body", len(nodes) - 1))
@@ -209,8 +278,8 @@ def parse(source: str) -> list[Node]:
         elif tag == "a":
             links += 1
         elif tag not in _INLINE and not dropped:
-            words, hidden = _attributes(m[4]) if m[4] else ((), False)
-            nodes.append(Node(tag, block, words, hidden))
+            words, hidden, planted = _attributes(m[4]) if m[4] else ((), False, "")
+            nodes.append(Node(tag, block, words, hidden, planted=planted))
             nodes[block].children.append(len(nodes) - 1)
             block = len(nodes) - 1
             run = -1
@@ -219,12 +288,13 @@ def parse(source: str) -> list[Node]:
     return nodes
 
 
-N_FEATURES = 24
+N_FEATURES = 28
 _MEANING = slice(0, 6)  # features that hiding a page's tags and tokens removes
 
 
-def features(nodes: list[Node]) -> np.ndarray:
-    """One row of features a node."""
+def features(nodes: list[Node], tokens: Tokens | None = None) -> np.ndarray:
+    """One row of features a node; ``tokens``: the evidence of attribute tokens (what it starts from, if none is given)."""
+    tokens = tokens or _seeds()
     n = len(nodes)
     chars, links, words, stops, paragraphs, own, depth = ([0] * n for _ in range(7))
     blocks = [1] * n
@@ -247,30 +317,38 @@ def features(nodes: list[Node]) -> np.ndarray:
         stops[p] += stops[i]
         blocks[p] += blocks[i]
         paragraphs[p] += paragraphs[i]
-    against, favour = [0] * n, [0] * n  # declarations of the node and its ancestors
+    against, favour = [0.0] * n, [0.0] * n  # declarations of the node and its ancestors
+    named = [0] * n  # nodes with tokens from the root down to here
+    apart = [sum([chars[k] for k in x.children if nodes[k].tokens]) for x in nodes]  # characters in children with tokens
     total = chars[0] or 1
     out: list[tuple | None] = [None] * n
     sums = [sum([chars[k] for k in x.children]) for x in nodes]
     most = [max([chars[k] for k in x.children], default=0) for x in nodes]
-    place, before = [0] * n, [-1] * n
+    place, before, alike = [0] * n, [-1] * n, [1.0] * n  # alike: the share of siblings of its kind
     for x in nodes:
         last = -1
         for k, c in enumerate(x.children):
             place[c], before[c] = k, last
             last = c
+        if len(x.children) > 1:
+            kinds = [(nodes[c].tag, bool(nodes[c].tokens)) for c in x.children]
+            counts = Counter(kinds)
+            for c, kind in zip(x.children, kinds):
+                alike[c] = counts[kind] / len(kinds)
     for i, x in enumerate(nodes):
         p = x.parent if i else 0
         up = nodes[p]
-        mine, yours = 0, 0
+        mine, yours = 0.0, 0.0
         if x.tag in _TAGS_AGAINST:
             mine = 1
         elif x.tag in _TAGS_FOR:
             yours = 1
         if x.tokens:
-            mine += len(_AGAINST.intersection(x.tokens))
-            yours += len(_FOR.intersection(x.tokens))
+            said = tokens.score(x.tokens)
+            mine, yours = mine + max(-said, 0.0), yours + max(said, 0.0)
         if i:
             against[i], favour[i] = against[p] + mine, favour[p] + yours
+            named[i] = named[p] + (1 if x.tokens else 0)
             count, side, top = len(up.children), sums[p], most[p]
         else:
             count, side, top = 1, total, total
@@ -279,16 +357,21 @@ def features(nodes: list[Node]) -> np.ndarray:
             _TAG_KINDS.get(x.tag, 0), _TAG_KINDS.get(up.tag, 0), mine, yours, against[i], favour[i],
             depth[i], c, own[i], links[i] / (c or 1), words[i], c / blocks[i], stops[i] / (words[i] or 1),
             paragraphs[i], blocks[i], c / total, count, place[i] / count, side / count, c / (side or 1), top,
-            links[left] / (chars[left] or 1) if left >= 0 else -1.0, chars[p] / blocks[p] if i else 0.0, len(x.children))
+            links[left] / (chars[left] or 1) if left >= 0 else -1.0, chars[p] / blocks[p] if i else 0.0, len(x.children),
+            1 if x.tokens else 0, named[i], apart[p] / (side or 1) if i else 0.0, alike[i])
     return np.array(out, dtype=np.float64)
 
 
 def declared(nodes: list[Node]) -> np.ndarray | None:
     """Labels that the page's own markup gives its nodes; None if it declares no main text.
 
-    1 for nodes with main text in their subtree, 0 for the others.
+    1 for nodes with main text in their subtree, 0 for the others. A token that usually names a side part doesn't
+    reject a block with more than half of the page's text.
     """
     n = len(nodes)
+    chars = [sum(map(len, x.text)) for x in nodes]
+    for i in range(n - 1, 0, -1):
+        chars[nodes[i].parent] += chars[i]
     inside, against = [False] * n, [False] * n
     label = np.zeros(n, dtype=np.int64)
     for i, x in enumerate(nodes):
@@ -296,7 +379,8 @@ def declared(nodes: list[Node]) -> np.ndarray | None:
         words = set(x.tokens)
         inside[i] = i > 0 and (inside[up] or x.tag in _TAGS_FOR)
         # A header within an article may be its title: only outside it does the tag declare anything.
-        off = x.tag in _TAGS_AGAINST and not (x.tag == "header" and inside[i]) or bool(words & _AGAINST) or x.hidden
+        off = (x.tag in _TAGS_AGAINST and not (x.tag == "header" and inside[i]) or x.hidden or x.planted == "side"
+               or bool(words & _AGAINST) and x.planted != "main" and 2 * chars[i] <= chars[0])
         against[i] = i > 0 and (against[up] or off)
         if x.text and inside[i] and not against[i]:
             label[i] = 1
@@ -307,6 +391,15 @@ def declared(nodes: list[Node]) -> np.ndarray | None:
     return label
 
 
+_seed_tokens: list[Tokens] = []
+
+
+def _seeds() -> Tokens:
+    if not _seed_tokens:
+        _seed_tokens.append(Tokens())
+    return _seed_tokens[0]
+
+
 @dataclass
 class Trees:
     """Boosted trees of fixed depth: for each inner node a feature and a threshold, for each leaf a value."""
@@ -314,6 +407,7 @@ class Trees:
     feature: np.ndarray  # trees x inner nodes
     threshold: np.ndarray
     value: np.ndarray  # trees x leaves
+    tokens: Tokens | None = None
 
     def log_odds(self, x: np.ndarray) -> np.ndarray:
         out = np.full(len(x), self.start)
@@ -398,20 +492,51 @@ def main_text(nodes: list[Node], chosen: list[bool]) -> str:
     return "\n".join(b for b in blocks if b)
 
 
+def _name(rng: np.random.Generator) -> str:
+    """A name that no list has: some syllables."""
+    return "".join(rng.choice(list("bdfgklmnprstvz")) + rng.choice(list("aeiou")) for _ in range(rng.integers(2, 5)))
+
+
 def _with_parts(source: str, others: list[str], rng: np.random.Generator) -> str:
-    """The page with declared side parts put in, filled with paragraphs of other pages, and its article under another name."""
+    """The page with side parts put in, filled with paragraphs of other pages, and its article under another name.
+
+    Half of the parts have names that are in no list, so that the trees learn to see a part by its place, size and by having a
+    name at all. Now and then most of the article is wrapped in a block with an odd name, which stays main text.
+    """
     def part() -> str:
         tag = str(rng.choice(["div", "div", "section", "ul", *sorted(_TAGS_AGAINST)]))
         named = tag not in _TAGS_AGAINST or rng.random() < 0.5
-        name = f' {rng.choice(["class", "id"])}="{rng.choice(sorted(_AGAINST))}"' if named else ""
+        word = _name(rng) if rng.random() < 0.5 else rng.choice(sorted(_AGAINST))
+        name = f' {rng.choice(["class", "id"])}="{word}"' if named else ""
         body = [str(rng.choice(others)) for _ in range(rng.integers(1, 5))]
+        if rng.random() < 0.4:  # short ones, as in menus and adverts
+            body = [x[:int(rng.integers(10, 80))] for x in body]
         wrap = "li" if tag == "ul" else str(rng.choice(["p", "p", "div"]))
-        return f"<{tag}{name}>" + "".join(f"<{wrap}>{x}</{wrap}>" for x in body) + f"</{tag}>"
-    for spot in (r"<article[^>]*>", r"</article>", r"<body[^>]*>", r"<footer"):
+        inner = "".join(f"<{wrap}>{x}</{wrap}>" for x in body)
+        if rng.random() < 0.4:
+            inner = inner.replace(f"<{wrap}>", "").replace(f"</{wrap}>", " ")
+        return f'<{tag}{name} {_PLANTED}="side">{inner}</{tag}>'
+    if rng.random() < 0.4:
+        m = re.search(r"(<article[^>]*>)(.*?)(</article>)", source, re.S)
+        if m:
+            word = rng.choice(sorted(_AGAINST)) if rng.random() < 0.5 else _name(rng)
+            # all of it, or what follows one of the first paragraphs
+            ends = [0] + [e.end() for e in re.finditer(r"</p>|</h1>", m[2]) if 2 * e.end() < len(m[2])]
+            k = m.end(1) + ends[int(rng.integers(len(ends)))]
+            source = f'{source[:k]}<div class="{word}" {_PLANTED}="main">{source[k:m.start(3)]}</div>{source[m.start(3):]}'
+    if rng.random() < 0.4:  # the article in a block of its own, side parts beside it or not
+        tag = str(rng.choice(["main", "div", "section"]))
+        word = f' class="{_name(rng)}"' if rng.random() < 0.5 else ""
+        side = part() if rng.random() < 0.5 else ""
+        source = re.sub(r"<article[^>]*>.*?</article>", lambda m: f'<{tag}{word} {_PLANTED}="main">{m[0]}{side}</{tag}>', source,
+                        count=1, flags=re.S)
+    for spot in (r"<article[^>]*>", r"</article>", r"</p>", r"<body[^>]*>", r"<footer"):
         if rng.random() < 0.5:
-            m = re.search(spot, source)
-            if m:  # before or after an opening tag, before a closing one
-                k = m.end() if spot.startswith("<body") or spot.startswith("<article") and rng.random() < 0.3 else m.start()
+            found = list(re.finditer(spot, source))
+            if found:  # before or after an opening tag, before a closing one, after a paragraph
+                m = found[int(rng.integers(len(found)))] if spot == r"</p>" else found[0]
+                after = spot.startswith("<body") or spot == r"</p>" or spot.startswith("<article") and rng.random() < 0.3
+                k = m.end() if after else m.start()
                 source = source[:k] + part() + source[k:]
     kind = rng.integers(3)
     if kind < 2:
@@ -425,24 +550,30 @@ def _paragraphs(nodes: list[Node], label: np.ndarray) -> list[str]:
 
 
 def fit_pages(pages: list[str]) -> Trees:
-    """The trees of a bounded list of pages."""
+    """The trees and the token evidence of a bounded list of pages."""
     rng = np.random.default_rng(11)
     parsed = [(s, t, y) for s in pages for t in [parse(s)] for y in [declared(t)] if y is not None]
     others = [p for _, t, y in parsed for p in _paragraphs(t, y)[:6]]
+    tokens = Tokens()
+    for _, nodes, label in parsed:
+        tokens.learn(nodes, label)
     x, y = [], []
     for source, nodes, label in parsed:
-        changed = parse(_with_parts(source, others, rng))
-        for t, z in ((nodes, label), (changed, declared(changed))):
+        changed = [parse(_with_parts(source, others, rng)) for _ in range(VERSIONS)]
+        for t, z in ((nodes, label), *((c, declared(c)) for c in changed)):
             if z is None:
                 continue
-            f = features(t)
+            f = features(t, tokens)
             bare = f.copy()
             bare[:, _MEANING] = 0
             x += [f, bare]
             y += [z, z]
     if not y or len(np.unique(np.concatenate(y))) < 2:
         return _fallback()
-    return boost(np.concatenate(x), np.concatenate(y).astype(float))
+    model = boost(np.concatenate(x), np.concatenate(y).astype(float))
+    if model is not None:
+        model.tokens = tokens
+    return model
 
 
 def fit(pages: DataFrame, fit_rows: int = FIT_PAGES) -> Trees:
@@ -457,7 +588,7 @@ def extract(pages: DataFrame, model: Trees) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         trees = [parse(s) if s else [] for s in batch.column("html").to_pylist()]
-        parts = [features(t) for t in trees if t]
+        parts = [features(t, held.value.tokens) for t in trees if t]
         odds = held.value.log_odds(np.concatenate(parts)) if parts else np.zeros(0)
         at, texts = 0, []
         for t in trees:

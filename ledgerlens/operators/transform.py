@@ -6,12 +6,11 @@
   fit, plain column arithmetic to apply, persisted with the pipeline).
 * ``MedianImputer`` (T4): NULL -> exact column median (ML ``Imputer``'s
   median is approximate).
-* one-hot (T2): ``StringIndexer`` (alphabetical, unknown kept) +
-  ``OneHotEncoder(dropLast=True)`` so unknown values give the zero vector;
-  NULL becomes a sentinel category first, as the source encoder gives NULL
+* one-hot (T2): categories in order, numbered in a table (``categories.CategoryEncoder``); unknown values give
+  the zero vector; NULL becomes a sentinel category first, as the source encoder gives NULL
   a column of its own.
 * ``tabular_pipeline`` (T3): numerics scaled, categoricals one-hot, then one
-  vector; ``feature_names`` gives ``num__c`` / ``cat__c_v`` names.
+  vector; ``feature_names`` is the table of its ``num__c`` / ``cat__c_v`` names.
 * TF-IDF (T5): lower-case word tokens of >= 2 chars, 1- and 2-grams, the
   5,000 terms with the highest corpus count (ties by term), smooth idf
   ln((1+n)/(1+df)) + 1, L2-normalised rows.
@@ -25,8 +24,8 @@ from collections.abc import Sequence
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, NGram, Normalizer, OneHotEncoder,
-                                RegexTokenizer, SQLTransformer, StringIndexer, VectorAssembler)
+from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, NGram, Normalizer, RegexTokenizer, SQLTransformer,
+                                VectorAssembler)
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasOutputCols
@@ -34,6 +33,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .categories import CategoryEncoder, feature_names  # noqa: F401
 from .quantiles import Stat, quantiles
 
 NULL_TOKEN = "__null__"
@@ -149,30 +149,14 @@ def tabular_pipeline(numeric: Sequence[str], categorical: Sequence[str], output:
         fill = ", ".join(f"coalesce(CAST(`{c}` AS DOUBLE), {float(missing)!r}) AS `_fill_{c}`" for c in num_out)
         stages.append(SQLTransformer(statement=f"SELECT *, {fill} FROM __THIS__"))
         num_out = [f"_fill_{c}" for c in num_out]
-    cat_out = []
     if categorical:
         stages.append(null_sentinel(categorical))
-        idx = [f"_idx_{c}" for c in categorical]
-        stages.append(StringIndexer(inputCols=[f"_cat_{c}" for c in categorical], outputCols=idx,
-                                    stringOrderType="alphabetAsc", handleInvalid="keep"))
-        cat_out = [f"cat__{c}" for c in categorical]
-        # The indexer's extra "unknown" index is the last category; dropLast removes
-        # it, so unknown values (and categories unseen in training) give zeros.
-        stages.append(OneHotEncoder(inputCols=idx, outputCols=cat_out, dropLast=True))
-    stages.append(VectorAssembler(inputCols=num_out + cat_out, outputCol=output, handleInvalid="keep"))
+        stages.append(CategoryEncoder(inputCols=[f"_cat_{c}" for c in categorical], numericCols=num_out, outputCol=output))
+    else:
+        stages.append(VectorAssembler(inputCols=num_out, outputCol=output, handleInvalid="keep"))
     return Pipeline(stages=stages)
 
 
-def feature_names(model: PipelineModel, numeric: Sequence[str], categorical: Sequence[str]) -> list[str]:
-    """T3 names: ``num__c`` for numerics, ``cat__c_v`` per category, in vector order."""
-    names = [f"num__{c}" for c in numeric]
-    indexers = [s for s in model.stages if s.__class__.__name__ == "StringIndexerModel"]
-    if indexers and categorical:
-        for c, labels in zip(categorical, indexers[0].labelsArray):
-            names += [f"cat__{c}_{v}" for v in labels]
-    return names
-
-
 def save_pipeline(model: PipelineModel, path: str) -> None:
     """Persist the fitted preprocessor (input columns live in its stages)."""
     model.write().overwrite().save(path)

@@ -730,8 +730,10 @@ def q_one_hot(spark, sf_dir):
     df = split_features(spark, sf_dir)
     pipe = tf.tabular_pipeline([], ONEHOT_COLS, output="features")
     m = pipe.fit(df.filter(F.col("split") == "train"))
-    out = m.transform(df)
-    return out.select("TransactionID", *[vector_to_array(f"cat__{c}").alias(f"cat__{c}") for c in ONEHOT_COLS])
+    sizes = m.stages[-1].getOrDefault("sizes")
+    entries = vector_to_array("features")
+    return m.transform(df).select("TransactionID", *[
+        F.slice(entries, 1 + sum(sizes[:k]), sizes[k]).alias(f"cat__{c}") for k, c in enumerate(ONEHOT_COLS)])
 
 
 IMPUTE_COLS = ["minutes_since_prev", "TransactionAmount"]

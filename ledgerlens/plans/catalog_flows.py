@@ -290,11 +290,10 @@ def q_feature_names(spark, sf_dir):
     """The names of the assembled vector's entries, in order of position, and the sum of each entry."""
     df = cat.split_features(spark, sf_dir)
     model = tf.tabular_pipeline(["TransactionAmount"], cat.ONEHOT_COLS).fit(df.filter(F.col("split") == "train"))
-    names = tf.feature_names(model, ["TransactionAmount"], cat.ONEHOT_COLS)
+    names = tf.feature_names(model, spark).withColumnRenamed("position", "i")
     entries = model.transform(df).select(F.posexplode(vector_to_array("features")).alias("i", "x"))
     sums = entries.groupBy("i").agg(F.round(F.sum("x"), 6).alias("total"))
-    label = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("i") + 1)
-    return sums.select(label.alias("name"), (F.col("total") + F.lit(0.0)).alias("total"))
+    return sums.join(names, "i").select("name", (F.col("total") + F.lit(0.0)).alias("total"))
 
 
 @register("pipeline_reload", cat.ORACLE_SQL["standardize"])

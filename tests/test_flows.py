@@ -36,7 +36,7 @@ def test_curated_sink_partitions_and_pruning(spark):
     d = tempfile.mkdtemp(prefix="ll-sink-")
     c = cat.curated(spark, SF)
     io.write_curated(c, f"{d}/curated", partitions=4)
-    days = sorted(os.path.basename(p) for p in glob.glob(f"{d}/curated/txn_date=*"))
+    days = sorted(os.path.basename(p) for p in glob.glob(f"{d}/curated/versions/*/txn_date=*"))
     assert days and all(x.startswith("txn_date=") for x in days)
     back = io.read_curated(spark, f"{d}/curated", day_from="2024-01-10", day_to="2024-01-12")
     plan = back._jdf.queryExecution().executedPlan().toString()
@@ -62,7 +62,7 @@ def test_result_sinks_and_export(spark, prep):
     assert spark.read.option("header", True).csv(f"{d}/metrics_csv").count() == 2
     io.export_instances(prep.val, "features", 3, f"{d}/instances")
     doc = json.loads(open(glob.glob(f"{d}/instances/part-*.json")[0]).read())
-    assert len(doc["instances"]) == 3 and len(doc["instances"][0]) == len(prep.names)
+    assert len(doc["instances"]) == 3 and len(doc["instances"][0]) == prep.names.count()
 
 
 def test_dataset_dispatch(spark):

@@ -43,7 +43,7 @@ from .textops import column_bytes, small_batches
 
 FILE_BYTES = 256 << 20
 ROW_GROUP, PAGE, PAGE_ROWS = 16 << 20, 256 << 10, 2000
-CACHE, _LONGEST, _GROUP = 1 << 18, 64, 32
+CACHE, _LONGEST, _GROUP = 1 << 19, 64, 32
 _MARK = "\x01"
 _COLUMNS = "part int, at bigint, n_tokens int, ids array<int>"
 

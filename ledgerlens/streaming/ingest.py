@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..schema import RAW_SCHEMA
-from ..sources.files import FILE_PREFIX, REQUEST_TEXT_SCHEMA
+from ..sources.files import FILE_PREFIX, parse_requests
 
 
 def incoming_stream(spark: SparkSession, root: str, sep: str = ",", max_files: int | None = None,
@@ -63,7 +63,7 @@ def score_stream(spark: SparkSession, requests_dir: str, out: str, checkpoint: s
                  threshold: float, secs_median: float | None, available_now: bool = True) -> StreamingQuery:
     """M8 as a stream: JSON requests -> scored decisions (parquet, append)."""
     from ..operators.scoring import score_requests
-    req = spark.readStream.schema(REQUEST_TEXT_SCHEMA).json(requests_dir)
+    req = parse_requests(spark.readStream.text(requests_dir))
     scored = score_requests(req, preproc, model, threshold, secs_median)
     w = (scored.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
          .outputMode("append"))

@@ -107,3 +107,13 @@ def test_no_machine_local_folder_on_a_cluster():
         sparkContext, conf = Context(), Conf()
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.checkpoint_dir(Session())
+
+
+def test_absent_request_fields_have_defaults(spark):
+    """What is left out has its default; what is null, or in no object, has none."""
+    from ledgerlens.sources import files as io
+    rows = ['{"TransactionID": "1"}', '{"TransactionID": "2", "TransactionAmount": null, "LoginAttempts": 4, "nlp_text": null}', "no json", None]
+    got = io.parse_requests(spark.createDataFrame([(r,) for r in rows], "value string")).select(
+        "TransactionID", "TransactionAmount", "LoginAttempts", "nlp_text", "AccountBalance").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([
+        ("1", "0.0", "0", "", None), ("2", None, "4", None, None), (None, None, None, None, None), (None, None, None, None, None)], key=str)

@@ -11,7 +11,7 @@ The model (about 1 MB, a fixed vocabulary) is serialised on the driver and broad
 need no file.  Each worker keeps the ids of up to CACHE distinct pre-tokens.
 
 Defined results: a null text counts as empty and has no ids; special tokens are ordinary text;
-repeated rows are encoded row by row; an empty table gives an empty result; extra columns
+repeated rows are encoded row by row; very long texts and pre-tokens are encoded whole; an empty table gives an empty result; extra columns
 are ignored.  Unpaired surrogates can't occur in Spark strings.
 """
 

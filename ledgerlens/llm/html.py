@@ -25,8 +25,8 @@ Defined results: a null or empty html has the empty text; scripts, styles, templ
 never count (a head without end tag ends at the first text or element that can't stand in it);
 unclosed and misnested elements are closed as browsers close paragraphs, list items and table
 cells; a page cut off in a tag loses that tag; character references are
-decoded, white space inside a block is one space; repeated rows are extracted row by row; an
-empty table gives an empty result; extra columns are ignored.
+decoded, white space inside a block is one space; very long pages are parsed
+whole; repeated rows are extracted row by row; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -16,7 +16,7 @@ the one table that reaches the driver; languages are few, and more than MAX_LANG
 
 Defined results: a null or empty text has no evidence of its own; a missing declaration or host leaves
 that evidence out; the language is null only if no labelled document exists; equal scores go to the
-language first in order; documents without a label teach nothing; repeated rows count as often
+language first in order; documents without a label teach nothing; very long texts are counted whole; repeated rows count as often
 as they occur; an empty table gives an empty result; extra columns are ignored.
 """
 

@@ -12,7 +12,7 @@ one row for each map task; the join back to occurrences moves ids and positions
 
 Defined results: lines are split at \\n and trimmed of spaces, tabs, \\r, \\v and \\f
 for comparison, kept lines stay byte for byte; blank lines are in no window and are
-never removed; a text with fewer than three non-blank lines has no window and stays as
+never removed; very long texts are windowed whole; a text with fewer than three non-blank lines has no window and stays as
 it is; a null text stays null with 0 lines, an empty one has one blank line; rows that
 repeat both doc_id and text count as one occurrence, rows that share only the doc_id are
 ordered by a hash of their text; null doc_ids come first; extra columns are ignored

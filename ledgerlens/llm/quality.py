@@ -17,7 +17,7 @@ Scoring is one pass over whole texts with two broadcast arrays of SLOTS floats.
 Defined results: a null text counts as empty; an empty text has no n-grams and
 gets the score of the bias; rows with a null label or doc_id are not learned
 from; several labels of one doc_id count as their minimum; repeated documents
-are scored row by row; without labels of both classes the score is the smoothed
+are scored row by row; very long texts are read whole; without labels of both classes the score is the smoothed
 share of label 1 (0.5 without any label); extra columns are ignored by
 ``score`` and carried by ``filter_predicted``.
 """

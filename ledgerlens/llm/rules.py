@@ -9,7 +9,7 @@ The sample is bounded by SAMPLE_ROWS (in expectation, by a hash of the row); onl
 sums for each rule comes to the driver.
 
 Defined results: a null text counts as empty; an empty text has zero counts and fails the word
-count; repeated rows are judged row by row; an empty table gives an empty result
+count; repeated rows are judged row by row; very long texts are judged whole; an empty table gives an empty result
 and the rules keep their written order; extra columns are ignored.
 """
 

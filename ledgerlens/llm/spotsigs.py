@@ -16,8 +16,8 @@ Defined results: a null text counts as empty; a text without spots falls back to
 word, then to its whole word sequence, then to its bytes, so only the empty text has
 the empty fingerprint; two empty fingerprints are alike (1), an empty and a
 non-empty one are not (0); the next document is the next row by doc_id (nulls first), rows
-with equal doc_id by their text; the next of a single row is itself; an empty table gives
-an empty result; extra columns are ignored.
+with equal doc_id by their text; the next of a single row is itself; very long texts are
+fingerprinted whole; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations

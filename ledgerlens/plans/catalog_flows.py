@@ -380,7 +380,7 @@ def q_platt_scores(spark, sf_dir):
 
 
 #: Boosting rounds of the registered flows, below the library's 200 (300): README has the times of the whole sizes.
-FLOW_ROUNDS, TUNING_ROUNDS = 30, 10
+FLOW_ROUNDS, TUNING_ROUNDS = 20, 5
 
 
 @register("ablation")

@@ -43,8 +43,8 @@ from .textops import column_bytes, small_batches
 
 FILE_BYTES = 256 << 20
 ROW_GROUP, PAGE, PAGE_ROWS = 16 << 20, 256 << 10, 2000
-CACHE, _LONGEST, _GROUP = 1 << 19, 64, 32
-_MARK = "\x01"
+CACHE, _LONGEST, _GROUP = 1 << 20, 64, 32
+_MARK = b"\x01"
 _COLUMNS = "part int, at bigint, n_tokens int, ids array<int>"
 
 
@@ -57,7 +57,7 @@ class Encoder:
         self.end = b"" if end_id is None else np.array([end_id], dtype="<i4").tobytes()
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
-        self.mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
+        self.mark = self.tokenizer.encode(_MARK.decode(), add_special_tokens=False).ids
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, dtype="<i4") for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -68,14 +68,16 @@ class Encoder:
         The mark, between spaces, has one id; where a text has just as many of it as marks, no piece has made one,
         and it is cut there. Other pieces are encoded one by one.
         """
-        alone = [p for p in pieces if len(self.mark) != 1 or _MARK.encode() in p]
-        rest = [p for p in pieces if _MARK.encode() not in p] if len(self.mark) == 1 else []
+        alone = [p for p in pieces if _MARK in p] if len(self.mark) == 1 else pieces
+        rest = [p for p in pieces if _MARK not in p] if alone else pieces
+        rest = rest if len(self.mark) == 1 else []
         groups = [rest[k:k + _GROUP] for k in range(0, len(rest), _GROUP)]
+        between = b" " + _MARK + b" "
         out = {}
-        for group, ids in zip(groups, self._ids([f" {_MARK} ".join([p.decode() for p in g]) for g in groups])):
+        for group, ids in zip(groups, self._ids([between.join(g).decode() for g in groups])):
             at = np.flatnonzero(ids == self.mark[0]).tolist()
             if len(at) != len(group) - 1:
-                alone += group
+                alone = alone + group
                 continue
             packed = ids.tobytes()
             begin = 0
@@ -100,7 +102,9 @@ class Encoder:
                 ids[i] = made[pieces[i]]
         if len(self.young) + len(made) > CACHE:  # what was not used for a whole generation goes
             self.old, self.young = self.young, {}
-        self.young.update((p, x) for p, x in made.items() if len(p) <= _LONGEST)
+        self.young.update(made)
+        for p in [p for p in made if len(p) > _LONGEST]:
+            del self.young[p]
         return [b"".join(ids) + self.end for ids in found]
 
 
@@ -157,7 +161,7 @@ def write(documents: DataFrame, path: str, tokenizer: str, end_id: int | None =
              .repartitionByRange(files, "doc_id", "h", "row").sortWithinPartitions("doc_id", "h", "row").select("doc_id", "text"))
     dictionary = {"ids.list.element": ids_encoding == "dictionary", "doc_id": False, "at": False, "n_tokens": False}
     writer = encode(dealt, tokenizer, end_id).write.mode("errorifexists").options(**{
-        "compression": "zstd", "parquet.writer.version": "PARQUET_2_0", "parquet.block.size": row_group,
+        "compression": "snappy", "parquet.writer.version": "PARQUET_2_0", "parquet.block.size": row_group,
         "parquet.page.size": PAGE, "parquet.page.row.count.limit": page_rows, "parquet.enable.dictionary": True})
     for column, use in dictionary.items():
         writer = writer.option(f"parquet.enable.dictionary#{column}", use)

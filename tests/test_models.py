@@ -76,3 +76,17 @@ def test_term_counts_equal_brute_force(spark):
 def test_balance_policy():
     assert [bal.use_smote(p, d) for p in ("always", "auto", "never", None) for d in ("primary", "ulb")] == [
         True, True, True, False, False, False, True, False]
+
+
+def test_text_flow_builds_no_tabular_vectors(spark):
+    """M2 reads id, label and text of the split rows: no encoder, no Python step in its scans."""
+    from ledgerlens.plans import train as tr
+    split = spark.createDataFrame([("1", 0, None, "train"), ("2", 1, "night fraud", "train"), ("3", 0, "day", "train"), ("4", 1, "x", "val")],
+                                  "TransactionID string, is_fraud int, nlp_text string, split string")
+    rows = tr.text_rows(split, "train")
+    assert rows.columns == ["TransactionID", "label", "nlp_text"]
+    assert "InArrow" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in rows.orderBy("TransactionID").collect()] == [("1", 0.0, ""), ("2", 1.0, "night fraud"), ("3", 0.0, "day")]
+    model, vocab = tr.train_text(split)
+    assert {r["term"] for r in vocab.collect()} == {"night", "fraud", "night fraud", "day"}
+    assert tr.scored(model, tr.text_rows(split, "val"), "nlp").count() == 1

@@ -102,3 +102,16 @@ def test_global_ranges(spark):
 
 def test_hash_bits_follow_the_rows():
     assert hash_bits(1) == 4 and hash_bits(250_000 * 16) == 4 and hash_bits(250_000 * 17) == 8 and hash_bits(10**12) == 24
+
+
+def test_numbered_rows_move_once(spark):
+    """Positions over the whole table equal a sort, with ties of all columns, over several ranges; no hash shuffle of the rows."""
+    from ledgerlens.operators.ordered import numbered_rows
+    rows = [(None if i % 17 == 0 else i * 7919 % 101, i % 5) for i in range(2000)]
+    df = spark.createDataFrame(rows, "a int, b int").repartition(7)
+    out = numbered_rows(df, ["a", "b"], rows_per_range=130)
+    got = [(r["a"], r["b"]) for r in sorted(out.collect(), key=lambda r: r["rn"])]
+    assert got == sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    assert sorted(r["rn"] for r in out.collect()) == list(range(1, 2001))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_ll_bucket" not in plan and "SortMergeJoin" not in plan

@@ -130,3 +130,18 @@ def test_preprocessor_persistence_roundtrip(spark, prep):
     b = [list(r[0]) for r in back.transform(x).select(vector_to_array("features")).orderBy(F.lit(1)).collect()]
     assert sorted(a) == sorted(b)
     assert sc.expected_inputs(back) == sc.expected_inputs(prep.preproc) == (prep.numeric, prep.categorical)
+
+
+@pytest.mark.parametrize("name, rounds, fits", [("ablation", 200, 2)])
+def test_whole_rounds(spark, monkeypatch, name, rounds, fits):
+    """The registered flows boost the library's rounds, not a few of them."""
+    import __spark_entry__ as E
+
+    seen, plain = [], mdl.boost
+
+    def boost(data, **k):
+        seen.append(k["maxIter"])
+        return plain(data, **{**k, "maxIter": 1, "maxDepth": 1})
+    monkeypatch.setattr(mdl, "boost", boost)
+    E.queries()[name](spark, SF).collect()
+    assert seen == [rounds] * fits

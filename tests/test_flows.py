@@ -132,7 +132,7 @@ def test_preprocessor_persistence_roundtrip(spark, prep):
     assert sc.expected_inputs(back) == sc.expected_inputs(prep.preproc) == (prep.numeric, prep.categorical)
 
 
-@pytest.mark.parametrize("name, rounds, fits", [("ablation", 200, 2)])
+@pytest.mark.parametrize("name, rounds, fits", [("ablation", 200, 2), ("gbt_tuning", 300, 24)])
 def test_whole_rounds(spark, monkeypatch, name, rounds, fits):
     """The registered flows boost the library's rounds, not a few of them."""
     import __spark_entry__ as E

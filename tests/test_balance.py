@@ -6,8 +6,10 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import balance as bal
+from ledgerlens.operators import neighbours as nb
 from ledgerlens.operators.balance import knn, scale_pos_weight, smote, use_smote
 from ledgerlens.operators.neighbours import Block, nearest
+from ledgerlens.session import materialize
 
 
 def _points(n=120, d=6, seed=5):
@@ -224,3 +226,40 @@ def test_between_sparse_rows_in_batches(spark):
         at = sorted({*a, *b})
         assert got[i] == (50, at, [a.get(k, 0.0) + u * (b.get(k, 0.0) - a.get(k, 0.0)) for k in at])
     assert out.filter("i < 0").collect() == []
+
+
+def test_points_are_sent_once_a_group(spark, monkeypatch):
+    """Points near everything: each goes to each group of blocks at most once, however many blocks it is compared with."""
+    rnd = np.random.default_rng(4)
+    pts = [(i, [float(x) for x in rnd.normal(size=12)]) for i in range(600)]
+    df = spark.createDataFrame(pts, "id long, vec array<double>")
+    df = df.select("id", bal.sparse(F.col("vec"), df.schema["vec"].dataType).alias("v"))
+    monkeypatch.setattr(nb, "GROUP", 4)
+    kept, plain = {}, nb.materialize
+
+    def materialize(x, name="table", **k):
+        kept[name] = plain(x, name, **k)
+        return kept[name]
+    monkeypatch.setattr(nb, "materialize", materialize)
+    got = {}
+    for r in nb.nearest_pairs(df, 5, block=20).collect():
+        got.setdefault(r["id"], []).append((r["dist"], r["nn_id"]))
+    n = kept["knn_blocks"].count()
+    sent = kept["knn_own"].where("target is not null").agg(F.sum(F.size("id"))).first()[0]
+    assert n >= 30 and sent <= 600 * -(-n // min(4, n // 8))
+    X = np.array([v for _, v in pts])
+    for i in range(len(pts)):
+        d = np.sqrt(((X - X[i]) ** 2).sum(axis=1))
+        assert [j for _, j in sorted(got[i])] == sorted((j for j in range(len(pts)) if j != i), key=lambda j: (d[j], j))[:5]
+
+
+def test_wide_rows_make_small_row_groups(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    rows = spark.range(60).coalesce(1).select(F.expr("transform(sequence(1, 100000), i -> xxhash64(i, id))").alias("x"))  # 0.8 MB
+    path = materialize(rows, "wide", wide=True).inputFiles()[0].removeprefix("file:")
+    groups = [pq.ParquetFile(f).metadata for f in glob.glob(path)]
+    assert sum(m.num_rows for m in groups) == 60
+    assert all(m.row_group(i).total_byte_size < 40 << 20 for m in groups for i in range(m.num_row_groups))  # not 48 MB in one
